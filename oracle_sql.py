@@ -307,5 +307,307 @@ def base_queries() -> dict[str, str]:
     return out
 
 
+def _lit(v) -> str:
+    return f"'{v}'" if isinstance(v, str) else str(v)
+
+
+def _check_sql(c) -> str:
+    meta = f"'{c.kind}' as check_name, '{c.table}' as table_name, '{c.column}' as column_name, '{c.detail}' as detail"
+    if c.kind == "not_null":
+        cond = "false" if c.column == "dup_key" else f"{c.column} is null"
+        return f"select {meta}, count_if({cond})::bigint as failures from {c.table}"
+    if c.kind == "unique":
+        if c.column == "dup_key":
+            inner = f"select 1 from {c.table} group by {_KEY} having count(*) > 1"
+        else:
+            inner = f"select 1 from {c.table} where {c.column} is not null group by {c.column} having count(*) > 1"
+        return f"select {meta}, count(*)::bigint as failures from ({inner}) u"
+    if c.kind == "accepted_values":
+        vals = ", ".join(_lit(v) for v in c.values)
+        return (f"select {meta}, count(distinct case when {c.column} not in ({vals}) then {c.column} end)::bigint "
+                f"as failures from {c.table}")
+    if c.kind == "fare_within_tolerance":
+        cond = (f"{c.column} is not null and {c.expected} is not null and "
+                f"abs(cast({c.column} as double) - cast({c.expected} as double)) > {c.tolerance}")
+        if c.exclude_flagged:
+            cond += f" and coalesce({c.flag_column}, false) = false"
+        return f"select {meta}, count_if({cond})::bigint as failures from {c.table}"
+    if c.kind == "relationships":
+        return (f"select {meta}, count(*)::bigint as failures from {c.table} ch where ch.{c.column} is not null "
+                f"and not exists (select 1 from {c.to_table} p where p.{c.to_column} = ch.{c.column})")
+    raise ValueError(c.kind)
+
+
+def check_results_sql() -> str:
+    from fareline.operators.checks import DEFAULT_SUITE
+
+    body = "\nunion all\n".join(_check_sql(c) for c in DEFAULT_SUITE)
+    return with_chain(f"select *, failures = 0 as passed from ({body}) r")
+
+
+# Expected catalog facts, written from the models: table -> (layer, columns, date column, relationships)
+_REL = {
+    "fact_trips": [("date_day", "dim_date", "date_day"), ("vendor_id", "dim_vendor", "vendor_id"),
+                   ("payment_type", "dim_payment", "payment_type"), ("pu_location_id", "dim_zone", "location_id"),
+                   ("do_location_id", "dim_zone", "location_id")],
+    "fact_revenue_adjustments": [("date_day", "dim_date", "date_day"), ("payment_type", "dim_payment", "payment_type"),
+                                 ("pu_location_id", "dim_zone", "location_id"),
+                                 ("do_location_id", "dim_zone", "location_id")],
+    "mart_kpi_daily": [("date_day", "dim_date", "date_day")],
+    "mart_revenue_daily_zone": [("date_day", "dim_date", "date_day"), ("location_id", "dim_zone", "location_id")],
+    "mart_trips_hourly_vendor": [("vendor_id", "dim_vendor", "vendor_id")],
+    "mart_payment_mix_daily": [("date_day", "dim_date", "date_day"), ("payment_type", "dim_payment", "payment_type")],
+    "mart_vendor_scorecard_monthly": [("vendor_id", "dim_vendor", "vendor_id")],
+    "mart_od_matrix_monthly": [("pu_location_id", "dim_zone", "location_id"),
+                               ("do_location_id", "dim_zone", "location_id")],
+    "mart_adjustments_daily_zone": [("date_day", "dim_date", "date_day"), ("payment_type", "dim_payment", "payment_type"),
+                                    ("location_id", "dim_zone", "location_id")],
+    "mart_congestion_impact_daily": [("date_day", "dim_date", "date_day")],
+    "mart_airport_daily": [("date_day", "dim_date", "date_day")],
+    "mart_anomaly_summary_daily": [("date_day", "dim_date", "date_day"), ("location_id", "dim_zone", "location_id")],
+}
+_PROFILE = [
+    ("fact_trips", "gold", "FACT", 31, "date_day"),
+    ("fact_revenue_adjustments", "gold", "FACT", 18, "date_day"),
+    ("dim_date", "gold", "DIMENSION", 9, "date_day"),
+    ("dim_payment", "gold", "DIMENSION", 2, None),
+    ("dim_vendor", "gold", "DIMENSION", 2, None),
+    ("dim_zone", "gold", "DIMENSION", 4, None),
+    ("mart_kpi_daily", "marts", "MART", 11, "date_day"),
+    ("mart_revenue_daily_zone", "marts", "MART", 7, "date_day"),
+    ("mart_trips_hourly_vendor", "marts", "MART", 6, None),
+    ("mart_payment_mix_daily", "marts", "MART", 6, "date_day"),
+    ("mart_vendor_scorecard_monthly", "marts", "MART", 9, None),
+    ("mart_od_matrix_monthly", "marts", "MART", 7, None),
+    ("mart_adjustments_daily_zone", "marts", "MART", 5, "date_day"),
+    ("mart_congestion_impact_daily", "marts", "MART", 7, "date_day"),
+    ("mart_airport_daily", "marts", "MART", 9, "date_day"),
+    ("mart_anomaly_summary_daily", "marts", "MART", 7, "date_day"),
+]
+
+
+def table_profile_sql() -> str:
+    parts = []
+    for name, layer, kind, ncols, dcol in _PROFILE:
+        if dcol:
+            rng = (f"strftime(min({dcol})::date, '%Y-%m-%d') as date_min, "
+                   f"strftime(max({dcol})::date, '%Y-%m-%d') as date_max")
+            dc = f"'{dcol}'"
+        else:
+            rng, dc = "null::varchar as date_min, null::varchar as date_max", "null::varchar"
+        parts.append(
+            f"select '{layer}' as table_schema, '{name}' as table_name, '{kind}' as kind, count(*)::bigint as row_count, "
+            f"{dc} as date_column, {rng}, {ncols} as n_columns, {len(_REL.get(name, []))} as n_relationships from {name}"
+        )
+    return with_chain("\nunion all\n".join(parts))
+
+
+def table_relationships_sql() -> str:
+    parts = []
+    for name, rels in _REL.items():
+        layer = "gold" if name.startswith("fact_") else "marts"
+        for col, dim, key in rels:
+            parts.append(
+                f"select '{layer}.{name}' as fk_table, '{col}' as fk_column, 'gold.{dim}' as pk_table, "
+                f"'{key}' as pk_column, 'high' as confidence, count(*)::bigint as orphan_rows from {name} ch "
+                f"where ch.{col} is not null and not exists (select 1 from {dim} p where p.{key} = ch.{col})"
+            )
+    return with_chain("\nunion all\n".join(parts))
+
+
 def all_queries() -> dict[str, str]:
-    return base_queries()
+    out = base_queries()
+    out["check_results"] = check_results_sql()
+    out["table_profile"] = table_profile_sql()
+    out["table_relationships"] = table_relationships_sql()
+    out.update(bi_queries())
+    return out
+
+
+# ----------------------------------------------------------------- questions
+PP = 0.5 / 100.0  # default shift in share points, as a fraction
+
+
+def _win(n: int) -> str:
+    return (f"select today, today - {n - 1} as current_start, today - {n - 1} - {n} as previous_start, "
+            f"today - {n} as previous_end, {n} as window_days "
+            "from (select greatest(least(max(date_day), max(date_day)), min(date_day)) as today from mart_kpi_daily) t")
+
+
+BI_CHAIN = f"""
+win30 as ({_win(30)}),
+win90 as ({_win(90)}),
+kpi_rows as (
+  select k.date_day, case when k.date_day between w.current_start and w.today then 'current'
+                          when k.date_day between w.previous_start and w.previous_end then 'previous' end as period,
+         coalesce(k.trips, 0) as trips, coalesce(k.gross_revenue, 0) as revenue, k.tip_rate
+  from mart_kpi_daily k, win30 w where k.date_day between w.previous_start and w.today),
+kpis30 as (
+  select *,
+    case when trips_previous <> 0 then (trips_current - trips_previous) / trips_previous else 0.0 end as trips_delta,
+    case when revenue_previous <> 0 then (revenue_current - revenue_previous) / revenue_previous else 0.0 end as revenue_delta,
+    case when avg_ticket_previous <> 0 then (avg_ticket_current - avg_ticket_previous) / avg_ticket_previous else 0.0 end as avg_ticket_delta,
+    case when days_previous > 0 then tip_rate_current - tip_rate_previous else 0.0 end as tip_rate_delta
+  from (
+    select *, case when trips_current <> 0 then revenue_current / trips_current else 0.0 end as avg_ticket_current,
+              case when trips_previous <> 0 then revenue_previous / trips_previous else 0.0 end as avg_ticket_previous
+    from (
+      select 30 as window_days, w.today, w.current_start, w.previous_start, w.previous_end,
+        count(case when period = 'current' then 1 end) as days_current,
+        count(case when period = 'previous' then 1 end) as days_previous,
+        coalesce(sum(case when period = 'current' then trips end), 0)::bigint as trips_current,
+        coalesce(sum(case when period = 'previous' then trips end), 0)::bigint as trips_previous,
+        coalesce(sum(case when period = 'current' then revenue end), 0.0)::double as revenue_current,
+        coalesce(sum(case when period = 'previous' then revenue end), 0.0)::double as revenue_previous,
+        coalesce(avg(case when period = 'current' then tip_rate end), 0.0) as tip_rate_current,
+        coalesce(avg(case when period = 'previous' then tip_rate end), 0.0) as tip_rate_previous
+      from win30 w left join kpi_rows r on true
+      group by w.today, w.current_start, w.previous_start, w.previous_end) a) b),
+pmix30 as (
+  select period, payment_desc, trips, avg_ticket,
+    case when sum(trips) over (partition by period) <> 0 then trips / sum(trips) over (partition by period) else 0.0 end as share
+  from (
+    select case when m.date_day between w.current_start and w.today then 'current'
+                when m.date_day between w.previous_start and w.previous_end then 'previous' end as period,
+           d.payment_desc, sum(m.trips)::bigint as trips, avg(m.avg_ticket) as avg_ticket
+    from mart_payment_mix_daily m left join dim_payment d using (payment_type), win30 w
+    where m.date_day between w.previous_start and w.today and d.payment_desc is not null
+    group by 1, 2) g),
+mix_labels as (
+  select coalesce(c.payment_desc, p.payment_desc) as payment_desc, coalesce(c.share, 0.0) as s1,
+         coalesce(c.avg_ticket, 0.0) as p1, coalesce(p.share, 0.0) as s0,
+         c.payment_desc is not null as in_cur, p.payment_desc is not null as in_prev
+  from (select * from pmix30 where period = 'current') c
+  full join (select * from pmix30 where period = 'previous') p on c.payment_desc = p.payment_desc),
+mix_card as (
+  select coalesce(
+    (select min(payment_desc) from mix_labels where in_cur and lower(payment_desc) like '%card%'),
+    (select min(payment_desc) from mix_labels where in_cur and s1 = (select max(s1) from mix_labels where in_cur))) as card,
+    (select min(payment_desc) from mix_labels where in_cur and lower(payment_desc) like '%cash%') as cash),
+mix_s1 as (
+  select l.*, case when l.payment_desc = c.card then least(greatest(l.s1 + {PP!r}, 0.0), 1.0) else l.s1 end as s_adj
+  from mix_labels l, mix_card c),
+mix_take as (
+  select coalesce((select cash from mix_card),
+    (select min(payment_desc) from mix_s1 where payment_desc <> (select card from mix_card)
+       and s_adj = (select max(s_adj) from mix_s1 where payment_desc <> (select card from mix_card)))) as take_from),
+mix_s2 as (
+  select m.* replace (case when m.payment_desc = t.take_from then greatest(m.s_adj - {PP!r}, 0.0) else m.s_adj end as s_adj)
+  from mix_s1 m, mix_take t),
+mix_s3 as (
+  select m.* replace (case when tot.s <> 0 then m.s_adj / tot.s else m.s_adj end as s_adj)
+  from mix_s2 m, (select sum(s_adj) as s from mix_s2) tot),
+win_trips30 as (
+  select coalesce(sum(k.trips), 0)::bigint as t from mart_kpi_daily k, win30 w
+  where k.date_day between w.current_start and w.today),
+vend30_0 as (
+  select f.vendor_id, dv.vendor_name, count(*)::bigint as trips, sum(f.total_amount) as revenue,
+    avg(f.total_amount) as avg_ticket, sum(f.tip_amount) / nullif(sum(f.total_amount), 0) as tip_rate
+  from fact_trips f left join dim_vendor dv using (vendor_id), win30 w
+  where f.date_day between w.current_start and w.today group by 1, 2),
+vend30 as (
+  select *, trips / (select sum(trips) from vend30_0) as share, revenue / nullif(trips, 0) as revenue_per_trip
+  from vend30_0),
+zone_days90 as (
+  select r.date_day, r.location_id, z.borough, z.zone, coalesce(r.trips, 0) as trips,
+         coalesce(r.total_revenue, 0.0) as total_revenue
+  from mart_revenue_daily_zone r left join dim_zone z using (location_id), win90 w
+  where r.date_day between w.current_start and w.today),
+zone_tot90_0 as (
+  select location_id, borough, zone, sum(trips)::bigint as trips, sum(total_revenue) as revenue
+  from zone_days90 where borough is not null and zone is not null group by 1, 2, 3),
+zone_tot90 as (
+  select *, revenue / nullif(trips, 0) as avg_ticket,
+    case when (select sum(revenue) from zone_tot90_0) <> 0 then revenue / (select sum(revenue) from zone_tot90_0)
+         else 0.0 end as rev_share,
+    concat_ws(' — ', borough, zone) as label
+  from zone_tot90_0),
+top_zones90 as (select * from zone_tot90 order by revenue desc, location_id limit 12)
+"""
+
+
+def bq(final_select: str, doubles=()) -> str:
+    return f"with {CHAIN.strip()},\n{BI_CHAIN.strip()}\n{rounded(final_select, doubles)}"
+
+
+def bi_queries() -> dict[str, str]:
+    return {
+        "window_kpis": bq("select * from kpis30", (
+            "revenue_current", "revenue_previous", "avg_ticket_current", "avg_ticket_previous", "tip_rate_current",
+            "tip_rate_previous", "trips_delta", "revenue_delta", "avg_ticket_delta", "tip_rate_delta")),
+        "kpi_daily_series": bq(
+            "select date_day, period, trips, revenue as gross_revenue, max(trips) over () as trips_axis_max, "
+            "max(revenue) over () as revenue_axis_max from kpi_rows", ("gross_revenue", "revenue_axis_max")),
+        "kpi_alerts": bq(
+            "select window_days, window_days <> 90 as alerts_enabled, "
+            "window_days <> 90 and trips_delta < -0.05 as trips_alert, "
+            "window_days <> 90 and revenue_delta < -0.05 as revenue_alert, "
+            "window_days <> 90 and tip_rate_delta < 0.0 as tip_rate_alert, trips_delta, revenue_delta, tip_rate_delta "
+            "from kpis30", ("trips_delta", "revenue_delta", "tip_rate_delta")),
+        "payment_mix": bq("select * from pmix30", ("avg_ticket", "share")),
+        "payment_mix_daily_share": bq(
+            "select m.date_day, d.payment_desc, avg(m.share) as share "
+            "from mart_payment_mix_daily m left join dim_payment d using (payment_type), win30 w "
+            "where m.date_day between w.current_start and w.today and d.payment_desc is not null group by 1, 2",
+            ("share",)),
+        "mix_sensitivity": bq(
+            "select (select card from mix_card) as card_label, (select take_from from mix_take) as take_from_label, "
+            f"{PP * 100.0!r} as shift_pp, (select t from win_trips30) as window_trips, "
+            "(select t from win_trips30) * sum(s1 * p1) as base_revenue, "
+            "(select t from win_trips30) * sum(s_adj * p1) as sensitivity_revenue, "
+            "(select t from win_trips30) * sum(s_adj * p1) - (select t from win_trips30) * sum(s1 * p1) as delta_revenue "
+            "from mix_s3 having count_if(in_cur) > 0",
+            ("shift_pp", "base_revenue", "sensitivity_revenue", "delta_revenue")),
+        "mix_impact": bq(
+            "select (select card from mix_card) as card_label, "
+            "max(case when payment_desc = (select card from mix_card) then (s1 - s0) * 100.0 end) as card_share_change_pp, "
+            "(select t from win_trips30) * sum((s1 - s0) * p1) as mix_impact "
+            "from mix_labels having count_if(in_cur) > 0 and count_if(in_prev) > 0",
+            ("card_share_change_pp", "mix_impact")),
+        "vendor_cards": bq(
+            "select vendor_id, vendor_name, trips, revenue, share, revenue_per_trip, tip_rate from vend30 "
+            "where vendor_name is not null and vendor_name not ilike '%unknown%' and trips > 0 "
+            "order by trips desc, vendor_id limit 2",
+            ("revenue", "share", "revenue_per_trip", "tip_rate")),
+        "vendor_gap": bq(
+            "select vendor_id, vendor_name, trips, revenue_per_trip, median_revenue_per_trip, "
+            "(revenue_per_trip - median_revenue_per_trip) * trips as gap from ("
+            "select *, (select median(revenue_per_trip) from vend30) as median_revenue_per_trip from vend30) g "
+            "order by gap asc nulls last, vendor_id limit 1",
+            ("revenue_per_trip", "median_revenue_per_trip", "gap")),
+        "airport_vs_city": bq(
+            "with t as (select k.date_day, k.gross_revenue as total_revenue, coalesce(a.airport_revenue, 0.0) as airport_revenue "
+            "from mart_kpi_daily k join win30 w on k.date_day between w.current_start and w.today "
+            "left join (select date_day, sum(total_revenue) as airport_revenue from mart_airport_daily, win30 w2 "
+            "where date_day between w2.current_start and w2.today group by 1) a using (date_day)) "
+            "select date_day, 'airport_revenue' as segment, airport_revenue as revenue from t "
+            "union all select date_day, 'city_revenue', total_revenue - airport_revenue from t",
+            ("revenue",)),
+        "top_zones": bq("select * from top_zones90", ("revenue", "avg_ticket", "rev_share")),
+        "borough_dow_skew": bq(
+            "select borough, day_name, revenue, revenue / nullif(sum(revenue) over (partition by borough), 0) as pct_of_borough "
+            "from (select z.borough, d.day_name, sum(z.total_revenue) as revenue from zone_days90 z "
+            "left join (select date_day, day_name from dim_date, win90 w where date_day between w.current_start and w.today) d "
+            "using (date_day) where z.borough is not null and d.day_name is not null group by 1, 2) s",
+            ("revenue", "pct_of_borough")),
+        "top_corridors": bq(
+            "select *, concat(pu_borough, ' — ', pu_zone, ' → ', do_borough, ' — ', do_zone) as corridor from ("
+            "select od.pu_location_id, od.do_location_id, dpu.zone as pu_zone, ddo.zone as do_zone, "
+            "dpu.borough as pu_borough, ddo.borough as do_borough, sum(od.trips)::bigint as trips, sum(od.revenue) as revenue "
+            "from mart_od_matrix_monthly od left join dim_zone dpu on dpu.location_id = od.pu_location_id "
+            "left join dim_zone ddo on ddo.location_id = od.do_location_id, win90 w "
+            "where od.year_month between strftime(w.current_start, '%Y-%m') and strftime(w.today, '%Y-%m') "
+            "and od.pu_location_id in (select location_id from top_zones90) "
+            "and dpu.zone is not null and ddo.zone is not null and dpu.borough is not null and ddo.borough is not null "
+            "and od.do_location_id is not null group by 1, 2, 3, 4, 5, 6) g "
+            "order by revenue desc, pu_location_id, do_location_id limit 20",
+            ("revenue",)),
+        "zone_hotspots": bq(
+            "select a.location_id, z.borough, z.zone, z.label, a.anomalies, z.trips, "
+            "a.anomalies / nullif(z.trips, 0) as anomaly_rate "
+            "from (select location_id, coalesce(sum(anomalies), 0)::bigint as anomalies from mart_anomaly_summary_daily, win90 w "
+            "where date_day between w.current_start and w.today group by 1) a "
+            "left join zone_tot90 z using (location_id) where z.trips >= 20 "
+            "order by anomaly_rate desc nulls last, a.location_id limit 8",
+            ("anomaly_rate",)),
+    }
