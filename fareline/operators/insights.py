@@ -338,8 +338,10 @@ def mix_impact(mix: DataFrame, kpi_daily: DataFrame, w: ReportWindow, rules: Das
 
 def vendor_window(fact: DataFrame, dim_vendor: DataFrame, w: ReportWindow) -> DataFrame:
     """Per vendor in the current window: trips, revenue, avg ticket, tip rate, share, revenue per trip."""
+    from fareline.plans.warehouse import month_filter
+
     v = (
-        fact.where(w.current())
+        month_filter(fact, w.current_start, w.today)
         .join(dim_vendor, "vendor_id", "left")
         .groupBy("vendor_id", "vendor_name")
         .agg(

@@ -53,7 +53,9 @@ def write_bronze(df: DataFrame, path: str, compression: str = "zstd") -> dict:
     Counters come from ``observe`` during the write itself (no second pass).
     """
     obs = Observation("bronze")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows_written"))
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows_written")).hint(
+        "rebalance", "source_year", "source_month"
+    )
     (
         observed.write.mode("overwrite")
         .option("compression", compression)

@@ -39,7 +39,13 @@ def splits(silver: DataFrame) -> dict[str, DataFrame]:
 
 def write_silver(silver: DataFrame, path: str, compression: str = "zstd") -> None:
     """One job: rows land in ``silver_split=<name>/`` folders (fare_miss is a filter of clean)."""
-    silver.write.mode("overwrite").option("compression", compression).partitionBy(SPLIT_COLUMN).parquet(path)
+    (
+        silver.hint("rebalance", SPLIT_COLUMN)
+        .write.mode("overwrite")
+        .option("compression", compression)
+        .partitionBy(SPLIT_COLUMN)
+        .parquet(path)
+    )
 
 
 def read_split(spark: SparkSession, path: str, name: str) -> DataFrame:
