@@ -25,6 +25,17 @@ from fareline.functions.expressions import row_key
 
 COPIES = "_copies"
 
+# Grouping order does not change the result, but Spark sorts on the first
+# key's 8-byte prefix: a selective fixed-width key first (timestamps, then
+# doubles) resolves most comparisons there; a low-cardinality string first
+# (the file name) makes every comparison fall through to the full row.
+_TYPE_RANK = {"timestamp_ntz": 0, "timestamp": 0, "double": 1, "bigint": 2, "int": 2, "smallint": 2, "date": 2}
+
+
+def _sort_friendly(df: DataFrame, cols: Sequence[str]) -> list[str]:
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return sorted(cols, key=lambda c: (_TYPE_RANK.get(types.get(c, ""), 3), list(cols).index(c)))
+
 
 def add_dup_key(df: DataFrame, columns: Sequence[str] = DUP_KEY_COLUMNS, name: str = "dup_key") -> DataFrame:
     """dup_key = SHA-256 of an injective text of the key columns (absent columns read as NULL)."""
@@ -54,7 +65,7 @@ def dedup_in_file(
     keep="first": one deterministic representative (smallest row) is kept.
     Equal keys in two different files are both kept.
     """
-    group = [file_col, *key]
+    group = _sort_friendly(df, [*key, file_col])
     others = [c for c in df.columns if c not in group]
     if keep == "none":
         agg = df.groupBy(*group).agg(
@@ -76,7 +87,7 @@ def dedup_report(
     df: DataFrame, key: Sequence[str] = DUP_KEY_COLUMNS, file_col: str = "source_file"
 ) -> DataFrame:
     """Per file: rows_in, duplicates_removed (all members of repeated keys), rows_written."""
-    groups = df.groupBy(file_col, *key).agg(F.count(F.lit(1)).alias(COPIES))
+    groups = df.groupBy(*_sort_friendly(df, [*key, file_col])).agg(F.count(F.lit(1)).alias(COPIES))
     return groups.groupBy(file_col).agg(
         F.sum(COPIES).cast("long").alias("rows_in"),
         F.sum(F.when(F.col(COPIES) > 1, F.col(COPIES)).otherwise(0)).cast("long").alias("duplicates_removed"),

@@ -96,7 +96,7 @@ for _name in ("fact_revenue_adjustments", "dim_date", "dim_vendor", "dim_zone",
 
 
 def _quality_tables(spark, sf):
-    wh = tpch_trips.warehouse(spark, sf)
+    wh = tpch_trips.warehouse(spark, sf, materialize="all")
     names = ("stg_trips", *[n for n in wh.gold_and_marts()])
     return {n: wh[n] for n in names}
 
@@ -112,7 +112,7 @@ def _check_results(spark, sf):
 def _profiled(spark, sf):
     from fareline.plans.warehouse import TABLE_LAYERS
 
-    wh = tpch_trips.warehouse(spark, sf)
+    wh = tpch_trips.warehouse(spark, sf, materialize="all")
     tables = wh.gold_and_marts()
     return tables, {n: TABLE_LAYERS[n] for n in tables}
 
@@ -145,7 +145,7 @@ ZONE_MIN_TRIPS = 20
 def _bi(spark, sf, days):
     from fareline.operators.insights import reporting_window
 
-    wh = tpch_trips.warehouse(spark, sf)
+    wh = tpch_trips.warehouse(spark, sf, materialize="all")
     return wh, reporting_window(wh["mart_kpi_daily"], days)
 
 

@@ -1,10 +1,12 @@
 """The full pipeline over trips derived from the driver's TPC-H-like tables.
 
-Used by the registered queries, the bench and the tests. ``warehouse``
-checkpoints the labelled silver table once per session and folder (a
-reliable checkpoint in ``spark.checkpoint.dir``, like a written layer of
-the reference), so every registered query starts from the same
-materialised silver instead of re-running raw -> bronze -> silver.
+Used by the registered queries, the bench and the tests. Layers are
+materialised once per session and folder with reliable checkpoints in
+``spark.checkpoint.dir`` (the reference also builds its layers as tables):
+
+* ``"silver"``: the labelled silver table;
+* ``"gold"``:   + facts and dimensions (marts are computed from them);
+* ``"all"``:    + the ten marts (tests, profile and questions read built tables).
 """
 
 from __future__ import annotations
@@ -14,11 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from fareline.config import DEFAULT_QA, QaRules
 from fareline.plans.bronze import bronze_from_raw
 from fareline.plans.silver import silver_from_bronze
-from fareline.plans.warehouse import Warehouse, build_warehouse
+from fareline.plans.warehouse import Warehouse, build_marts, build_warehouse
 from fareline.session import cut_lineage
 from fareline.sources import fixture
 
 _SILVER: dict[tuple, DataFrame] = {}
+_LAYERS: dict[tuple, Warehouse] = {}
+GOLD_TABLES = ("fact_trips", "fact_revenue_adjustments", "dim_date", "dim_payment", "dim_vendor", "dim_zone")
 
 
 def bronze(spark: SparkSession, sf_dir: str, rules: QaRules = DEFAULT_QA) -> DataFrame:
@@ -34,11 +38,28 @@ def silver(spark: SparkSession, sf_dir: str, rules: QaRules = DEFAULT_QA, materi
     return _SILVER[key]
 
 
-def warehouse(spark: SparkSession, sf_dir: str, rules: QaRules = DEFAULT_QA, materialize: bool = True) -> Warehouse:
-    return build_warehouse(
-        silver(spark, sf_dir, rules, materialize),
+def warehouse(spark: SparkSession, sf_dir: str, rules: QaRules = DEFAULT_QA, materialize: str | None = "gold") -> Warehouse:
+    """Every table of the star schema and marts; ``materialize`` in (None, "silver", "gold", "all")."""
+    lazy = build_warehouse(
+        silver(spark, sf_dir, rules, materialize is not None),
         vendors=fixture.vendors(spark),
         payment_types=fixture.payment_types(spark),
         zones=fixture.zones(spark, sf_dir),
         airport=fixture.FIXTURE_AIRPORTS,
     )
+    if materialize in (None, "silver"):
+        return lazy
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), rules, materialize)
+    if key in _LAYERS:
+        return _LAYERS[key]
+    tables = dict(lazy.tables)
+    for name in GOLD_TABLES:
+        tables[name] = cut_lineage(lazy[name])
+    marts = build_marts(
+        tables["fact_trips"], tables["fact_revenue_adjustments"], tables["dim_zone"], fixture.FIXTURE_AIRPORTS
+    )
+    if materialize == "all":
+        marts = {k: cut_lineage(v) for k, v in marts.items()}
+    tables.update(marts)
+    _LAYERS[key] = Warehouse(tables)
+    return _LAYERS[key]
