@@ -145,24 +145,29 @@ def split(df: DataFrame, name: str, column: str = "silver_split") -> DataFrame:
 def split_counts(df: DataFrame, column: str = "silver_split") -> DataFrame:
     """Rows and total_amount per split (+ the fare_miss subset) from ONE aggregate.
 
-    Output: silver_split, rows, total_amount_sum.
+    Output: silver_split, rows, total_amount_sum. The fare_miss row is produced
+    from counters of the same aggregate (no second pass, no union).
     """
     fm = (F.col(column) == SPLIT_CLEAN) & _flag("qa_is_fare_mismatch")
-    tagged = df.select(
-        F.col(column),
-        F.col("total_amount"),
-        F.when(fm, F.lit(SPLIT_FARE_MISS)).alias("_fm"),
+    agg = df.groupBy(column).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum("total_amount").alias("_t"),
+        F.count_if(fm).alias("_fn"),
+        F.sum(F.when(fm, F.col("total_amount"))).alias("_ft"),
     )
-    agg = tagged.groupBy(column, "_fm").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("total_amount").alias("total_amount_sum")
+    rows = F.array(
+        F.struct(F.col(column).alias(column), F.col("_n").alias("rows"), F.col("_t").alias("total_amount_sum")),
+        F.struct(
+            F.when(F.col(column) == SPLIT_CLEAN, F.lit(SPLIT_FARE_MISS)).alias(column),
+            F.col("_fn").alias("rows"),
+            F.col("_ft").alias("total_amount_sum"),
+        ),
     )
-    main = agg.groupBy(column).agg(F.sum("rows").alias("rows"), F.sum("total_amount_sum").alias("total_amount_sum"))
-    fare_miss = (
-        agg.where(F.col("_fm").isNotNull())
-        .groupBy(F.col("_fm").alias(column))
-        .agg(F.sum("rows").alias("rows"), F.sum("total_amount_sum").alias("total_amount_sum"))
+    return (
+        agg.select(F.inline(rows))
+        .where(F.col(column).isNotNull())
+        .withColumn("rows", F.col("rows").cast("long"))
     )
-    return main.unionByName(fare_miss).withColumn("rows", F.col("rows").cast("long"))
 
 
 def coverage(df: DataFrame, column: str = "silver_split") -> DataFrame:

@@ -22,10 +22,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def register(name: str):
+def register(name: str, rounded: bool = True):
+    """Register a query; ``rounded`` rounds aggregated doubles at the edge.
+
+    Row-level tables are left exact: their per-row arithmetic (fixed adding
+    order, exact microsecond differences) is bit-identical in any engine.
+    """
+
     def deco(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return round_doubles(fn(spark, sf_dir))
+            out = fn(spark, sf_dir)
+            return round_doubles(out) if rounded else out
 
         run.__name__ = name
         run.__doc__ = fn.__doc__
@@ -35,13 +42,13 @@ def register(name: str):
     return deco
 
 
-@register("canonicalized")
+@register("canonicalized", rounded=False)
 def _canonicalized(spark, sf):
     """Raw-named, text-typed rows brought to canonical names and types."""
     return normalize_raw(fixture.raw_trips_as_files(spark, sf))
 
 
-@register("bronze_flags")
+@register("bronze_flags", rounded=False)
 def _bronze_flags(spark, sf):
     """Q1-Q8 + D3: the bronze contract (key text is engine-specific, left out)."""
     return tpch_trips.bronze(spark, sf).drop("dup_key")
@@ -65,19 +72,19 @@ def _silver_coverage(spark, sf):
     return silver_report(tpch_trips.silver(spark, sf))[1]
 
 
-@register("fare_miss_rows")
+@register("fare_miss_rows", rounded=False)
 def _fare_miss_rows(spark, sf):
     """Q15 fare-miss subset of clean, staged with pickup_date."""
     return tpch_trips.warehouse(spark, sf)["stg_fare_miss"].drop("dup_key")
 
 
-@register("stg_trips")
+@register("stg_trips", rounded=False)
 def _stg_trips(spark, sf):
     """G1-G4."""
     return tpch_trips.warehouse(spark, sf)["stg_trips"].drop("dup_key")
 
 
-@register("fact_trips")
+@register("fact_trips", rounded=False)
 def _fact_trips(spark, sf):
     """G6 (trip_key is the engine-specific key text, left out)."""
     return tpch_trips.warehouse(spark, sf)["fact_trips"].drop("trip_key")
@@ -91,7 +98,9 @@ def _table(name: str) -> Query:
     return fn
 
 
-for _name in ("fact_revenue_adjustments", "dim_date", "dim_vendor", "dim_zone", *MART_BUILDERS):
+for _name in ("fact_revenue_adjustments", "dim_date", "dim_vendor", "dim_zone"):
+    register(_name, rounded=False)(_table(_name))
+for _name in MART_BUILDERS:
     register(_name)(_table(_name))
 
 

@@ -270,9 +270,8 @@ MART_DOUBLES = {
 
 def base_queries() -> dict[str, str]:
     out = {
-        "canonicalized": q(f"select {_BASE}, source_file from fx_raw",
-                           ("trip_distance_mi", *MONEY)),
-        "bronze_flags": q("select * from bronze", BRONZE_DOUBLES),
+        "canonicalized": q(f"select {_BASE}, source_file from fx_raw"),
+        "bronze_flags": q("select * from bronze"),
         "dedup_in_file": q(
             "select source_file, sum(n)::bigint as rows_in, "
             "sum(case when n > 1 then n else 0 end)::bigint as duplicates_removed, "
@@ -294,10 +293,10 @@ def base_queries() -> dict[str, str]:
             "count_if(silver_split = 'trips_clean')::bigint as clean, "
             "count_if(silver_split = 'trips_clean' and qa_is_fare_mismatch)::bigint as fare_miss from silver) c"
         ),
-        "fare_miss_rows": q("select *, date_trunc('day', pickup_at)::date as pickup_date from trips_fare_miss", BRONZE_DOUBLES),
-        "stg_trips": q("select * from stg_trips", STG_DOUBLES),
-        "fact_trips": q("select * from fact_trips", STG_DOUBLES),
-        "fact_revenue_adjustments": q("select * from fact_revenue_adjustments", MONEY),
+        "fare_miss_rows": q("select *, date_trunc('day', pickup_at)::date as pickup_date from trips_fare_miss"),
+        "stg_trips": q("select * from stg_trips"),
+        "fact_trips": q("select * from fact_trips"),
+        "fact_revenue_adjustments": q("select * from fact_revenue_adjustments"),
         "dim_date": q("select * from dim_date"),
         "dim_vendor": q("select * from dim_vendor"),
         "dim_zone": q("select * from dim_zone"),
