@@ -78,6 +78,18 @@ def _fare_miss_rows(spark, sf):
     return tpch_trips.warehouse(spark, sf)["stg_fare_miss"].drop("dup_key")
 
 
+@register("stg_admin", rounded=False)
+def _stg_admin(spark, sf):
+    """admin/adjustment rows staged with pickup_date."""
+    return tpch_trips.warehouse(spark, sf)["stg_admin"].drop("dup_key")
+
+
+@register("stg_anomalies", rounded=False)
+def _stg_anomalies(spark, sf):
+    """Operational anomalies staged with pickup_date."""
+    return tpch_trips.warehouse(spark, sf)["stg_anomalies"].drop("dup_key")
+
+
 @register("stg_trips", rounded=False)
 def _stg_trips(spark, sf):
     """G1-G4."""

@@ -17,7 +17,7 @@ from fareline.config import DEFAULT_QA, QaRules
 from fareline.plans.bronze import bronze_from_raw
 from fareline.plans.silver import silver_from_bronze
 from fareline.plans.warehouse import Warehouse, build_marts, build_warehouse
-from fareline.session import cut_lineage
+from fareline.session import cut_lineage, session_key
 from fareline.sources import fixture
 
 _SILVER: dict[tuple, DataFrame] = {}
@@ -32,7 +32,7 @@ def bronze(spark: SparkSession, sf_dir: str, rules: QaRules = DEFAULT_QA) -> Dat
 def silver(spark: SparkSession, sf_dir: str, rules: QaRules = DEFAULT_QA, materialize: bool = False) -> DataFrame:
     if not materialize:
         return silver_from_bronze(bronze(spark, sf_dir, rules))
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), rules)
+    key = (session_key(spark), sf_dir.rstrip("/"), rules)
     if key not in _SILVER:
         _SILVER[key] = cut_lineage(silver_from_bronze(bronze(spark, sf_dir, rules)))
     return _SILVER[key]
@@ -49,7 +49,7 @@ def warehouse(spark: SparkSession, sf_dir: str, rules: QaRules = DEFAULT_QA, mat
     )
     if materialize in (None, "silver"):
         return lazy
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), rules, materialize)
+    key = (session_key(spark), sf_dir.rstrip("/"), rules, materialize)
     if key in _LAYERS:
         return _LAYERS[key]
     tables = dict(lazy.tables)

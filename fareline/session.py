@@ -36,9 +36,16 @@ def get_session(master: str | None = "local[*]", shuffle_partitions: int = 8, ap
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder (``spark.checkpoint.dir``); a local one only when unset."""
-    sc = spark.sparkContext
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    """The cluster's checkpoint folder (``spark.checkpoint.dir``); a local one only when unset.
+
+    Returns None on sessions without a driver-side context (Spark Connect),
+    where the server's own setting applies.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
@@ -55,9 +62,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identifier of the running application (for per-session memoisation)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the checkpoint folder for intermediate tables."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
+    base = (ensure_checkpoint_dir(spark) or "").rstrip("/")
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
     return f"{base}/{name}"
 
 

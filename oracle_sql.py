@@ -294,6 +294,8 @@ def base_queries() -> dict[str, str]:
             "count_if(silver_split = 'trips_clean' and qa_is_fare_mismatch)::bigint as fare_miss from silver) c"
         ),
         "fare_miss_rows": q("select *, date_trunc('day', pickup_at)::date as pickup_date from trips_fare_miss"),
+        "stg_admin": q("select *, date_trunc('day', pickup_at)::date as pickup_date from trips_admin"),
+        "stg_anomalies": q("select *, date_trunc('day', pickup_at)::date as pickup_date from trips_anomalies"),
         "stg_trips": q("select * from stg_trips"),
         "fact_trips": q("select * from fact_trips"),
         "fact_revenue_adjustments": q("select * from fact_revenue_adjustments"),
