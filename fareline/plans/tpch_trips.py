@@ -21,7 +21,8 @@ from fareline.session import cut_lineage, session_key
 from fareline.sources import fixture
 
 _SILVER: dict[tuple, DataFrame] = {}
-_LAYERS: dict[tuple, Warehouse] = {}
+_GOLD: dict[tuple, dict[str, DataFrame]] = {}
+_MARTS: dict[tuple, dict[str, DataFrame]] = {}
 GOLD_TABLES = ("fact_trips", "fact_revenue_adjustments", "dim_date", "dim_payment", "dim_vendor", "dim_zone")
 
 
@@ -49,17 +50,16 @@ def warehouse(spark: SparkSession, sf_dir: str, rules: QaRules = DEFAULT_QA, mat
     )
     if materialize in (None, "silver"):
         return lazy
-    key = (session_key(spark), sf_dir.rstrip("/"), rules, materialize)
-    if key in _LAYERS:
-        return _LAYERS[key]
-    tables = dict(lazy.tables)
-    for name in GOLD_TABLES:
-        tables[name] = cut_lineage(lazy[name])
+    key = (session_key(spark), sf_dir.rstrip("/"), rules)
+    if key not in _GOLD:
+        _GOLD[key] = {name: cut_lineage(lazy[name]) for name in GOLD_TABLES}
+    tables = dict(lazy.tables) | _GOLD[key]
+    if materialize == "all" and key in _MARTS:
+        return Warehouse(tables | _MARTS[key])
     marts = build_marts(
         tables["fact_trips"], tables["fact_revenue_adjustments"], tables["dim_zone"], fixture.FIXTURE_AIRPORTS
     )
     if materialize == "all":
-        marts = {k: cut_lineage(v) for k, v in marts.items()}
-    tables.update(marts)
-    _LAYERS[key] = Warehouse(tables)
-    return _LAYERS[key]
+        _MARTS[key] = {k: cut_lineage(v) for k, v in marts.items()}
+        marts = _MARTS[key]
+    return Warehouse(tables | marts)
