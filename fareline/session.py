@@ -36,6 +36,30 @@ def get_session(master: str | None = "local[*]", shuffle_partitions: int = 8, ap
     return spark
 
 
+def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 512 << 20) -> dict[str, str]:
+    """Sizing for a cluster run over ``input_bytes`` of compressed Parquet.
+
+    * scan splits of ``maxPartitionBytes`` (256MB-1GB) keep the task count
+      proportional to data without tiny tasks;
+    * the initial shuffle width is sized so each partition holds ~512MB of
+      shuffle data at ~3x expansion of compressed Parquet, capped at 400k
+      partitions to bound the driver's map-output bookkeeping; AQE then
+      coalesces small partitions and splits skewed ones, so over-sizing is
+      cheap and under-sizing (spills) is not;
+    * e.g. 100 TB on 1,000 executors x 8 cores -> 1GB splits (~100k scan
+      tasks) and 400k initial shuffle partitions (~750MB each).
+    """
+    split = 1 << 30 if input_bytes > (10 << 40) else (512 << 20 if input_bytes > (1 << 40) else 128 << 20)
+    shuffle = max(2 * total_cores, min(400_000, (3 * input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(int(shuffle)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.adaptive.rebalancePartitionsSmallPartitionFactor": "0.2",
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """The cluster's checkpoint folder (``spark.checkpoint.dir``); a local one only when unset.
 
