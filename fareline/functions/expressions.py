@@ -25,9 +25,25 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def epoch_micros(ts: str | Column) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a TIMESTAMP_NTZ, from its own fields.
+
+    ``timestamp_diff`` and ``unix_micros`` go through the session time zone, so
+    a wall-clock time inside a daylight-saving gap (02:30 on a spring-forward
+    day) would move by an hour; the date/hour/minute/second fields of an NTZ
+    value do not depend on any zone.
+    """
+    c = col(ts)
+    return (
+        F.unix_date(F.to_date(c)).cast("long") * F.lit(86_400_000_000)
+        + (F.hour(c) * 3600 + F.minute(c) * 60).cast("long") * F.lit(1_000_000)
+        + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long")
+    )
+
+
 def fractional_minutes(start: str | Column, end: str | Column) -> Column:
     """(end - start) in minutes, with microsecond precision; may be negative."""
-    return F.timestamp_diff("MICROSECOND", col(start), col(end)) / F.lit(MICROS_PER_MINUTE)
+    return (epoch_micros(end) - epoch_micros(start)) / F.lit(MICROS_PER_MINUTE)
 
 
 def minute_index(ts: str | Column) -> Column:

@@ -62,3 +62,16 @@ def test_rounding_same_as_sql(spark):
     con = duckdb.connect()
     sql = "select " + round_sql("avg_x") + " from (values " + ", ".join(f"({v if v is not None else 'null'}::double)" for v in vals) + ") t(avg_x)"
     assert got == [r[0] for r in con.execute(sql).fetchall()]
+
+
+def test_fractional_minutes_in_dst_gap(spark):
+    from fareline.functions.expressions import fractional_minutes
+
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        rows = [(dt.datetime(1995, 4, 2, 2, 49), dt.datetime(1995, 4, 2, 3, 28)),  # starts inside the gap
+                (dt.datetime(2024, 1, 1, 0, 0, 0, 500000), dt.datetime(2024, 1, 1, 0, 1, 0))]
+        df = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz")
+        assert [r[0] for r in df.select(fractional_minutes("a", "b")).collect()] == [39.0, 59.5 / 60.0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
