@@ -63,3 +63,27 @@ def write_bronze(df: DataFrame, path: str, compression: str = "zstd") -> dict:
         .parquet(path)
     )
     return dict(obs.get)
+
+
+def run_bronze(
+    spark: SparkSession, raw_dir: str, out_path: str, rules: QaRules = DEFAULT_QA, compression: str = "zstd"
+) -> dict:
+    """Build and write bronze in one job; report rows in, written and duplicates removed.
+
+    Both counters are ``observe`` metrics of the write job itself (input rows are
+    counted before de-duplication), so the report needs no extra pass.
+    """
+    families = [normalize_raw(f) for f in read_raw_families(spark, raw_dir)]
+    raw = families[0]
+    for f in families[1:]:
+        raw = raw.unionByName(f)
+    seen = Observation("bronze_in")
+    raw = raw.observe(seen, F.count(F.lit(1)).alias("rows_in"))
+    out = write_bronze(bronze_from_raw(raw, rules, canonical=True), out_path, compression)
+    rows_in = seen.get["rows_in"]
+    return {
+        "files": sum(len(x.inputFiles()) for x in families),
+        "rows_in": rows_in,
+        "rows_written": out["rows_written"],
+        "duplicates_removed": rows_in - out["rows_written"],
+    }

@@ -57,3 +57,27 @@ def read_split(spark: SparkSession, path: str, name: str) -> DataFrame:
 def silver_report(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(split counts, coverage row)."""
     return split_counts(silver, SPLIT_COLUMN), coverage(silver, SPLIT_COLUMN)
+
+
+def run_silver(bronze: DataFrame, path: str, compression: str = "zstd") -> dict:
+    """Split and write silver in one job; split sizes and the coverage check come from
+    ``observe`` metrics of that write (no re-reading of the outputs)."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    from fareline.config import DISJOINT_SPLITS, SPLIT_CLEAN
+
+    silver = silver_from_bronze(bronze)
+    obs = Observation("silver")
+    s = F.col(SPLIT_COLUMN)
+    metrics = [F.count(F.lit(1)).alias("total_rows")]
+    metrics += [F.count_if(s == name).alias(name) for name in DISJOINT_SPLITS]
+    metrics.append(
+        F.count_if((s == SPLIT_CLEAN) & F.coalesce(F.col("qa_is_fare_mismatch"), F.lit(False))).alias(SPLIT_FARE_MISS)
+    )
+    write_silver(silver.observe(obs, *metrics), path, compression)
+    m = dict(obs.get)
+    base_good = m["total_rows"] - m["rejected"] - m["trips_admin"]
+    covered = m["trips_clean"] + m["trips_anomalies"]
+    m.update({"base_good": base_good, "covered": covered, "coverage_ok": base_good == covered})
+    return m

@@ -70,3 +70,22 @@ def test_required_columns_option_and_classify(spark):
     c = classify_rows(b.withColumn("qa_in_file_window", F.lit(None).cast("boolean"))).collect()
     assert all(r["is_anomaly"] for r in c)  # NULL window flag counts as out of window
     assert not any(r["is_rejected_missing"] or r["is_admin_issue"] or r["is_fare_mismatch"] for r in c)
+
+
+def test_run_bronze_and_silver_report_in_one_job(spark):
+    from test_normalize import _raw_cols, _write
+    from fareline.plans.bronze import run_bronze
+    from fareline.plans.silver import run_silver
+
+    d = tempfile.mkdtemp(prefix="fareline-run-")
+    raw = os.path.join(d, "raw")
+    os.makedirs(raw)
+    cols = _raw_cols(4, dt.datetime(2024, 1, 3))
+    cols["tpep_pickup_datetime"] = cols["tpep_pickup_datetime"].take([0, 0, 2, 3])
+    cols["tpep_dropoff_datetime"] = cols["tpep_dropoff_datetime"].take([0, 0, 2, 3])
+    _write(os.path.join(raw, "yellow_tripdata_2024-01.parquet"), cols)
+    _write(os.path.join(raw, "yellow_tripdata_2024-02.parquet"), _raw_cols(3, dt.datetime(2024, 2, 3)))
+    rep = run_bronze(spark, raw, os.path.join(d, "bronze"))
+    assert rep == {"files": 2, "rows_in": 7, "rows_written": 5, "duplicates_removed": 2}
+    srep = run_silver(spark.read.parquet(os.path.join(d, "bronze")), os.path.join(d, "silver"))
+    assert srep["total_rows"] == 5 and srep["trips_clean"] == 5 and srep["coverage_ok"] is True
