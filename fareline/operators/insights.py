@@ -371,7 +371,10 @@ def vendor_cards(fact: DataFrame, dim_vendor: DataFrame, w: ReportWindow, rules:
 
 
 def vendor_gap(fact: DataFrame, dim_vendor: DataFrame, w: ReportWindow) -> DataFrame:
-    """(revenue per trip - median over vendors) x trips; the worst vendor."""
+    """(revenue per trip - median over vendors) x trips; the worst vendor.
+
+    The exact median runs over the per-vendor aggregate (one row per vendor).
+    """
     v = vendor_window(fact, dim_vendor, w)
     med = v.agg(F.median("revenue_per_trip")).scalar()
     g = v.withColumns({"median_revenue_per_trip": med, "gap": (F.col("revenue_per_trip") - med) * F.col("trips")})

@@ -71,7 +71,7 @@ def start_landing_stream(
     silver_path: str,
     checkpoint_location: str,
     rules: QaRules = DEFAULT_QA,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = 64,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Start the landing stream; ``available_now`` processes what is there and stops."""
@@ -81,7 +81,7 @@ def start_landing_stream(
     paths = reader.load(raw_dir).select("path")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        # the batch holds one row per new file (metadata only)
+        # one row per new file (paths only, at most max_files_per_trigger)
         files = sorted(r["path"] for r in batch.collect())
         process_files(batch.sparkSession, files, bronze_path, silver_path, rules)
 
