@@ -60,6 +60,18 @@ def _dedup_in_file(spark, sf):
     return dedup_report(fixture.raw_trips(spark, sf))
 
 
+@register("dup_key_classes")
+def _dup_key_classes(spark, sf):
+    """Equality classes of the SHA-256 dup_key over bronze (copies -> number of keys).
+
+    Keys repeat only across files (in-file repeats were removed), so this
+    checks the key text against the real key columns without comparing text.
+    """
+    from fareline.operators.dedup import key_class_sizes
+
+    return key_class_sizes(tpch_trips.bronze(spark, sf))
+
+
 @register("silver_split_counts")
 def _silver_split_counts(spark, sf):
     """Q15 + S12: rows and total per split (fare_miss overlaps clean)."""

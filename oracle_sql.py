@@ -278,6 +278,9 @@ def base_queries() -> dict[str, str]:
             "count_if(n = 1)::bigint as rows_written "
             f"from (select source_file, count(*) as n from fx_raw group by source_file, {_KEY}) g group by source_file"
         ),
+        "dup_key_classes": q(
+            f"select copies, count(*)::bigint as keys from (select count(*)::bigint as copies from bronze group by {_KEY}) g "
+            "group by copies"),
         "silver_split_counts": q(
             "select silver_split, count(*)::bigint as rows, sum(total_amount) as total_amount_sum from silver group by 1 "
             "union all select 'trips_fare_miss', count(*)::bigint, sum(total_amount) from trips_fare_miss",
