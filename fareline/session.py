@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -102,4 +101,4 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
-__all__ = ["DEFAULT_CONF", "cut_lineage", "ensure_checkpoint_dir", "get_session", "shared_dir", "os"]
+__all__ = ["DEFAULT_CONF", "cut_lineage", "ensure_checkpoint_dir", "get_session", "recommended_conf", "session_key", "shared_dir"]
