@@ -99,13 +99,18 @@ def _rel_delta(cur: Column, prev: Column) -> Column:
     return F.when(prev != 0, (cur - prev) / prev).otherwise(F.lit(0.0))
 
 
-def window_kpis(kpi_daily: DataFrame, w: ReportWindow) -> DataFrame:
-    """B2: trips, revenue, avg ticket and mean daily tip rate, current vs previous, with deltas."""
+def window_kpis(kpi_daily: DataFrame, w: ReportWindow, weighted: bool = False) -> DataFrame:
+    """B2: trips, revenue, avg ticket and tip rate, current vs previous, with deltas.
+
+    The tip rate is the unweighted mean of the daily rates (as in the original);
+    ``weighted=True`` uses window tips / window revenue instead.
+    """
     rows = kpi_daily.where(w.both()).select(
         w.period().alias("period"),
         F.coalesce(F.col("trips"), F.lit(0)).alias("trips"),
         F.coalesce(F.col("gross_revenue"), F.lit(0.0)).alias("revenue"),
         "tip_rate",
+        "tips",
     )
 
     def cond(p: str) -> Column:
@@ -119,8 +124,12 @@ def window_kpis(kpi_daily: DataFrame, w: ReportWindow) -> DataFrame:
                 F.count(F.when(cond(p), 1)).alias(f"days_{p}"),
                 F.coalesce(F.sum(F.when(cond(p), F.col("trips"))), F.lit(0)).cast("long").alias(f"trips_{p}"),
                 F.coalesce(F.sum(F.when(cond(p), F.col("revenue"))), F.lit(0.0)).alias(f"revenue_{p}"),
-                # NULL daily rates are filled with the window mean, i.e. ignored
-                F.coalesce(F.avg(F.when(cond(p), F.col("tip_rate"))), F.lit(0.0)).alias(f"tip_rate_{p}"),
+                (
+                    F.coalesce(safe_ratio(F.sum(F.when(cond(p), F.col("tips"))), F.sum(F.when(cond(p), F.col("revenue")))), F.lit(0.0))
+                    if weighted
+                    # NULL daily rates are filled with the window mean, i.e. ignored
+                    else F.coalesce(F.avg(F.when(cond(p), F.col("tip_rate"))), F.lit(0.0))
+                ).alias(f"tip_rate_{p}"),
             )
         ]
     )
@@ -183,16 +192,21 @@ def kpi_alerts(kpis: DataFrame, rules: DashboardRules = DEFAULT_DASHBOARD) -> Da
     )
 
 
-def payment_mix(mix_daily: DataFrame, dim_payment: DataFrame, w: ReportWindow) -> DataFrame:
-    """Per period and payment label: trips, unweighted mean of daily avg_ticket, share of trips."""
+def payment_mix(mix_daily: DataFrame, dim_payment: DataFrame, w: ReportWindow, weighted: bool = False) -> DataFrame:
+    """Per period and payment label: trips, mean ticket, share of trips.
+
+    The ticket is the unweighted mean of the daily average tickets (as in the
+    original); ``weighted=True`` uses window revenue / window trips instead.
+    """
     rows = (
         mix_daily.where(w.both())
         .join(dim_payment, "payment_type", "left")
         .where(F.col("payment_desc").isNotNull())
-        .select(w.period().alias("period"), "payment_desc", "trips", "avg_ticket")
+        .select(w.period().alias("period"), "payment_desc", "trips", "avg_ticket", "revenue")
     )
+    ticket = safe_ratio(F.sum("revenue"), F.sum("trips")) if weighted else F.avg("avg_ticket")
     g = rows.groupBy("period", "payment_desc").agg(
-        F.sum("trips").cast("long").alias("trips"), F.avg("avg_ticket").alias("avg_ticket")
+        F.sum("trips").cast("long").alias("trips"), ticket.alias("avg_ticket")
     )
     total = F.sum("trips").over(Window.partitionBy("period"))
     return g.withColumn("share", F.when(total != 0, F.col("trips") / total).otherwise(F.lit(0.0)))
