@@ -4,9 +4,12 @@ Used by the registered queries, the bench and the tests. Layers are
 materialised once per session and folder with reliable checkpoints in
 ``spark.checkpoint.dir`` (the reference also builds its layers as tables):
 
-* ``"silver"``: the labelled silver table;
-* ``"gold"``:   + facts and dimensions (marts are computed from them);
-* ``"all"``:    + the ten marts (tests, profile and questions read built tables).
+* ``"silver"``: the labelled silver table (checkpoint);
+* ``"gold"``:   + facts (checkpoints) and dimensions (written Parquet tables in
+                the shared folder, so their file statistics let the planner
+                broadcast them from the first plan on); marts are computed;
+* ``"all"``:    + the ten marts as written tables (tests, profile and
+                questions read built tables).
 """
 
 from __future__ import annotations
@@ -17,13 +20,24 @@ from fareline.config import DEFAULT_QA, QaRules
 from fareline.plans.bronze import bronze_from_raw
 from fareline.plans.silver import silver_from_bronze
 from fareline.plans.warehouse import Warehouse, build_marts, build_warehouse
-from fareline.session import cut_lineage, session_key
+import hashlib
+
+from fareline.session import cut_lineage, session_key, shared_dir
 from fareline.sources import fixture
 
 _SILVER: dict[tuple, DataFrame] = {}
 _GOLD: dict[tuple, dict[str, DataFrame]] = {}
 _MARTS: dict[tuple, dict[str, DataFrame]] = {}
-GOLD_TABLES = ("fact_trips", "fact_revenue_adjustments", "dim_date", "dim_payment", "dim_vendor", "dim_zone")
+FACT_TABLES = ("fact_trips", "fact_revenue_adjustments")
+DIM_TABLES = ("dim_date", "dim_payment", "dim_vendor", "dim_zone")
+
+
+def _written(spark: SparkSession, key: tuple, name: str, df: DataFrame) -> DataFrame:
+    """Write a small built table to the shared folder and read it back (keeps file statistics)."""
+    tag = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
+    path = shared_dir(spark, f"fareline-{tag}/{name}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def bronze(spark: SparkSession, sf_dir: str, rules: QaRules = DEFAULT_QA) -> DataFrame:
@@ -52,7 +66,9 @@ def warehouse(spark: SparkSession, sf_dir: str, rules: QaRules = DEFAULT_QA, mat
         return lazy
     key = (session_key(spark), sf_dir.rstrip("/"), rules)
     if key not in _GOLD:
-        _GOLD[key] = {name: cut_lineage(lazy[name]) for name in GOLD_TABLES}
+        gold = {name: cut_lineage(lazy[name]) for name in FACT_TABLES}
+        gold |= {name: _written(spark, key, name, lazy[name]) for name in DIM_TABLES}
+        _GOLD[key] = gold
     tables = dict(lazy.tables) | _GOLD[key]
     if materialize == "all" and key in _MARTS:
         return Warehouse(tables | _MARTS[key])
@@ -60,6 +76,6 @@ def warehouse(spark: SparkSession, sf_dir: str, rules: QaRules = DEFAULT_QA, mat
         tables["fact_trips"], tables["fact_revenue_adjustments"], tables["dim_zone"], fixture.FIXTURE_AIRPORTS
     )
     if materialize == "all":
-        _MARTS[key] = {k: cut_lineage(v) for k, v in marts.items()}
+        _MARTS[key] = {k: _written(spark, key, k, v) for k, v in marts.items()}
         marts = _MARTS[key]
     return Warehouse(tables | marts)

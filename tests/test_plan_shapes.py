@@ -52,3 +52,10 @@ def test_marts_read_only_needed_columns(spark):
     plan = plan_of(wh["mart_kpi_daily"])
     scans = [line for line in plan.splitlines() if "ReadSchema" in line and "lineitem" in line]
     assert scans and all("l_extendedprice" not in s and "l_comment" not in s for s in scans)
+
+
+def test_built_dimensions_are_broadcast_from_the_first_plan(spark):
+    """Written dims carry file statistics, so the planner broadcasts them before any runtime re-plan."""
+    wh = tpch_trips.warehouse(spark, SF001, materialize="gold")
+    initial = wh["mart_airport_daily"]._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in initial and "SortMergeJoin" not in initial
