@@ -5,16 +5,18 @@ A check counts failing rows the way the reference's test runner does:
 * not_null          rows where the column is NULL
 * unique            values (non-NULL) that occur more than once
 * accepted_values   distinct non-NULL values outside the list
-* relationships     child rows (non-NULL key) with no parent row (left anti join)
+* relationships     child rows (non-NULL key) with no parent row
 * fare_within_tolerance
                     rows with both sides present and |actual - expected| > tol,
                     ignoring rows already flagged as a mismatch unless
                     ``exclude_flagged=False`` (the stricter variant)
 
-All row-level checks of one table share ONE aggregate; each unique check is
-one grouped aggregate (partial aggregation, skew-safe); each relationship is
-one anti join whose parent side is a dimension (AQE broadcasts it after
-measuring it). The result is a single DataFrame:
+All row-level and relationship checks of one table share ONE pass: the table
+is left-joined with the DISTINCT key set of every parent it references (a
+dimension: broadcast by size, and distinct keys never multiply rows), and one
+aggregate counts NULLs, unaccepted values, tolerance breaches and unmatched
+keys together. Each unique check is one grouped aggregate (partial
+aggregation, skew-safe). The result is a single DataFrame:
 check_name, table_name, column_name, detail, failures, passed.
 """
 
@@ -110,9 +112,18 @@ def _meta(c: Check, failures: Column) -> list[Column]:
     ]
 
 
-def _row_level(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """All row-level checks of one table from one aggregate, one output row per check."""
-    agg = df.agg(*[_failure_expr(c).alias(f"_f{i}") for i, c in enumerate(checks)])
+def _table_checks(df: DataFrame, checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Row-level and relationship checks of one table from one pass; one output row per check."""
+    exprs = []
+    for i, c in enumerate(checks):
+        if c.kind == "relationships":
+            pk = f"_pk{i}"
+            keys = tables[c.to_table].select(F.col(c.to_column).alias(pk)).distinct()
+            df = df.join(keys, F.col(c.column) == F.col(pk), "left")
+            exprs.append(F.count_if(F.col(c.column).isNotNull() & F.col(pk).isNull()).alias(f"_f{i}"))
+        else:
+            exprs.append(_failure_expr(c).alias(f"_f{i}"))
+    agg = df.agg(*exprs)
     rows = F.array(*[F.struct(*_meta(c, F.col(f"_f{i}"))) for i, c in enumerate(checks)])
     return agg.select(F.inline(rows))
 
@@ -122,28 +133,20 @@ def _unique(df: DataFrame, c: Check) -> DataFrame:
     return dupes.agg(F.count(F.lit(1)).alias("_n")).select(*_meta(c, F.col("_n")))
 
 
-def _relationship(child: DataFrame, parent: DataFrame, c: Check) -> DataFrame:
-    keys = parent.select(F.col(c.to_column).alias("_pk"))
-    orphans = child.where(F.col(c.column).isNotNull()).join(keys, F.col(c.column) == F.col("_pk"), "left_anti")
-    return orphans.agg(F.count(F.lit(1)).alias("_n")).select(*_meta(c, F.col("_n")))
-
-
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
-    """Failures per check as one DataFrame (lazy; one Spark job when collected)."""
+    """Failures per check as one DataFrame (lazy)."""
     parts: list[DataFrame] = []
     by_table: OrderedDict[str, list[Check]] = OrderedDict()
     for c in checks:
-        if c.kind in ROW_LEVEL:
+        if c.kind in ROW_LEVEL or c.kind == "relationships":
             by_table.setdefault(c.table, []).append(c)
+        elif c.kind != "unique":
+            raise ValueError(f"unknown check kind {c.kind}")
     for table, cs in by_table.items():
-        parts.append(_row_level(tables[table], cs))
+        parts.append(_table_checks(tables[table], cs, tables))
     for c in checks:
         if c.kind == "unique":
             parts.append(_unique(tables[c.table], c))
-        elif c.kind == "relationships":
-            parts.append(_relationship(tables[c.table], tables[c.to_table], c))
-        elif c.kind not in ROW_LEVEL:
-            raise ValueError(f"unknown check kind {c.kind}")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
