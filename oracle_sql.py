@@ -80,151 +80,124 @@ trips_admin as (select * exclude (silver_split) from silver where silver_split =
 trips_anomalies as (select * exclude (silver_split) from silver where silver_split = 'trips_anomalies'),
 trips_fare_miss as (select * from trips_clean where qa_is_fare_mismatch),
 stg_trips as (
-  select
-    vendor_id::smallint as vendor_id, pickup_at, dropoff_at,
-    date_trunc('day', pickup_at)::date as pickup_date,
-    extract(hour from pickup_at)::smallint as pickup_hour,
-    passenger_count::smallint as passenger_count, trip_distance_mi::double as trip_distance_mi,
-    rate_code_id::smallint as rate_code_id, store_and_fwd_flag,
-    pu_location_id::int as pu_location_id, do_location_id::int as do_location_id,
-    cast(case when payment_type in (1,2,3,4,5,6) then payment_type when payment_type is null then 5 else 5 end as smallint) as payment_type,
-    fare_amount::double as fare_amount, extra::double as extra, mta_tax::double as mta_tax,
-    tip_amount::double as tip_amount, tolls_amount::double as tolls_amount,
-    improvement_surcharge::double as improvement_surcharge, total_amount::double as total_amount,
-    congestion_surcharge::double as congestion_surcharge, airport_fee::double as airport_fee,
-    cbd_congestion_fee::double as cbd_congestion_fee, manualTotal::double as manual_total,
-    duration_min::double as duration_min, speed_mph::double as speed_mph,
-    qa_in_file_window, qa_outlier_distance, qa_outlier_speed, qa_is_fare_mismatch, qa_is_adjustment,
-    qa_is_duplicate_in_file, source_year::int as source_year, source_month::int as source_month, source_file
+  select * exclude (manualTotal, payment_type),
+    manualTotal as manual_total,
+    cast(pickup_at as date) as pickup_date,
+    cast(hour(pickup_at) as smallint) as pickup_hour,
+    cast(if(payment_type between 1 and 6, payment_type, 5) as smallint) as payment_type
   from trips_clean),
 fact_trips as (
-  select date(pickup_at) as date_day, vendor_id, payment_type, pu_location_id, do_location_id,
-    pickup_at, dropoff_at, passenger_count, trip_distance_mi, rate_code_id, store_and_fwd_flag,
-    fare_amount, extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge, congestion_surcharge,
-    airport_fee, cbd_congestion_fee, total_amount, manual_total, duration_min, speed_mph,
-    qa_in_file_window, qa_outlier_distance, qa_outlier_speed, qa_is_fare_mismatch, qa_is_adjustment, source_file
+  select cast(pickup_at as date) as date_day,
+    * exclude (pickup_date, pickup_hour, qa_is_duplicate_in_file, source_year, source_month)
   from stg_trips),
 fact_revenue_adjustments as (
-  select coalesce(cast(pickup_at as date), cast(dropoff_at as date)) as date_day,
-    cast(case when payment_type between 1 and 6 then payment_type else 5 end as smallint) as payment_type,
-    pu_location_id, do_location_id, total_amount, fare_amount, extra, mta_tax, tip_amount, tolls_amount,
-    improvement_surcharge, congestion_surcharge, airport_fee, cbd_congestion_fee,
-    true as is_adjustment, source_year, source_month, source_file
-  from trips_admin
-  where coalesce(cast(pickup_at as date), cast(dropoff_at as date)) is not null),
+  select * from (
+    select ifnull(cast(pickup_at as date), cast(dropoff_at as date)) as date_day,
+      cast(if(payment_type between 1 and 6, payment_type, 5) as smallint) as payment_type,
+      pu_location_id, do_location_id,
+      total_amount, fare_amount, extra, mta_tax, tip_amount, tolls_amount, improvement_surcharge,
+      congestion_surcharge, airport_fee, cbd_congestion_fee,
+      true as is_adjustment, source_year, source_month, source_file
+    from trips_admin) a
+  where date_day is not null),
 dd_bounds as (
-  select least((select min(date_day) from fact_trips), (select min(date_day) from fact_revenue_adjustments)) - interval 2 day as dmin,
-         greatest((select max(date_day) from fact_trips), (select max(date_day) from fact_revenue_adjustments)) + interval 2 day as dmax),
+  select min(date_day) - 2 as lo, max(date_day) + 2 as hi
+  from (select date_day from fact_trips union all select date_day from fact_revenue_adjustments) u),
 dim_date as (
-  select gs::date as date_day,
-    extract(year from gs)::int as year, extract(quarter from gs)::int as quarter,
-    extract(month from gs)::int as month, extract(day from gs)::int as day,
-    strftime(gs, '%Y-%m') as year_month, strftime(gs, '%A') as day_name,
-    extract(isodow from gs)::int as iso_dow, (extract(isodow from gs) in (6, 7)) as is_weekend
-  from dd_bounds, generate_series(dmin, dmax, interval 1 day) as t(gs)),
+  select d as date_day, cast(year(d) as int) as year, cast(quarter(d) as int) as quarter,
+    cast(month(d) as int) as month, cast(day(d) as int) as day, strftime(d, '%Y-%m') as year_month,
+    dayname(d) as day_name, cast(isodow(d) as int) as iso_dow, isodow(d) >= 6 as is_weekend
+  from (select cast(unnest(generate_series(cast(lo as timestamp), cast(hi as timestamp), interval 1 day)) as date) as d
+        from dd_bounds) s),
 seed_vendors as ({_values(VENDORS, ["vendor_id", "vendor_name"], ["smallint", "varchar"])}),
 seed_payment_types as ({_values(PAYMENT_TYPES, ["payment_type", "payment_desc"], ["smallint", "varchar"])}),
 seed_zones as ({ZONES_SQL.format(nation='nation', region='region')}),
-dim_payment as (select cast(payment_type as smallint) as payment_type, payment_desc from seed_payment_types),
+dim_payment as (select * from seed_payment_types),
 dim_vendor as (
-  select d.vendor_id, coalesce(l.vendor_name, 'Unknown') as vendor_name
-  from (select distinct vendor_id from stg_trips where vendor_id is not null) d
-  left join seed_vendors l using (vendor_id)),
+  select s.vendor_id, ifnull(v.vendor_name, 'Unknown') as vendor_name
+  from (select vendor_id from stg_trips group by all having vendor_id is not null) s
+  left join seed_vendors v on v.vendor_id = s.vendor_id),
 dim_zone as (
-  select i.location_id, coalesce(z.borough, 'Unknown') as borough, coalesce(z.zone, 'Unknown') as zone,
-         coalesce(z.service_zone, 'Unknown') as service_zone
-  from (select distinct pu_location_id as location_id from stg_trips where pu_location_id is not null
-        union
-        select distinct do_location_id as location_id from stg_trips where do_location_id is not null) i
-  left join seed_zones z using (location_id)),
+  select l.location_id, ifnull(z.borough, 'Unknown') as borough, ifnull(z.zone, 'Unknown') as zone,
+    ifnull(z.service_zone, 'Unknown') as service_zone
+  from (select distinct unnest([pu_location_id, do_location_id]) as location_id from stg_trips) l
+  left join seed_zones z on z.location_id = l.location_id
+  where l.location_id is not null),
 mart_kpi_daily as (
-  with t as (
-    select date_day, count(*) as trips, sum(total_amount)::double as gross_revenue,
-      sum(tip_amount)::double as tips, sum(congestion_surcharge)::double as congestion,
-      sum(tolls_amount)::double as tolls, avg(trip_distance_mi)::double as avg_miles,
-      avg({_DUR})::double as avg_duration_min
-    from fact_trips group by 1),
-  a as (select date_day, sum(total_amount)::double as adj_revenue from fact_revenue_adjustments group by 1)
-  select t.date_day, t.trips, t.gross_revenue,
-    coalesce(t.gross_revenue, 0) + coalesce(a.adj_revenue, 0) as net_revenue,
-    t.tips, case when t.gross_revenue > 0 then t.tips / t.gross_revenue end as tip_rate,
-    t.congestion, t.tolls, t.avg_miles, t.avg_duration_min,
-    case when t.avg_duration_min > 0 then 60.0e0 * t.avg_miles / t.avg_duration_min end as avg_speed_mph
-  from t left join a using (date_day)),
+  select *, if(avg_duration_min > 0, 60.0e0 * avg_miles / avg_duration_min, null) as avg_speed_mph
+  from (
+    select f.date_day, count(*) as trips, sum(f.total_amount) as gross_revenue,
+      ifnull(sum(f.total_amount), 0) + ifnull(max(a.adj), 0) as net_revenue,
+      sum(f.tip_amount) as tips,
+      if(sum(f.total_amount) > 0, sum(f.tip_amount) / sum(f.total_amount), null) as tip_rate,
+      sum(f.congestion_surcharge) as congestion, sum(f.tolls_amount) as tolls,
+      avg(f.trip_distance_mi) as avg_miles, avg({_DUR}) as avg_duration_min
+    from fact_trips f
+    left join (select date_day, sum(total_amount) as adj from fact_revenue_adjustments group by all) a
+      on a.date_day = f.date_day
+    group by f.date_day) k),
 mart_revenue_daily_zone as (
-  select date_day, pu_location_id as location_id, sum(total_amount)::double as total_revenue,
-    sum(fare_amount)::double as fare_revenue, sum(tip_amount)::double as tip_revenue,
-    sum(trip_distance_mi)::double as total_miles, count(*)::bigint as trips
-  from fact_trips group by 1, 2),
+  select date_day, pu_location_id as location_id, sum(total_amount) as total_revenue,
+    sum(fare_amount) as fare_revenue, sum(tip_amount) as tip_revenue, sum(trip_distance_mi) as total_miles,
+    count(*) as trips
+  from fact_trips group by all),
 mart_trips_hourly_vendor as (
-  select date_trunc('hour', pickup_at) as hour, vendor_id, count(*)::bigint as trips,
-    sum(total_amount)::double as revenue, avg(trip_distance_mi)::double as avg_miles,
-    avg({_DUR})::double as avg_duration_min
-  from fact_trips group by 1, 2),
+  select time_bucket(interval 1 hour, pickup_at) as hour, vendor_id, count(*) as trips,
+    sum(total_amount) as revenue, avg(trip_distance_mi) as avg_miles, avg({_DUR}) as avg_duration_min
+  from fact_trips group by all),
 mart_payment_mix_daily as (
-  with d as (select date_day, payment_type, count(*)::bigint as trips, sum(total_amount)::double as revenue
-             from fact_trips group by 1, 2)
-  select d.date_day, d.payment_type, d.trips, d.revenue, d.revenue / nullif(d.trips, 0) as avg_ticket,
-    d.trips::double / nullif(sum(d.trips) over (partition by d.date_day), 0) as share
-  from d),
+  select date_day, payment_type, count(*) as trips, sum(total_amount) as revenue,
+    sum(total_amount) / nullif(count(*), 0) as avg_ticket,
+    count(*) / nullif(sum(count(*)) over (partition by date_day), 0) as share
+  from fact_trips group by date_day, payment_type),
 mart_vendor_scorecard_monthly as (
-  with x as (
-    select dd.year_month, t.vendor_id, count(*)::bigint as trips, sum(total_amount)::double as revenue,
-      avg(trip_distance_mi)::double as avg_miles, avg(date_diff('minute', t.pickup_at, t.dropoff_at))::double as avg_duration_min,
-      sum(tip_amount)::double as tips
-    from fact_trips t join dim_date dd on dd.date_day = t.date_day group by 1, 2),
-  tot as (select year_month, sum(revenue)::double as month_revenue from x group by 1)
-  select x.year_month, x.vendor_id, x.trips, x.revenue, x.revenue / nullif(x.trips, 0) as avg_ticket,
-    x.avg_miles, x.avg_duration_min, x.tips / nullif(x.revenue, 0) as tip_rate,
-    x.revenue / nullif(tot.month_revenue, 0) as revenue_share
-  from x join tot using (year_month)),
+  select d.year_month, f.vendor_id, count(*) as trips, sum(f.total_amount) as revenue,
+    sum(f.total_amount) / nullif(count(*), 0) as avg_ticket, avg(f.trip_distance_mi) as avg_miles,
+    avg(date_diff('minute', f.pickup_at, f.dropoff_at)) as avg_duration_min,
+    sum(f.tip_amount) / nullif(sum(f.total_amount), 0) as tip_rate,
+    sum(f.total_amount) / nullif(sum(sum(f.total_amount)) over (partition by d.year_month), 0) as revenue_share
+  from fact_trips f, dim_date d where d.date_day = f.date_day
+  group by d.year_month, f.vendor_id),
 mart_od_matrix_monthly as (
-  select dd.year_month, t.pu_location_id, t.do_location_id, count(*)::bigint as trips,
-    sum(total_amount)::double as revenue, avg(trip_distance_mi)::double as avg_miles,
-    avg(date_diff('minute', t.pickup_at, t.dropoff_at))::double as avg_duration_min
-  from fact_trips t join dim_date dd on dd.date_day = t.date_day group by 1, 2, 3),
+  select d.year_month, f.pu_location_id, f.do_location_id, count(*) as trips, sum(f.total_amount) as revenue,
+    avg(f.trip_distance_mi) as avg_miles, avg(date_diff('minute', f.pickup_at, f.dropoff_at)) as avg_duration_min
+  from fact_trips f, dim_date d where d.date_day = f.date_day
+  group by d.year_month, f.pu_location_id, f.do_location_id),
 mart_adjustments_daily_zone as (
-  select date_day, cast(case when payment_type between 1 and 6 then payment_type else 5 end as smallint) as payment_type,
-    pu_location_id as location_id, count(*)::bigint as trips, sum(total_amount)::double as total_revenue
-  from fact_revenue_adjustments where date_day is not null group by 1, 2, 3),
+  select date_day, cast(if(payment_type between 1 and 6, payment_type, 5) as smallint) as payment_type,
+    pu_location_id as location_id, count(*) as trips, sum(total_amount) as total_revenue
+  from fact_revenue_adjustments where date_day is not null group by all),
 mart_congestion_impact_daily as (
-  with base as (select date_day, case when congestion_surcharge > 0 then 1 else 0 end as has_congestion,
-                       total_amount, fare_amount from fact_trips)
-  select date_day, sum(has_congestion)::bigint as trips_with_congestion, count(*)::bigint as trips_total,
-    sum(case when has_congestion = 1 then total_amount else 0 end)::double as revenue_with_congestion,
-    sum(case when has_congestion = 0 then total_amount else 0 end)::double as revenue_without_congestion,
-    avg(case when has_congestion = 1 then fare_amount end)::double as avg_fare_with_congestion,
-    avg(case when has_congestion = 0 then fare_amount end)::double as avg_fare_without_congestion
-  from base group by 1),
+  select date_day,
+    cast(sum(if(congestion_surcharge > 0, 1, 0)) as bigint) as trips_with_congestion,
+    count(*) as trips_total,
+    sum(if(congestion_surcharge > 0, total_amount, 0)) as revenue_with_congestion,
+    sum(if(congestion_surcharge > 0, 0, total_amount)) as revenue_without_congestion,
+    avg(fare_amount) filter (where congestion_surcharge > 0) as avg_fare_with_congestion,
+    avg(fare_amount) filter (where not ifnull(congestion_surcharge > 0, false)) as avg_fare_without_congestion
+  from fact_trips group by all),
 mart_airport_daily as (
-  with pu as (
-    select t.date_day, 'PU' as direction,
-      case when z.zone ilike 'nation_3' then 'N3' when z.zone ilike 'nation_8' then 'N8' end as airport,
-      t.total_amount, t.fare_amount, t.tip_amount, t.trip_distance_mi, t.airport_fee
-    from fact_trips t join dim_zone z on z.location_id = t.pu_location_id where z.service_zone = 'Airports'),
-  do_side as (
-    select t.date_day, 'DO' as direction,
-      case when z.zone ilike 'nation_3' then 'N3' when z.zone ilike 'nation_8' then 'N8' end as airport,
-      t.total_amount, t.fare_amount, t.tip_amount, t.trip_distance_mi, t.airport_fee
-    from fact_trips t join dim_zone z on z.location_id = t.do_location_id where z.service_zone = 'Airports'),
-  base as (select * from pu union all select * from do_side)
-  select date_day, airport, direction, count(*)::bigint as trips, sum(total_amount)::double as total_revenue,
-    sum(fare_amount)::double as fare_revenue, sum(tip_amount)::double as tip_revenue,
-    sum(airport_fee)::double as airport_fee_total, avg(trip_distance_mi)::double as avg_miles
-  from base where airport is not null group by 1, 2, 3),
+  select f.date_day, lbl.airport, e.side.direction as direction, count(*) as trips,
+    sum(f.total_amount) as total_revenue, sum(f.fare_amount) as fare_revenue, sum(f.tip_amount) as tip_revenue,
+    sum(f.airport_fee) as airport_fee_total, avg(f.trip_distance_mi) as avg_miles
+  from fact_trips f,
+    unnest([{{'direction': 'PU', 'loc': f.pu_location_id}}, {{'direction': 'DO', 'loc': f.do_location_id}}]) as e(side),
+    (select location_id,
+       case when zone ilike 'nation_3' then 'N3' when zone ilike 'nation_8' then 'N8' end as airport
+     from dim_zone where service_zone = 'Airports') lbl
+  where lbl.location_id = e.side.loc and lbl.airport is not null
+  group by all),
 mart_anomaly_summary_daily as (
-  with base as (
-    select date_day, pu_location_id as location_id, {_DUR} as dur_min, trip_distance_mi,
-      case when {_DUR} > 0 then 60.0e0 * trip_distance_mi / {_DUR} else null end as speed_mph, total_amount
-    from fact_trips)
-  select date_day, location_id,
-    count_if(trip_distance_mi > 150 or trip_distance_mi < 0)::bigint as distance_outliers,
-    count_if(dur_min < 1 or dur_min > 360)::bigint as duration_outliers,
-    count_if(speed_mph > 80)::bigint as speed_outliers,
-    count_if(total_amount < 0)::bigint as negative_total,
-    (count_if(trip_distance_mi > 150 or trip_distance_mi < 0) + count_if(dur_min < 1 or dur_min > 360)
-     + count_if(speed_mph > 80) + count_if(total_amount < 0))::bigint as anomalies
-  from base group by 1, 2)
+  select *, distance_outliers + duration_outliers + speed_outliers + negative_total as anomalies
+  from (
+    select date_day, location_id,
+      cast(sum(cast(trip_distance_mi > 150 or trip_distance_mi < 0 as int)) as bigint) as distance_outliers,
+      cast(sum(cast(dm < 1 or dm > 360 as int)) as bigint) as duration_outliers,
+      cast(sum(cast(60.0e0 * trip_distance_mi / nullif(if(dm > 0, dm, null), 0) > 80 as int)) as bigint) as speed_outliers,
+      cast(sum(cast(total_amount < 0 as int)) as bigint) as negative_total
+    from (select date_day, pu_location_id as location_id, trip_distance_mi, total_amount, {_DUR} as dm
+          from fact_trips) b
+    group by all) c)
 """
 
 
