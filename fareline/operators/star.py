@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from fareline.config import DEFAULT_PAYMENT, PaymentCodeRule
 from fareline.functions.expressions import payment_code
 
-# (output name, source column, strict type) of the staged trip, in order.
+# The staging contract - (output name, source column, strict type), in order.
 _STG_COLUMNS = (
     ("vendor_id", "vendor_id", T.ShortType()),
     ("pickup_at", "pickup_at", None),
