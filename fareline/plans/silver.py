@@ -37,13 +37,21 @@ def splits(silver: DataFrame) -> dict[str, DataFrame]:
     return out
 
 
+SILVER_PARTITIONS = (SPLIT_COLUMN, "source_year", "source_month")
+
+
 def write_silver(silver: DataFrame, path: str, compression: str = "zstd") -> None:
-    """One job: rows land in ``silver_split=<name>/`` folders (fare_miss is a filter of clean)."""
+    """One job: rows land in ``silver_split=<name>/source_year=/source_month=`` folders.
+
+    fare_miss is a filter of clean, not a copy. The month level lets later
+    jobs prune to the months they rebuild; ``rebalance`` on the partition
+    columns lets AQE split a large split-month into right-sized files.
+    """
     (
-        silver.hint("rebalance", SPLIT_COLUMN)
+        silver.hint("rebalance", *SILVER_PARTITIONS)
         .write.mode("overwrite")
         .option("compression", compression)
-        .partitionBy(SPLIT_COLUMN)
+        .partitionBy(*SILVER_PARTITIONS)
         .parquet(path)
     )
 
