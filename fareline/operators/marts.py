@@ -30,6 +30,7 @@ from fareline.functions.expressions import (
 
 
 def _dur() -> Column:
+    """Trip duration in whole minute boundaries (the marts' duration measure)."""
     return minute_boundaries("pickup_at", "dropoff_at")
 
 
@@ -64,6 +65,7 @@ def mart_kpi_daily(fact: DataFrame, adjustments: DataFrame) -> DataFrame:
 
 
 def mart_revenue_daily_zone(fact: DataFrame) -> DataFrame:
+    """Per day and pickup zone: total, fare and tip revenue, miles and trips."""
     return fact.groupBy("date_day", F.col("pu_location_id").alias("location_id")).agg(
         F.sum("total_amount").alias("total_revenue"),
         F.sum("fare_amount").alias("fare_revenue"),
@@ -89,6 +91,7 @@ def mart_trips_hourly_vendor(fact: DataFrame) -> DataFrame:
 
 
 def mart_payment_mix_daily(fact: DataFrame) -> DataFrame:
+    """Per day and payment code: trips, revenue, average ticket and share of the day's trips."""
     d = fact.groupBy("date_day", "payment_type").agg(
         F.count(F.lit(1)).alias("trips"), F.sum("total_amount").alias("revenue")
     )
@@ -104,6 +107,7 @@ def mart_payment_mix_daily(fact: DataFrame) -> DataFrame:
 
 
 def mart_vendor_scorecard_monthly(fact: DataFrame) -> DataFrame:
+    """Per month and vendor: trips, revenue, ticket, miles, duration, tip rate, share of month revenue."""
     x = (
         fact.where(F.col("date_day").isNotNull())
         .groupBy(year_month("date_day").alias("year_month"), "vendor_id")
@@ -130,6 +134,7 @@ def mart_vendor_scorecard_monthly(fact: DataFrame) -> DataFrame:
 
 
 def mart_od_matrix_monthly(fact: DataFrame) -> DataFrame:
+    """Per month and (pickup, dropoff) zone pair: trips, revenue, average miles and duration."""
     return (
         fact.where(F.col("date_day").isNotNull())
         .groupBy(year_month("date_day").alias("year_month"), "pu_location_id", "do_location_id")
@@ -143,6 +148,7 @@ def mart_od_matrix_monthly(fact: DataFrame) -> DataFrame:
 
 
 def mart_adjustments_daily_zone(adjustments: DataFrame, rule: PaymentCodeRule = DEFAULT_PAYMENT) -> DataFrame:
+    """Per day, payment code and pickup zone: adjustment trips and their total."""
     return (
         adjustments.where(F.col("date_day").isNotNull())
         .groupBy("date_day", payment_code("payment_type", rule).alias("payment_type"), F.col("pu_location_id").alias("location_id"))
@@ -151,6 +157,7 @@ def mart_adjustments_daily_zone(adjustments: DataFrame, rule: PaymentCodeRule =
 
 
 def mart_congestion_impact_daily(fact: DataFrame) -> DataFrame:
+    """Per day: trips and revenue with / without a congestion surcharge (NULL counts as without)."""
     has = F.coalesce(F.col("congestion_surcharge") > 0, F.lit(False))
     return fact.groupBy("date_day").agg(
         F.count_if(has).cast("long").alias("trips_with_congestion"),
@@ -219,6 +226,7 @@ def count_true(cond: Column) -> Column:
 
 
 def mart_anomaly_summary_daily(fact: DataFrame, rules: AnomalyMartRules = DEFAULT_ANOMALY) -> DataFrame:
+    """Per day and pickup zone: distance, duration, speed and negative-total outliers and their sum."""
     dur = _dur()
     base = fact.select(
         "date_day",
