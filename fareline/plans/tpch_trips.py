@@ -37,7 +37,7 @@ def _written(spark: SparkSession, key: tuple, name: str, df: DataFrame) -> DataF
     tag = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
     path = shared_dir(spark, f"fareline-{tag}/{name}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def bronze(spark: SparkSession, sf_dir: str, rules: QaRules = DEFAULT_QA) -> DataFrame:

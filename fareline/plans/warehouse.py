@@ -137,8 +137,8 @@ def month_filter(df: DataFrame, start, end, day_col: str = "date_day") -> DataFr
     return out
 
 
-def _write(df: DataFrame, path: str, partitioned: bool, compression: str) -> None:
-    """Overwrite as Parquet; facts get the month layout described above."""
+def _write(df: DataFrame, path: str, partitioned: bool, compression: str):
+    """Overwrite as Parquet; facts get the month layout described above. Returns the written schema."""
     if partitioned:
         df = (
             df.withColumn(PARTITION_COLUMN, F.date_format("date_day", "yyyy-MM"))
@@ -149,6 +149,7 @@ def _write(df: DataFrame, path: str, partitioned: bool, compression: str) -> Non
     if partitioned:
         w = w.partitionBy(PARTITION_COLUMN)
     w.parquet(path)
+    return df.schema
 
 
 def write_warehouse(
@@ -175,8 +176,9 @@ def write_warehouse(
         return f"{base}/{TABLE_LAYERS[name]}/{name}"
 
     def put(name: str, df: DataFrame) -> DataFrame:
-        _write(df, path(name), name in PARTITIONED, compression)
-        return spark.read.parquet(path(name))
+        schema = _write(df, path(name), name in PARTITIONED, compression)
+        # explicit schema: an empty table (no data files) must still read back
+        return spark.read.schema(schema).parquet(path(name))
 
     out: dict[str, DataFrame] = {}
     if include_staging:
