@@ -1,7 +1,11 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame.
 
-Each composes the full lazy pipeline over the driver tables and selects
-one result; rounding of doubles happens only here, at the edge.
+Every query reads the driver tables through the trips adapter and the whole
+pipeline. Layers are built once per session and folder (``tpch_trips``):
+silver as a checkpoint, facts as checkpoints, dimensions and marts as
+written tables; queries that examine raw input (``canonicalized``,
+``dedup_in_file``) start from the tables themselves. Rounding of aggregated
+doubles happens only here, at the edge.
 """
 
 from __future__ import annotations
