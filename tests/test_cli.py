@@ -27,6 +27,8 @@ def test_cli_end_to_end(spark):
     assert "mart_airport_daily" in out["tables"]
     failing = {(c["check_name"], c["table_name"], c["column_name"]) for c in out["checks"] if not c["passed"]}
     assert failing == set()
+    chk = run(["check", "--silver", s, "--warehouse", w], spark)
+    assert len(chk["checks"]) == 53 and chk["failed"] == 0
     prof = run(["profile", "--warehouse", w], spark)
     assert {t["table_name"]: t["row_count"] for t in prof["tables"]}["fact_trips"] == 10
     assert all(r["orphan_rows"] == 0 for r in prof["relationships"])
