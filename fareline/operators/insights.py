@@ -1,11 +1,13 @@
 """Executive questions over the marts (current vs previous reporting windows).
 
-The reporting window is a one-row DataFrame; operators read its bounds as
-scalar subqueries (``DataFrame.scalar()``), so date filters stay plain
-``between`` predicates that reach the scan (and prune ``date_day``
-partitions of written tables) - no join with the window row, no
-driver round trip. Totals for shares are scalar subqueries or window sums
-over already-aggregated rows (a handful per group).
+The reporting window is four dates derived from the KPI mart. By default they
+are resolved once (one tiny job returning one row) and used as literals, so
+every date predicate is pushed into the Parquet scan (row-group skipping) and
+prunes month partitions of written facts at planning time. With
+``eager=False`` they stay scalar subqueries (``DataFrame.scalar()``) inside a
+single lazy plan (runtime partition pruning only). Either way there is no
+join with the window row. Totals for shares are scalar subqueries or window
+sums over already-aggregated rows (a handful per group).
 
 pandas' ``groupby`` drops NULL keys; where the reference groups in pandas
 the operators filter NULL keys explicitly.
@@ -26,12 +28,19 @@ CURRENT, PREVIOUS = "current", "previous"
 
 @dataclass
 class ReportWindow:
-    """One-row frame: today, current_start, previous_start, previous_end, window_days."""
+    """One-row frame: today, current_start, previous_start, previous_end, window_days.
+
+    ``values`` holds the resolved dates when the window was built eagerly.
+    """
 
     bounds: DataFrame
     window_days: int
+    values: dict | None = None
 
     def col(self, name: str) -> Column:
+        if self.values is not None:
+            v = self.values.get(name)
+            return F.lit(v) if v is not None else F.lit(None).cast("date")
         return self.bounds.select(name).scalar()
 
     @property
@@ -71,6 +80,7 @@ def reporting_window(
     window_days: int = 30,
     today: str | None = None,
     min_date: str | None = DEFAULT_DASHBOARD.min_date,
+    eager: bool = True,
 ) -> ReportWindow:
     """B1: today (default: last day with data) clamped to [min_date, last day]; n-day windows.
 
@@ -92,7 +102,11 @@ def reporting_window(
         F.date_sub("current_start", 1).alias("previous_end"),
         "window_days",
     )
-    return ReportWindow(b, window_days)
+    if not eager:
+        return ReportWindow(b, window_days)
+    row = b.first()  # one row of four dates
+    values = {k: row[k] for k in ("today", "current_start", "previous_start", "previous_end")} if row else {}
+    return ReportWindow(b, window_days, values)
 
 
 def _rel_delta(cur: Column, prev: Column) -> Column:
