@@ -205,3 +205,26 @@ def register_views(spark: SparkSession, wh: Warehouse, layers: Layers = Layers()
         df.createOrReplaceTempView(name)
         names.append(name)
     return names
+
+
+def register_tables(spark: SparkSession, out_dir: str, layers: Layers = Layers(), tables=None) -> list[str]:
+    """Catalog tables (``<layer>.<table>``) over a warehouse written by ``write_warehouse``.
+
+    External tables on the written locations (no data is copied); partitions of
+    the month-partitioned facts are recovered so partition pruning works through
+    the catalog as well. Returns the qualified names.
+    """
+    base = out_dir.rstrip("/")
+    names = tables or [n for n, layer in TABLE_LAYERS.items() if layer in ("gold", "marts")]
+    done = []
+    for name in names:
+        layer = TABLE_LAYERS[name]
+        db = getattr(layers, layer)
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+        qualified = f"{db}.{name}"
+        spark.sql(f"DROP TABLE IF EXISTS {qualified}")
+        spark.catalog.createTable(qualified, path=f"{base}/{layer}/{name}", source="parquet")
+        if name in PARTITIONED:
+            spark.catalog.recoverPartitions(qualified)
+        done.append(qualified)
+    return done

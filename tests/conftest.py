@@ -14,6 +14,8 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from fareline.session import get_session
 
-    s = get_session("local[*]", shuffle_partitions=8)
+    import tempfile
+
+    s = get_session("local[*]", shuffle_partitions=8, **{"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="fareline-wh-")})
     yield s
     s.stop()

@@ -89,3 +89,21 @@ def test_run_bronze_and_silver_report_in_one_job(spark):
     assert rep == {"files": 2, "rows_in": 7, "rows_written": 5, "duplicates_removed": 2}
     srep = run_silver(spark.read.parquet(os.path.join(d, "bronze")), os.path.join(d, "silver"))
     assert srep["total_rows"] == 5 and srep["trips_clean"] == 5 and srep["coverage_ok"] is True
+
+
+def test_register_catalog_tables(spark):
+    from fareline.plans.warehouse import register_tables, write_warehouse
+    from fareline.sources import fixture
+
+    d = tempfile.mkdtemp(prefix="fareline-cat-")
+    wh = tpch_trips.warehouse(spark, SF001, materialize="silver")
+    built = write_warehouse(spark, wh, d, fixture.vendors(spark), fixture.payment_types(spark),
+                            fixture.zones(spark, SF001), airport=fixture.FIXTURE_AIRPORTS)
+    names = register_tables(spark, d)
+    assert "gold.fact_trips" in names and "marts.mart_kpi_daily" in names
+    assert spark.table("gold.fact_trips").count() == built["fact_trips"].count()
+    listed = list_catalog_tables(spark, ["gold", "marts"])
+    assert ("gold", "dim_zone", "EXTERNAL") in listed
+    # partition pruning through the catalog table
+    plan = spark.table("gold.fact_trips").where("date_month = '1996-03'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date_month" in plan
