@@ -103,3 +103,58 @@ def key_class_sizes(df: DataFrame, key_col: str = "dup_key") -> DataFrame:
         .groupBy("copies")
         .agg(F.count(F.lit(1)).alias("keys"))
     )
+
+
+def duplicate_keys(df: DataFrame, key: Sequence[str] = DUP_KEY_COLUMNS, file_col: str = "source_file") -> DataFrame:
+    """Keys (with their file) that occur more than once, and how often.
+
+    A narrow aggregate over the key columns only: fixed-width buffers, so Spark
+    plans a hash aggregate, and partial aggregation collapses a hot group of
+    copies to one row per map task before the shuffle.
+    """
+    group = _sort_friendly(df, [*key, file_col])
+    return df.groupBy(*group).agg(F.count(F.lit(1)).alias(COPIES)).where(F.col(COPIES) > 1)
+
+
+def drop_duplicate_keys(
+    df: DataFrame,
+    dup_keys: DataFrame,
+    key: Sequence[str] = DUP_KEY_COLUMNS,
+    file_col: str = "source_file",
+    keep: str = "none",
+    flag_col: str | None = "qa_is_duplicate_in_file",
+    broadcast_keys: bool = False,
+) -> DataFrame:
+    """Rows whose (file, key) is not in ``dup_keys`` (NULL-safe equality).
+
+    ``broadcast_keys`` must only be set when the key set's size has been
+    checked (see ``plans.bronze.dedup_with_key_set``): the anti join then runs
+    map-side and the rows are never shuffled. keep="first" adds one
+    deterministic representative per repeated key (only repeated rows shuffle).
+    """
+    group = [*key, file_col]
+    k = dup_keys.select(*[F.col(c).alias(f"_k_{c}") for c in group])
+    if broadcast_keys:
+        k = F.broadcast(k)
+    cond = None
+    for c in group:
+        e = df[c].eqNullSafe(k[f"_k_{c}"])
+        cond = e if cond is None else cond & e
+    out = df.join(k, cond, "left_anti")
+    if flag_col:
+        out = out.withColumn(flag_col, F.lit(False))
+    if keep == "first":
+        others = [c for c in df.columns if c not in group]
+        reps = (
+            df.join(k, cond, "left_semi")
+            .groupBy(*_sort_friendly(df, group))
+            .agg(F.min(F.struct(*others)).alias("_row"))
+            .select(*group, *[F.col("_row")[c].alias(c) for c in others])
+        )
+        if flag_col:
+            reps = reps.withColumn(flag_col, F.lit(True))
+        out = out.unionByName(reps)
+    elif keep != "none":
+        raise ValueError("keep must be 'none' or 'first'")
+    cols = list(df.columns) + ([flag_col] if flag_col and flag_col not in df.columns else [])
+    return out.select(*cols)

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fareline.config import BASE_COLUMNS, DEFAULT_QA, DUP_KEY_COLUMNS, QaRules
-from fareline.operators.dedup import add_dup_key, dedup_in_file
+from fareline.operators.dedup import add_dup_key, dedup_in_file, drop_duplicate_keys, duplicate_keys
+from fareline.session import cut_lineage
 from fareline.operators.normalize import canonicalize, narrow_base_types, select_contract
 from fareline.operators.quality import derive_measures, qa_flags
 from fareline.sources.raw import read_raw_families, year_month_from_file
@@ -22,16 +23,49 @@ def normalize_raw(df: DataFrame) -> DataFrame:
     return out.select(*BASE_COLUMNS, "source_file")
 
 
+# Largest repeated-key set that is broadcast for the anti join (about 64MB of keys).
+MAX_BROADCAST_KEYS = 1_000_000
+
+
+def dedup_with_key_set(
+    base: DataFrame, keep: str = "none", max_broadcast_keys: int = MAX_BROADCAST_KEYS
+) -> DataFrame:
+    """Per-file de-duplication without shuffling the rows.
+
+    1. the repeated (file, key) set is computed by a narrow hash aggregate over
+       the key columns and checkpointed (it is small when copies are rare);
+    2. its size is counted on the checkpoint - a proven bound;
+    3. below the bound the rows meet it in a broadcast NULL-safe anti join
+       (map-side: no full-row shuffle, no sort); above it, a shuffled anti join
+       (AQE splits a skewed probe side).
+    """
+    dups = cut_lineage(duplicate_keys(base, DUP_KEY_COLUMNS, "source_file"))
+    small = dups.count() <= max_broadcast_keys
+    return drop_duplicate_keys(base, dups, DUP_KEY_COLUMNS, "source_file", keep=keep, broadcast_keys=small)
+
+
 def bronze_from_raw(
-    raw: DataFrame, rules: QaRules = DEFAULT_QA, keep: str = "none", canonical: bool = False
+    raw: DataFrame,
+    rules: QaRules = DEFAULT_QA,
+    keep: str = "none",
+    canonical: bool = False,
+    dedup: str = "key_set",
 ) -> DataFrame:
     """Bronze contract from raw rows that carry ``source_file``.
 
-    De-duplication runs on the 20 base columns only; derivations, flags and
-    the key text are computed afterwards, on fewer rows and outside the shuffle.
+    ``dedup="key_set"`` (default) removes repeated keys with a checked-size
+    broadcast anti join (one small job runs here to build and size the key
+    set); ``dedup="aggregate"`` keeps everything in one lazy plan (one
+    partial + final aggregate that shuffles the rows). Either way the
+    derivations, flags and key text are computed after de-duplication.
     """
     base = raw.select(*BASE_COLUMNS, "source_file") if canonical else normalize_raw(raw)
-    kept = dedup_in_file(base, DUP_KEY_COLUMNS, "source_file", keep=keep)
+    if dedup == "key_set":
+        kept = dedup_with_key_set(base, keep=keep)
+    elif dedup == "aggregate":
+        kept = dedup_in_file(base, DUP_KEY_COLUMNS, "source_file", keep=keep)
+    else:
+        raise ValueError("dedup must be 'key_set' or 'aggregate'")
     out = kept.withColumns(year_month_from_file("source_file"))
     out = qa_flags(derive_measures(out), rules)
     out = add_dup_key(out)

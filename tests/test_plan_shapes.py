@@ -27,13 +27,31 @@ def test_no_cross_joins_or_python(spark, name):
         assert bad not in plan, f"{name}: {bad}"
 
 
-def test_dedup_is_a_partial_aggregate_not_a_window(spark):
+def test_dedup_key_set_is_a_broadcast_anti_join(spark):
+    """Default bronze: rows meet the checked repeated-key set map-side; no row shuffle, no sort."""
     plan = plan_of(tpch_trips.bronze(spark, SF001))
+    assert "Window" not in plan and "SortAggregate" not in plan
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+
+
+def test_dedup_aggregate_is_a_partial_aggregate_not_a_window(spark):
+    from fareline.plans.bronze import bronze_from_raw
+    from fareline.sources import fixture
+
+    plan = plan_of(bronze_from_raw(fixture.raw_trips(spark, SF001), canonical=True, dedup="aggregate"))
     assert "Window" not in plan
     assert plan.count("SortAggregate") + plan.count("HashAggregate") >= 2  # partial + final
     assert "partial_count" in plan
 
 
+def test_repeated_key_set_is_a_hash_aggregate(spark):
+    from fareline.operators.dedup import duplicate_keys
+    from fareline.sources import fixture
+
+    plan = plan_of(duplicate_keys(fixture.raw_trips(spark, SF001)))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "partial_count" in plan
+
+
 def test_written_fact_is_pruned_by_month(spark):
     wh = tpch_trips.warehouse(spark, SF001, materialize="silver")
     out = tempfile.mkdtemp(prefix="fareline-shape-")

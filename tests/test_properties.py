@@ -67,7 +67,7 @@ def brute_label(t):
     return "trips_anomalies" if ((not in_win) or o_dist or o_speed) and not mismatch else "trips_clean"
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows_strategy)
 def test_dedup_and_split_match_brute_force(spark, rs):
     trips = to_trips(rs)
@@ -76,6 +76,7 @@ def test_dedup_and_split_match_brute_force(spark, rs):
     expected = Counter(brute_label(t) for t in survivors)
     if not trips:
         return
-    silver = silver_from_bronze(bronze_from_raw(frame(spark, trips), canonical=True))
-    got = Counter(r["silver_split"] for r in silver.select("silver_split").collect())
-    assert got == expected
+    for strategy in ("key_set", "aggregate"):
+        silver = silver_from_bronze(bronze_from_raw(frame(spark, trips), canonical=True, dedup=strategy))
+        got = Counter(r["silver_split"] for r in silver.select("silver_split").collect())
+        assert got == expected, strategy

@@ -43,6 +43,15 @@ def test_hot_group_of_copies_is_dropped_exactly(spark):
     assert "partial_count" in plan and "Window" not in plan  # copies collapse before the shuffle
 
 
+def test_hot_group_with_key_set_strategy(spark):
+    from fareline.plans.bronze import dedup_with_key_set
+
+    out = dedup_with_key_set(skewed(spark))
+    assert out.count() == 60_000
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
+
+
 def test_hot_key_in_marts_is_pre_aggregated(spark):
     fact = skewed(spark).withColumn("date_day", F.to_date("pickup_at"))
     m = mart_revenue_daily_zone(fact)
