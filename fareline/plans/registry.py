@@ -49,7 +49,7 @@ def register(name: str, rounded: bool = True):
 @register("canonicalized", rounded=False)
 def _canonicalized(spark, sf):
     """Raw-named, text-typed rows brought to canonical names and types."""
-    return normalize_raw(fixture.raw_trips_as_files(spark, sf))
+    return normalize_raw(fixture.raw_trips_as_files(spark, sf, tpch_trips.raw(spark, sf)))
 
 
 def _bronze_layer(spark, sf):
@@ -66,7 +66,7 @@ def _bronze_flags(spark, sf):
 @register("dedup_in_file")
 def _dedup_in_file(spark, sf):
     """Rows in, duplicates removed, rows written, per source file."""
-    return dedup_report(fixture.raw_trips(spark, sf))
+    return dedup_report(tpch_trips.raw(spark, sf))
 
 
 @register("dup_key_classes")

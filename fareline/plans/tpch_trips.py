@@ -25,6 +25,7 @@ import hashlib
 from fareline.session import cut_lineage, session_key, shared_dir
 from fareline.sources import fixture
 
+_RAW: dict[tuple, DataFrame] = {}
 _SILVER: dict[tuple, DataFrame] = {}
 _GOLD: dict[tuple, dict[str, DataFrame]] = {}
 _MARTS: dict[tuple, dict[str, DataFrame]] = {}
@@ -40,13 +41,28 @@ def _written(spark: SparkSession, key: tuple, name: str, df: DataFrame) -> DataF
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bronze(spark: SparkSession, sf_dir: str, rules: QaRules = DEFAULT_QA) -> DataFrame:
-    return bronze_from_raw(fixture.raw_trips(spark, sf_dir), rules, canonical=True)
+def raw(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
+    """Raw trips of the adapter; materialised once ("landed"), as raw files would be.
+
+    The default de-duplication reads raw twice (key columns, then all columns),
+    which is what a columnar file scan makes cheap; landing the adapter's output
+    keeps that true here instead of computing the lineitem x orders join twice.
+    """
+    if not materialize:
+        return fixture.raw_trips(spark, sf_dir)
+    key = (session_key(spark), sf_dir.rstrip("/"))
+    if key not in _RAW:
+        _RAW[key] = cut_lineage(fixture.raw_trips(spark, sf_dir))
+    return _RAW[key]
+
+
+def bronze(spark: SparkSession, sf_dir: str, rules: QaRules = DEFAULT_QA, materialize_raw: bool = True) -> DataFrame:
+    return bronze_from_raw(raw(spark, sf_dir, materialize_raw), rules, canonical=True)
 
 
 def silver(spark: SparkSession, sf_dir: str, rules: QaRules = DEFAULT_QA, materialize: bool = False) -> DataFrame:
     if not materialize:
-        return silver_from_bronze(bronze(spark, sf_dir, rules))
+        return silver_from_bronze(bronze(spark, sf_dir, rules, materialize_raw=False))
     key = (session_key(spark), sf_dir.rstrip("/"), rules)
     if key not in _SILVER:
         _SILVER[key] = cut_lineage(silver_from_bronze(bronze(spark, sf_dir, rules)))

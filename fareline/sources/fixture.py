@@ -120,12 +120,13 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_trips_as_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_trips_as_files(spark: SparkSession, sf_dir: str, trips: DataFrame | None = None) -> DataFrame:
     """Fixture rows renamed back to raw file names, timestamps and numbers as text.
 
     Exercises canonicalisation (P1-P11) the way a drifting raw file would.
+    ``trips`` may pass already landed adapter rows.
     """
-    t = raw_trips(spark, sf_dir)
+    t = trips if trips is not None else raw_trips(spark, sf_dir)
     return t.select(
         F.col("vendor_id").cast("string").alias("VendorID"),
         F.col("pickup_at").cast("string").alias("tpep_pickup_datetime"),
