@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from helpers import BASE_SCHEMA, T0
+from helpers import T0
 
 from fareline.operators.dedup import dedup_in_file, dedup_report
 from fareline.operators.marts import mart_revenue_daily_zone
