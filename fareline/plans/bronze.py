@@ -1,7 +1,11 @@
 """Bronze: raw trips -> 33-column contract with QA flags, de-duplicated per file.
 
-One lazy plan over all files: a scan per schema family, projections, the
-de-duplication aggregate (the only shuffle), projections, one write.
+Two jobs over all files. First, a narrow aggregate over the key columns finds the
+repeated (file, key) set (a key-only shuffle), which is checkpointed and counted.
+Then one plan does a scan per schema family, projections, the anti join against
+that set (broadcast when its checked size allows, so the rows are not shuffled),
+projections and one write. ``dedup="aggregate"`` folds everything into a single
+lazy plan whose only shuffle is the de-duplication aggregate.
 """
 
 from __future__ import annotations
@@ -73,7 +77,10 @@ def bronze_from_raw(
 
 
 def build_bronze(spark: SparkSession, raw_dir: str, rules: QaRules = DEFAULT_QA, uniform: bool = False) -> DataFrame:
-    """Lazy bronze over every ``*.parquet`` in ``raw_dir`` (schema families unioned)."""
+    """Bronze over every ``*.parquet`` in ``raw_dir`` (schema families unioned).
+
+    Lazy except for the small repeated-key job of the default de-duplication.
+    """
     families = [normalize_raw(f) for f in read_raw_families(spark, raw_dir, uniform=uniform)]
     raw = families[0]
     for f in families[1:]:
