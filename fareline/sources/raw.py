@@ -41,16 +41,68 @@ def parse_year_month(name: str) -> tuple[int, int]:
     return int(m.group(1)), int(m.group(2))
 
 
+# Above this many files the footers are read by Spark tasks instead of driver threads.
+DISTRIBUTED_FOOTERS_ABOVE = 2000
+
+
+def _arrow_uri(path: str) -> str:
+    """Spark file URI -> a URI Arrow's filesystem layer understands."""
+    if path.startswith("file:") and not path.startswith("file://"):
+        return "file://" + path[len("file:"):]
+    if path.startswith("s3a://") or path.startswith("s3n://"):
+        return "s3://" + path.split("://", 1)[1]
+    return path
+
+
+def footer_schemas(spark: SparkSession, files: Sequence[str], partitions: int | None = None) -> dict[str, str]:
+    """path -> footer schema text, read by Spark tasks (Arrow inside each task).
+
+    The file list is spread over ``partitions`` tasks; each task opens only the
+    footers of its files. Only (path, schema) pairs return to the driver.
+    """
+    import pandas as pd
+
+    n = partitions or max(1, min(len(files) // 200 + 1, spark.sparkContext.defaultParallelism * 4))
+    paths = spark.createDataFrame([(f,) for f in files], "path string").repartition(n)
+
+    def read(batches):
+        import pyarrow.parquet as pq
+        from pyarrow import fs as pafs
+
+        for pdf in batches:
+            out = []
+            for p in pdf["path"]:
+                filesystem, inner = pafs.FileSystem.from_uri(_arrow_uri(p))
+                out.append(pq.read_schema(inner, filesystem=filesystem).remove_metadata().to_string())
+            yield pd.DataFrame({"path": pdf["path"], "schema": out})
+
+    return {r["path"]: r["schema"] for r in paths.mapInPandas(read, "path string, schema string").collect()}
+
+
 def schema_families(
-    spark: SparkSession, files: Sequence[str], threads: int = 16
+    spark: SparkSession, files: Sequence[str], threads: int = 16, distributed: bool | None = None
 ) -> "OrderedDict[str, list[str]]":
-    """Group files by footer schema (driver reads footers only, in parallel)."""
-
-    def footer(path: str) -> str:
-        return spark.read.parquet(path).schema.json()
+    """Group files by footer schema, in file order.
 
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
-        schemas = list(pool.map(footer, files))
+    Up to ``DISTRIBUTED_FOOTERS_ABOVE`` files the driver reads the footers in
+    ``threads`` parallel threads; beyond it (or with ``distributed=True``) Spark
+    tasks read them (``footer_schemas``), falling back to the driver threads when
+    Arrow cannot open the storage.
+    """
+    schemas: list[str] | None = None
+    if distributed or (distributed is None and len(files) > DISTRIBUTED_FOOTERS_ABOVE):
+        try:
+            found = footer_schemas(spark, files)
+            schemas = [found[f] for f in files]
+        except Exception:  # storage not reachable through Arrow: read on the driver
+            schemas = None
+    if schemas is None:
+
+        def footer(path: str) -> str:
+            return spark.read.parquet(path).schema.json()
+
+        with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
+            schemas = list(pool.map(footer, files))
     families: OrderedDict[str, list[str]] = OrderedDict()
     for path, sch in zip(files, schemas):
         families.setdefault(sch, []).append(path)

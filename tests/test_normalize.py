@@ -112,3 +112,28 @@ def test_empty_folder_raises(spark):
     d = tempfile.mkdtemp(prefix="fareline-empty-")
     with pytest.raises(FileNotFoundError):
         list_raw_files(spark, d)
+
+
+def test_distributed_footer_scan_finds_the_same_families(spark):
+    from fareline.sources.raw import schema_families
+
+    d = tempfile.mkdtemp(prefix="fareline-foot-")
+    _write(os.path.join(d, "a_2024-01.parquet"), _raw_cols(2, dt.datetime(2024, 1, 3)))
+    _write(os.path.join(d, "b_2024-02.parquet"), _raw_cols(2, dt.datetime(2024, 2, 3), fee_name="Airport_fee"))
+    _write(os.path.join(d, "c_2024-03.parquet"), _raw_cols(2, dt.datetime(2024, 3, 3)))
+    files = list_raw_files(spark, d)
+    local = [sorted(os.path.basename(p) for p in v) for v in schema_families(spark, files, distributed=False).values()]
+    dist = [sorted(os.path.basename(p) for p in v) for v in schema_families(spark, files, distributed=True).values()]
+    assert local == dist == [["a_2024-01.parquet", "c_2024-03.parquet"], ["b_2024-02.parquet"]]
+
+
+def test_footer_schemas_read_by_tasks(spark):
+    from fareline.sources.raw import footer_schemas
+
+    d = tempfile.mkdtemp(prefix="fareline-foot2-")
+    _write(os.path.join(d, "a_2024-01.parquet"), _raw_cols(2, dt.datetime(2024, 1, 3)))
+    _write(os.path.join(d, "b_2024-02.parquet"), _raw_cols(2, dt.datetime(2024, 2, 3), fee_name="Airport_fee"))
+    files = list_raw_files(spark, d)
+    found = footer_schemas(spark, files, partitions=2)  # no fallback here: errors would surface
+    assert set(found) == set(files)
+    assert "Airport_fee" in found[files[1]] and "Airport_fee" not in found[files[0]]
