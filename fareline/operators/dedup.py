@@ -38,7 +38,7 @@ def _sort_friendly(df: DataFrame, cols: Sequence[str]) -> list[str]:
 
 
 def add_dup_key(df: DataFrame, columns: Sequence[str] = DUP_KEY_COLUMNS, name: str = "dup_key") -> DataFrame:
-    """dup_key = SHA-256 of an injective text of the key columns (absent columns read as NULL)."""
+    """dup_key = 128-bit digest (MD5) of an injective text of the key columns (absent columns read as NULL)."""
     present = set(df.columns)
     cols = [F.col(c) if c in present else F.lit(None) for c in columns]
     return df.withColumn(name, row_key(cols))

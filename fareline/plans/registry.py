@@ -71,7 +71,7 @@ def _dedup_in_file(spark, sf):
 
 @register("dup_key_classes")
 def _dup_key_classes(spark, sf):
-    """Equality classes of the SHA-256 dup_key over bronze (copies -> number of keys).
+    """Equality classes of the dup_key digest over bronze (copies -> number of keys).
 
     Keys repeat only across files (in-file repeats were removed), so this
     checks the key text against the real key columns without comparing text.

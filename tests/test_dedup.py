@@ -48,7 +48,7 @@ def test_dup_key_null_safe(spark):
     df = spark.createDataFrame([(1, None), (None, 1), (1, None)], "a int, b int")
     keys = [r["k"] for r in add_dup_key(df, ["a", "b"], "k").collect()]
     assert keys[0] == keys[2] and keys[0] != keys[1]
-    assert all(len(k) == 64 for k in keys)
+    assert all(len(k) == 32 for k in keys)
 
 
 def test_dup_key_keeps_microseconds(spark):
