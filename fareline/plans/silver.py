@@ -44,12 +44,11 @@ def write_silver(silver: DataFrame, path: str, compression: str = "zstd") -> Non
     """One job: rows land in ``silver_split=<name>/source_year=/source_month=`` folders.
 
     fare_miss is a filter of clean, not a copy. The month level lets later
-    jobs prune to the months they rebuild; ``rebalance`` on the partition
-    columns lets AQE split a large split-month into right-sized files.
+    jobs prune to the months they rebuild. No shuffle before the write: a task
+    holds rows of one source month, so it writes at most four files.
     """
     (
-        silver.hint("rebalance", *SILVER_PARTITIONS)
-        .write.mode("overwrite")
+        silver.write.mode("overwrite")
         .option("compression", compression)
         .partitionBy(*SILVER_PARTITIONS)
         .parquet(path)

@@ -5,12 +5,14 @@ materialises them layer by layer (each written table cuts the lineage of the
 next layer).
 
 Physical layout of the facts: partitioned by ``date_month`` (yyyy-MM of
-``date_day``, an added column), rebalanced on it and sorted by ``date_day``
-inside each file. Month partitions keep the file count proportional to data
-volume (a day partition per 2,500 days of a small table means thousands of
-tiny files), AQE's rebalance splits a large or hot month into right-sized
-files, and the day sort lets Parquet row-group statistics skip days inside a
-month. Date-window readers add the matching ``date_month`` predicate
+``date_day``, an added column) and sorted by ``date_day`` inside each file.
+Month partitions keep the file count proportional to data volume (a day
+partition per 2,500 days of a small table means thousands of tiny files), and
+the day sort lets Parquet row-group statistics skip days inside a month. No
+shuffle is added for the layout: silver is already clustered by source month,
+so each task writes into one or two month partitions and a hot month is spread
+over many input splits; ``rebalance=True`` adds AQE's rebalance for inputs that
+are not. Date-window readers add the matching ``date_month`` predicate
 (``month_filter``) to prune partitions.
 """
 
@@ -137,14 +139,13 @@ def month_filter(df: DataFrame, start, end, day_col: str = "date_day") -> DataFr
     return out
 
 
-def _write(df: DataFrame, path: str, partitioned: bool, compression: str):
+def _write(df: DataFrame, path: str, partitioned: bool, compression: str, rebalance: bool = False):
     """Overwrite as Parquet; facts get the month layout described above. Returns the written schema."""
     if partitioned:
-        df = (
-            df.withColumn(PARTITION_COLUMN, F.date_format("date_day", "yyyy-MM"))
-            .hint("rebalance", PARTITION_COLUMN)
-            .sortWithinPartitions(PARTITION_COLUMN, "date_day")
-        )
+        df = df.withColumn(PARTITION_COLUMN, F.date_format("date_day", "yyyy-MM"))
+        if rebalance:
+            df = df.hint("rebalance", PARTITION_COLUMN)
+        df = df.sortWithinPartitions(PARTITION_COLUMN, "date_day")
     w = df.write.mode("overwrite").option("compression", compression)
     if partitioned:
         w = w.partitionBy(PARTITION_COLUMN)
@@ -164,6 +165,7 @@ def write_warehouse(
     payment: PaymentCodeRule = DEFAULT_PAYMENT,
     compression: str = "zstd",
     include_staging: bool = False,
+    rebalance: bool = False,
 ) -> Warehouse:
     """Write facts, then dims and marts read back from the written facts.
 
@@ -176,7 +178,7 @@ def write_warehouse(
         return f"{base}/{TABLE_LAYERS[name]}/{name}"
 
     def put(name: str, df: DataFrame) -> DataFrame:
-        schema = _write(df, path(name), name in PARTITIONED, compression)
+        schema = _write(df, path(name), name in PARTITIONED, compression, rebalance)
         # explicit schema: an empty table (no data files) must still read back
         return spark.read.schema(schema).parquet(path(name))
 

@@ -46,8 +46,7 @@ def process_files(
         raw = raw.unionByName(f)
     bronze = bronze_from_raw(raw, rules, canonical=True)
     (
-        bronze.hint("rebalance", *BRONZE_PARTS)
-        .write.mode("overwrite")
+        bronze.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*BRONZE_PARTS)
         .parquet(bronze_path)
@@ -56,8 +55,7 @@ def process_files(
     written = spark.read.parquet(bronze_path).where(F.col("source_file").isin(names))  # partition pruning
     silver = silver_from_bronze(written.select(*bronze.columns), check=True)
     (
-        silver.hint("rebalance", *BRONZE_PARTS, SPLIT_COLUMN)
-        .write.mode("overwrite")
+        silver.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*BRONZE_PARTS, SPLIT_COLUMN)
         .parquet(silver_path)
