@@ -107,3 +107,18 @@ def test_register_catalog_tables(spark):
     # partition pruning through the catalog table
     plan = spark.table("gold.fact_trips").where("date_month = '1996-03'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date_month" in plan
+
+
+def test_write_warehouse_with_rebalance_option(spark):
+    from fareline.plans.warehouse import write_warehouse
+    from fareline.sources import fixture
+
+    d = tempfile.mkdtemp(prefix="fareline-rb-")
+    wh = tpch_trips.warehouse(spark, SF001, materialize="silver")
+    built = write_warehouse(spark, wh, d, fixture.vendors(spark), fixture.payment_types(spark),
+                            fixture.zones(spark, SF001), airport=fixture.FIXTURE_AIRPORTS, rebalance=True)
+    months = [p for p in os.listdir(os.path.join(d, "gold", "fact_trips")) if p.startswith("date_month=")]
+    assert months and built["fact_trips"].count() == wh["fact_trips"].count()
+    files = sum(len([f for f in os.listdir(os.path.join(d, "gold", "fact_trips", m)) if f.endswith(".parquet")])
+                for m in months)
+    assert files == len(months)  # rebalanced: one file per month at this size
