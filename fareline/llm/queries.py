@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from fareline.llm.decontaminate import op3_decontaminate
+from fareline.llm.jaccard_join import op8_jaccard_join
+from fareline.llm.lm_scoring import op9_lm_scoring
+from fareline.llm.pii import op6_pii
 from fareline.llm.token_counts import op7_token_counts
 
-QUERIES = {f.__name__: f for f in (op7_token_counts,)}
+QUERIES = {f.__name__: f for f in (op3_decontaminate, op6_pii, op7_token_counts, op8_jaccard_join, op9_lm_scoring)}
 ORACLE_SQL: dict[str, str] = {}
