@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from fareline.llm.common import SPACE_SPLIT, Words, document_words, materialize, mix64
 from fareline.llm.components import connected_components
 
-SKETCH_CELLS = 1 << 16
+SKETCH_CELLS = 1 << 18
 TILE_ROWS = 2048
 SMALL_TILE = 12
 MIN_BITS, MAX_BITS = 64, 1 << 14
@@ -82,8 +82,8 @@ def band_bits(b: int, t: int) -> int:
     return int(min(MAX_BITS, max(MIN_BITS, 1 << math.ceil(math.log2(2 * largest)))))
 
 
-def _sets(size: int):
-    """Rows of documents, and one frequency sketch of the task's shingles."""
+def _sets(size: int, t: int):
+    """Rows of documents with a bitmap, and one frequency sketch of the task's shingles."""
 
     def run(batches):
         sketch = np.zeros(SKETCH_CELLS, np.int64)
@@ -92,13 +92,14 @@ def _sets(size: int):
                 found = list(shingle_sets(w, size))
                 n = [len(s) for s in found]
                 sid = [set_id(s) if len(s) else None for s in found]
+                bits = [parity_bitmap(s, band_bits(band(len(s), t) + 1, t)) if len(s) else None for s in found]
                 sketch += np.bincount((np.concatenate(found) & np.uint64(SKETCH_CELLS - 1)).astype(np.int64), minlength=SKETCH_CELLS)
                 yield pa.record_batch(
-                    [b.column(0)[first:last], pa.array(n, pa.int64()), pa.array(sid, pa.int64()), b.column(2)[first:last], pa.nulls(len(n), pa.binary())],
-                    names=["id", "n", "sid", "key", "sketch"],
+                    [b.column(0)[first:last], pa.array(n, pa.int64()), pa.array(sid, pa.int64()), b.column(2)[first:last], pa.array(bits, pa.binary()), pa.nulls(len(n), pa.binary())],
+                    names=["id", "n", "sid", "key", "bits", "sketch"],
                 )
         if sketch.any():
-            yield pa.record_batch([*[pa.nulls(1, pa.int64())] * 4, pa.array([sketch.tobytes()], pa.binary())], names=["id", "n", "sid", "key", "sketch"])
+            yield pa.record_batch([*[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.binary()), pa.array([sketch.astype(np.uint32).tobytes()], pa.binary())], names=["id", "n", "sid", "key", "bits", "sketch"])
 
     return run
 
@@ -107,7 +108,7 @@ def _sum_sketch(batches):
     total = np.zeros(SKETCH_CELLS, np.int64)
     for b in batches:
         for x in b.column(0).to_pylist():
-            total += np.frombuffer(x, np.int64)
+            total += np.frombuffer(x, np.uint32)
     yield pa.record_batch([pa.array(np.arange(SKETCH_CELLS)), pa.array(total)], names=["cell", "n"])
 
 
@@ -141,24 +142,30 @@ def _prefixes(sketch_b, size: int, t: int):
 
 def parity_bitmap(s: np.ndarray, bits: int) -> bytes:
     at = ((s >> np.uint64(24)) & np.uint64(bits - 1)).astype(np.int64)
-    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
-def _arrays(size: int, t: int):
-    """Set arrays with their bitmaps for the home band and the next one."""
+def fold(bits: np.ndarray, width: int) -> np.ndarray:
+    """A parity bitmap (rows of 64-bit words) at a smaller width in words: the halves' differences."""
+    while bits.shape[1] > width:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
+
+
+def _arrays(size: int):
+    """Set arrays of the wanted ids (text, sid); rows of a task with one id give one array."""
 
     def run(batches):
+        seen = set()
         for b in batches:
             wanted = b.column(1).to_pylist()
             for first, _, w in document_words(b.column(0), SPACE_SPLIT):
-                rows = []
-                for d, s in enumerate(shingle_sets(w, size)):
-                    if len(s) and set_id(s) == wanted[first + d]:
-                        h = band(len(s), t)
-                        rows.append((wanted[first + d], len(s), s.tobytes(), h, parity_bitmap(s, band_bits(h, t)), parity_bitmap(s, band_bits(h + 1, t))))
+                found = [(wanted[first + d], s) for d, s in enumerate(shingle_sets(w, size))]
+                rows = {k: s.tobytes() for k, s in found if k not in seen and len(s) and set_id(s) == k}
+                seen.update(rows)
                 if rows:
-                    kinds = (pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.binary())
-                    yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["sid", "n", "shingles", "band", "home_bits", "guest_bits"])
+                    yield pa.record_batch([pa.array(list(rows), pa.int64()), pa.array(list(rows.values()), pa.binary())], names=["sid", "shingles"])
 
     return run
 
@@ -206,11 +213,13 @@ def _tile_pairs(t: int):
         group = np.repeat(np.arange(len(start)), count)
         sid, n, home = table.column("sid").to_numpy(), table.column("n").to_numpy().astype(np.int64), table.column("home").to_numpy(zero_copy_only=False)
         raw = table.column("bits").to_pylist()
-        width = np.fromiter(map(len, raw), np.int64, len(raw))
+        bands, of_band = np.unique(tile[1], return_inverse=True)
+        width = np.array([band_bits(int(b), t) // 64 for b in bands])[of_band]
         out = []
         for size in np.unique(width):
             rows = np.flatnonzero(width == size)
-            words = np.frombuffer(b"".join(raw[r] for r in rows), np.uint64).reshape(len(rows), -1)
+            # a set's bitmap is as wide as its guest band asks for: twice this band's width at most
+            words = np.concatenate([fold(np.frombuffer(raw[r], np.uint64)[None], size) for r in rows])
             g, small = group[rows], count[group[rows]] <= SMALL_TILE
             for lag in range(1, SMALL_TILE):
                 i = np.flatnonzero(small[: len(rows) - lag] & (g[: len(rows) - lag] == g[lag:])) if lag < len(rows) else np.zeros(0, np.int64)
@@ -360,12 +369,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """(id, n_shingles, component_id) per row of ``docs``; ``threshold`` in per cent."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).withColumn("key", F.coalesce("id", F.xxhash64("text")))
-    rows = materialize(texts.mapInArrow(_sets(size), "id long, n long, sid long, key long, sketch binary"), "sets")
+    rows = materialize(texts.mapInArrow(_sets(size, threshold), "id long, n long, sid long, key long, bits binary, sketch binary"), "sets")
     cells = rows.where("sketch is not null").select("sketch").mapInArrow(_sum_sketch, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     sketch = np.zeros(SKETCH_CELLS, np.int64)
     for r in cells.collect():  # SKETCH_CELLS rows at most
         sketch[r.cell] = r.n
-    sets = rows.where("sketch is null").select("id", "n", "sid", "key")
+    sets = rows.where("sketch is null").select("id", "n", "sid", "key", "bits")
     reps = sets.where("n > 0").groupBy("sid").agg(F.min("id").alias("rep"), F.min("key").alias("rep_key"))
 
     prefixes = texts.select("text").mapInArrow(_prefixes(spark.sparkContext.broadcast(sketch), size, threshold), "token long, sid long, n int, band int")
@@ -383,25 +392,25 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     )
     members = materialize(visits.join(tiles, ["token", "band"]), "tiles")
 
-    wanted = members.select("sid").distinct().join(reps.select("sid", "rep_key"), "sid")
-    chosen = texts.join(wanted.hint("shuffle_hash"), F.col("key") == F.col("rep_key")).select("text", "sid")
-    arrays = chosen.mapInArrow(_arrays(size, threshold), "sid long, n int, shingles binary, band int, home_bits binary, guest_bits binary")
-    arrays = materialize(arrays.dropDuplicates(["sid"]), "arrays")
-    maps = arrays.select("sid", F.explode(F.array(F.struct(F.lit(True).alias("home"), F.col("home_bits").alias("bits")), F.struct(F.lit(False).alias("home"), F.col("guest_bits").alias("bits")))).alias("m")).select("sid", "m.*")
+    wanted = members.select("sid").distinct().join(reps.select("sid", F.col("rep_key").alias("key")), "sid")
+    maps = sets.select("sid", "key", "bits").join(wanted, ["sid", "key"]).groupBy("sid").agg(F.first("bits").alias("bits"))
     mine = F.pmod(F.xxhash64("sid"), "blocks").cast("int")
     blocked = (
         members.withColumn("mine", mine)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("token", "band", F.least("mine", "other").alias("bi"), F.greatest("mine", "other").alias("bj"), "sid", "n", "home")
-        .join(maps, ["sid", "home"])
+        .join(maps, "sid")
         .repartition("token", "band", "bi", "bj")
         .sortWithinPartitions("token", "band", "bi", "bj")
     )
     candidates = materialize(blocked.mapInArrow(_tile_pairs(threshold), "a long, b long").distinct(), "candidates")
-    linked = exact_components(candidates, arrays.select("sid", "shingles"), threshold, block_sets)
+    nodes = candidates.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(reps.select("sid", "rep_key"), "sid")
+    chosen = texts.join(nodes.hint("shuffle_hash"), F.col("key") == F.col("rep_key")).select("text", "sid")
+    arrays = chosen.mapInArrow(_arrays(size), "sid long, shingles binary")
+    linked = exact_components(candidates, arrays, threshold, block_sets)
     names = reps.join(linked.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     names = names.join(names.groupBy("component").agg(F.min("rep").alias("component_id")), "component").select("sid", "component_id")
-    return sets.join(names, "sid", "left").select(
+    return sets.select("id", "n", "sid").join(names, "sid", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id")
     )
 
