@@ -17,6 +17,8 @@ Every byte of a 50-byte string that also starts in a document with a smaller id
    the same pass: two neighbours agree in t symbols if they have one symbol and all
    between their former places agreed in t - 1.
    A range has a bounded number of segments, so these files are arrays in memory.
+   Segments are folded first: equal ones are one string, and a string whose anchor no
+   other string has needs no comparison.
 4. Neighbours that agree in 25 symbols are equal windows; the smallest id of each class
    goes back to the runs, which remove what is covered and digest the rest.
 
@@ -45,7 +47,7 @@ WINDOW, GRAM = 50, 20
 # windows that one anchor can serve, and so the bytes of the longest segment
 REACH = WINDOW - GRAM + 1
 LONGEST = REACH - 1 + WINDOW
-RUN_BYTES = 8 << 20
+RUN_BYTES = 2 << 20
 # bytes taken at a time when anchors are searched (their arrays then stay in the cache)
 STEP = 1 << 17
 ANCHORS_PER_RANGE, SEGMENTS_PER_RANGE = 2_000_000, 16_000
@@ -110,13 +112,14 @@ def segments(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     """(first window, last window, anchor place, document) of all segments of a run's documents."""
     n = len(buf)
     out = []
-    last_start = np.repeat(offs[1:] - WINDOW, np.diff(offs)) if n else np.zeros(0, np.int64)
     for a in range(0, n - WINDOW + 1, STEP):
         part = buf[a : a + STEP + WINDOW - 1]
         at = _window_anchors(part)
-        ok = np.arange(a, a + len(at)) <= last_start[a : a + len(at)]
         at += a
-        at[~ok] = -1
+        # windows that a document's end cuts
+        lo, hi = np.searchsorted(offs, (a, a + len(at) + WINDOW))
+        for end in offs[lo:hi].tolist():
+            at[max(0, end - WINDOW + 1 - a) : max(0, end - a)] = -1
         new = np.flatnonzero(np.diff(at, prepend=-2))
         end = np.append(new[1:], len(at)) - 1
         keep = at[new] >= 0
@@ -170,7 +173,7 @@ def _run_anchors(ids, offs, buf):
     first, last, at, doc = segments(buf, offs)
     keys, key = np.unique(anchor_keys(buf, at), return_inverse=True)
     seen = np.unique(key.astype(np.int64) * len(ids) + doc) // max(len(ids), 1)
-    return first, last, doc, keys, key, np.bincount(seen, minlength=len(keys))
+    return first, last, at, doc, keys, key, np.bincount(seen, minlength=len(keys))
 
 
 def _anchor_rows(ranges: int):
@@ -179,7 +182,7 @@ def _anchor_rows(ranges: int):
     def run(batches):
         for b in batches:
             for r, *packed in zip(*(x.to_pylist() for x in b.columns)):
-                _, _, _, keys, _, docs = _run_anchors(*_read_run(*packed))
+                *_, keys, _, docs = _run_anchors(*_read_run(*packed))
                 if len(keys):
                     rng = _ranges(keys, ranges)
                     cut = np.flatnonzero(np.diff(rng, prepend=-1))
@@ -243,7 +246,7 @@ class RunSegments:
 
     def __init__(self, packed, answers: pa.Table, ranges: int):
         self.ids, self.offs, self.buf = _read_run(*packed)
-        first, last, doc, keys, key, _ = _run_anchors(self.ids, self.offs, self.buf)
+        first, last, at, doc, keys, key, _ = _run_anchors(self.ids, self.offs, self.buf)
         state = _state(answers)
         own = state[key] if len(state) else np.zeros(len(key), np.uint8)
         plain, hot = np.flatnonzero(own == 1), np.flatnonzero(own == 2)
@@ -254,6 +257,7 @@ class RunSegments:
         self.doc = np.concatenate([doc[plain], np.repeat(doc[hot], many)])
         rows = _strings(self.buf, self.first, self.last)
         size = self.last - self.first + WINDOW
+        lead = np.concatenate([at[plain] - first[plain], np.zeros(len(alone), np.int64)])
         one, number = _distinct(rows, size)
         place = keys[key[plain]] if len(plain) else np.zeros(0, np.uint64)
         if len(hot):
@@ -264,7 +268,7 @@ class RunSegments:
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(len(order))
         self.number = rank[number] if len(number) else number
-        self.rows, self.size, self.range = rows[one[order]], size[one[order]], rng[order]
+        self.rows, self.size, self.lead, self.range = rows[one[order]], size[one[order]], lead[one[order]], rng[order]
         self.least = np.full(len(one), NO_ID)
         np.minimum.at(self.least, self.number, self.ids[self.doc])
 
@@ -278,62 +282,75 @@ def _segment_rows(ranges: int):
             starts = np.cumsum(s.size) - s.size
             inside = np.arange(LONGEST) < s.size[:, None]
             text = _blobs(s.rows[inside], starts[cut] if len(cut) else np.zeros(0, np.int64))
-            out.append(pa.table({"range": s.range[cut], "run": np.full(len(cut), r), "text": text, "size": _blobs(s.size.astype(np.uint8), cut), "least": _blobs(s.least, cut)}))
+            out.append(pa.table({"range": s.range[cut], "run": np.full(len(cut), r), "text": text, "size": _blobs(s.size.astype(np.uint8), cut), "lead": _blobs(s.lead.astype(np.uint8), cut), "least": _blobs(s.least, cut)}))
         return pa.concat_tables(out)
 
     return run
 
 
+# in front of every string; no byte of UTF-8 text is 0xFF
+END = np.uint16(0xFFFF)
+
+
 def window_classes(rows: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(string, window start, class) of all windows of distinct strings; equal windows share a class, classes ascend.
 
-    ``suffix`` lists the strings in the order of their current suffixes, ``left`` has how
-    many symbols each has in front; ``bwt`` is the symbol in front of each suffix.
+    ``suffix`` lists the current suffixes in order, as places in the strings' symbols;
+    ``bwt`` is the symbol in front of each.
     """
     m, width = rows.shape
-    even = width // 2 * 2
-    symbols = np.zeros((2 * m, even // 2 + 1), np.uint16)
+    half = width // 2
+    symbols = np.full((2 * m, half + 2), END, np.uint16)
     wide = rows.astype(np.uint16)
-    symbols[0::2, : even // 2] = (wide[:, 0:even:2] << 8) | wide[:, 1:even:2]
-    odd = (wide[:, 1 : width - 1 : 2] << 8)[:, : (width - 1) // 2] | wide[:, 2:width:2][:, : (width - 1) // 2]
-    symbols[1::2, : odd.shape[1]] = odd
+    symbols[0::2, 1 : half + 1] = (wide[:, 0 : 2 * half : 2] << 8) | wide[:, 1 : 2 * half : 2]
+    odd = (width - 1) // 2
+    symbols[1::2, 1 : odd + 1] = (wide[:, 1 : 2 * odd : 2] << 8) | wide[:, 2 : 2 * odd + 1 : 2]
     stride = symbols.shape[1]
     flat = symbols.ravel()
-    length = np.stack([size // 2, (size - 1) // 2], axis=1).ravel().astype(np.int32)
+    length = np.stack([size // 2, (size - 1) // 2], axis=1).ravel()
     depth, rounds = WINDOW // 2, int(length.max(initial=0))
-    empty = np.arange(2 * m, dtype=np.int32)
-    suffix, left = empty, length
+    empty = (np.arange(2 * m) * stride + 1 + length).astype(np.int32 if 2 * m * stride < 1 << 31 else np.int64)
+    suffix = empty
     alike = np.zeros(0, np.int32)
     for r in range(rounds):
         t = r - (rounds - depth)
         if t == 0:
             alike = np.zeros(len(suffix), np.int32)  # all agree in no symbols
-        live = np.flatnonzero(left > 0)
-        string, front = suffix[live], left[live] - 1
-        bwt = flat[string.astype(np.int64) * stride + front]
+        bwt = flat[suffix - 1]
+        live = np.flatnonzero(bwt != END)
+        bwt = bwt[live]
         order = np.argsort(bwt, kind="stable")
-        suffix = np.concatenate([empty, string[order]])
-        left = np.concatenate([length, front[order]])
+        came = live[order]
+        suffix = np.concatenate([empty, suffix[came] - 1])
         if t >= 0:
-            sym = bwt[order]
-            was = alike[live[order]]
+            sym, was = bwt[order], alike[came]
             new = np.ones(len(suffix), bool)
             new[2 * m + 1 :] = (sym[1:] != sym[:-1]) | (was[1:] != was[:-1])
             alike = np.cumsum(new, dtype=np.int32)
-    whole = np.flatnonzero(length[suffix] - left >= depth)
-    string = suffix[whole]
-    return string >> 1, (string & 1) + 2 * left[whole], alike[whole]
+    string = suffix // stride
+    at = suffix - string * stride - 1
+    whole = np.flatnonzero(length[string] - at >= depth)
+    string = string[whole]
+    return string >> 1, (string & 1) + 2 * at[whole], alike[whole]
 
 
-def least_ids(rows: np.ndarray, size: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(smallest ids, first place of each string): for every window of every string in order."""
-    string, start, cls = window_classes(rows, size)
-    head = np.flatnonzero(np.diff(cls, prepend=-1))
-    best = np.minimum.reduceat(least[string], head) if len(head) else np.zeros(0, np.int64)
+def least_ids(rows: np.ndarray, size: np.ndarray, lead: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(smallest ids, first place of each string): for every window of every string in order.
+
+    Equal windows have one anchor string; strings whose anchor string (at ``lead``) no
+    other string has are answered by their own id, the rest by their windows' classes.
+    """
     windows = size - WINDOW + 1
     begin = np.cumsum(windows) - windows
-    out = np.full(int(windows.sum()), NO_ID)
-    out[begin[string] + start] = np.repeat(best, np.diff(np.append(head, len(cls))))
+    out = np.repeat(least, windows)
+    anchor = rows[np.arange(len(rows))[:, None], lead[:, None] + np.arange(GRAM)]
+    _, number = _distinct(anchor, np.zeros(len(rows), np.int64))
+    met = np.flatnonzero(np.bincount(number)[number] > 1) if len(rows) else np.zeros(0, np.int64)
+    if len(met):
+        string, start, cls = window_classes(rows[met], size[met])
+        head = np.flatnonzero(np.diff(cls, prepend=-1))
+        best = np.minimum.reduceat(least[met[string]], head)
+        out[begin[met[string]] + start] = np.repeat(best, np.diff(np.append(head, len(cls))))
     return out, begin
 
 
@@ -348,7 +365,8 @@ def _solve(table: pa.Table) -> pa.Table:
     one, number = _distinct(rows, size)
     lowest = np.full(len(one), NO_ID)
     np.minimum.at(lowest, number, least)
-    ids, begin = least_ids(rows[one], size[one], lowest)
+    lead = _flat(table.column("lead"), np.uint8)[0].astype(np.int64)[one]
+    ids, begin = least_ids(rows[one], size[one], lead, lowest)
     windows = size[one] - WINDOW + 1
     # runs of equal ids within each distinct string
     new = np.append(True, ids[1:] != ids[:-1])
@@ -435,7 +453,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     anchors = runs.select("run", "ids", "offsets", "text").mapInArrow(_anchor_rows(ranges), "range long, run long, keys binary, docs binary")
     states = materialize(anchors.groupBy("range").applyInArrow(_shared(hot_docs), "run long, range long, state binary"), "suffix-states")
     spots = max(1, -(-size // (16 * segments_per_range)))
-    parts = runs.groupBy("run").cogroup(states.groupBy("run")).applyInArrow(_segment_rows(spots), "range long, run long, text binary, size binary, least binary")
+    parts = runs.groupBy("run").cogroup(states.groupBy("run")).applyInArrow(_segment_rows(spots), "range long, run long, text binary, size binary, lead binary, least binary")
     found = parts.groupBy("range").applyInArrow(_solve, "run long, range long, counts binary, lengths binary, least binary")
     found = materialize(found, "suffix-answers")
     answers = states.unionByName(found, allowMissingColumns=True)
