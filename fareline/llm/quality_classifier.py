@@ -292,20 +292,31 @@ def document_odds(buf, offs, meta: list[list[str]], views: Views) -> dict[str, n
     return out
 
 
+def _decide(b: pa.RecordBatch, at: dict[str, int | None], views: Views):
+    """(p_quality, p_toxic, accepted) of a batch; ``at``: places of text, lang, source, n_chars."""
+    buf, offs = text_buffer(b.column(at["text"]))
+    none = [None] * b.num_rows
+    meta = [meta_keys(*r) for r in zip(*(none if at[c] is None else b.column(at[c]).to_pylist() for c in ("lang", "source", "n_chars")))]
+    parts = [document_odds(buf[offs[a] : offs[z]], offs[a : z + 1] - offs[a], meta[a:z], views) for a, z in chunks(offs)]
+    bad, toxic = (sigmoid(np.concatenate([p[t] for p in parts])) if parts else np.zeros(0) for t in TARGETS)
+    return 1 - bad, toxic, ~((bad > REJECT) | (toxic > REJECT))  # nan: no labels, nothing to reject by
+
+
 def _score(views_b):
     def run(batches):
-        views = views_b.value
         for b in batches:
-            buf, offs = text_buffer(b.column(1))
-            meta = [meta_keys(*r) for r in zip(*(b.column(k).to_pylist() for k in (2, 3, 4)))]
-            for first, last in chunks(offs):
-                odds = document_odds(buf[offs[first] : offs[last]], offs[first : last + 1] - offs[first], meta[first:last], views)
-                bad, toxic = (sigmoid(odds[t]) for t in TARGETS)
-                kept = ~((bad > REJECT) | (toxic > REJECT))  # nan: no labels, nothing to reject by
-                yield pa.record_batch(
-                    [b.column(0)[first:last], *(pa.array(p, mask=np.isnan(p)) for p in (1 - bad, toxic)), pa.array(kept)],
-                    names=["id", "p_quality", "p_toxic", "accepted"],
-                )
+            quality, toxic, accepted = _decide(b, {"text": 1, "lang": 2, "source": 3, "n_chars": 4}, views_b.value)
+            yield pa.record_batch(
+                [b.column(0), *(pa.array(p, mask=np.isnan(p)) for p in (quality, toxic)), pa.array(accepted)], names=["id", "p_quality", "p_toxic", "accepted"]
+            )
+
+    return run
+
+
+def _accept(views_b, at):
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(_decide(b, at, views_b.value)[2]))
 
     return run
 
@@ -349,6 +360,13 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     return out.withColumnRenamed("id", id_col)
 
 
+def keep_accepted(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", views: Views | None = None, **sample) -> DataFrame:
+    """The rows of ``docs`` that the classifier accepts, with all their columns."""
+    views = views or co_train(draw_sample(docs, labels, id_col=id_col, text_col=text_col, **sample))
+    at = {"text": docs.columns.index(text_col)} | {c: docs.columns.index(c) if c in docs.columns else None for c in ("lang", "source", "n_chars")}
+    return docs.mapInArrow(_accept(docs.sparkSession.sparkContext.broadcast(views), at), docs.schema)
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality and toxicity of every document."""
     return classify(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
