@@ -8,7 +8,8 @@
     python -m fareline.cli ask       --warehouse WAREHOUSE --question window_kpis [--days 30] [--today D]
     python -m fareline.cli stream    --raw-dir RAW --bronze BRONZE --silver SILVER --checkpoint CKPT
 
-Each prints a small JSON summary (counters or the few result rows) on stdout.
+Each prints a JSON summary (counters, or all rows of a result) on stdout; ``ask --out DIR``
+writes the rows as JSON lines instead. A folder without a written warehouse raises.
 Vendor and payment seeds default to the built-in values; pass CSVs to override.
 """
 
@@ -20,7 +21,7 @@ import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareline.plans.warehouse import TABLE_LAYERS, Warehouse
+from fareline.plans.warehouse import TABLE_LAYERS, read_warehouse
 
 QUESTIONS = (
     "window_kpis", "kpi_daily_series", "kpi_alerts", "payment_mix", "payment_mix_daily_share",
@@ -38,45 +39,17 @@ def _seeds(spark: SparkSession, args):
     return vendors, payments, zones
 
 
-def read_warehouse(spark: SparkSession, path: str) -> Warehouse:
-    """Tables of a written warehouse (``<path>/<layer>/<table>``).
+def _rows(df: DataFrame) -> list[dict]:
+    """All rows of a result, fetched partition by partition."""
+    return [r.asDict(recursive=True) for r in df.toLocalIterator()]
 
-    An empty partitioned table has no data files to infer a schema from; it is
-    read back as an empty frame with the schema of the table's definition.
-    """
-    from pyspark.sql.utils import AnalysisException
 
-    base = path.rstrip("/")
-    names = [n for n, layer in TABLE_LAYERS.items() if layer in ("gold", "marts")]
-    out = {}
-    for n in names:
-        try:
-            out[n] = spark.read.parquet(f"{base}/{TABLE_LAYERS[n]}/{n}")
-        except AnalysisException:
-            out[n] = spark.createDataFrame([], _empty_schema(spark, n))
-    return Warehouse(out)
-
-
-def _empty_schema(spark: SparkSession, name: str):
-    """Schema of a warehouse table, from the lazy model over an empty silver frame."""
-    from pyspark.sql import functions as F
-
-    from fareline.config import BRONZE_CONTRACT
-    from fareline.plans.warehouse import PARTITION_COLUMN, PARTITIONED, build_warehouse
-    from fareline.sources import seeds
-
-    empty = spark.createDataFrame([], BRONZE_CONTRACT).withColumn("silver_split", F.lit(None).cast("string"))
-    zones = spark.createDataFrame([], seeds.ZONE_SCHEMA)
-    lazy = build_warehouse(empty, seeds.vendors_seed(spark, []), seeds.payment_types_seed(spark, []), zones)
-    df = lazy[name]
-    if name in PARTITIONED:
-        df = df.withColumn(PARTITION_COLUMN, F.lit(None).cast("string"))
-    return df.schema
-
-
-def _rows(df: DataFrame, limit: int = 1000) -> list[dict]:
-    # results of the questions are a handful of rows; the cap only guards the console
-    return [r.asDict() for r in df.limit(limit).collect()]
+def _answer(df: DataFrame, out: str | None) -> dict:
+    """The whole result: written as JSON lines to ``out``, or returned."""
+    if not out:
+        return {"rows": _rows(df)}
+    df.write.mode("overwrite").json(out)
+    return {"out": out, "rows_written": df.sparkSession.read.schema(df.schema).json(out).count()}
 
 
 def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dict:
@@ -107,6 +80,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dic
     a.add_argument("--days", type=int, default=30)
     a.add_argument("--today")
     a.add_argument("--min-trips", type=int)
+    a.add_argument("--out", help="folder for the whole result as JSON lines")
     st = sub.add_parser("stream")
     st.add_argument("--raw-dir", required=True)
     st.add_argument("--bronze", required=True)
@@ -148,8 +122,8 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dic
 
         stg = stg_trips(split(silver, "trips_clean", SPLIT_COLUMN).drop(SPLIT_COLUMN))
         res = run_checks(built.tables | {"stg_trips": stg}, DEFAULT_SUITE)
-        out["checks"] = _rows(res)
-        out["failed"] = sum(1 for r in out["checks"] if not r["passed"])
+        out["checks"] = _rows(res)  # one row per check
+        out["failed"] = res.where("not passed").count()
         return out
     if args.cmd == "profile":
         from fareline.operators.catalog import profile_tables, relationship_report
@@ -185,7 +159,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dic
                 wh["mart_anomaly_summary_daily"], wh["mart_revenue_daily_zone"], wh["dim_zone"], w, min_trips=args.min_trips
             ),
         }
-        return {"question": q, "rows": _rows(calls[q]())}
+        return {"question": q} | _answer(calls[q](), args.out)
     if args.cmd == "stream":
         from fareline.streaming.landing import start_landing_stream
 

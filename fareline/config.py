@@ -162,6 +162,7 @@ BRONZE_COLUMNS: tuple[str, ...] = tuple(f.name for f in BRONZE_CONTRACT.fields)
 # The 20 raw-derived columns of the contract (everything before the derivations).
 BASE_COLUMNS: tuple[str, ...] = BRONZE_COLUMNS[:20]
 
+# QA flag columns.
 QA_FLAG_COLUMNS: tuple[str, ...] = (
     "qa_in_file_window",
     "qa_outlier_distance",
@@ -171,6 +172,7 @@ QA_FLAG_COLUMNS: tuple[str, ...] = (
 )
 
 # Optional columns silver drops when an older bronze still carries them.
+# Optional columns that silver drops.
 SILVER_DROP_COLUMNS: tuple[str, ...] = ("qa_is_fee_misflag", "fee_misflag_delta")
 
 # Silver split names (rows of the four disjoint splits) and the
@@ -183,6 +185,7 @@ SPLIT_FARE_MISS = "trips_fare_miss"
 DISJOINT_SPLITS: tuple[str, ...] = (SPLIT_REJECTED, SPLIT_ADMIN, SPLIT_ANOMALIES, SPLIT_CLEAN)
 
 # Pattern that carries year and month in a raw file name, e.g. ..._2024-01.parquet
+# Fixed value: year and month in a file name.
 FILE_YEAR_MONTH_PATTERN = r"(\d{4})-(\d{2})"
 
 

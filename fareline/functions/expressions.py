@@ -97,8 +97,9 @@ def any_true(conditions) -> Column:
 
 
 def is_near(a: str | Column, b: str | Column | float, eps: float = 0.02) -> Column:
-    b_col = col(b) if isinstance(b, (str, Column)) else F.lit(b)
-    return F.abs(col(a) - b_col) <= F.lit(eps)
+    """Whether ``a`` lies within ``eps`` of ``b`` (NULL when either is)."""
+    centre = F.lit(b) if isinstance(b, float) else col(b)
+    return col(a).between(centre - eps, centre + eps)
 
 
 def false_if_null(c: Column) -> Column:

@@ -123,19 +123,15 @@ def drop_duplicate_keys(
     file_col: str = "source_file",
     keep: str = "none",
     flag_col: str | None = "qa_is_duplicate_in_file",
-    broadcast_keys: bool = False,
 ) -> DataFrame:
     """Rows whose (file, key) is not in ``dup_keys`` (NULL-safe equality).
 
-    ``broadcast_keys`` must only be set when the key set's size has been
-    checked (see ``plans.bronze.dedup_with_key_set``): the anti join then runs
-    map-side and the rows are never shuffled. keep="first" adds one
+    No join hint: the planner broadcasts a key set whose size it knows to be
+    small (see ``plans.bronze.dedup_with_key_set``). keep="first" adds one
     deterministic representative per repeated key (only repeated rows shuffle).
     """
     group = [*key, file_col]
     k = dup_keys.select(*[F.col(c).alias(f"_k_{c}") for c in group])
-    if broadcast_keys:
-        k = F.broadcast(k)
     cond = None
     for c in group:
         e = df[c].eqNullSafe(k[f"_k_{c}"])

@@ -379,7 +379,8 @@ def vendor_window(fact: DataFrame, dim_vendor: DataFrame, w: ReportWindow) -> Da
             safe_ratio(F.sum("tip_amount"), F.sum("total_amount")).alias("tip_rate"),
         )
     )
-    total = v.agg(F.sum("trips")).scalar()
+    # one row per vendor: the window over all of them is as long as the vendor list
+    total = F.sum("trips").over(Window.partitionBy())
     return v.withColumns(
         {"share": F.col("trips") / total, "revenue_per_trip": safe_ratio("revenue", "trips")}
     )

@@ -7,6 +7,7 @@ returns a projection; no job runs here.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,22 @@ from fareline.config import (
     SILVER_DROP_COLUMNS,
 )
 
+# time texts beside ISO: (pattern, layout), month first where both could be meant
+TEXT_TIME_LAYOUTS = (
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2} [AaPp][Mm]$", "M/d/yyyy h:mm:ss a"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2} [AaPp][Mm]$", "M/d/yyyy h:mm a"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$", "M/d/yyyy H:mm:ss"),
+    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$", "M/d/yyyy H:mm"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{2}:\d{2}$", "yyyy/M/d H:mm:ss"),
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{8} \d{6}$", "yyyyMMdd HHmmss"),
+    (r"^\d{14}$", "yyyyMMddHHmmss"),
+    (r"^\d{1,2}-[A-Za-z]{3}-\d{4} \d{1,2}:\d{2}:\d{2}$", "d-MMM-yyyy H:mm:ss"),
+    (r"^[A-Z][a-z]{2} \d{1,2}, \d{4} \d{1,2}:\d{2}:\d{2}$", "MMM d, yyyy H:mm:ss"),
+    (r"^[A-Z][a-z]{2} \d{1,2} \d{4} \d{1,2}:\d{2}[AP]M$", "MMM d yyyy h:mma"),
+)
+
 INTEGER_ID_COLUMNS = (
     "vendor_id",
     "payment_type",
@@ -46,14 +63,25 @@ def canonicalize_names(df: DataFrame, rename: Mapping[str, str] = CANONICAL_NAME
 
 
 def to_timestamp_ntz(df: DataFrame, name: str) -> Column:
-    """Timestamp coercion: NTZ kept, LTZ/date cast, anything else parsed from text (bad -> NULL)."""
+    """Timestamp coercion: NTZ kept, LTZ/date cast, integers as nanoseconds of the epoch, text parsed.
+
+    Text is tried as ISO first, then by ``TEXT_TIME_LAYOUTS`` in order; text that
+    none of them reads gives NULL. Integers are what nanosecond files are read as.
+    """
     dtype = df.schema[name].dataType
     c = F.col(name)
     if isinstance(dtype, T.TimestampNTZType):
         return c
     if isinstance(dtype, (T.TimestampType, T.DateType)):
         return c.cast(T.TimestampNTZType())
-    return c.cast("string").try_cast(T.TimestampNTZType())
+    if isinstance(dtype, T.IntegralType):
+        micros = F.floor(c.cast("long") / F.lit(Decimal(1000)))
+        seconds = (micros / F.lit(Decimal(1_000_000))).cast("decimal(18,6)")
+        return F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) + F.make_dt_interval(secs=seconds)
+    text = F.trim(c.cast("string"))
+    parsed = [text.try_cast(T.TimestampNTZType())]
+    parsed += [F.when(text.rlike(pattern), F.try_to_timestamp(text, F.lit(layout))).cast(T.TimestampNTZType()) for pattern, layout in TEXT_TIME_LAYOUTS]
+    return F.coalesce(*parsed)
 
 
 def canonicalize(df: DataFrame, rename: Mapping[str, str] = CANONICAL_NAMES) -> DataFrame:

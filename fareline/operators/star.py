@@ -70,6 +70,7 @@ def stg_with_pickup_date(split_rows: DataFrame) -> DataFrame:
     return split_rows.withColumn("pickup_date", F.to_date("pickup_at"))
 
 
+# Measures of the trip fact.
 _FACT_TRIP_MEASURES = (
     "pickup_at",
     "dropoff_at",
@@ -112,6 +113,7 @@ def fact_trips(stg: DataFrame) -> DataFrame:
     )
 
 
+# Measures of the adjustments fact.
 _ADJ_MEASURES = (
     "total_amount",
     "fare_amount",

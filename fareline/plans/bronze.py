@@ -1,9 +1,9 @@
 """Bronze: raw trips -> 33-column contract with QA flags, de-duplicated per file.
 
 Two jobs over all files. First, a narrow aggregate over the key columns finds the
-repeated (file, key) set (a key-only shuffle), which is checkpointed and counted.
+repeated (file, key) set (a key-only shuffle), which is written and read back.
 Then one plan does a scan per schema family, projections, the anti join against
-that set (broadcast when its checked size allows, so the rows are not shuffled),
+that set (broadcast when its written size allows, so the rows are not shuffled),
 projections and one write. ``dedup="aggregate"`` folds everything into a single
 lazy plan whose only shuffle is the de-duplication aggregate.
 """
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from fareline.config import BASE_COLUMNS, DEFAULT_QA, DUP_KEY_COLUMNS, QaRules
 from fareline.operators.dedup import add_dup_key, dedup_in_file, drop_duplicate_keys, duplicate_keys
-from fareline.session import cut_lineage
+from fareline.session import write_shared
 from fareline.operators.normalize import canonicalize, narrow_base_types, select_contract
 from fareline.operators.quality import derive_measures, qa_flags
 from fareline.sources.raw import read_raw_families, year_month_from_file
@@ -27,25 +27,17 @@ def normalize_raw(df: DataFrame) -> DataFrame:
     return out.select(*BASE_COLUMNS, "source_file")
 
 
-# Largest repeated-key set that is broadcast for the anti join (about 64MB of keys).
-MAX_BROADCAST_KEYS = 1_000_000
-
-
-def dedup_with_key_set(
-    base: DataFrame, keep: str = "none", max_broadcast_keys: int = MAX_BROADCAST_KEYS
-) -> DataFrame:
+def dedup_with_key_set(base: DataFrame, keep: str = "none") -> DataFrame:
     """Per-file de-duplication without shuffling the rows.
 
     1. the repeated (file, key) set is computed by a narrow hash aggregate over
-       the key columns and checkpointed (it is small when copies are rare);
-    2. its size is counted on the checkpoint - a proven bound;
-    3. below the bound the rows meet it in a broadcast NULL-safe anti join
-       (map-side: no full-row shuffle, no sort); above it, a shuffled anti join
-       (AQE splits a skewed probe side).
+       the key columns and written as Parquet to the shared folder;
+    2. rows meet it in a NULL-safe anti join. The written files' bytes are what
+       the planner compares with its broadcast threshold: a small set is met
+       map-side (no row shuffle, no sort), a large one in a shuffled join.
     """
-    dups = cut_lineage(duplicate_keys(base, DUP_KEY_COLUMNS, "source_file"))
-    small = dups.count() <= max_broadcast_keys
-    return drop_duplicate_keys(base, dups, DUP_KEY_COLUMNS, "source_file", keep=keep, broadcast_keys=small)
+    dups = write_shared(duplicate_keys(base, DUP_KEY_COLUMNS, "source_file"), "repeated-keys")
+    return drop_duplicate_keys(base, dups, DUP_KEY_COLUMNS, "source_file", keep=keep)
 
 
 def bronze_from_raw(
@@ -57,9 +49,8 @@ def bronze_from_raw(
 ) -> DataFrame:
     """Bronze contract from raw rows that carry ``source_file``.
 
-    ``dedup="key_set"`` (default) removes repeated keys with a checked-size
-    broadcast anti join (one small job runs here to build and size the key
-    set); ``dedup="aggregate"`` keeps everything in one lazy plan (one
+    ``dedup="key_set"`` (default) removes repeated keys with an anti join
+    against the written key set (one small job runs here to build it); ``dedup="aggregate"`` keeps everything in one lazy plan (one
     partial + final aggregate that shuffles the rows). Either way the
     derivations, flags and key text are computed after de-duplication.
     """
@@ -89,7 +80,7 @@ def build_bronze(spark: SparkSession, raw_dir: str, rules: QaRules = DEFAULT_QA,
 
 
 def write_bronze(df: DataFrame, path: str, compression: str = "zstd") -> dict:
-    """Overwrite bronze as zstd Parquet partitioned by year/month; returns run counters.
+    """Replace bronze (all of it) as zstd Parquet partitioned by year/month; returns run counters.
 
     No shuffle before the write: bronze rows keep their scan split, and a raw
     file carries one year-month, so each task writes into one partition (file
@@ -100,6 +91,7 @@ def write_bronze(df: DataFrame, path: str, compression: str = "zstd") -> dict:
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows_written"))
     (
         observed.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .option("compression", compression)
         .partitionBy("source_year", "source_month")
         .parquet(path)

@@ -1,11 +1,10 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame.
 
 Every query reads the driver tables through the trips adapter and the whole
-pipeline. Layers are built once per session and folder (``tpch_trips``):
-silver as a checkpoint, facts as checkpoints, dimensions and marts as
-written tables; queries that examine raw input (``canonicalized``,
-``dedup_in_file``) start from the tables themselves. Rounding of aggregated
-doubles happens only here, at the edge.
+pipeline. Every layer is written once per session and folder by the shipped
+writers and read back (``tpch_trips``); the ``*_from_files`` queries run the
+file side (schema families, bronze and silver builds) on monthly files of the
+same trips. Rounding of aggregated doubles happens only here, at the edge.
 """
 
 from __future__ import annotations
@@ -14,12 +13,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fareline.config import DISJOINT_SPLITS, SPLIT_FARE_MISS
 from fareline.functions.rounding import round_doubles
 from fareline.operators.dedup import dedup_report
 from fareline.operators.marts import MART_BUILDERS
 from fareline.plans import tpch_trips
 from fareline.plans.bronze import normalize_raw
-from fareline.plans.silver import silver_report
+from fareline.plans.silver import read_split, silver_report
+from fareline.plans.warehouse import PARTITION_COLUMN
 from fareline.sources import fixture
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +82,58 @@ def _dup_key_classes(spark, sf):
     return key_class_sizes(_bronze_layer(spark, sf))
 
 
+@register("alt_dup_key_classes")
+def _alt_dup_key_classes(spark, sf):
+    """Equality classes of the alternative eight-column key over bronze."""
+    from fareline.operators.dedup import add_alt_dup_key, key_class_sizes
+
+    return key_class_sizes(add_alt_dup_key(_bronze_layer(spark, sf).drop("dup_key")))
+
+
+@register("classified_rows", rounded=False)
+def _classified_rows(spark, sf):
+    """Q11 + Q16: the four row classes over bronze, with the longer list of required columns."""
+    from fareline.config import REQUIRED_FOR_ROW
+    from fareline.operators.quality import classify_rows
+
+    return classify_rows(_bronze_layer(spark, sf).drop("dup_key"), REQUIRED_FOR_ROW)
+
+
+@register("raw_file_report")
+def _raw_file_report(spark, sf):
+    """Files listed, rows in, duplicates removed and rows written by the bronze build."""
+    return spark.createDataFrame([tpch_trips.file_build(spark, sf).report], "files long, rows_in long, rows_written long, duplicates_removed long")
+
+
+@register("raw_schema_families")
+def _raw_schema_families(spark, sf):
+    """Raw files per schema family (families by their first file)."""
+    from fareline.sources.raw import list_raw_files, schema_families
+
+    found = schema_families(spark, list_raw_files(spark, tpch_trips.file_build(spark, sf).raw))
+    rows = [(files[0].rsplit("/", 1)[-1], len(files)) for files in found.values()]  # one row per family
+    return spark.createDataFrame(rows, "first_file string, files long")
+
+
+@register("bronze_from_files", rounded=False)
+def _bronze_from_files(spark, sf):
+    """Bronze built from monthly files of three schema families, read back."""
+    return tpch_trips.file_build(spark, sf).bronze.drop("dup_key")
+
+
+@register("silver_from_files", rounded=False)
+def _silver_from_files(spark, sf):
+    """The rows of each split view of the silver that was written from files."""
+    from pyspark.sql import functions as F
+
+    s = tpch_trips.file_build(spark, sf).silver
+    views = [read_split(s, name).drop("dup_key").withColumn("split", F.lit(name)) for name in (*DISJOINT_SPLITS, SPLIT_FARE_MISS)]
+    out = views[0]
+    for v in views[1:]:
+        out = out.unionByName(v)
+    return out
+
+
 @register("silver_split_counts")
 def _silver_split_counts(spark, sf):
     """Q15 + S12: rows and total per split (fare_miss overlaps clean)."""
@@ -120,12 +173,17 @@ def _stg_trips(spark, sf):
 @register("fact_trips", rounded=False)
 def _fact_trips(spark, sf):
     """G6 (trip_key is the engine-specific key text, left out)."""
-    return tpch_trips.warehouse(spark, sf)["fact_trips"].drop("trip_key")
+    return _model(tpch_trips.warehouse(spark, sf)["fact_trips"]).drop("trip_key")
+
+
+def _model(df: DataFrame) -> DataFrame:
+    """A written table's own columns, without the month it is partitioned by."""
+    return df.drop(PARTITION_COLUMN)
 
 
 def _table(name: str) -> Query:
     def fn(spark, sf):
-        return tpch_trips.warehouse(spark, sf)[name]
+        return _model(tpch_trips.warehouse(spark, sf)[name])
 
     fn.__doc__ = f"{name} of the star schema."
     return fn
@@ -140,7 +198,16 @@ for _name in MART_BUILDERS:
 def _quality_tables(spark, sf):
     wh = tpch_trips.warehouse(spark, sf, materialize="all")
     names = ("stg_trips", *[n for n in wh.gold_and_marts()])
-    return {n: wh[n] for n in names}
+    return {n: _model(wh[n]) for n in names}
+
+
+@register("strict_check_results")
+def _strict_check_results(spark, sf):
+    """Fare tolerance tests that don't ignore rows flagged as a mismatch, next to those that do."""
+    from fareline.operators.checks import fare_within_tolerance, run_checks
+
+    checks = [fare_within_tolerance("stg_trips", "manual_total", "total_amount", tol, flagged) for tol in (0.5, 2.0) for flagged in (False, True)]
+    return run_checks(_quality_tables(spark, sf), checks)
 
 
 @register("check_results")
@@ -155,7 +222,7 @@ def _profiled(spark, sf):
     from fareline.plans.warehouse import TABLE_LAYERS
 
     wh = tpch_trips.warehouse(spark, sf, materialize="all")
-    tables = wh.gold_and_marts()
+    tables = {n: _model(df) for n, df in wh.gold_and_marts().items()}
     return tables, {n: TABLE_LAYERS[n] for n in tables}
 
 
@@ -164,7 +231,15 @@ def _table_profile(spark, sf):
     """Kind, row count, date range, columns and relationship count per table."""
     from fareline.operators.catalog import profile_tables
 
-    return profile_tables(*_profiled(spark, sf))
+    return profile_tables(*_profiled(spark, sf)).drop("columns")
+
+
+@register("table_columns")
+def _table_columns(spark, sf):
+    """Name, type and nullability of every column."""
+    from fareline.operators.catalog import column_report
+
+    return column_report(*_profiled(spark, sf))
 
 
 @register("table_relationships")
@@ -321,3 +396,12 @@ def _zone_hotspots(spark, sf):
     return zone_hotspots(
         wh["mart_anomaly_summary_daily"], wh["mart_revenue_daily_zone"], wh["dim_zone"], w, min_trips=ZONE_MIN_TRIPS
     )
+
+
+@register("zone_hotspots_floor_100")
+def _zone_hotspots_default(spark, sf):
+    """B11 at the default floor of 100 trips."""
+    from fareline.operators.insights import zone_hotspots
+
+    wh, w = _bi(spark, sf, ZONE_DAYS)
+    return zone_hotspots(wh["mart_anomaly_summary_daily"], wh["mart_revenue_daily_zone"], wh["dim_zone"], w)

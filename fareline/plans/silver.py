@@ -41,7 +41,7 @@ SILVER_PARTITIONS = (SPLIT_COLUMN, "source_year", "source_month")
 
 
 def write_silver(silver: DataFrame, path: str, compression: str = "zstd") -> None:
-    """One job: rows land in ``silver_split=<name>/source_year=/source_month=`` folders.
+    """One job that replaces the whole table: rows land in ``silver_split=<name>/source_year=/source_month=`` folders.
 
     fare_miss is a filter of clean, not a copy. The month level lets later
     jobs prune to the months they rebuild. No shuffle before the write: a task
@@ -49,16 +49,20 @@ def write_silver(silver: DataFrame, path: str, compression: str = "zstd") -> Non
     """
     (
         silver.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .option("compression", compression)
         .partitionBy(*SILVER_PARTITIONS)
         .parquet(path)
     )
 
 
-def read_split(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """One split of a written silver table (partition pruning on ``silver_split``)."""
-    df = spark.read.parquet(path)
-    return split(df, name, SPLIT_COLUMN).drop(SPLIT_COLUMN)
+def read_silver(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
+def read_split(silver: DataFrame, name: str) -> DataFrame:
+    """One split of a silver table read back (partition pruning on ``silver_split``)."""
+    return split(silver, name, SPLIT_COLUMN).drop(SPLIT_COLUMN)
 
 
 def silver_report(silver: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,59 +1,68 @@
 """The full pipeline over trips derived from the driver's TPC-H-like tables.
 
-Used by the registered queries, the bench and the tests. Layers are
-materialised once per session and folder with reliable checkpoints in
-``spark.checkpoint.dir`` (the reference also builds its layers as tables):
-
-* ``"silver"``: the labelled silver table (checkpoint);
-* ``"gold"``:   + facts (checkpoints) and dimensions (written Parquet tables in
-                the shared folder, so their file statistics let the planner
-                broadcast them from the first plan on); marts are computed;
-* ``"all"``:    + the ten marts as written tables (tests, profile and
-                questions read built tables).
+Used by the registered queries, the bench and the tests. Every layer is written
+once per session and folder by the shipped writers and read back, as a user of
+the library would run it:
+
+* raw:     the adapter's trips as Parquet, one partition per source file;
+* bronze:  ``write_bronze`` (partitioned by year and month);
+* silver:  ``write_silver`` (partitioned by split, year and month);
+* gold, marts: ``write_warehouse`` (facts by month), read by ``read_warehouse``,
+  which opens a table when it is first asked for.
+
+``warehouse(..., materialize=None)`` and ``silver(..., materialize=False)`` give
+the lazy plans from the driver tables instead (plan tests).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from dataclasses import dataclass
 
-from fareline.config import DEFAULT_QA, QaRules
-from fareline.plans.bronze import bronze_from_raw
-from fareline.plans.silver import silver_from_bronze
-from fareline.plans.warehouse import Warehouse, build_marts, build_warehouse
-import hashlib
+from pyspark.sql import DataFrame, SparkSession
 
-from fareline.session import cut_lineage, session_key, shared_dir
+from fareline.config import DEFAULT_QA, SPLIT_ADMIN, SPLIT_ANOMALIES, SPLIT_CLEAN, SPLIT_FARE_MISS, QaRules
+from fareline.operators import star
+from fareline.plans.bronze import bronze_from_raw, run_bronze, write_bronze
+from fareline.plans.silver import read_bronze, read_silver, read_split, run_silver, silver_from_bronze, write_silver
+from fareline.plans.warehouse import LazyTables, Warehouse, build_warehouse, read_warehouse, write_warehouse
+from fareline.session import session_key, shared_dir
 from fareline.sources import fixture
 
-_RAW: dict[tuple, DataFrame] = {}
-_SILVER: dict[tuple, DataFrame] = {}
-_GOLD: dict[tuple, dict[str, DataFrame]] = {}
-_MARTS: dict[tuple, dict[str, DataFrame]] = {}
-FACT_TABLES = ("fact_trips", "fact_revenue_adjustments")
-DIM_TABLES = ("dim_date", "dim_payment", "dim_vendor", "dim_zone")
+_PATHS: dict[tuple, str] = {}
+_FRAMES: dict[tuple, DataFrame] = {}
+_WAREHOUSES: dict[tuple, Warehouse] = {}
+_BUILDS: dict[tuple, FileBuild] = {}
 
 
-def _written(spark: SparkSession, key: tuple, name: str, df: DataFrame) -> DataFrame:
-    """Write a small built table to the shared folder and read it back (keeps file statistics)."""
-    tag = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
-    path = shared_dir(spark, f"fareline-{tag}/{name}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def _key(spark: SparkSession, sf_dir: str, *more) -> tuple:
+    return (session_key(spark), sf_dir.rstrip("/"), *more)
 
 
-def raw(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
-    """Raw trips of the adapter; materialised once ("landed"), as raw files would be.
+def _folder(spark: SparkSession, key: tuple) -> str:
+    """The layers' own folder in the shared storage."""
+    if key not in _PATHS:
+        _PATHS[key] = shared_dir(spark, f"fareline-{uuid.uuid4().hex}")
+    return _PATHS[key]
 
-    The default de-duplication reads raw twice (key columns, then all columns),
-    which is what a columnar file scan makes cheap; landing the adapter's output
-    keeps that true here instead of computing the lineitem x orders join twice.
-    """
+
+def _read(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """A written layer with the types and the column order it was written with."""
+    return spark.read.schema(like.schema).parquet(path).select(*like.columns)
+
+
+def raw(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
+    """Raw trips of the adapter; landed once as Parquet, a partition for each source file."""
+    trips = fixture.raw_trips(spark, sf_dir)
     if not materialize:
-        return fixture.raw_trips(spark, sf_dir)
-    key = (session_key(spark), sf_dir.rstrip("/"))
-    if key not in _RAW:
-        _RAW[key] = cut_lineage(fixture.raw_trips(spark, sf_dir))
-    return _RAW[key]
+        return trips
+    key = _key(spark, sf_dir, "raw")
+    if key not in _FRAMES:
+        path = f"{_folder(spark, _key(spark, sf_dir))}/raw"
+        # a hot month is split over several tasks and files
+        trips.hint("rebalance", "source_file").write.partitionBy("source_file").parquet(path)
+        _FRAMES[key] = _read(spark, path, trips)
+    return _FRAMES[key]
 
 
 def bronze(spark: SparkSession, sf_dir: str, rules: QaRules = DEFAULT_QA, materialize_raw: bool = True) -> DataFrame:
@@ -63,35 +72,75 @@ def bronze(spark: SparkSession, sf_dir: str, rules: QaRules = DEFAULT_QA, materi
 def silver(spark: SparkSession, sf_dir: str, rules: QaRules = DEFAULT_QA, materialize: bool = False) -> DataFrame:
     if not materialize:
         return silver_from_bronze(bronze(spark, sf_dir, rules, materialize_raw=False))
-    key = (session_key(spark), sf_dir.rstrip("/"), rules)
-    if key not in _SILVER:
-        _SILVER[key] = cut_lineage(silver_from_bronze(bronze(spark, sf_dir, rules)))
-    return _SILVER[key]
+    key = _key(spark, sf_dir, rules)
+    if key not in _FRAMES:
+        base = _folder(spark, key)
+        b = bronze(spark, sf_dir, rules)
+        write_bronze(b, f"{base}/bronze")
+        s = silver_from_bronze(_read(spark, f"{base}/bronze", b))
+        write_silver(s, f"{base}/silver")
+        _FRAMES[key] = _read(spark, f"{base}/silver", s)
+    return _FRAMES[key]
+
+
+def _staging(spark: SparkSession, sf_dir: str, rules: QaRules) -> dict:
+    """Staged splits of the written silver; each is built when it is first asked for."""
+    s = silver(spark, sf_dir, rules, materialize=True)
+
+    def rows(name: str) -> DataFrame:
+        return read_split(s, name)
+
+    return {
+        "stg_trips": lambda: star.stg_trips(rows(SPLIT_CLEAN)),
+        "stg_admin": lambda: star.stg_with_pickup_date(rows(SPLIT_ADMIN)),
+        "stg_anomalies": lambda: star.stg_with_pickup_date(rows(SPLIT_ANOMALIES)),
+        "stg_fare_miss": lambda: star.stg_with_pickup_date(rows(SPLIT_FARE_MISS)),
+    }
 
 
 def warehouse(spark: SparkSession, sf_dir: str, rules: QaRules = DEFAULT_QA, materialize: str | None = "gold") -> Warehouse:
-    """Every table of the star schema and marts; ``materialize`` in (None, "silver", "gold", "all")."""
-    lazy = build_warehouse(
-        silver(spark, sf_dir, rules, materialize is not None),
-        vendors=fixture.vendors(spark),
-        payment_types=fixture.payment_types(spark),
-        zones=fixture.zones(spark, sf_dir),
-        airport=fixture.FIXTURE_AIRPORTS,
-    )
+    """Every table of the star schema and marts.
+
+    ``materialize``: None (lazy from the driver tables), "silver" (lazy from the
+    written silver), "gold" or "all" (written tables, staging from silver).
+    """
     if materialize in (None, "silver"):
-        return lazy
-    key = (session_key(spark), sf_dir.rstrip("/"), rules)
-    if key not in _GOLD:
-        gold = {name: cut_lineage(lazy[name]) for name in FACT_TABLES}
-        gold |= {name: _written(spark, key, name, lazy[name]) for name in DIM_TABLES}
-        _GOLD[key] = gold
-    tables = dict(lazy.tables) | _GOLD[key]
-    if materialize == "all" and key in _MARTS:
-        return Warehouse(tables | _MARTS[key])
-    marts = build_marts(
-        tables["fact_trips"], tables["fact_revenue_adjustments"], tables["dim_zone"], fixture.FIXTURE_AIRPORTS
-    )
-    if materialize == "all":
-        _MARTS[key] = {k: _written(spark, key, k, v) for k, v in marts.items()}
-        marts = _MARTS[key]
-    return Warehouse(tables | marts)
+        return build_warehouse(
+            silver(spark, sf_dir, rules, materialize is not None),
+            vendors=fixture.vendors(spark),
+            payment_types=fixture.payment_types(spark),
+            zones=fixture.zones(spark, sf_dir),
+            airport=fixture.FIXTURE_AIRPORTS,
+        )
+    key = _key(spark, sf_dir, rules)
+    if key not in _WAREHOUSES:
+        lazy = warehouse(spark, sf_dir, rules, "silver")
+        base = f"{_folder(spark, key)}/warehouse"
+        write_warehouse(
+            spark, lazy, base, fixture.vendors(spark), fixture.payment_types(spark), fixture.zones(spark, sf_dir),
+            airport=fixture.FIXTURE_AIRPORTS,
+        )
+        _WAREHOUSES[key] = Warehouse(LazyTables(_staging(spark, sf_dir, rules)) | read_warehouse(spark, base).tables)
+    return _WAREHOUSES[key]
+
+
+@dataclass(frozen=True)
+class FileBuild:
+    """Layers built from raw files: the folder, the build's report, and both tables read back."""
+
+    raw: str
+    report: dict
+    bronze: DataFrame
+    silver: DataFrame
+
+
+def file_build(spark: SparkSession, sf_dir: str, rules: QaRules = DEFAULT_QA) -> FileBuild:
+    """Monthly raw files of three schema families through ``run_bronze`` and ``run_silver``; once per session and folder."""
+    key = _key(spark, sf_dir, rules, "files")
+    if key not in _BUILDS:
+        base = _folder(spark, key)
+        fixture.land_files(spark, sf_dir, f"{base}/files", raw(spark, sf_dir))
+        report = run_bronze(spark, f"{base}/files", f"{base}/bronze", rules)
+        run_silver(read_bronze(spark, f"{base}/bronze"), f"{base}/silver")
+        _BUILDS[key] = FileBuild(f"{base}/files", report, read_bronze(spark, f"{base}/bronze"), read_silver(spark, f"{base}/silver"))
+    return _BUILDS[key]

@@ -18,10 +18,13 @@ are not. Date-window readers add the matching ``date_month`` predicate
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fareline.config import (
     DEFAULT_AIRPORT,
@@ -61,9 +64,40 @@ PARTITION_COLUMN = "date_month"
 PARTITIONED = ("fact_trips", "fact_revenue_adjustments")
 
 
+# beside the tables: their schemas
+SCHEMAS = "schemas"
+
+
+class LazyTables(Mapping):
+    """Tables by name; a value that is a function is called when the table is first asked for."""
+
+    def __init__(self, tables: Mapping[str, DataFrame | Callable[[], DataFrame]] = ()):
+        self._tables = dict(tables)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        value = self._tables[name]
+        if not isinstance(value, DataFrame):
+            value = self._tables[name] = value()
+        return value
+
+    def __iter__(self):
+        return iter(self._tables)
+
+    def __len__(self) -> int:
+        return len(self._tables)
+
+    def __or__(self, other: Mapping) -> LazyTables:
+        more = other._tables if isinstance(other, LazyTables) else dict(other)
+        return LazyTables(self._tables | more)
+
+
 @dataclass
 class Warehouse:
-    tables: dict[str, DataFrame] = field(default_factory=dict)
+    tables: LazyTables = field(default_factory=LazyTables)
+
+    def __post_init__(self):
+        if not isinstance(self.tables, LazyTables):
+            self.tables = LazyTables(self.tables)
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -75,7 +109,7 @@ class Warehouse:
             raise AttributeError(name) from exc
 
     def gold_and_marts(self) -> dict[str, DataFrame]:
-        return {k: v for k, v in self.tables.items() if TABLE_LAYERS.get(k) in ("gold", "marts")}
+        return {k: self.tables[k] for k in self.tables if TABLE_LAYERS.get(k) in ("gold", "marts")}
 
 
 def build_warehouse(
@@ -146,7 +180,7 @@ def _write(df: DataFrame, path: str, partitioned: bool, compression: str, rebala
         if rebalance:
             df = df.hint("rebalance", PARTITION_COLUMN)
         df = df.sortWithinPartitions(PARTITION_COLUMN, "date_day")
-    w = df.write.mode("overwrite").option("compression", compression)
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", compression)
     if partitioned:
         w = w.partitionBy(PARTITION_COLUMN)
     w.parquet(path)
@@ -190,14 +224,31 @@ def write_warehouse(
     adj = out["fact_revenue_adjustments"] = put("fact_revenue_adjustments", wh["fact_revenue_adjustments"])
     out["dim_date"] = put("dim_date", S.dim_date(fact, adj))
     out["dim_payment"] = put("dim_payment", S.dim_payment(payment_types))
-    stg = out.get("stg_trips", wh["stg_trips"])
-    out["dim_vendor"] = put("dim_vendor", S.dim_vendor(stg, vendors))
-    out["dim_zone"] = put("dim_zone", S.dim_zone(stg, zones))
+    # the written fact has every staged trip and its ids: no second pass over silver
+    out["dim_vendor"] = put("dim_vendor", S.dim_vendor(fact, vendors))
+    out["dim_zone"] = put("dim_zone", S.dim_zone(fact, zones))
     for name, df in build_marts(fact, adj, out["dim_zone"], airport, anomaly, payment).items():
         out[name] = put(name, df)
+    schemas = [(n, df.schema.json()) for n, df in out.items()]
+    spark.createDataFrame(schemas, "table string, schema string").coalesce(1).write.mode("overwrite").json(f"{base}/{SCHEMAS}")
     return Warehouse(out)
 
 
+def read_warehouse(spark: SparkSession, path: str) -> Warehouse:
+    """Tables of a written warehouse, each opened when it is first asked for.
+
+    Schemas come from the list that was written with the tables, so an empty
+    table reads back as one; a folder without that list raises.
+    """
+    base = path.rstrip("/")
+    rows = spark.read.schema("table string, schema string").json(f"{base}/{SCHEMAS}").collect()  # one row per table
+
+    def reader(name: str, schema: str):
+        return lambda: spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(f"{base}/{TABLE_LAYERS[name]}/{name}")
+
+    return Warehouse(LazyTables({r["table"]: reader(r["table"], r["schema"]) for r in rows}))
+
+
 def register_views(spark: SparkSession, wh: Warehouse, layers: Layers = Layers()) -> list[str]:
     """Temp views named ``<layer>_<table>`` (e.g. ``gold_fact_trips``) plus bare names."""
     names = []

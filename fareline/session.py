@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,7 +18,8 @@ DEFAULT_CONF = {
     # runtime broadcast only below a measured size; otherwise sort-merge
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.parquet.compression.codec": "zstd",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # files with nanosecond timestamps: read as integers, see ``operators.normalize.to_timestamp_ntz``
+    "spark.sql.legacy.parquet.nanosAsLong": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -38,8 +40,8 @@ def get_session(master: str | None = "local[*]", shuffle_partitions: int = 8, ap
 def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 512 << 20) -> dict[str, str]:
     """Sizing for a cluster run over ``input_bytes`` of compressed Parquet.
 
-    * scan splits of ``maxPartitionBytes`` (256MB-1GB) keep the task count
-      proportional to data without tiny tasks;
+    * scan splits of a 100,000th of the input, between 128MB and 1GB, keep the
+      task count proportional to data without tiny tasks;
     * the initial shuffle width is sized so each partition holds ~512MB of
       shuffle data at ~3x expansion of compressed Parquet, capped at 400k
       partitions to bound the driver's map-output bookkeeping; AQE then
@@ -48,7 +50,7 @@ def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes:
     * e.g. 100 TB on 1,000 executors x 8 cores -> 1GB splits (~100k scan
       tasks) and 400k initial shuffle partitions (~750MB each).
     """
-    split = 1 << 30 if input_bytes > (10 << 40) else (512 << 20 if input_bytes > (1 << 40) else 128 << 20)
+    split = max(128 << 20, min(1 << 30, input_bytes // 100_000))
     shuffle = max(2 * total_cores, min(400_000, (3 * input_bytes) // target_partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
@@ -60,9 +62,10 @@ def recommended_conf(input_bytes: int, total_cores: int, target_partition_bytes:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
-    """The cluster's checkpoint folder (``spark.checkpoint.dir``); a local one only when unset.
+    """The cluster's checkpoint folder (``spark.checkpoint.dir``).
 
-    Returns None on sessions without a driver-side context (Spark Connect),
+    Where it is unset, a local master gets a temporary folder; any other master
+    raises, as its machines share no local folder. Returns None on sessions without a driver-side context (Spark Connect),
     where the server's own setting applies.
     """
     try:
@@ -74,17 +77,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    local = tempfile.mkdtemp(prefix="fareline-ckpt-")  # tests / single machine only
+    if not is_local(sc.master):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that the whole cluster shares (master {sc.master})")
+    local = tempfile.mkdtemp(prefix="fareline-ckpt-")
     sc.setCheckpointDir(local)
     return local
 
 
+def is_local(master: str) -> bool:
+    """One JVM on one machine (``local``, ``local[8]``); ``local-cluster`` has executors of its own."""
+    return master == "local" or master.startswith("local[")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def write_shared(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to a new folder of the shared storage and read back.
+
+    Cuts lineage, survives lost executors, and gives the planner file sizes.
+    """
+    path = shared_dir(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def session_key(spark: SparkSession) -> str:
     """Identifier of the running application (for per-session memoisation)."""
     try:
@@ -101,4 +121,4 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
-__all__ = ["DEFAULT_CONF", "cut_lineage", "ensure_checkpoint_dir", "get_session", "recommended_conf", "session_key", "shared_dir"]
+__all__ = ["DEFAULT_CONF", "cut_lineage", "ensure_checkpoint_dir", "get_session", "is_local", "recommended_conf", "session_key", "shared_dir", "write_shared"]

@@ -15,17 +15,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareline.config import AirportRule
+from fareline.config import FILE_YEAR_MONTH_PATTERN, AirportRule
 from fareline.sources.seeds import payment_types_seed, vendors_seed
 
 # Adapter from lineitem/orders to raw trips. ``{lineitem}`` / ``{orders}``
-# are table references (DataFrame arguments in Spark, views in DuckDB).
+# are table references (DataFrame arguments in Spark, views in DuckDB);
+# ``{copies}`` yields one or two rows of a line (exact duplicates).
+COPIES_SPARK = "explode(if(l_partkey % 97 = 0, array(1, 2), array(1)))"
+COPIES_DUCKDB = "unnest(if(l_partkey % 97 = 0, [1, 2], [1]))"
 TRIPS_SQL = """
 with k as (
   select l.*, o.o_orderpriority,
          (l_orderkey*31 + l_partkey*7 + l_suppkey*13 + l_linenumber*3) as h
-  from (select * from {lineitem} union all
-        select * from {lineitem} where l_partkey % 97 = 0) l
+  from (select *, {copies} as copy from {lineitem}) l
   join {orders} o on l_orderkey = o_orderkey
 ),
 p as (
@@ -47,7 +49,7 @@ select
        when l_partkey % 67 = 0 then 150.0e0 + l_quantity
        when l_partkey % 227 = 0 then null
        else (h % 200) / 10.0e0 + 0.1e0 end as trip_distance_mi,
-  cast(1 as smallint) as rate_code_id,
+  cast(substr(o_orderpriority, 1, 1) as smallint) as rate_code_id,
   case when l_partkey % 2 = 0 then 'Y' else 'N' end as store_and_fwd_flag,
   cast(l_partkey % 26 as int) as pu_location_id,
   cast(l_orderkey % 25 + 1 as int) as do_location_id,
@@ -111,7 +113,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trips (canonical names) with ``source_file`` lineage."""
     trips = spark.sql(
-        TRIPS_SQL,
+        TRIPS_SQL.replace("{copies}", COPIES_SPARK),
         lineitem=read_table(spark, sf_dir, "lineitem"),
         orders=read_table(spark, sf_dir, "orders"),
     )
@@ -153,6 +155,50 @@ def raw_trips_as_files(spark: SparkSession, sf_dir: str, trips: DataFrame | None
     )
 
 
+def _nanos(name: str):
+    return F.unix_micros(F.col(name).cast("timestamp")) * 1000
+
+
+def as_family(named: DataFrame, trips: DataFrame, family: int) -> DataFrame:
+    """Trips of one schema family: 0 text times and numbers, 1 nanosecond integers and another
+    spelling of the fee, 2 native types without the later columns."""
+    if family == 0:
+        return named
+    times = {"tpep_pickup_datetime": _nanos("pickup_at"), "tpep_dropoff_datetime": _nanos("dropoff_at")}
+    if family == 2:
+        times = {"tpep_pickup_datetime": F.col("pickup_at"), "tpep_dropoff_datetime": F.col("dropoff_at")}
+    fee = {"airport_fee": F.col("airport_fee")} | ({"cbd_congestion_fee": F.col("cbd_congestion_fee")} if family == 1 else {})
+    renamed = {
+        "VendorID": "vendor_id", "passenger_count": "passenger_count", "trip_distance": "trip_distance_mi", "RatecodeID": "rate_code_id",
+        "store_and_fwd_flag": "store_and_fwd_flag", "PULocationID": "pu_location_id", "DOLocationID": "do_location_id",
+    }
+    same = ("payment_type", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount", "congestion_surcharge", "source_file")
+    return trips.select(
+        *[c.alias(k) for k, c in times.items()], *[F.col(v).alias(k) for k, v in renamed.items()], *same, *[c.alias(k) for k, c in fee.items()]
+    )
+
+
+def land_files(spark: SparkSession, sf_dir: str, out_dir: str, trips: DataFrame) -> None:
+    """The trips as monthly files ``out_dir/<source_file>``, months alternating between three schema families.
+
+    A file is one month, so its rows meet in one task; the files then get their names by renaming.
+    """
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    Path = jvm.org.apache.hadoop.fs.Path
+    named = raw_trips_as_files(spark, sf_dir, trips)
+    for family in range(3):
+        mine = F.pmod(F.regexp_extract("source_file", FILE_YEAR_MONTH_PATTERN, 2).cast("int"), F.lit(3)) == family
+        staged = f"{out_dir}-family{family}"
+        rows = as_family(named.where(mine), trips.where(mine), family)
+        rows.repartition("source_file").write.partitionBy("source_file").parquet(staged)
+        fs = Path(staged).getFileSystem(conf)
+        fs.mkdirs(Path(out_dir))
+        for folder in fs.globStatus(Path(f"{staged}/source_file=*")):
+            name = folder.getPath().getName().split("=", 1)[1]
+            for part in fs.globStatus(Path(f"{folder.getPath().toString()}/part-*")):
+                fs.rename(part.getPath(), Path(f"{out_dir}/{name}"))
+
+
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(
         ZONES_SQL,

@@ -13,7 +13,6 @@ from __future__ import annotations
 import re
 from collections import OrderedDict
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,12 +21,21 @@ from pyspark.sql.utils import AnalysisException
 from fareline.config import FILE_YEAR_MONTH_PATTERN
 
 
+# error conditions of a folder that is missing or holds nothing
+NO_FILES = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def list_raw_files(spark: SparkSession, raw_dir: str, glob: str = "*.parquet") -> list[str]:
-    """Sorted Parquet files under ``raw_dir``; raises FileNotFoundError when there are none."""
+    """Sorted Parquet files under ``raw_dir``; raises FileNotFoundError when there are none.
+
+    Only names are listed (no file is opened); any other error is passed on.
+    """
     try:
-        files = spark.read.option("pathGlobFilter", glob).parquet(raw_dir).inputFiles()
-    except AnalysisException as exc:  # empty or missing folder
-        raise FileNotFoundError(f"no parquet files found in {raw_dir}") from exc
+        files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(raw_dir).inputFiles()
+    except AnalysisException as exc:
+        if exc.getCondition() not in NO_FILES:
+            raise
+        files = []
     if not files:
         raise FileNotFoundError(f"no parquet files found in {raw_dir}")
     return sorted(files, key=lambda p: p.rsplit("/", 1)[-1])
@@ -41,10 +49,6 @@ def parse_year_month(name: str) -> tuple[int, int]:
     return int(m.group(1)), int(m.group(2))
 
 
-# Above this many files the footers are read by Spark tasks instead of driver threads.
-DISTRIBUTED_FOOTERS_ABOVE = 2000
-
-
 def _arrow_uri(path: str) -> str:
     """Spark file URI -> a URI Arrow's filesystem layer understands."""
     if path.startswith("file:") and not path.startswith("file://"):
@@ -54,11 +58,11 @@ def _arrow_uri(path: str) -> str:
     return path
 
 
-def footer_schemas(spark: SparkSession, files: Sequence[str], partitions: int | None = None) -> dict[str, str]:
-    """path -> footer schema text, read by Spark tasks (Arrow inside each task).
+def footer_schemas(spark: SparkSession, files: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """(path, schema) of Parquet footers, read by Spark tasks (Arrow inside each task).
 
     The file list is spread over ``partitions`` tasks; each task opens only the
-    footers of its files. Only (path, schema) pairs return to the driver.
+    footers of its files. Storage that can't be read fails the job.
     """
     import pandas as pd
 
@@ -73,40 +77,23 @@ def footer_schemas(spark: SparkSession, files: Sequence[str], partitions: int |
             out = []
             for p in pdf["path"]:
                 filesystem, inner = pafs.FileSystem.from_uri(_arrow_uri(p))
-                out.append(pq.read_schema(inner, filesystem=filesystem).remove_metadata().to_string())
+                schema = pq.read_schema(inner, filesystem=filesystem)
+                out.append(schema.to_string(show_field_metadata=False, show_schema_metadata=False))
             yield pd.DataFrame({"path": pdf["path"], "schema": out})
 
-    return {r["path"]: r["schema"] for r in paths.mapInPandas(read, "path string, schema string").collect()}
+    return paths.mapInPandas(read, "path string, schema string")
 
 
-def schema_families(
-    spark: SparkSession, files: Sequence[str], threads: int = 16, distributed: bool | None = None
-) -> "OrderedDict[str, list[str]]":
-    """Group files by footer schema, in file order.
+def schema_families(spark: SparkSession, files: Sequence[str]) -> "OrderedDict[str, list[str]]":
+    """Files grouped by footer schema, families in the order of their first file.
 
-    Up to ``DISTRIBUTED_FOOTERS_ABOVE`` files the driver reads the footers in
-    ``threads`` parallel threads; beyond it (or with ``distributed=True``) Spark
-    tasks read them (``footer_schemas``), falling back to the driver threads when
-    Arrow cannot open the storage.
+    Grouping runs in Spark; one row per family comes back (its schema once, and
+    the paths that its reader is given).
     """
-    schemas: list[str] | None = None
-    if distributed or (distributed is None and len(files) > DISTRIBUTED_FOOTERS_ABOVE):
-        try:
-            found = footer_schemas(spark, files)
-            schemas = [found[f] for f in files]
-        except Exception:  # storage not reachable through Arrow: read on the driver
-            schemas = None
-    if schemas is None:
-
-        def footer(path: str) -> str:
-            return spark.read.parquet(path).schema.json()
-
-        with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
-            schemas = list(pool.map(footer, files))
-    families: OrderedDict[str, list[str]] = OrderedDict()
-    for path, sch in zip(files, schemas):
-        families.setdefault(sch, []).append(path)
-    return families
+    name = F.element_at(F.split("path", "/"), -1)
+    found = footer_schemas(spark, files).groupBy("schema").agg(F.sort_array(F.collect_list(F.struct(name.alias("name"), "path"))).alias("files"))
+    rows = sorted(found.collect(), key=lambda r: r["files"][0]["name"])
+    return OrderedDict((r["schema"], [f["path"] for f in r["files"]]) for r in rows)
 
 
 def with_lineage(df: DataFrame, file_col: str = "source_file") -> DataFrame:

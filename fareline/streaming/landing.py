@@ -8,11 +8,12 @@ silver plans over exactly the files of that micro-batch:
 * per-file de-duplication is exact, because a file never spans micro-batches;
 * each batch is grouped by schema family like the batch build, so files
   whose schema drifted are still canonicalised correctly;
-* bronze is written partitioned by (source_year, source_month, source_file)
-  and silver additionally by silver_split, with dynamic partition overwrite:
-  replaying a batch after a failure rewrites exactly the partitions of its
-  own files (idempotent, and never touches rows of other files of the same
-  month) - the stream checkpoint records which files were done.
+* bronze and silver are written partitioned by (source_year, source_month,
+  source_file); ``silver_split`` is a plain column there. The folders of a
+  batch's files are cleared and written anew, so a replayed or corrected file,
+  or one processed under changed rules, replaces all it wrote before (also when
+  no row of it is left) and never touches rows of other files - the stream
+  checkpoint records which files were done.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from fareline.config import DEFAULT_QA, QaRules
 from fareline.plans.bronze import bronze_from_raw, normalize_raw
-from fareline.plans.silver import SPLIT_COLUMN, silver_from_bronze
+from fareline.plans.silver import silver_from_bronze
 from fareline.sources.raw import parse_year_month, schema_families, with_lineage
 
 
@@ -32,10 +33,22 @@ BRONZE_PARTS = ("source_year", "source_month", "source_file")
 LISTING_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+def clear_files(spark: SparkSession, table_path: str, files: list[str]) -> None:
+    """Remove the partitions of ``files`` from a table (file system calls only, any Hadoop storage)."""
+    jvm = spark._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for f in files:
+        name = f.rsplit("/", 1)[-1]
+        year, month = parse_year_month(name)
+        escaped = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(name)
+        folder = jvm.org.apache.hadoop.fs.Path(f"{table_path}/source_year={year}/source_month={month}/source_file={escaped}")
+        folder.getFileSystem(conf).delete(folder, True)
+
+
 def process_files(
     spark: SparkSession, files: list[str], bronze_path: str, silver_path: str, rules: QaRules = DEFAULT_QA
 ) -> None:
-    """Batch bronze + silver for a set of raw files, overwriting only their partitions."""
+    """Batch bronze + silver for a set of raw files, replacing all that those files wrote before."""
     if not files:
         return
     for f in files:
@@ -45,21 +58,13 @@ def process_files(
     for f in fams[1:]:
         raw = raw.unionByName(f)
     bronze = bronze_from_raw(raw, rules, canonical=True)
-    (
-        bronze.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*BRONZE_PARTS)
-        .parquet(bronze_path)
-    )
+    clear_files(spark, bronze_path, files)
+    bronze.write.mode("append").partitionBy(*BRONZE_PARTS).parquet(bronze_path)
     names = [f.rsplit("/", 1)[-1] for f in files]
-    written = spark.read.parquet(bronze_path).where(F.col("source_file").isin(names))  # partition pruning
+    written = spark.read.schema(bronze.schema).parquet(bronze_path).where(F.col("source_file").isin(names))  # partition pruning
     silver = silver_from_bronze(written.select(*bronze.columns), check=True)
-    (
-        silver.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*BRONZE_PARTS, SPLIT_COLUMN)
-        .parquet(silver_path)
-    )
+    clear_files(spark, silver_path, files)
+    silver.write.mode("append").partitionBy(*BRONZE_PARTS).parquet(silver_path)
 
 
 def start_landing_stream(

@@ -13,7 +13,8 @@ checks the Spark rewrites rather than repeating them.
 from __future__ import annotations
 
 from fareline.functions.rounding import round_sql
-from fareline.sources.fixture import SOURCE_FILE_SQL, TRIPS_SQL, ZONES_SQL
+from fareline.sources.fixture import COPIES_DUCKDB, SOURCE_FILE_SQL, TRIPS_SQL, ZONES_SQL
+from fareline.config import ALT_DUP_KEY_COLUMNS, REQUIRED_FOR_ROW
 from fareline.sources.seeds import PAYMENT_TYPES, VENDORS
 
 _KEY = "vendor_id, pickup_at, dropoff_at, pu_location_id, do_location_id, fare_amount, trip_distance_mi"
@@ -41,7 +42,7 @@ _ANOMALY = "(not qa_in_file_window or qa_outlier_distance or qa_outlier_speed) a
 _DUR = "date_diff('minute', pickup_at, dropoff_at)"
 
 CHAIN = f"""
-fx_raw0 as ({TRIPS_SQL.format(lineitem='lineitem', orders='orders')}),
+fx_raw0 as ({TRIPS_SQL.format(lineitem='lineitem', orders='orders', copies=COPIES_DUCKDB)}),
 fx_raw as (select * exclude (source_year, source_month), {SOURCE_FILE_SQL} as source_file from fx_raw0),
 fx_dd as (select *, count(*) over (partition by source_file, {_KEY}) as n_copies from fx_raw),
 fx_b1 as (
@@ -254,6 +255,23 @@ def base_queries() -> dict[str, str]:
         "dup_key_classes": q(
             f"select copies, count(*)::bigint as keys from (select count(*)::bigint as copies from bronze group by {_KEY}) g "
             "group by copies"),
+        "alt_dup_key_classes": q(
+            "select copies, count(*)::bigint as keys from (select count(*)::bigint as copies from bronze "
+            f"group by {', '.join(ALT_DUP_KEY_COLUMNS)}) g group by copies"),
+        "classified_rows": q(
+            f"select *, ({_MISSING} or {' or '.join(c + ' is null' for c in REQUIRED_FOR_ROW)}) as is_rejected_missing, "
+            "qa_is_adjustment as is_admin_issue, qa_is_fare_mismatch as is_fare_mismatch, "
+            f"({_ANOMALY}) as is_anomaly from bronze"),
+        "raw_file_report": q(
+            "select count(distinct source_file)::bigint as files, count(*)::bigint as rows_in, "
+            "count_if(n_copies = 1)::bigint as rows_written, count_if(n_copies > 1)::bigint as duplicates_removed from fx_dd"),
+        "raw_schema_families": q(
+            "select min(source_file) as first_file, count(distinct source_file)::bigint as files "
+            "from (select source_file, cast(regexp_extract(source_file, '(\\d{4})-(\\d{2})', 2) as int) % 3 as family from fx_raw) f group by family"),
+        "bronze_from_files": q("select * from bronze"),
+        "silver_from_files": q(
+            "select * exclude (silver_split), silver_split as split from silver "
+            "union all by name select *, 'trips_fare_miss' as split from trips_fare_miss"),
         "silver_split_counts": q(
             "select silver_split, count(*)::bigint as rows, sum(total_amount) as total_amount_sum from silver group by 1 "
             "union all select 'trips_fare_miss', count(*)::bigint, sum(total_amount) from trips_fare_miss",
@@ -322,6 +340,14 @@ def check_results_sql() -> str:
     return with_chain(f"select *, failures = 0 as passed from ({body}) r")
 
 
+def strict_check_results_sql() -> str:
+    from fareline.operators.checks import fare_within_tolerance
+
+    checks = [fare_within_tolerance("stg_trips", "manual_total", "total_amount", tol, flagged) for tol in (0.5, 2.0) for flagged in (False, True)]
+    body = "\nunion all\n".join(_check_sql(c) for c in checks)
+    return with_chain(f"select *, failures = 0 as passed from ({body}) r")
+
+
 # Expected catalog facts, written from the models: table -> (layer, columns, date column, relationships)
 _REL = {
     "fact_trips": [("date_day", "dim_date", "date_day"), ("vendor_id", "dim_vendor", "vendor_id"),
@@ -363,6 +389,56 @@ _PROFILE = [
 ]
 
 
+# Columns of every built table, with Spark's type names, written from the models.
+_COLUMNS = {
+    "dim_date": "date_day date, year int, quarter int, month int, day int, year_month string, day_name string, iso_dow int, is_weekend boolean",
+    "dim_payment": "payment_type smallint, payment_desc string",
+    "dim_vendor": "vendor_id smallint, vendor_name string",
+    "dim_zone": "location_id int, borough string, zone string, service_zone string",
+    "fact_revenue_adjustments": "date_day date, payment_type smallint, pu_location_id int, do_location_id int, total_amount double, "
+    "fare_amount double, extra double, mta_tax double, tip_amount double, tolls_amount double, improvement_surcharge double, "
+    "congestion_surcharge double, airport_fee double, cbd_congestion_fee double, is_adjustment boolean, source_year int, source_month int, "
+    "source_file string",
+    "fact_trips": "trip_key string, date_day date, vendor_id smallint, payment_type smallint, pu_location_id int, do_location_id int, "
+    "pickup_at timestamp_ntz, dropoff_at timestamp_ntz, passenger_count smallint, trip_distance_mi double, rate_code_id smallint, "
+    "store_and_fwd_flag string, fare_amount double, extra double, mta_tax double, tip_amount double, tolls_amount double, "
+    "improvement_surcharge double, congestion_surcharge double, airport_fee double, cbd_congestion_fee double, total_amount double, "
+    "manual_total double, duration_min double, speed_mph double, qa_in_file_window boolean, qa_outlier_distance boolean, "
+    "qa_outlier_speed boolean, qa_is_fare_mismatch boolean, qa_is_adjustment boolean, source_file string",
+    "mart_adjustments_daily_zone": "date_day date, payment_type smallint, location_id int, trips bigint, total_revenue double",
+    "mart_airport_daily": "date_day date, airport string, direction string, trips bigint, total_revenue double, fare_revenue double, "
+    "tip_revenue double, airport_fee_total double, avg_miles double",
+    "mart_anomaly_summary_daily": "date_day date, location_id int, distance_outliers bigint, duration_outliers bigint, "
+    "speed_outliers bigint, negative_total bigint, anomalies bigint",
+    "mart_congestion_impact_daily": "date_day date, trips_with_congestion bigint, trips_total bigint, revenue_with_congestion double, "
+    "revenue_without_congestion double, avg_fare_with_congestion double, avg_fare_without_congestion double",
+    "mart_kpi_daily": "date_day date, trips bigint, gross_revenue double, net_revenue double, tips double, tip_rate double, "
+    "congestion double, tolls double, avg_miles double, avg_duration_min double, avg_speed_mph double",
+    "mart_od_matrix_monthly": "year_month string, pu_location_id int, do_location_id int, trips bigint, revenue double, avg_miles double, "
+    "avg_duration_min double",
+    "mart_payment_mix_daily": "date_day date, payment_type smallint, trips bigint, revenue double, avg_ticket double, share double",
+    "mart_revenue_daily_zone": "date_day date, location_id int, total_revenue double, fare_revenue double, tip_revenue double, "
+    "total_miles double, trips bigint",
+    "mart_trips_hourly_vendor": "hour timestamp_ntz, vendor_id smallint, trips bigint, revenue double, avg_miles double, avg_duration_min double",
+    "mart_vendor_scorecard_monthly": "year_month string, vendor_id smallint, trips bigint, revenue double, avg_ticket double, "
+    "avg_miles double, avg_duration_min double, tip_rate double, revenue_share double",
+}
+
+
+def table_columns_sql() -> str:
+    rows = []
+    for table, text in _COLUMNS.items():
+        layer = "marts" if table.startswith("mart_") else "gold"
+        for i, c in enumerate(text.split(", "), start=1):
+            name, kind = c.split(" ")
+            rows.append(f"('{layer}', '{table}', {i}, '{name}', '{kind}', true)")
+    body = ", ".join(rows)
+    return (
+        "select table_schema, table_name, ordinal::int as ordinal, column_name, data_type, nullable "
+        f"from (values {body}) v(table_schema, table_name, ordinal, column_name, data_type, nullable)"
+    )
+
+
 def table_profile_sql() -> str:
     parts = []
     for name, layer, kind, ncols, dcol in _PROFILE:
@@ -395,6 +471,8 @@ def table_relationships_sql() -> str:
 def all_queries() -> dict[str, str]:
     out = base_queries()
     out["check_results"] = check_results_sql()
+    out["strict_check_results"] = strict_check_results_sql()
+    out["table_columns"] = table_columns_sql()
     out["table_profile"] = table_profile_sql()
     out["table_relationships"] = table_relationships_sql()
     out.update(bi_queries())
@@ -587,4 +665,12 @@ def bi_queries() -> dict[str, str]:
             "left join zone_tot90 z using (location_id) where z.trips >= 20 "
             "order by anomaly_rate desc nulls last, a.location_id limit 8",
             ("anomaly_rate",)),
+        "zone_hotspots_floor_100": bq(
+            "select a.location_id, z.borough, z.zone, z.label, a.anomalies, z.trips, "
+            "a.anomalies / nullif(z.trips, 0) as anomaly_rate "
+            "from (select location_id, coalesce(sum(anomalies), 0)::bigint as anomalies from mart_anomaly_summary_daily, win90 w "
+            "where date_day between w.current_start and w.today group by 1) a "
+            "left join zone_tot90 z using (location_id) where z.trips >= 100 "
+            "order by anomaly_rate desc nulls last, a.location_id limit 8",
+            ("anomaly_rate",)),
     }

@@ -36,3 +36,26 @@ def test_cli_end_to_end(spark):
     assert ans["rows"][0]["trips_current"] == 4  # the February file's trips
     ap = run(["ask", "--warehouse", w, "--question", "zone_hotspots", "--days", "90", "--min-trips", "1"], spark)
     assert [r["location_id"] for r in ap["rows"]] == [5]
+
+
+def test_whole_answers_and_wrong_folders(spark):
+    """A long daily series comes back whole; a folder without a warehouse raises."""
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    from fareline.plans import tpch_trips
+    from fareline.plans.warehouse import write_warehouse
+    from fareline.sources import fixture
+    from conftest import SF001
+
+    d = tempfile.mkdtemp(prefix="fareline-cli2-")
+    wh = tpch_trips.warehouse(spark, SF001, materialize="silver")
+    write_warehouse(spark, wh, d, fixture.vendors(spark), fixture.payment_types(spark), fixture.zones(spark, SF001), airport=fixture.FIXTURE_AIRPORTS)
+    n = spark.read.parquet(f"{d}/marts/mart_kpi_daily").count()
+    assert n > 1000
+    got = run(["ask", "--warehouse", d, "--question", "kpi_daily_series", "--days", "2000"], spark)["rows"]
+    assert len(got) > 1000
+    out = run(["ask", "--warehouse", d, "--question", "kpi_daily_series", "--days", "2000", "--out", f"{d}/answer"], spark)
+    assert out["rows_written"] == len(got) == spark.read.json(f"{d}/answer").count()
+    with pytest.raises(AnalysisException):
+        run(["ask", "--warehouse", f"{d}/nothing", "--question", "window_kpis"], spark)

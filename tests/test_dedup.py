@@ -58,7 +58,7 @@ def test_dup_key_keeps_microseconds(spark):
     assert keys[0] != keys[1]
 
 
-def test_key_set_keep_first_and_no_broadcast(spark):
+def test_key_set_keep_first(spark):
     from fareline.operators.dedup import drop_duplicate_keys, duplicate_keys
 
     rows = [trip(tip_amount=1.0), trip(tip_amount=2.0), trip(vendor_id=None), trip(vendor_id=None),
@@ -66,10 +66,9 @@ def test_key_set_keep_first_and_no_broadcast(spark):
     df = frame(spark, rows)
     dups = duplicate_keys(df)
     assert sorted(r["_copies"] for r in dups.collect()) == [2, 2]
-    for b in (True, False):
-        none = drop_duplicate_keys(df, dups, broadcast_keys=b)
-        assert [r["pickup_at"] for r in none.collect()] == [T0 + dt.timedelta(seconds=5)]
-        first = drop_duplicate_keys(df, dups, keep="first", broadcast_keys=b).collect()
-        assert len(first) == 3
-        kept = [r for r in first if r["pickup_at"] == T0 and r["vendor_id"] == 1][0]
-        assert kept["tip_amount"] == 1.0 and kept["qa_is_duplicate_in_file"] is True
+    none = drop_duplicate_keys(df, dups)
+    assert [r["pickup_at"] for r in none.collect()] == [T0 + dt.timedelta(seconds=5)]
+    first = drop_duplicate_keys(df, dups, keep="first").collect()
+    assert len(first) == 3
+    kept = [r for r in first if r["pickup_at"] == T0 and r["vendor_id"] == 1][0]
+    assert kept["tip_amount"] == 1.0 and kept["qa_is_duplicate_in_file"] is True

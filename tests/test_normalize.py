@@ -122,9 +122,8 @@ def test_distributed_footer_scan_finds_the_same_families(spark):
     _write(os.path.join(d, "b_2024-02.parquet"), _raw_cols(2, dt.datetime(2024, 2, 3), fee_name="Airport_fee"))
     _write(os.path.join(d, "c_2024-03.parquet"), _raw_cols(2, dt.datetime(2024, 3, 3)))
     files = list_raw_files(spark, d)
-    local = [sorted(os.path.basename(p) for p in v) for v in schema_families(spark, files, distributed=False).values()]
-    dist = [sorted(os.path.basename(p) for p in v) for v in schema_families(spark, files, distributed=True).values()]
-    assert local == dist == [["a_2024-01.parquet", "c_2024-03.parquet"], ["b_2024-02.parquet"]]
+    found = [[os.path.basename(p) for p in v] for v in schema_families(spark, files).values()]
+    assert found == [["a_2024-01.parquet", "c_2024-03.parquet"], ["b_2024-02.parquet"]]
 
 
 def test_footer_schemas_read_by_tasks(spark):
@@ -134,6 +133,51 @@ def test_footer_schemas_read_by_tasks(spark):
     _write(os.path.join(d, "a_2024-01.parquet"), _raw_cols(2, dt.datetime(2024, 1, 3)))
     _write(os.path.join(d, "b_2024-02.parquet"), _raw_cols(2, dt.datetime(2024, 2, 3), fee_name="Airport_fee"))
     files = list_raw_files(spark, d)
-    found = footer_schemas(spark, files, partitions=2)  # no fallback here: errors would surface
+    found = {r["path"]: r["schema"] for r in footer_schemas(spark, files, partitions=2).collect()}
     assert set(found) == set(files)
     assert "Airport_fee" in found[files[1]] and "Airport_fee" not in found[files[0]]
+
+
+def test_unreadable_folder_is_not_called_empty(spark):
+    d = tempfile.mkdtemp(prefix="fareline-bad-")
+    with open(os.path.join(d, "a_2024-01.parquet"), "w") as f:
+        f.write("not parquet")
+    assert len(list_raw_files(spark, d)) == 1  # listing opens no file
+    from fareline.sources.raw import schema_families
+
+    with pytest.raises(Exception, match="(?i)parquet"):
+        schema_families(spark, list_raw_files(spark, d))
+    with pytest.raises(FileNotFoundError):
+        list_raw_files(spark, os.path.join(d, "missing"))
+
+
+def test_nanosecond_files_and_time_texts(spark):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from fareline.plans.bronze import build_bronze
+
+    d = tempfile.mkdtemp(prefix="fareline-nanos-")
+    cols = _raw_cols(3, dt.datetime(2024, 1, 3))
+    for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime"):
+        cols[c] = cols[c].cast(pa.timestamp("ns"))
+    pq.write_table(pa.table(cols), os.path.join(d, "y_2024-01.parquet"), version="2.6")
+    assert pq.read_schema(os.path.join(d, "y_2024-01.parquet")).field("tpep_pickup_datetime").type == pa.timestamp("ns")
+    want = dt.datetime(2024, 2, 3, 14, 5, 6)
+    texts = ["2/3/2024 2:05:06 PM", "02/03/2024 14:05:06", "2024/02/03 14:05:06", "20240203 140506", "20240203140506", "3-Feb-2024 14:05:06", "Feb 3, 2024 14:05:06", "2024-02-03T14:05:06", "13/45/2024 1:00:00", "no time"]
+    cols = _raw_cols(len(texts), dt.datetime(2024, 2, 3))
+    cols["tpep_pickup_datetime"] = pa.array(texts)
+    pq.write_table(pa.table(cols), os.path.join(d, "y_2024-02.parquet"))
+    rows = build_bronze(spark, d).collect()
+    jan = [r["pickup_at"] for r in rows if r["source_month"] == 1]
+    assert len(jan) == 3 and all(t.year == 2024 and t.month == 1 for t in jan) and min(jan) == dt.datetime(2024, 1, 3)
+    feb = sorted(str(r["pickup_at"]) for r in rows if r["source_month"] == 2)
+    # equal times are equal keys unless other key columns differ; both unreadable texts give NULL
+    assert set(feb) <= {str(want), "None"}
+
+
+def test_integer_times_are_nanoseconds(spark):
+    from fareline.operators.normalize import to_timestamp_ntz
+
+    df = spark.createDataFrame([(1_704_245_400_123_456_789,), (None,), (-1_000,)], "t long")
+    assert [r[0] for r in df.select(to_timestamp_ntz(df, "t")).collect()] == [dt.datetime(2024, 1, 3, 1, 30, 0, 123456), None, dt.datetime(1969, 12, 31, 23, 59, 59, 999999)]

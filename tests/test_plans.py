@@ -14,7 +14,7 @@ from fareline.operators.catalog import column_report, list_catalog_tables
 from fareline.operators.dedup import add_alt_dup_key
 from fareline.operators.quality import classify_rows, missing_critical
 from fareline.plans.bronze import bronze_from_raw, write_bronze
-from fareline.plans.silver import read_split, silver_from_bronze, silver_report, splits, write_silver
+from fareline.plans.silver import read_silver, read_split, silver_from_bronze, silver_report, splits, write_silver
 from fareline.plans.warehouse import register_views
 from fareline.plans import tpch_trips
 
@@ -33,9 +33,9 @@ def test_bronze_and_silver_writers_round_trip(spark):
     assert set(back.columns) == set(BRONZE_COLUMNS)
     silver = silver_from_bronze(back.select(*BRONZE_COLUMNS))
     write_silver(silver, os.path.join(d, "silver"))
-    assert read_split(spark, os.path.join(d, "silver"), "trips_clean").count() == 5
-    assert read_split(spark, os.path.join(d, "silver"), "rejected").count() == 1
-    assert read_split(spark, os.path.join(d, "silver"), "trips_admin").count() == 1
+    assert read_split(read_silver(spark, os.path.join(d, "silver")), "trips_clean").count() == 5
+    assert read_split(read_silver(spark, os.path.join(d, "silver")), "rejected").count() == 1
+    assert read_split(read_silver(spark, os.path.join(d, "silver")), "trips_admin").count() == 1
     parts = splits(silver)
     assert {k: v.count() for k, v in parts.items()} == {
         "rejected": 1, "trips_admin": 1, "trips_anomalies": 0, "trips_clean": 5, "trips_fare_miss": 0}
@@ -50,9 +50,9 @@ def test_views_and_catalog_listing(spark):
     assert spark.sql("select count(*) from gold_fact_trips").collect()[0][0] == wh["fact_trips"].count()
     listed = {t for _, t, _ in list_catalog_tables(spark, ["default"])}
     assert {"gold_fact_trips", "marts_mart_kpi_daily"} <= listed
-    cols = column_report({"dim_zone": wh["dim_zone"]}, {"dim_zone": "gold"})
-    assert [c[3] for c in cols] == ["location_id", "borough", "zone", "service_zone"]
-    assert cols[0][4] == "int"
+    cols = column_report({"dim_zone": wh["dim_zone"]}, {"dim_zone": "gold"}).orderBy("ordinal").collect()
+    assert [c["column_name"] for c in cols] == ["location_id", "borough", "zone", "service_zone"]
+    assert cols[0]["data_type"] == "int" and cols[0]["table_schema"] == "gold"
 
 
 def test_alt_key_and_near(spark):

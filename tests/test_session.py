@@ -18,3 +18,27 @@ def test_recommended_conf_scales_with_input():
     assert int(big["spark.sql.shuffle.partitions"]) == 400_000
     assert int(big["spark.sql.files.maxPartitionBytes"]) == 1 << 30
     assert int(small["spark.sql.files.maxPartitionBytes"]) == 128 << 20
+
+
+def test_only_local_masters_get_a_temporary_checkpoint_folder():
+    import pytest
+
+    from fareline.session import ensure_checkpoint_dir, is_local
+
+    assert is_local("local") and is_local("local[8]") and not is_local("local-cluster[2,1,1024]") and not is_local("yarn")
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())

@@ -105,3 +105,43 @@ def test_zero_denominators_give_null(spark):
     adj = spark.createDataFrame([], "date_day date, total_amount double")
     r = mart_kpi_daily(fact, adj).collect()[0]
     assert r["tip_rate"] is None and r["avg_speed_mph"] is None and r["net_revenue"] == 0.0
+
+
+def test_rebuilds_replace_what_was_there(spark):
+    """One file fewer, and a corrected file: bronze, silver and the warehouse hold the new rows alone."""
+    import datetime as dt
+    import os
+    import tempfile
+
+    from test_normalize import _raw_cols, _write
+
+    from fareline.plans.bronze import run_bronze
+    from fareline.plans.silver import run_silver
+    from fareline.plans.warehouse import build_warehouse, write_warehouse
+    from fareline.sources import seeds
+
+    d = tempfile.mkdtemp(prefix="fareline-again-")
+    raw, b, s, w = (os.path.join(d, x) for x in ("raw", "bronze", "silver", "warehouse"))
+    os.makedirs(raw)
+    jan, feb = (os.path.join(raw, f"y_2024-0{m}.parquet") for m in (1, 2))
+    zones = spark.createDataFrame([(5, "Queens", "JFK Airport", "Airports")], seeds.ZONE_SCHEMA)
+
+    def build():
+        rep = run_bronze(spark, raw, b)
+        srep = run_silver(spark.read.parquet(b), s)
+        vendors, payments = seeds.vendors_seed(spark), seeds.payment_types_seed(spark)
+        wh = write_warehouse(spark, build_warehouse(spark.read.parquet(s), vendors, payments, zones), w, vendors, payments, zones)
+        kpi = sum(r["trips"] for r in wh["mart_kpi_daily"].collect())
+        counts = (rep["rows_written"], spark.read.parquet(b).count(), spark.read.parquet(s).count(), wh["fact_trips"].count(), kpi)
+        assert srep["coverage_ok"] and srep["total_rows"] == rep["rows_written"]
+        return counts
+
+    _write(jan, _raw_cols(10, dt.datetime(2024, 1, 3)))
+    _write(feb, _raw_cols(7, dt.datetime(2024, 2, 3)))
+    assert build() == (17,) * 5
+    os.remove(feb)
+    assert build() == (10,) * 5
+    _write(jan, _raw_cols(10, dt.datetime(2020, 1, 3)))  # out of the file's window: anomalies
+    assert build() == (10, 10, 10, 0, 0)
+    _write(jan, _raw_cols(6, dt.datetime(2024, 1, 3)))
+    assert build() == (6,) * 5
