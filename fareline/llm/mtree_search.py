@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from fareline.llm.common import materialize
 
-PAGE = 96
-FANOUT = 12
+PAGE = 512
+FANOUT = 10
 TREE_VALUES = 1 << 18
 QUERY_BLOCK = 512
 # distances are compared with this much relative slack; exact scores decide
@@ -40,7 +40,7 @@ SLACK = 1e-9
 
 
 class MTree:
-    """Pages of one tree: (True, rows, distances to the routing vector) for leaves, (False, child
+    """Pages of one tree: (True, ids, vectors, distances to the routing vector) for leaves, (False, child
     pages, routing vectors, covering radii, distances to the parent's routing vector) for others."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
@@ -57,14 +57,20 @@ class MTree:
         distance = np.sqrt(((self.points[rows] - centre) ** 2).sum(axis=1))
         if len(rows) <= PAGE or depth > 12 or distance.max() - distance.min() == 0 and (self.points[rows] == self.points[rows[0]]).all():
             order = np.lexsort((self.ids[rows], distance))
-            self.pages.append((True, rows[order], distance[order]))
+            self.pages.append((True, self.ids[rows[order]], self.vectors[rows[order]].astype(np.float64), distance[order]))
             return len(self.pages) - 1
-        # routing vectors: rows spread evenly over the distances from the centre
-        order = np.argsort(distance, kind="stable")
-        pick = rows[order[np.linspace(0, len(rows) - 1, FANOUT).astype(int)]]
-        pick = pick[np.unique(self.points[pick], axis=0, return_index=True)[1]]
-        apart = ((self.points[rows] ** 2).sum(axis=1)[:, None] + (self.points[pick] ** 2).sum(axis=1) - 2 * self.points[rows] @ self.points[pick].T)
-        near = apart.argmin(axis=1)
+        # routing vectors: each next one is farthest from those before
+        points = self.points[rows]
+        pick, apart = [int(distance.argmin())], np.full(len(rows), np.inf)
+        near = np.zeros(len(rows), np.int64)
+        for k in range(FANOUT):
+            d = ((points - points[pick[k]]) ** 2).sum(axis=1)
+            near[d < apart] = k
+            apart = np.minimum(apart, d)
+            if k + 1 == FANOUT or apart.max() == 0:
+                break
+            pick.append(int(apart.argmax()))
+        pick = rows[pick]
         children, routing, radius, to_parent = [], [], [], []
         for k, p in enumerate(pick):
             mine = rows[near == k]
@@ -85,6 +91,9 @@ class MTree:
         point = np.append(query.astype(np.float64), 0.0)
         far2 = float((point**2).sum()) + self.top2
         slack = SLACK * (far2 + 1)
+        # doubles hold every sum of products exactly below 2**52
+        exact = float((point**2).sum()) * self.top2 < 2.0**104
+        exact_query = point[:-1]
         best: list[tuple[int, int]] = []  # a heap of (score, -id)
         computed = 0
 
@@ -100,20 +109,20 @@ class MTree:
                 break
             node = self.pages[page]
             if node[0]:
-                rows, distance = node[1], node[2]
-                rows = rows[np.abs(to_centre - distance) <= reach * (1 + SLACK) + SLACK]
-                rows = rows[self.ids[rows] != own]
-                if not len(rows):
-                    continue
-                computed += len(rows)
-                score = self.vectors[rows] @ query
+                _, ids, vectors, distance = node
+                near = np.abs(to_centre - distance) <= reach * (1 + SLACK) + SLACK
+                if not near.all():
+                    ids, vectors = ids[near], vectors[near]
+                computed += len(ids)
+                score = vectors @ exact_query if exact else (vectors.astype(np.int64) @ query)
+                keep = ids != own
                 if len(best) == k:
-                    keep = score >= best[0][0]
-                    rows, score = rows[keep], score[keep]
+                    keep &= score >= best[0][0]
+                ids, score = ids[keep], score[keep]
                 if len(score) > k:
-                    order = np.lexsort((self.ids[rows], -score))[:k]
-                    rows, score = rows[order], score[order]
-                for s, i in zip(score.tolist(), self.ids[rows].tolist()):
+                    order = np.lexsort((ids, -score))[:k]
+                    ids, score = ids[order], score[order]
+                for s, i in zip(score.astype(np.int64).tolist(), ids.tolist()):
                     if len(best) < k:
                         heapq.heappush(best, (s, -i))
                     elif (s, -i) > best[0]:
