@@ -160,7 +160,8 @@ def token_counts(docs: DataFrame, tokenizer_path: str, cache_path: str, id_col:
         .write.mode("append")
         .parquet(cache_path)
     )
-    stored = read_cache(spark, cache_path, version)
+    # a written table: copies of one text, however many, can be split in the join with it
+    stored = materialize(read_cache(spark, cache_path, version), "token-stored")
     return keys.join(stored, "content_digest").select(F.col("id").alias(id_col), "n_bytes", "n_tokens")
 
 
