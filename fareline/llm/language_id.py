@@ -141,7 +141,7 @@ def _likelihood_table(pages: DataFrame, key: str, names: list[str], mass: list[f
     n_values = pages.where(F.col(key).isNotNull()).select(key).distinct().count() + 1
     counted = pages.where(F.col(key).isNotNull()).groupBy(key).agg(*_sums(names))
     logs = [F.log((F.col(f"s{i}") + 1.0) / F.lit(m + n_values)) for i, m in enumerate(mass)]
-    return counted.select(key, F.array(*logs).alias(f"ll_{key}"))
+    return materialize(counted.select(key, F.array(*logs).alias(f"ll_{key}")), key)
 
 
 def identify(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", lang_col: str = "lang", text_col: str = "text") -> DataFrame:
@@ -163,6 +163,8 @@ def identify(pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col
     domains = domains.select("domain", F.zip_with(_array(names), overall, lambda s, g: (s + DOMAIN_WEIGHT * g) / (F.col("n_domain") + DOMAIN_WEIGHT)).alias("p_domain"))
     hosts = base.where("host is not null").groupBy("host").agg(F.count(F.lit(1)).alias("n_host"), F.first("domain").alias("domain"), *_sums(names))
     hosts = hosts.withColumn("n_r", _array(names)).select("host", "domain", "n_host", "n_r").join(domains, "domain").select("host", "n_host", "n_r", "p_domain")
+    # written tables: the planner knows their size, and a hot host's pages can be split in a join with them
+    hosts = materialize(hosts, "hosts")
     out = base.join(hosts, "host", "left")
     for key in ("declared", "suffix", "step"):
         out = out.join(_likelihood_table(base, key, names, mass), key, "left")
