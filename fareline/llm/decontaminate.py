@@ -324,3 +324,49 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         is_contaminated().alias("contaminated"),
         F.size("near_items").cast("long").alias("n_near_items"),
     )
+
+
+OP3_SQL = rf"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), i AS (
+    SELECT item_id::VARCHAR AS item,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark WHERE item_id IS NOT NULL
+), s AS (
+    SELECT item, w, least(len(w), {WINDOW}) AS k, unnest(range(1, len(w) - least(len(w), {WINDOW}) + 2)) AS a FROM i WHERE len(w) > 0
+), wins AS (
+    SELECT row_number() OVER () AS id, item, k, w[a : a + k - 1] AS t FROM s
+), runs AS (
+    SELECT r, k, unnest(range(1, len(w) - k + 2)) AS a, w FROM d, (SELECT DISTINCT k FROM wins) WHERE len(w) >= k
+), hits AS (
+    SELECT r, a, runs.k, item FROM runs JOIN wins ON wins.k = runs.k AND w[a : a + runs.k - 1] = t
+), covered AS (
+    SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(a, a + k)) AS p FROM hits) GROUP BY r
+), found AS (
+    SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY r
+), terms AS (
+    SELECT id, item, unnest(range(1, k + 1)) AS o, t FROM wins
+), tp AS (
+    SELECT r, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS term FROM d
+), cf AS (
+    SELECT term, count(*) AS n FROM tp GROUP BY term
+), ranked AS (
+    SELECT id, item, t[o] AS term, row_number() OVER (PARTITION BY id ORDER BY coalesce(n, 0), o) AS rank FROM terms LEFT JOIN cf ON cf.term = t[o]
+), near1 AS (
+    SELECT id, item, r, p FROM ranked JOIN tp USING (term) WHERE rank = 1
+), near2 AS (
+    SELECT * FROM near1 WHERE NOT EXISTS (SELECT 1 FROM ranked x WHERE x.id = near1.id AND x.rank = 2) OR EXISTS (
+        SELECT 1 FROM ranked x JOIN tp USING (term) WHERE x.id = near1.id AND x.rank = 2 AND tp.r = near1.r AND tp.p BETWEEN near1.p - {NEAR_SPAN} AND near1.p + {NEAR_SPAN})
+), near3 AS (
+    SELECT * FROM near2 WHERE NOT EXISTS (SELECT 1 FROM ranked x WHERE x.id = near2.id AND x.rank = 3) OR EXISTS (
+        SELECT 1 FROM ranked x JOIN tp USING (term) WHERE x.id = near2.id AND x.rank = 3 AND tp.r = near2.r AND tp.p BETWEEN near2.p - {NEAR_SPAN} AND near2.p + {NEAR_SPAN})
+), near AS (
+    SELECT r, count(DISTINCT item) AS n_near FROM near3 GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated, coalesce(n_near, 0) AS n_near_items
+FROM d LEFT JOIN covered USING (r) LEFT JOIN found USING (r) LEFT JOIN near USING (r)
+"""

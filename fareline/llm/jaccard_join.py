@@ -418,3 +418,29 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents at a similarity of 0.9 over 3-word shingles."""
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"), size=3, threshold=90)
+
+
+OP8_SQL = r"""
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), s AS (
+    SELECT DISTINCT r, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE array_to_string(w[a : a + 2], ' ') END AS g
+    FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS a FROM d WHERE len(w) > 0)
+), n AS (
+    SELECT r, count(*) AS n FROM s GROUP BY r
+), c AS (
+    SELECT x.r AS a, y.r AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.r < y.r GROUP BY x.r, y.r
+), e AS (
+    SELECT a, b FROM c JOIN n p ON p.r = a JOIN n q ON q.r = b WHERE 100 * c >= 90 * (p.n + q.n - c)
+), links AS (
+    SELECT a, b FROM e UNION ALL SELECT b, a FROM e
+), reach AS (
+    SELECT r AS a, r AS b FROM n
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(low, doc_id) AS component_id
+FROM d LEFT JOIN n USING (r) LEFT JOIN (SELECT a AS r, min(doc_id) AS low FROM reach JOIN d ON d.r = reach.b GROUP BY a) USING (r)
+"""

@@ -5,15 +5,15 @@ from __future__ import annotations
 import functools
 from pathlib import Path
 
-from fareline.llm.decontaminate import op3_decontaminate
-from fareline.llm.jaccard_join import op8_jaccard_join
+from fareline.llm.decontaminate import OP3_SQL, op3_decontaminate
+from fareline.llm.jaccard_join import OP8_SQL, op8_jaccard_join
 from fareline.llm.language_id import op1_language_id
 from fareline.llm.lm_scoring import op9_lm_scoring
 from fareline.llm.mixing import OP5_SQL, op5_mixing
 from fareline.llm.mtree_search import OP4_SQL, op4_mtree_search
 from fareline.llm.pii import op6_pii
 from fareline.llm.quality_classifier import op10_quality_classifier
-from fareline.llm.suffix_dedup import op2_suffix_dedup
+from fareline.llm.suffix_dedup import OP2_SQL, op2_suffix_dedup
 from fareline.llm.token_counts import op7_token_counts
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -47,4 +47,11 @@ QUERIES = {
         op10_quality_classifier,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op4_mtree_search": OP4_SQL, "op5_mixing": OP5_SQL}
+# the rest learn a model (1, 6, 9, 10) or need a tokenizer (7)
+ORACLE_SQL: dict[str, str] = {
+    "op2_suffix_dedup": OP2_SQL,
+    "op3_decontaminate": OP3_SQL,
+    "op4_mtree_search": OP4_SQL,
+    "op5_mixing": OP5_SQL,
+    "op8_jaccard_join": OP8_SQL,
+}

@@ -464,3 +464,32 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated 50-byte strings of all documents."""
     return remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+OP2_SQL = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents
+), blocks AS (
+    SELECT r, doc_id, o, substr(h, (2 * o + 1)::BIGINT, {2 * (256 + WINDOW - 1)}) AS part FROM (SELECT r, doc_id, h, unnest(range(0, len(h) // 2, 256)) AS o FROM d)
+), w AS (
+    SELECT r, doc_id, o, part, unnest(range(0, len(part) // 2 - {WINDOW - 1})) AS q FROM blocks
+), k AS (
+    SELECT r, doc_id, o + q AS p, substr(part, (2 * q + 1)::BIGINT, {2 * WINDOW}) AS s FROM w
+), low AS (
+    SELECT s, min(doc_id) AS low FROM k GROUP BY s HAVING count(*) > 1
+), gone AS (
+    SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS before FROM k JOIN low USING (s) WHERE low < doc_id OR (doc_id IS NULL AND low IS NOT NULL)
+), marked AS (
+    SELECT r, p, sum((before IS NULL OR p > before + {WINDOW})::INT) OVER (PARTITION BY r ORDER BY p) AS span FROM gone
+), spans AS (
+    SELECT r, span, min(p) AS a, max(p) + {WINDOW} AS z FROM marked GROUP BY r, span
+), edges AS (
+    SELECT r, a, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS from_ FROM spans
+    UNION ALL
+    SELECT d.r, len(h) // 2, coalesce(max(z), 0) FROM d LEFT JOIN spans USING (r) GROUP BY d.r, h
+), kept AS (
+    SELECT r, string_agg(substr(h, (2 * from_ + 1)::BIGINT, (2 * (a - from_))::BIGINT), '' ORDER BY a, from_) AS h FROM edges JOIN d USING (r) GROUP BY r
+)
+SELECT doc_id, len(d.h) // 2 AS n_bytes, (len(d.h) - len(kept.h)) // 2 AS n_removed, coalesce(n, 0) AS n_spans, sha256(unhex(kept.h)) AS kept_sha256
+FROM d JOIN kept USING (r) LEFT JOIN (SELECT r, count(*) AS n FROM spans GROUP BY r) USING (r)
+"""
