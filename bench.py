@@ -2,11 +2,10 @@
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Timings:
-  silver_materialize  raw trips -> bronze (dedup) -> silver, checkpointed
-  gold_and_marts_materialize  facts, dims and the ten marts checkpointed (the built tables the
-                      tests, profile and questions read)
-  warehouse_write     the same tables written as zstd Parquet from the lazy plan (facts
-                      partitioned by month of date_day)
+  silver_materialize  raw trips landed -> bronze (dedup) -> silver, each written and read back
+  gold_and_marts_materialize  facts, dims and the ten marts written from silver (the built tables
+                      the tests, profile and questions read)
+  warehouse_write     the same write once more, into a folder of its own
   <query>             each registered query executed in full into a no-op sink, twice;
                       "queries" holds the faster (warm) run, "queries_first_run" the first
 "value" is the sum of the warm runs over the registered queries (pipeline steps reported separately).
