@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fareline.llm.components import connected_components
-from fareline.llm.jaccard_join import band, exact_links, jaccard_components, op8_jaccard_join
+from fareline.llm.jaccard_join import band, jaccard_components, op8_jaccard_join
 
 
 def sets_of(text, size):
