@@ -177,7 +177,7 @@ SAMPLE_SCHEMA = "id long, lang string, source string, n_chars long, bad int, tox
 
 
 def choose_words(docs_words: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    """Words whose presence goes with a label: the largest z-scores of the smoothed log-odds."""
+    """Words whose presence goes with a label: the largest chi-squared statistics."""
     words, count = np.unique(np.concatenate([*docs_words, np.zeros(0, np.uint32)]), return_counts=True)
     words = words[count >= LEAST_DOCS]
     if not len(words):
@@ -185,14 +185,14 @@ def choose_words(docs_words: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     pos = np.zeros(len(words))
     neg = np.zeros(len(words))
     for h, label in zip(docs_words, y):
-        at = np.searchsorted(words, h)
-        at = at[at < len(words)]
-        hit = at[np.isin(words[at], h, assume_unique=True)]
+        at = np.minimum(np.searchsorted(words, h), len(words) - 1)
+        hit = at[words[at] == h]
         (pos if label else neg)[hit] += 1
-    np_, nn = y.sum(), len(y) - y.sum()
-    odds = np.log((pos + 0.5) / (np_ - pos + 0.5)) - np.log((neg + 0.5) / (nn - neg + 0.5))
-    z = odds / np.sqrt(1 / (pos + 0.5) + 1 / (neg + 0.5))
-    return np.sort(words[np.argsort(-np.abs(z), kind="stable")[:WORDS_PER_TARGET]])
+    # chi-squared of presence against label
+    absent_pos, absent_neg = y.sum() - pos, len(y) - y.sum() - neg
+    rows = (pos + neg) * (absent_pos + absent_neg) * float(max(1, y.sum())) * float(max(1, len(y) - y.sum()))
+    chi = len(y) * (pos * absent_neg - neg * absent_pos) ** 2 / np.maximum(rows, 1)
+    return np.sort(words[np.argsort(-chi, kind="stable")[:WORDS_PER_TARGET]])
 
 
 def presence(docs_words: list[np.ndarray], words: np.ndarray) -> np.ndarray:

@@ -87,3 +87,15 @@ def test_logistic_fit_separates():
 
 def test_query_scores_every_document(spark):
     assert op10_quality_classifier(spark, "/root/testdata/sf0.001").count() == 200
+
+
+def test_words_of_one_label_alone_are_chosen_at_any_sample_size():
+    from fareline.llm.quality_classifier import WORDS_PER_TARGET, choose_words
+
+    rng = np.random.default_rng(3)
+    y = (rng.random(8000) < 0.1).astype(int)
+    # many words a little commoner under one label, and word 1 in a third of that label's rows alone
+    p = np.where(y[:, None] == 1, 0.08, 0.04)
+    docs = [np.append(np.array([1] if label and rng.random() < 0.33 else [], np.uint32), (np.flatnonzero(rng.random(1500) < q) + 10).astype(np.uint32)) for label, q in zip(y, p)]
+    chosen = choose_words(docs, y)
+    assert len(chosen) == WORDS_PER_TARGET and 1 in chosen
