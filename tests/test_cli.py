@@ -46,7 +46,7 @@ def test_whole_answers_and_wrong_folders(spark):
     from fareline.plans import tpch_trips
     from fareline.plans.warehouse import write_warehouse
     from fareline.sources import fixture
-    from conftest import SF001
+    from helpers import SF001
 
     d = tempfile.mkdtemp(prefix="fareline-cli2-")
     wh = tpch_trips.warehouse(spark, SF001, materialize="silver")

@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from conftest import SF001
+from helpers import SF001
 
 import __spark_entry__ as E
 from fareline.plans import registry

@@ -6,7 +6,7 @@ import time
 
 import pytest
 
-from conftest import SF001
+from helpers import SF001
 
 from fareline.operators import insights as B
 from fareline.plans import registry, tpch_trips

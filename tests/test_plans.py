@@ -18,7 +18,7 @@ from fareline.plans.silver import read_silver, read_split, silver_from_bronze, s
 from fareline.plans.warehouse import register_views
 from fareline.plans import tpch_trips
 
-from conftest import SF001
+from helpers import SF001
 
 
 def test_bronze_and_silver_writers_round_trip(spark):

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from helpers import SF001
 from fareline.operators.marts import count_true, mart_airport_daily, mart_kpi_daily
 from fareline.plans import tpch_trips
 
