@@ -4,8 +4,8 @@ The field (``crf.py``) is trained from a small labelled table: shape sequences a
 base matches of a bounded sample of documents (``SAMPLE_DOCS``, documented bound) and
 the fixed examples below, which add layouts that the base patterns don't know. Every
 whole text is then decoded. A span that the field adds must hold up as its kind
-(digits, Luhn, octets, an address) and may not touch a base match, or a failed match
-of its own kind.
+(digits, Luhn, octets, an address) and may not touch a base match, or lie within a
+failed match of its own kind.
 
 Spans are in code points, end exclusive. Defined results: a null text counts as empty;
 null and repeated ids keep one row per input row; an empty table gives an empty
@@ -156,7 +156,8 @@ def document_spans(buf: np.ndarray, offs: np.ndarray, model: Crf) -> Iterator[tu
             if left < right and holds(KINDS[k], piece[left:right]):
                 at = len(raw[: s - offs[d]].decode())
                 span = (at + left, at + right, k)
-                if all(span[1] <= a or z <= span[0] or failed not in (None, k) for a, z, failed in taken):
+                # not beside or within a base match; not within a match of its own kind that failed the test
+                if all(span[1] <= a or z <= span[0] if failed is None else failed != k or span[0] < a or z < span[1] for a, z, failed in taken):
                     added.append(span)
         if base or added:
             yield d, base, added
