@@ -15,6 +15,7 @@ from fareline.llm.pii import op6_pii
 from fareline.llm.quality_classifier import op10_quality_classifier
 from fareline.llm.suffix_dedup import OP2_SQL, op2_suffix_dedup
 from fareline.llm.token_counts import op7_token_counts
+from fareline.llm.whitening import op13_whitening
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -45,9 +46,10 @@ QUERIES = {
         op8_jaccard_join,
         op9_lm_scoring,
         op10_quality_classifier,
+        op13_whitening,
     )
 }
-# the rest learn a model (1, 6, 9, 10) or need a tokenizer (7)
+# the rest learn a model (1, 6, 9, 10), need a tokenizer (7) or eigenvectors (13)
 ORACLE_SQL: dict[str, str] = {
     "op2_suffix_dedup": OP2_SQL,
     "op3_decontaminate": OP3_SQL,
