@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from fareline.session import shared_dir
 
 CHUNK_BYTES = 2 << 20
+# a text is scanned and hashed by so many bytes at a time
+PIECE_BYTES = 4 << 20
 _FACTORS = np.zeros(0, np.uint64)
 
 
@@ -88,45 +90,69 @@ def chunks(offs: np.ndarray, target: int = CHUNK_BYTES) -> Iterator[tuple[int, i
         first = last
 
 
+def word_bounds(buf: np.ndarray, offs: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the words of a run of documents, found piece by piece."""
+    n, starts, ends = len(buf), [], []
+    for p in range(0, n, PIECE_BYTES):
+        q = min(n, p + PIECE_BYTES)
+        # the piece with a byte before and after it; a document's edge parts two words
+        inside = np.zeros(q - p + 2, bool)
+        inside[1:-1] = table[buf[p:q]]
+        inside[0], inside[-1] = p > 0 and table[buf[p - 1]], q < n and table[buf[q]]
+        edge = np.zeros(q - p + 1, bool)
+        a, z = np.searchsorted(offs, [p, q + 1])
+        edge[offs[a:z] - p] = True
+        body = inside[1:-1]
+        starts.append(np.flatnonzero(body & (edge[:-1] | ~inside[:-2])) + p)
+        ends.append(np.flatnonzero(body & (edge[1:] | ~inside[2:])) + p + 1)
+    return (np.concatenate(starts), np.concatenate(ends)) if n else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def _long_word_hash(word: np.ndarray) -> np.uint64:
+    """The hash of one word that is longer than a piece, without a factor table of its length."""
+    total = np.uint64(0)
+    for p in range(0, len(word), PIECE_BYTES):
+        part = LOWER[word[p : p + PIECE_BYTES]].astype(np.uint64) + np.uint64(1)
+        total += (mix64((np.arange(p, p + len(part), dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)) * part).sum(dtype=np.uint64)
+    return mix64(np.array([total]))[0]
+
+
+def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each word, A-Z as a-z, by runs of words of about a piece's bytes."""
+    out, a, n = np.zeros(len(starts), np.uint64), 0, len(starts)
+    with np.errstate(over="ignore"):
+        while a < n:
+            if ends[a] - starts[a] > PIECE_BYTES:
+                out[a] = _long_word_hash(buf[starts[a] : ends[a]])
+                a += 1
+                continue
+            z = max(a + 1, int(np.searchsorted(ends, starts[a] + PIECE_BYTES, side="right")))
+            s, size = starts[a:z], ends[a:z] - starts[a:z]
+            first = np.cumsum(size) - size
+            within = np.arange(int(size.sum())) - np.repeat(first, size)
+            value = factors(int(size.max()))[within]
+            value *= LOWER[buf[within + np.repeat(s, size)]].astype(np.uint64) + np.uint64(1)
+            out[a:z] = mix64(np.add.reduceat(value, first))
+            a = z
+    return out
+
+
 class Words:
-    """Words of a run of documents: ``starts``/``ends`` in the bytes, ``doc`` index, 64-bit ``hash``."""
+    """Words of a run of documents: ``starts``/``ends`` in the bytes, ``doc`` index, 64-bit ``hash``.
+
+    A very long text is worked through in pieces: beside the words themselves (some 32
+    bytes each) the memory doesn't grow with it.
+    """
 
     __slots__ = ("starts", "ends", "doc", "hash", "first", "n_docs")
 
     def __init__(self, buf: np.ndarray, offs: np.ndarray, table: np.ndarray):
         """``buf`` holds the documents' bytes, ``offs`` their bounds, starting at 0."""
         self.n_docs = len(offs) - 1
-        n = len(buf)
-        if n == 0:
-            empty = np.zeros(0, np.int64)
-            self.starts = self.ends = self.doc = empty
-            self.hash = np.zeros(0, np.uint64)
-            self.first = np.zeros(self.n_docs + 1, np.int64)
-            return
-        inside = table[buf]
-        edge = np.zeros(n + 1, bool)
-        edge[offs] = True
-        before = np.zeros(n, bool)
-        before[1:] = inside[:-1]
-        before &= ~edge[:n]
-        self.starts = np.flatnonzero(inside & ~before)
-        after = np.zeros(n, bool)
-        after[:-1] = inside[1:]
-        after &= ~edge[1:]
-        self.ends = np.flatnonzero(inside & ~after) + 1
+        self.starts, self.ends = word_bounds(buf, offs, table)
         self.first = np.searchsorted(self.starts, offs).astype(np.int64)
         self.doc = np.repeat(np.arange(self.n_docs), np.diff(self.first))
-        if len(self.starts) == 0:
-            self.hash = np.zeros(0, np.uint64)
-            return
-        at = np.arange(n, dtype=np.int32 if n < 1 << 31 else np.int64)
-        begin = int(self.starts[0])
-        at[begin:] -= np.repeat(self.starts.astype(at.dtype), np.diff(np.append(self.starts, n)))
-        longest = int((self.ends - self.starts).max())
-        at[~inside] = 0
-        value = factors(longest)[at]
-        value *= (LOWER[buf].astype(np.uint64) + np.uint64(1)) * inside
-        self.hash = mix64(np.add.reduceat(value, self.starts))
+        self.hash = word_hashes(buf, self.starts, self.ends)
 
 
 def document_words(column: pa.Array, table: np.ndarray, target: int = CHUNK_BYTES) -> Iterator[tuple[int, int, Words]]:

@@ -13,6 +13,7 @@ from fareline.llm.mixing import OP5_SQL, op5_mixing
 from fareline.llm.mtree_search import OP4_SQL, op4_mtree_search
 from fareline.llm.pii import op6_pii
 from fareline.llm.quality_classifier import op10_quality_classifier
+from fareline.llm.ranked_search import OP11_SQL, op11_ranked_search
 from fareline.llm.suffix_dedup import OP2_SQL, op2_suffix_dedup
 from fareline.llm.token_counts import op7_token_counts
 from fareline.llm.whitening import op13_whitening
@@ -46,6 +47,7 @@ QUERIES = {
         op8_jaccard_join,
         op9_lm_scoring,
         op10_quality_classifier,
+        op11_ranked_search,
         op13_whitening,
     )
 }
@@ -56,4 +58,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_mtree_search": OP4_SQL,
     "op5_mixing": OP5_SQL,
     "op8_jaccard_join": OP8_SQL,
+    "op11_ranked_search": OP11_SQL,
 }
