@@ -9,6 +9,7 @@ from fareline.llm.decontaminate import OP3_SQL, op3_decontaminate
 from fareline.llm.jaccard_join import OP8_SQL, op8_jaccard_join
 from fareline.llm.language_id import op1_language_id
 from fareline.llm.lm_scoring import op9_lm_scoring
+from fareline.llm.minhash_dedup import OP12_SQL, op12_minhash_dedup
 from fareline.llm.mixing import OP5_SQL, op5_mixing
 from fareline.llm.mtree_search import OP4_SQL, op4_mtree_search
 from fareline.llm.pii import op6_pii
@@ -48,6 +49,7 @@ QUERIES = {
         op9_lm_scoring,
         op10_quality_classifier,
         op11_ranked_search,
+        op12_minhash_dedup,
         op13_whitening,
     )
 }
@@ -59,4 +61,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_mixing": OP5_SQL,
     "op8_jaccard_join": OP8_SQL,
     "op11_ranked_search": OP11_SQL,
+    "op12_minhash_dedup": OP12_SQL,
 }
