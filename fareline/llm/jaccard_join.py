@@ -10,16 +10,16 @@ threshold; the result is every document's component.
    shingles in the prefixes of two sets or more go on.
 2. Tiles. A tile holds the sets with one such shingle and one band of sizes (linked
    sizes lie in the same or in adjacent bands, a set visits the next band as guest).
-   Tiles with the same members are one tile; large ones are cut into pairs of blocks.
-   Within a tile, hashed parity bitmaps bound overlaps from above: each differing bit
-   stands for a shingle in one set alone. Pairs that pass are candidates.
+   Tiles with the same members are one tile. Within a tile, hashed parity bitmaps bound
+   overlaps from above: each differing bit stands for a shingle in one set alone. Pairs
+   that pass are candidates (``linking.tile_links``: large tiles in blocks with pivots).
 3. Exact step. Components of the candidates meet as sorted shingle arrays. A pair is
-   intersected unless earlier links already connect it. Components above a block's
-   size are taken in blocks that share a few pivots; sets outside the main cluster
-   that this yields are then held against all blocks. No link is lost.
+   intersected unless earlier links already connect it (``linking.exact_components``:
+   large components in blocks of bounded sets and bytes). No link is lost; sets are told
+   apart by 64-bit digests.
 
 Defined results: a null or empty text, or one without words, has no shingles and
-links with nothing; repeated rows are copies; null ids keep a row, and don't name a
+links with nothing; a very long text is one whole set; repeated rows are copies; null ids keep a row, and don't name a
 component; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -32,46 +32,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareline.llm.common import SPACE_SPLIT, Words, document_words, materialize, mix64
-from fareline.llm.components import connected_components
+from fareline.llm.common import SPACE_SPLIT, document_words, materialize
+from fareline.llm.linking import exact_components, tile_links
+from fareline.llm.shingles import set_arrays, set_id, shingle_sets
 
 SKETCH_CELLS = 1 << 18
-TILE_ROWS = 2048
-SMALL_TILE = 12
+SKETCH_TASKS = 32
+TILE_ROWS = 512
+# wider bitmaps bound no better; the links are the same at any width
 MIN_BITS, MAX_BITS = 64, 1 << 14
-# sets of a component that one task holds as arrays; pivots that its blocks share
-BLOCK_SETS, PIVOTS = 2048, 4
+# sets, and bytes of their arrays, of a component that one task holds
+BLOCK_SETS, BLOCK_BYTES = 2048, 64 << 20
 # bands are wider than the threshold, so that rounding can't put linked sizes two bands apart
 BAND_MARGIN = 0.98
 
-_PLACE = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
-
-
-def shingle_sets(w: Words, size: int):
-    """Sorted distinct shingle hashes of each document of a run."""
-    n = len(w.hash)
-    with np.errstate(over="ignore"):
-        rolled = w.hash.copy() if size == 1 else np.zeros(max(n - size + 1, 0), np.uint64)
-        if size > 1 and n >= size:
-            for k in range(size):
-                rolled = mix64(rolled + w.hash[k : n - size + 1 + k] * _PLACE[k % 3])
-        for d in range(w.n_docs):
-            a, z = w.first[d], w.first[d + 1]
-            if z - a >= size:
-                yield np.unique(rolled[a : z - size + 1])
-            elif z > a:
-                h = np.uint64(z - a)
-                for x in w.hash[a:z]:
-                    h = mix64(np.array([h * _PLACE[1] + x * _PLACE[0]]))[0]
-                yield np.array([h])
-            else:
-                yield np.zeros(0, np.uint64)
-
-
-def set_id(s: np.ndarray) -> int:
-    """64-bit digest of a shingle set."""
-    return int(mix64(np.array([mix64(s ^ _PLACE[2]).sum(dtype=np.uint64) + np.uint64(len(s))]))[0].astype(np.int64))
-
 
 def band(n: int, t: int) -> int:
     return int(math.log(n) / -math.log(t / 100 * BAND_MARGIN))
@@ -99,17 +73,19 @@ def _sets(size: int, t: int):
                     names=["id", "n", "sid", "key", "bits", "sketch"],
                 )
         if sketch.any():
-            yield pa.record_batch([*[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.binary()), pa.array([sketch.astype(np.uint32).tobytes()], pa.binary())], names=["id", "n", "sid", "key", "bits", "sketch"])
+            yield pa.record_batch([*[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.binary()), pa.array([sketch.astype(np.uint64).tobytes()], pa.binary())], names=["id", "n", "sid", "key", "bits", "sketch"])
 
     return run
 
 
 def _sum_sketch(batches):
-    total = np.zeros(SKETCH_CELLS, np.int64)
+    total = None
     for b in batches:
-        for x in b.column(0).to_pylist():
-            total += np.frombuffer(x, np.uint32)
-    yield pa.record_batch([pa.array(np.arange(SKETCH_CELLS)), pa.array(total)], names=["cell", "n"])
+        for x in b.column(0):
+            part = np.frombuffer(x.as_buffer(), np.uint64)
+            total = part.copy() if total is None else total + part
+    if total is not None:
+        yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], names=["sketch"])
 
 
 def _prefixes(sketch_b, size: int, t: int):
@@ -153,261 +129,92 @@ def fold(bits: np.ndarray, width: int) -> np.ndarray:
     return bits
 
 
-def _arrays(size: int):
-    """Set arrays of the wanted ids (text, sid); rows of a task with one id give one array."""
-
-    def run(batches):
-        seen = set()
-        for b in batches:
-            wanted = b.column(1).to_pylist()
-            for first, _, w in document_words(b.column(0), SPACE_SPLIT):
-                found = [(wanted[first + d], s) for d, s in enumerate(shingle_sets(w, size))]
-                rows = {k: s.tobytes() for k, s in found if k not in seen and len(s) and set_id(s) == k}
-                seen.update(rows)
-                if rows:
-                    yield pa.record_batch([pa.array(list(rows), pa.int64()), pa.array(list(rows.values()), pa.binary())], names=["sid", "shingles"])
-
-    return run
-
-
 def passes(na, nb, differing, t: int):
     """Whether sizes and differing bits allow the threshold: |A sym. diff. B| >= differing bits."""
     least = -(-t * (na + nb) // (100 + t))
     return (100 * np.minimum(na, nb) >= t * np.maximum(na, nb)) & (differing <= na + nb - 2 * least)
 
 
-def _differing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)
-
-
-def tile_edges(n: np.ndarray, home: np.ndarray, bits: np.ndarray, t: int) -> list[tuple[int, int]]:
-    """Edges that span the candidate pairs of one tile (guests aren't held against guests).
-
-    Breadth first: a reached set is only held against sets that aren't reached yet.
-    """
-    edges, rest = [], np.arange(len(n))
-    while len(rest) > 1:
-        queue, rest = [rest[0]], rest[1:]
-        while queue and len(rest):
-            i = queue.pop()
-            ok = passes(n[i], n[rest], _differing(bits[i], bits[rest]), t)
-            if not home[i]:
-                ok &= home[rest]
-            near = rest[ok]
-            if len(near):
-                edges += [(i, j) for j in near]
-                queue += near.tolist()
-                rest = rest[~ok]
-    return edges
-
-
-def _tile_pairs(t: int):
-    """Candidate edges of a partition sorted by tile."""
-    keys = ["token", "band", "bi", "bj"]
-
-    def solve(table: pa.Table):
-        tile = np.stack([table.column(k).to_numpy() for k in keys])
-        new = np.append(True, (tile[:, 1:] != tile[:, :-1]).any(axis=0))
-        start = np.flatnonzero(new)
-        count = np.diff(np.append(start, len(new)))
-        group = np.repeat(np.arange(len(start)), count)
-        sid, n, home = table.column("sid").to_numpy(), table.column("n").to_numpy().astype(np.int64), table.column("home").to_numpy(zero_copy_only=False)
-        raw = table.column("bits").to_pylist()
-        bands, of_band = np.unique(tile[1], return_inverse=True)
+def _near(t: int):
+    """The bitmap test of a table of tile rows (band, n, home, bits); guests aren't held against guests."""
+
+    def prepare(table: pa.Table):
+        n, home = table.column("n").to_numpy().astype(np.int64), table.column("home").to_numpy(zero_copy_only=False)
+        bands, of_band = np.unique(table.column("band").to_numpy(), return_inverse=True)
         width = np.array([band_bits(int(b), t) // 64 for b in bands])[of_band]
-        out = []
+        slot, words = np.zeros(len(n), np.int64), {}
+        raw = table.column("bits").to_pylist()
         for size in np.unique(width):
             rows = np.flatnonzero(width == size)
+            slot[rows] = np.arange(len(rows))
             # a set's bitmap is as wide as its guest band asks for: twice this band's width at most
-            words = np.concatenate([fold(np.frombuffer(raw[r], np.uint64)[None], size) for r in rows])
-            g, small = group[rows], count[group[rows]] <= SMALL_TILE
-            for lag in range(1, SMALL_TILE):
-                i = np.flatnonzero(small[: len(rows) - lag] & (g[: len(rows) - lag] == g[lag:])) if lag < len(rows) else np.zeros(0, np.int64)
-                if not len(i):
-                    break
-                step = (1 << 20) // words.shape[1]
-                for a in range(0, len(i), step):
-                    x, y = i[a : a + step], i[a : a + step] + lag
-                    rx, ry = rows[x], rows[y]
-                    ok = passes(n[rx], n[ry], _differing(words[x], words[y]), t) & (home[rx] | home[ry])
-                    out.append(np.stack([sid[rx[ok]], sid[ry[ok]]]))
-            for k in np.unique(g[~small]):
-                at = np.flatnonzero(g == k) if len(rows) < 4096 else np.arange(np.searchsorted(g, k), np.searchsorted(g, k, side="right"))
-                e = tile_edges(n[rows[at]], home[rows[at]], words[at], t)
-                if e:
-                    i, j = np.array(e).T
-                    out.append(np.stack([sid[rows[at[i]]], sid[rows[at[j]]]]))
-        if not out:
-            return None
-        a, b = np.concatenate(out, axis=1)
-        pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
-        return pa.record_batch([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
-
-    def run(batches):
-        held: list[pa.RecordBatch] = []
-        for b in batches:
-            held.append(b)
-            if sum(x.num_rows for x in held) < 20_000:
-                continue
-            table = pa.Table.from_batches(held)
-            last = [table.column(k)[-1].as_py() for k in keys]
-            same = np.logical_and.reduce([table.column(k).to_numpy() == v for k, v in zip(keys, last)])
-            cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
-            if cut and (r := solve(table.slice(0, cut))) is not None:
-                yield r
-            held = table.slice(cut).combine_chunks().to_batches()
-        if sum(x.num_rows for x in held) > 1 and (r := solve(pa.Table.from_batches(held))) is not None:
-            yield r
-
-    return run
-
-
-def exact_links(arrays: list[np.ndarray], label: np.ndarray, active: np.ndarray, t: int) -> list[tuple[int, int]]:
-    """Links that connect sets of different labels, each tested by exact intersection.
-
-    ``active`` marks the sets whose pairs with all others are due; a pair that labels
-    or earlier links connect already isn't tested.
-    """
-    n = np.array([len(a) for a in arrays], np.int64)
-    ends = np.cumsum(n)
-    _, dense = np.unique(np.concatenate(arrays), return_inverse=True)
-    mark = np.zeros(int(dense.max()) + 1, bool)
-    label, links = label.copy(), []
-    done = np.zeros(len(arrays), bool)
-    for i in np.flatnonzero(active):
-        done[i] = True
-        other = np.flatnonzero((label != label[i]) & ~(done & active) & (100 * np.minimum(n, n[i]) >= t * np.maximum(n, n[i])))
-        if not len(other):
-            continue
-        mine = dense[ends[i] - n[i] : ends[i]]
-        mark[mine] = True
-        size = n[other]
-        stop = np.cumsum(size)
-        at = np.arange(stop[-1]) + np.repeat(ends[other] - size - (stop - size), size)
-        common = np.add.reduceat(mark[dense[at]].astype(np.int64), stop - size)
-        mark[mine] = False
-        for j in other[100 * common >= t * (size + n[i] - common)]:
-            if label[j] != label[i]:
-                links.append((i, j))
-                label[label == label[j]] = label[i]
-    return links
-
-
-def _component_links(t: int):
-    """Exact links within one task's group: (sid, shingles, label, active) rows."""
-
-    def run(table: pa.Table) -> pa.Table:
-        sid = table.column("sid").to_numpy()
-        sid, at = np.unique(sid, return_index=True)
-        raw = table.column("shingles").take(pa.array(at)).to_pylist()
-        arrays = [np.frombuffer(x, np.uint64) for x in raw]
-        label = table.column("label").to_numpy()[at]
-        active = table.column("active").to_numpy(zero_copy_only=False)[at]
-        links = exact_links(arrays, label, active, t)
-        i, j = np.array(links, np.int64).reshape(-1, 2).T
-        return pa.table({"a": sid[i], "b": sid[j]})
-
-    return run
-
-
-def _cut(members: DataFrame, edges_of) -> DataFrame:
-    return members.groupBy("component", "part", "chunk").applyInArrow(edges_of, "a long, b long")
-
-
-def exact_components(candidates: DataFrame, arrays: DataFrame, t: int, block_sets: int = BLOCK_SETS) -> DataFrame:
-    """(node, component) of the exact links within the components of the candidate pairs."""
-    coarse = connected_components(candidates)
-    sizes = coarse.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    members = materialize(
-        coarse.join(sizes, "component")
-        .withColumn("parts", F.ceil(F.col("size") / block_sets).cast("long"))
-        .join(arrays.select(F.col("sid").alias("node"), "shingles"), "node")
-        .select(F.col("node").alias("sid"), "component", "parts", "shingles"),
-        "members",
-    )
-    links = _component_links(t)
-    block = F.pmod(F.xxhash64("sid"), "parts")
-    # pivots stand in every block of their component
-    pivots = (
-        members.where("parts > 1").groupBy("component", "parts").agg(F.slice(F.array_sort(F.collect_set(F.when(F.pmod(F.xxhash64("sid"), F.lit(64) * F.col("parts")) == 0, F.col("sid")))), 1, PIVOTS).alias("p"))
-        .select("component", F.explode("p").alias("sid"))
-    )
-    home = members.withColumn("part", block)
-    shared = members.join(pivots, ["component", "sid"]).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    first = (
-        home.unionByName(shared)
-        .select("component", "part", F.lit(0).cast("long").alias("chunk"), "sid", "shingles", F.col("sid").alias("label"), F.lit(True).alias("active"))
-    )
-    found = materialize(_cut(first, links), "links")
-    cut = members.where("parts > 1")
-    if cut.isEmpty():
-        return connected_components(found)
-    # sets that the first round left outside their component's largest cluster, against all blocks
-    labels = connected_components(found)
-    cut = materialize(
-        cut.join(labels.select(F.col("node").alias("sid"), F.col("component").alias("label")), "sid", "left").withColumn("label", F.coalesce("label", "sid")).withColumn("part", block), "cut"
-    )
-    main = cut.groupBy("component", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("component").agg(F.max_by("label", F.struct("c", "label")).alias("main"))
-    outside = cut.join(main, "component").where("label <> main")
-    chunks = outside.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block_sets).cast("long").alias("chunks"))
-    outside = outside.join(chunks, "component").select(
-        "component",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
-        F.pmod(F.xxhash64("sid", F.lit(1)), "chunks").alias("chunk"),
-        "sid", "shingles", "label", F.lit(True).alias("active"),
-    )
-    inside = cut.join(chunks, "component").select(
-        "component", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), "sid", "shingles", "label", F.lit(False).alias("active")
-    )
-    # a set may come twice, as active and as one of its block: the active row counts
-    second = outside.unionByName(inside).groupBy("component", "part", "chunk", "sid").agg(F.max_by("shingles", "active").alias("shingles"), F.max("label").alias("label"), F.max("active").alias("active"))
-    more = _cut(second, links)
-    return connected_components(found.union(more))
-
-
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, threshold: int = 80, tile_rows: int = TILE_ROWS, block_sets: int = BLOCK_SETS) -> DataFrame:
+            words[size] = np.concatenate([fold(np.frombuffer(raw[r], np.uint64)[None], size) for r in rows])
+
+        def near(x, y):
+            ok = home[x] | home[y]
+            for size in words if len(words) > 1 else ():
+                at = np.flatnonzero(ok & (width[x] == size))
+                ok[at] = test(x[at], y[at], words[size])
+            return ok if len(words) > 1 else ok & test(x, y, next(iter(words.values())))
+
+        def test(x, y, table):
+            out = np.zeros(len(x), bool)
+            step = max(1, (1 << 20) // table.shape[1])
+            for a in range(0, len(x), step):
+                i, j = x[a : a + step], y[a : a + step]
+                differing = np.bitwise_count(table[slot[i]] ^ table[slot[j]]).sum(axis=-1, dtype=np.int64)
+                out[a : a + step] = passes(n[i], n[j], differing, t)
+            return out
+
+        return near
+
+    return prepare
+
+
+def jaccard_components(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    size: int = 5,
+    threshold: int = 80,
+    tile_rows: int = TILE_ROWS,
+    block_sets: int = BLOCK_SETS,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
     """(id, n_shingles, component_id) per row of ``docs``; ``threshold`` in per cent."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).withColumn("key", F.coalesce("id", F.xxhash64("text")))
     rows = materialize(texts.mapInArrow(_sets(size, threshold), "id long, n long, sid long, key long, bits binary, sketch binary"), "sets")
-    cells = rows.where("sketch is not null").select("sketch").mapInArrow(_sum_sketch, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    # the tasks' sketches are added up by a fixed number of tasks
+    sums = rows.where("sketch is not null").select("sketch").repartition(SKETCH_TASKS).mapInArrow(_sum_sketch, "sketch binary")
     sketch = np.zeros(SKETCH_CELLS, np.int64)
-    for r in cells.collect():  # SKETCH_CELLS rows at most
-        sketch[r.cell] = r.n
+    for r in sums.toLocalIterator():
+        sketch += np.frombuffer(r.sketch, np.uint64).astype(np.int64)
     sets = rows.where("sketch is null").select("id", "n", "sid", "key", "bits")
-    reps = sets.where("n > 0").groupBy("sid").agg(F.min("id").alias("rep"), F.min("key").alias("rep_key"))
+    reps = materialize(sets.where("n > 0").groupBy("sid").agg(F.min("id").alias("rep"), F.min("key").alias("key"), F.min("n").alias("n")), "reps")
 
     prefixes = texts.select("text").mapInArrow(_prefixes(spark.sparkContext.broadcast(sketch), size, threshold), "token long, sid long, n int, band int")
     prefixes = materialize(prefixes, "prefixes")
-    shared = prefixes.groupBy("token").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low < high").select("token")
-    postings = materialize(prefixes.join(shared, "token").distinct(), "postings")
-    visits = postings.select("token", "sid", "n", F.explode(F.array(F.struct("band", F.lit(True).alias("home")), F.struct((F.col("band") + 1).alias("band"), F.lit(False).alias("home")))).alias("v")).select("token", "sid", "n", "v.*")
+    # written before the join, so that a hot token's side of it can be split
+    shared = materialize(prefixes.groupBy("token").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low < high").select("token"), "shared")
+    # copies of a set in several tasks gave the same rows; dealt by set, as a token may be hot
+    postings = materialize(prefixes.join(shared, "token").repartition("sid").distinct(), "postings")
+    visit = F.explode(F.array(F.struct("band", F.lit(True).alias("home")), F.struct((F.col("band") + 1).alias("band"), F.lit(False).alias("home"))))
+    visits = postings.select("token", "sid", "n", visit.alias("v")).select(F.xxhash64("token", "v.band").alias("tile"), "sid", "n", "v.*")
     tiles = (
-        visits.groupBy("token", "band")
+        visits.groupBy("tile", "band")
         .agg(F.count(F.lit(1)).alias("n_rows"), F.max("home").alias("homes"), F.bit_xor(F.xxhash64("sid", "home")).alias("x"), F.sum(F.xxhash64("home", "sid").cast("decimal(38,0)")).alias("s"))
         .where("n_rows > 1 and homes")
         .groupBy("band", "n_rows", "x", "s")
-        .agg(F.min("token").alias("token"))
-        .select("token", "band", F.ceil(F.col("n_rows") / tile_rows).cast("int").alias("blocks"))
+        .agg(F.min("tile").alias("tile"))
     )
-    members = materialize(visits.join(tiles, ["token", "band"]), "tiles")
-
-    wanted = members.select("sid").distinct().join(reps.select("sid", F.col("rep_key").alias("key")), "sid")
+    members = materialize(visits.join(materialize(tiles.select("tile", "n_rows"), "tiles"), "tile"), "tiles")
+    wanted = members.select("sid").distinct().join(reps.select("sid", "key"), "sid")
     maps = sets.select("sid", "key", "bits").join(wanted, ["sid", "key"]).groupBy("sid").agg(F.first("bits").alias("bits"))
-    mine = F.pmod(F.xxhash64("sid"), "blocks").cast("int")
-    blocked = (
-        members.withColumn("mine", mine)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("token", "band", F.least("mine", "other").alias("bi"), F.greatest("mine", "other").alias("bj"), "sid", "n", "home")
-        .join(maps, "sid")
-        .repartition("token", "band", "bi", "bj")
-        .sortWithinPartitions("token", "band", "bi", "bj")
-    )
-    candidates = materialize(blocked.mapInArrow(_tile_pairs(threshold), "a long, b long").distinct(), "candidates")
-    nodes = candidates.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(reps.select("sid", "rep_key"), "sid")
-    chosen = texts.join(nodes.hint("shuffle_hash"), F.col("key") == F.col("rep_key")).select("text", "sid")
-    arrays = chosen.mapInArrow(_arrays(size), "sid long, shingles binary")
-    linked = exact_components(candidates, arrays, threshold, block_sets)
+    members = materialize(members.join(maps, "sid").withColumn("lead", F.col("home")), "members")
+
+    candidates = tile_links(members, ["n", "band", "home", "bits"], _near(threshold), tile_rows)
+    linked = exact_components(candidates, reps.select("sid", "key", "n"), texts.select("text", "key"), set_arrays(size), threshold, block_sets, block_bytes)
     names = reps.join(linked.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     names = names.join(names.groupBy("component").agg(F.min("rep").alias("component_id")), "component").select("sid", "component_id")
     return sets.select("id", "n", "sid").join(names, "sid", "left").select(

@@ -60,7 +60,7 @@ def rows(df):
     return sorted(((r.doc_id, r.n_shingles, r.component_id) for r in df.collect()), key=str)
 
 
-@pytest.mark.parametrize("size,t,tile_rows,block_sets", [(3, 90, 2048, 2048), (3, 90, 3, 4), (5, 80, 2048, 3)])
+@pytest.mark.parametrize("size,t,tile_rows,block_sets", [(3, 90, 2048, 2048), (3, 90, 3, 4), (5, 80, 2, 3)])
 def test_against_brute_force(spark, docs_of, size, t, tile_rows, block_sets):
     texts = corpus(random.Random(size + tile_rows))
     docs = docs_of(texts).withColumn("sid", F.lit("x")).withColumn("band", F.lit(1))
