@@ -98,15 +98,15 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dic
 
         return run_bronze(spark, args.raw_dir, args.out)
     if args.cmd == "silver":
-        from fareline.plans.silver import run_silver
+        from fareline.plans.silver import read_bronze, run_silver
 
-        return run_silver(spark.read.parquet(args.bronze), args.out)
+        return run_silver(read_bronze(spark, args.bronze), args.out)
     if args.cmd in ("warehouse", "check"):
         from fareline.operators.checks import DEFAULT_SUITE, run_checks
-        from fareline.plans.silver import SPLIT_COLUMN
+        from fareline.plans.silver import SPLIT_COLUMN, read_silver
         from fareline.plans.warehouse import build_warehouse, write_warehouse
 
-        silver = spark.read.parquet(args.silver)
+        silver = read_silver(spark, args.silver)
         if args.cmd == "warehouse":
             vendors, payments, zones = _seeds(spark, args)
             lazy = build_warehouse(silver, vendors, payments, zones)

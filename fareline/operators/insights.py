@@ -147,17 +147,30 @@ def window_kpis(kpi_daily: DataFrame, w: ReportWindow, weighted: bool = False) -
             )
         ]
     )
-    for p in (CURRENT, PREVIOUS):
-        agg = agg.withColumn(
-            f"avg_ticket_{p}",
-            F.when(F.col(f"trips_{p}") != 0, F.col(f"revenue_{p}") / F.col(f"trips_{p}")).otherwise(F.lit(0.0)),
-        )
-    return agg.select(
+    bounds = agg.select(
         F.lit(w.window_days).alias("window_days"),
         w.today.alias("today"),
         w.current_start.alias("current_start"),
         w.previous_start.alias("previous_start"),
         w.previous_end.alias("previous_end"),
+        "*",
+    )
+    return with_deltas(bounds)
+
+
+def with_deltas(windows: DataFrame) -> DataFrame:
+    """Average tickets and deltas of windows whose bounds, days, trips, revenue and tip rates are known."""
+    for p in (CURRENT, PREVIOUS):
+        windows = windows.withColumn(
+            f"avg_ticket_{p}",
+            F.when(F.col(f"trips_{p}") != 0, F.col(f"revenue_{p}") / F.col(f"trips_{p}")).otherwise(F.lit(0.0)),
+        )
+    return windows.select(
+        "window_days",
+        "today",
+        "current_start",
+        "previous_start",
+        "previous_end",
         "days_current",
         "days_previous",
         "trips_current",
@@ -177,6 +190,71 @@ def window_kpis(kpi_daily: DataFrame, w: ReportWindow, weighted: bool = False) -
     )
 
 
+# sums of the cumulative table; doubles are added as decimals, so that differences are exact
+EXACT = "decimal(38,12)"
+
+
+def kpi_prefix(kpi_daily: DataFrame) -> DataFrame:
+    """Cumulative KPIs of every calendar day from the first day with data to the last.
+
+    Days are added up within their month and months among each other, so no task adds
+    up more than a month's days or the months.
+    """
+    day = kpi_daily.select(
+        "date_day",
+        F.lit(1).cast("long").alias("days"),
+        F.coalesce("trips", F.lit(0)).cast("long").alias("trips"),
+        F.coalesce("gross_revenue", F.lit(0.0)).cast(EXACT).alias("revenue"),
+        F.coalesce("tip_rate", F.lit(0.0)).cast(EXACT).alias("rates"),
+        F.col("tip_rate").isNotNull().cast("long").alias("rated"),
+    )
+    sums = ("days", "trips", "revenue", "rates", "rated")
+    span = kpi_daily.agg(F.min("date_day").alias("lo"), F.max("date_day").alias("hi"))
+    days = span.where("lo is not null").select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("date_day"))
+    month = F.trunc("date_day", "MM")
+    filled = days.join(day, "date_day", "left").withColumn("month", month).fillna(0, ["days", "trips", "rated"])
+    filled = filled.withColumns({c: F.coalesce(c, F.lit(0).cast(EXACT)) for c in ("revenue", "rates")})
+    upto = Window.partitionBy("month").orderBy("date_day")
+    months = filled.groupBy("month").agg(*[F.sum(c).cast(EXACT if c in ("revenue", "rates") else "long").alias(f"m_{c}") for c in sums])
+    before = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
+    months = months.select("month", *[F.coalesce(F.sum(f"m_{c}").over(before), F.lit(0)).alias(f"m_{c}") for c in sums])
+    return filled.join(months, "month").select("date_day", *[(F.sum(c).over(upto) + F.col(f"m_{c}")).alias(c) for c in sums])
+
+
+def window_kpis_of_days(kpi_daily: DataFrame, window_days=(7, 30, 90), prefix: DataFrame | None = None) -> DataFrame:
+    """B1, B2, B2a for every day as today and every window length, from differences of cumulative sums.
+
+    One pass over the daily mart serves all windows: a window's value is the cumulative
+    value at its last day less the one before its first day (0 before the first day with
+    data). ``prefix`` may pass a written ``kpi_prefix`` table.
+    """
+    c = kpi_prefix(kpi_daily) if prefix is None else prefix
+    sums = [x for x in c.columns if x != "date_day"]
+    asked = c.select(F.col("date_day").alias("today"), F.explode(F.array(*[F.lit(n) for n in window_days])).alias("window_days"))
+    # a row per (today, n) and bound; the bounds meet the cumulative table once
+    at = {"t0": F.col("today"), "t1": F.expr("date_sub(today, window_days)"), "t2": F.expr("date_sub(today, 2 * window_days)")}
+    bounds = asked.select("today", "window_days", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), d.alias("date_day")) for k, d in at.items()])).alias("b"))
+    met = bounds.select("today", "window_days", "b.k", "b.date_day").join(c, "date_day")
+    # the value at each bound; a bound before the first day has no row and counts as 0
+    value = {f"{x}_{k}": F.coalesce(F.max(F.when(F.col("k") == k, F.col(x))), F.lit(0)) for x in sums for k in at}
+    rows = met.groupBy("today", "window_days").agg(*[v.alias(k) for k, v in value.items()])
+
+    def part(x: str, p: str) -> Column:
+        return F.col(f"{x}_t0") - F.col(f"{x}_t1") if p == CURRENT else F.col(f"{x}_t1") - F.col(f"{x}_t2")
+
+    out = rows.select(
+        "window_days", "today",
+        F.expr("date_sub(today, window_days - 1)").alias("current_start"),
+        F.expr("date_sub(today, 2 * window_days - 1)").alias("previous_start"),
+        F.expr("date_sub(today, window_days)").alias("previous_end"),
+        *[part("days", p).alias(f"days_{p}") for p in (CURRENT, PREVIOUS)],
+        *[part("trips", p).alias(f"trips_{p}") for p in (CURRENT, PREVIOUS)],
+        *[part("revenue", p).cast("double").alias(f"revenue_{p}") for p in (CURRENT, PREVIOUS)],
+        *[F.coalesce(safe_ratio(part("rates", p).cast("double"), part("rated", p)), F.lit(0.0)).alias(f"tip_rate_{p}") for p in (CURRENT, PREVIOUS)],
+    )
+    return with_deltas(out)
+
+
 def kpi_daily_series(kpi_daily: DataFrame, w: ReportWindow) -> DataFrame:
     """Daily trips and revenue of both windows and their shared axis maxima."""
     rows = kpi_daily.where(w.both()).select(

@@ -29,7 +29,7 @@ from fareline.functions.expressions import (
 )
 
 
-def _dur() -> Column:
+def duration() -> Column:
     """Trip duration in whole minute boundaries (the marts' duration measure)."""
     return minute_boundaries("pickup_at", "dropoff_at")
 
@@ -43,10 +43,14 @@ def mart_kpi_daily(fact: DataFrame, adjustments: DataFrame) -> DataFrame:
         F.sum("congestion_surcharge").alias("congestion"),
         F.sum("tolls_amount").alias("tolls"),
         F.avg("trip_distance_mi").alias("avg_miles"),
-        F.avg(_dur()).alias("avg_duration_min"),
+        F.avg(duration()).alias("avg_duration_min"),
     )
     adj = adjustments.groupBy("date_day").agg(F.sum("total_amount").alias("adj_revenue"))
-    j = trips.join(adj, "date_day", "left")
+    return kpi_columns(trips.join(adj, "date_day", "left"))
+
+
+def kpi_columns(j: DataFrame) -> DataFrame:
+    """The KPI mart's columns from a day's sums and averages."""
     return j.select(
         "date_day",
         "trips",
@@ -84,8 +88,13 @@ def mart_trips_hourly_vendor(fact: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("trips"),
         F.sum("total_amount").alias("revenue"),
         F.avg("trip_distance_mi").alias("avg_miles"),
-        F.avg(_dur()).alias("avg_duration_min"),
+        F.avg(duration()).alias("avg_duration_min"),
     )
+    return hour_columns(g)
+
+
+def hour_columns(g: DataFrame) -> DataFrame:
+    """Groups of (_d, _h, vendor) with the hour as a timestamp."""
     hour = F.make_timestamp_ntz(F.year("_d"), F.month("_d"), F.dayofmonth("_d"), F.col("_h"), F.lit(0), F.lit(0))
     return g.select(hour.alias("hour"), "vendor_id", "trips", "revenue", "avg_miles", "avg_duration_min")
 
@@ -95,6 +104,11 @@ def mart_payment_mix_daily(fact: DataFrame) -> DataFrame:
     d = fact.groupBy("date_day", "payment_type").agg(
         F.count(F.lit(1)).alias("trips"), F.sum("total_amount").alias("revenue")
     )
+    return payment_columns(d)
+
+
+def payment_columns(d: DataFrame) -> DataFrame:
+    """Ticket and share of the day's trips for (day, payment code) groups."""
     day = Window.partitionBy("date_day")
     return d.select(
         "date_day",
@@ -115,10 +129,15 @@ def mart_vendor_scorecard_monthly(fact: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("trips"),
             F.sum("total_amount").alias("revenue"),
             F.avg("trip_distance_mi").alias("avg_miles"),
-            F.avg(_dur()).alias("avg_duration_min"),
+            F.avg(duration()).alias("avg_duration_min"),
             F.sum("tip_amount").alias("tips"),
         )
     )
+    return scorecard_columns(x)
+
+
+def scorecard_columns(x: DataFrame) -> DataFrame:
+    """Ticket, tip rate and share of the month's revenue for (month, vendor) groups."""
     month = Window.partitionBy("year_month")
     return x.select(
         "year_month",
@@ -142,7 +161,7 @@ def mart_od_matrix_monthly(fact: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("trips"),
             F.sum("total_amount").alias("revenue"),
             F.avg("trip_distance_mi").alias("avg_miles"),
-            F.avg(_dur()).alias("avg_duration_min"),
+            F.avg(duration()).alias("avg_duration_min"),
         )
     )
 
@@ -185,13 +204,24 @@ def mart_airport_daily(fact: DataFrame, zones: DataFrame, rule: AirportRule = DE
     airport-zone table, and only the matching directions are exploded; a
     trip between two airports counts once per direction.
     """
+    base = airport_ends(fact, zones, rule)
+    return base.groupBy("date_day", "airport", "direction").agg(
+        F.count(F.lit(1)).alias("trips"),
+        F.sum("total_amount").alias("total_revenue"),
+        F.sum("fare_amount").alias("fare_revenue"),
+        F.sum("tip_amount").alias("tip_revenue"),
+        F.sum("airport_fee").alias("airport_fee_total"),
+        F.avg("trip_distance_mi").alias("avg_miles"),
+    )
+
+
+def airport_ends(fact: DataFrame, zones: DataFrame, rule: AirportRule = DEFAULT_AIRPORT, keep=()) -> DataFrame:
+    """A row per trip end at an airport, with the measures and the columns ``keep`` of the trip."""
     ap = airport_zones(zones, rule)
     pu = ap.select(F.col("location_id").alias("pu_location_id"), F.col("airport").alias("pu_airport"))
     do = ap.select(F.col("location_id").alias("do_location_id"), F.col("airport").alias("do_airport"))
-    t = fact.select(
-        "date_day", "pu_location_id", "do_location_id", "total_amount", "fare_amount", "tip_amount",
-        "trip_distance_mi", "airport_fee",
-    )
+    measures = ("date_day", "total_amount", "fare_amount", "tip_amount", "trip_distance_mi", "airport_fee", *keep)
+    t = fact.select("pu_location_id", "do_location_id", *measures)
     j = t.join(pu, "pu_location_id", "left").join(do, "do_location_id", "left")
     j = j.where(F.col("pu_airport").isNotNull() | F.col("do_airport").isNotNull())
     sides = F.filter(
@@ -201,18 +231,7 @@ def mart_airport_daily(fact: DataFrame, zones: DataFrame, rule: AirportRule = DE
         ),
         lambda s: s["airport"].isNotNull(),
     )
-    base = j.select(
-        "date_day", "total_amount", "fare_amount", "tip_amount", "trip_distance_mi", "airport_fee",
-        F.explode(sides).alias("s"),
-    )
-    return base.groupBy("date_day", F.col("s.airport").alias("airport"), F.col("s.direction").alias("direction")).agg(
-        F.count(F.lit(1)).alias("trips"),
-        F.sum("total_amount").alias("total_revenue"),
-        F.sum("fare_amount").alias("fare_revenue"),
-        F.sum("tip_amount").alias("tip_revenue"),
-        F.sum("airport_fee").alias("airport_fee_total"),
-        F.avg("trip_distance_mi").alias("avg_miles"),
-    )
+    return j.select(*measures, F.explode(sides).alias("s")).select(*measures, "s.airport", "s.direction")
 
 
 def count_true(cond: Column) -> Column:
@@ -227,26 +246,24 @@ def count_true(cond: Column) -> Column:
 
 def mart_anomaly_summary_daily(fact: DataFrame, rules: AnomalyMartRules = DEFAULT_ANOMALY) -> DataFrame:
     """Per day and pickup zone: distance, duration, speed and negative-total outliers and their sum."""
-    dur = _dur()
-    base = fact.select(
-        "date_day",
-        F.col("pu_location_id").alias("location_id"),
-        dur.alias("dur_min"),
-        "trip_distance_mi",
-        F.when(dur > 0, F.lit(60.0) * F.col("trip_distance_mi") / dur).alias("speed_mph"),
-        "total_amount",
-    )
-    dist = (F.col("trip_distance_mi") > rules.max_distance_mi) | (F.col("trip_distance_mi") < 0)
-    dura = (F.col("dur_min") < rules.min_duration_min) | (F.col("dur_min") > rules.max_duration_min)
-    spd = F.col("speed_mph") > rules.max_speed_mph
-    neg = F.col("total_amount") < 0
-    agg = base.groupBy("date_day", "location_id").agg(
-        count_true(dist).alias("distance_outliers"),
-        count_true(dura).alias("duration_outliers"),
-        count_true(spd).alias("speed_outliers"),
-        count_true(neg).alias("negative_total"),
-    )
-    return agg.withColumn(
+    out = fact.groupBy("date_day", F.col("pu_location_id").alias("location_id"))
+    return anomaly_columns(out.agg(*[count_true(c).alias(k) for k, c in outlier_conditions(rules).items()]))
+
+
+def outlier_conditions(rules: AnomalyMartRules = DEFAULT_ANOMALY) -> dict[str, Column]:
+    """The counted conditions of a trip, by column of the mart."""
+    dur, miles = duration(), F.col("trip_distance_mi")
+    return {
+        "distance_outliers": (miles > rules.max_distance_mi) | (miles < 0),
+        "duration_outliers": (dur < rules.min_duration_min) | (dur > rules.max_duration_min),
+        "speed_outliers": F.when(dur > 0, F.lit(60.0) * miles / dur) > rules.max_speed_mph,
+        "negative_total": F.col("total_amount") < 0,
+    }
+
+
+def anomaly_columns(counts: DataFrame) -> DataFrame:
+    """The four counts and their sum."""
+    return counts.withColumn(
         "anomalies",
         F.col("distance_outliers") + F.col("duration_outliers") + F.col("speed_outliers") + F.col("negative_total"),
     )

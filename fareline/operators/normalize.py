@@ -22,22 +22,30 @@ from fareline.config import (
     SILVER_DROP_COLUMNS,
 )
 
-# time texts beside ISO: (pattern, layout), month first where both could be meant
+# time texts: (pattern, layout), month first where both could be meant. The first pattern
+# found in a text decides, with whatever stands before and after it.
+ISO_TIME = r"(?<!\d)\d{4}-\d{1,2}-\d{1,2}[ T]\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?(?!\d)"
 TEXT_TIME_LAYOUTS = (
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2} [AaPp][Mm]$", "M/d/yyyy h:mm:ss a"),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2} [AaPp][Mm]$", "M/d/yyyy h:mm a"),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}$", "M/d/yyyy H:mm:ss"),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}$", "M/d/yyyy H:mm"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
-    (r"^\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{2}:\d{2}$", "yyyy/M/d H:mm:ss"),
-    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
-    (r"^\d{8} \d{6}$", "yyyyMMdd HHmmss"),
-    (r"^\d{14}$", "yyyyMMddHHmmss"),
-    (r"^\d{1,2}-[A-Za-z]{3}-\d{4} \d{1,2}:\d{2}:\d{2}$", "d-MMM-yyyy H:mm:ss"),
-    (r"^[A-Z][a-z]{2} \d{1,2}, \d{4} \d{1,2}:\d{2}:\d{2}$", "MMM d, yyyy H:mm:ss"),
-    (r"^[A-Z][a-z]{2} \d{1,2} \d{4} \d{1,2}:\d{2}[AP]M$", "MMM d yyyy h:mma"),
+    (r"(?<!\d)\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2} [AaPp][Mm]", "M/d/yyyy h:mm:ss a"),
+    (r"(?<!\d)\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2} [AaPp][Mm]", "M/d/yyyy h:mm a"),
+    (r"(?<!\d)\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}:\d{2}(?!\d)", "M/d/yyyy H:mm:ss"),
+    (r"(?<!\d)\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{2}(?!\d)", "M/d/yyyy H:mm"),
+    (r"(?<!\d)\d{1,2}/\d{1,2}/\d{4}(?!\d)", "M/d/yyyy"),
+    (r"(?<!\d)\d{4}/\d{1,2}/\d{1,2} \d{1,2}:\d{2}:\d{2}(?!\d)", "yyyy/M/d H:mm:ss"),
+    (r"(?<!\d)\d{4}/\d{1,2}/\d{1,2}(?!\d)", "yyyy/M/d"),
+    (r"(?<!\d)\d{8} \d{6}(?!\d)", "yyyyMMdd HHmmss"),
+    (r"(?<!\d)\d{14}(?!\d)", "yyyyMMddHHmmss"),
+    (r"(?<!\d)\d{1,2}-[A-Za-z]{3}-\d{4} \d{1,2}:\d{2}:\d{2}(?!\d)", "d-MMM-yyyy H:mm:ss"),
+    (r"[A-Z][a-z]{2} \d{1,2}, \d{4} \d{1,2}:\d{2}:\d{2}(?!\d)", "MMM d, yyyy H:mm:ss"),
+    (r"[A-Z][a-z]{2} \d{1,2} \d{4} \d{1,2}:\d{2}[AP]M", "MMM d yyyy h:mma"),
 )
 
+# column metadata: what the integers of a time column count ("s", "ms", "us", "ns"), or
+# "plain" for integers that are no time type in the file (``sources.raw`` sets it from the footer)
+TIME_UNIT = "time_unit"
+PLAIN_INTEGER = "plain"
+_PER_SECOND = {"s": 1, "ms": 1_000, "us": 1_000_000, "ns": 1_000_000_000}
+
 INTEGER_ID_COLUMNS = (
     "vendor_id",
     "payment_type",
@@ -62,26 +70,69 @@ def canonicalize_names(df: DataFrame, rename: Mapping[str, str] = CANONICAL_NAME
     return df.withColumnsRenamed(mapping) if mapping else df
 
 
+def _time_from_text(c: Column) -> Column:
+    """The time in a text: the whole text as ISO, else the first layout found in it; NULL when that isn't a time."""
+    text = F.trim(c.cast("string"))
+    ntz = T.TimestampNTZType()
+    found = F.when(text.rlike(ISO_TIME), F.regexp_extract(text, ISO_TIME, 0).try_cast(ntz))
+    for pattern, layout in TEXT_TIME_LAYOUTS:
+        found = found.when(text.rlike(pattern), F.try_to_timestamp(F.regexp_extract(text, pattern, 0), F.lit(layout)).cast(ntz))
+    return F.coalesce(text.try_cast(ntz), found)
+
+
+def _time_from_integer(c: Column, unit: str) -> Column:
+    """Integers since the epoch; what is finer than microseconds is cut off."""
+    per = _PER_SECOND[unit]
+    micros = F.floor(c.cast("long") / F.lit(Decimal(per // 1_000_000))) if per > 1_000_000 else c.cast("decimal(38,0)") * F.lit(Decimal(1_000_000 // per))
+    seconds = (micros / F.lit(Decimal(1_000_000))).cast("decimal(18,6)")
+    return F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) + F.make_dt_interval(secs=seconds)
+
+
 def to_timestamp_ntz(df: DataFrame, name: str) -> Column:
-    """Timestamp coercion: NTZ kept, LTZ/date cast, integers as nanoseconds of the epoch, text parsed.
+    """Timestamp coercion: NTZ kept, LTZ/date cast, integers by their unit, text parsed.
 
-    Text is tried as ISO first, then by ``TEXT_TIME_LAYOUTS`` in order; text that
-    none of them reads gives NULL. Integers are what nanosecond files are read as.
+    An integer column's unit is its ``TIME_UNIT`` metadata, and nanoseconds without it
+    (what nanosecond files are read as). Plain integers and all other types go through
+    their text: ISO first, then the layouts of ``TEXT_TIME_LAYOUTS``, with any text
+    around them; what none of them reads gives NULL.
     """
-    dtype = df.schema[name].dataType
+    f = df.schema[name]
     c = F.col(name)
-    if isinstance(dtype, T.TimestampNTZType):
+    if isinstance(f.dataType, T.TimestampNTZType):
         return c
-    if isinstance(dtype, (T.TimestampType, T.DateType)):
+    if isinstance(f.dataType, (T.TimestampType, T.DateType)):
         return c.cast(T.TimestampNTZType())
-    if isinstance(dtype, T.IntegralType):
-        micros = F.floor(c.cast("long") / F.lit(Decimal(1000)))
-        seconds = (micros / F.lit(Decimal(1_000_000))).cast("decimal(18,6)")
-        return F.to_timestamp_ntz(F.lit("1970-01-01 00:00:00")) + F.make_dt_interval(secs=seconds)
-    text = F.trim(c.cast("string"))
-    parsed = [text.try_cast(T.TimestampNTZType())]
-    parsed += [F.when(text.rlike(pattern), F.try_to_timestamp(text, F.lit(layout))).cast(T.TimestampNTZType()) for pattern, layout in TEXT_TIME_LAYOUTS]
-    return F.coalesce(*parsed)
+    unit = (f.metadata or {}).get(TIME_UNIT, "ns")
+    if isinstance(f.dataType, T.IntegralType) and unit != PLAIN_INTEGER:
+        return _time_from_integer(c, unit)
+    return _time_from_text(c)
+
+
+RESCUED = "_rescued"
+
+
+def with_raw_texts(df: DataFrame) -> DataFrame:
+    """Canonically named raw rows with the texts of the values that a lenient cast may lose (``_rescued``)."""
+    contract = {f.name: f.dataType for f in BRONZE_CONTRACT.fields}
+    at = {c: "trip_distance" if c == "trip_distance_mi" and c not in df.columns else c for c in BASE_COLUMNS}
+    # a column that has its type already loses nothing
+    texts = [F.col(r).cast("string").alias(c) for c, r in at.items() if r in df.columns and df.schema[r].dataType != contract[c]]
+    return df.withColumn(RESCUED, F.struct(*texts) if texts else F.struct(F.lit(None).cast("string").alias("none")))
+
+
+def rescued_values(df: DataFrame) -> Column:
+    """Of typed rows with their raw texts: a map from column to the text whose cast gave NULL."""
+    names = [f.name for f in df.schema[RESCUED].dataType.fields if f.name in df.columns]
+    lost = [F.struct(F.lit(c).alias("k"), F.when(F.col(c).isNull(), F.col(RESCUED)[c]).alias("v")) for c in names]
+    if not lost:
+        return F.create_map().cast("map<string,string>")
+    return F.map_from_entries(F.filter(F.array(*lost), lambda e: e["v"].isNotNull()))
+
+
+def cast_losses(rows: DataFrame) -> DataFrame:
+    """Per file and column: values that a lenient cast lost, and the first of their texts."""
+    each = rows.select("source_file", F.explode(RESCUED).alias("column_name", "raw_value"))
+    return each.groupBy("source_file", "column_name").agg(F.count(F.lit(1)).alias("lost"), F.min("raw_value").alias("example"))
 
 
 def canonicalize(df: DataFrame, rename: Mapping[str, str] = CANONICAL_NAMES) -> DataFrame:

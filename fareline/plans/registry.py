@@ -134,6 +134,83 @@ def _silver_from_files(spark, sf):
     return out
 
 
+@register("cast_losses")
+def _cast_losses(spark, sf):
+    """Raw values that the lenient casts lose, per file and column, with the first of their texts."""
+    from fareline.operators.normalize import cast_losses
+    from fareline.plans.bronze import normalized_families
+    from fareline.sources.raw import read_raw_families
+
+    return cast_losses(normalized_families(read_raw_families(spark, tpch_trips.file_build(spark, sf).raw), rescue=True))
+
+
+@register("snapshot_rows")
+def _snapshot_rows(spark, sf):
+    """Published bronze rows per file, now and in the version before one file was replaced."""
+    from pyspark.sql import functions as F
+
+    from fareline.plans.store import Store
+
+    store = Store(spark, tpch_trips.incremental_build(spark, sf).root)
+
+    def counts(version, name):
+        return store.read("bronze", version).groupBy("source_file").agg(F.count(F.lit(1)).alias(name))
+
+    both = counts(None, "rows").join(counts(1, "rows_before"), "source_file", "full")
+    return both.fillna(0, ["rows", "rows_before"])
+
+
+@register("split_view_totals")
+def _split_view_totals(spark, sf):
+    """The split views by their names, asked in SQL."""
+    from fareline.plans.silver import register_split_views
+
+    names = register_split_views(spark, tpch_trips.file_build(spark, sf).silver)
+    one = "select '{0}' as view_name, count(*) as rows, sum(total_amount) as total_amount_sum, count(distinct source_file) as files from {0}"
+    return spark.sql(" union all ".join(one.format(n) for n in names))
+
+
+@register("seeds_from_csv", rounded=False)
+def _seeds_from_csv(spark, sf):
+    """The three seeds written as CSV and read with their schemas."""
+    from pyspark.sql import functions as F
+
+    from fareline.sources import seeds
+
+    paths = fixture.seed_csvs(spark, sf, f"{tpch_trips.folder(spark, sf)}/seeds")
+    text = F.lit(None).cast("string")
+    z = seeds.read_zones_csv(spark, paths["taxi_zones"])
+    v, p = seeds.read_vendors_csv(spark, paths["vendors"]), seeds.read_payment_types_csv(spark, paths["payment_types"])
+    return (
+        z.select(F.lit("taxi_zones").alias("seed"), F.col("location_id").alias("id"), F.col("zone").alias("name"), "borough", "service_zone")
+        .union(v.select(F.lit("vendors"), F.col("vendor_id").cast("int"), "vendor_name", text, text))
+        .union(p.select(F.lit("payment_types"), F.col("payment_type").cast("int"), "payment_desc", text, text))
+    )
+
+
+@register("near_totals")
+def _near_totals(spark, sf):
+    """Totals near their components' sum, in both adding orders; optional columns dropped if present."""
+    from pyspark.sql import functions as F
+
+    from fareline.config import SILVER_DROP_COLUMNS, TOTAL_COMPONENTS
+    from fareline.functions.expressions import is_near, sum_filled
+    from fareline.operators.normalize import check_contract, drop_optional
+
+    bronze = _bronze_layer(spark, sf)
+    names = bronze.columns
+    kept = drop_optional(bronze.withColumns({c: F.lit(True) for c in SILVER_DROP_COLUMNS[:1]}))
+    check_contract(kept, names)
+    # the tip fourth, after the surcharges' head
+    rest = [c for c in TOTAL_COMPONENTS if c != "tip_amount"]
+    early_tip = sum_filled([*rest[:3], "tip_amount", *rest[3:]])
+    return kept.groupBy("source_file").agg(
+        F.count_if(is_near("manualTotal", "total_amount")).alias("near_rows"),
+        F.count_if(is_near(early_tip, "total_amount")).alias("near_rows_early_tip"),
+        F.sum(early_tip).alias("components_sum"),
+    )
+
+
 @register("silver_split_counts")
 def _silver_split_counts(spark, sf):
     """Q15 + S12: rows and total per split (fare_miss overlaps clean)."""
@@ -189,12 +266,41 @@ def _table(name: str) -> Query:
     return fn
 
 
-for _name in ("fact_revenue_adjustments", "dim_date", "dim_vendor", "dim_zone"):
+for _name in ("fact_revenue_adjustments", "dim_date", "dim_payment", "dim_vendor", "dim_zone"):
     register(_name, rounded=False)(_table(_name))
 for _name in MART_BUILDERS:
     register(_name)(_table(_name))
 
 
+def _incremental(name: str) -> Query:
+    def fn(spark, sf):
+        from fareline.plans.warehouse import read_warehouse
+
+        return _model(read_warehouse(spark, tpch_trips.incremental_build(spark, sf).root)[name])
+
+    fn.__doc__ = f"{name} of a store that was refreshed file by file, one file having been replaced."
+    return fn
+
+
+for _name in MART_BUILDERS:
+    register(f"incremental_{_name}")(_incremental(_name))
+for _name in ("fact_revenue_adjustments", "dim_date", "dim_vendor", "dim_zone"):
+    register(f"incremental_{_name}", rounded=False)(_incremental(_name))
+
+
+@register("catalog_row_counts")
+def _catalog_row_counts(spark, sf):
+    """Catalog tables over the published warehouse, listed from the catalog and counted through it."""
+    from fareline.operators.catalog import list_catalog_tables
+    from fareline.plans.warehouse import register_tables
+
+    root = tpch_trips.incremental_build(spark, sf).root
+    wanted = set(register_tables(spark, root))
+    listed = [(db, t, kind) for db, t, kind in list_catalog_tables(spark, ["gold", "marts"]) if f"{db}.{t}" in wanted]
+    one = "select '{0}' as table_schema, '{1}' as table_name, '{2}' as kind, count(*) as row_count from {0}.{1}"
+    return spark.sql(" union all ".join(one.format(*r) for r in listed))
+
+
 def _quality_tables(spark, sf):
     wh = tpch_trips.warehouse(spark, sf, materialize="all")
     names = ("stg_trips", *[n for n in wh.gold_and_marts()])
@@ -281,6 +387,15 @@ def _window_kpis(spark, sf):
     return window_kpis(wh["mart_kpi_daily"], w)
 
 
+@register("window_kpis_of_days")
+def _window_kpis_of_days(spark, sf):
+    """Every day as today and three window lengths, from cumulative sums."""
+    from fareline.operators.insights import window_kpis_of_days
+
+    wh = tpch_trips.warehouse(spark, sf, materialize="all")
+    return window_kpis_of_days(wh["mart_kpi_daily"])
+
+
 @register("kpi_daily_series")
 def _kpi_daily_series(spark, sf):
     """Daily series of both windows with shared maxima."""
@@ -405,3 +520,28 @@ def _zone_hotspots_default(spark, sf):
 
     wh, w = _bi(spark, sf, ZONE_DAYS)
     return zone_hotspots(wh["mart_anomaly_summary_daily"], wh["mart_revenue_daily_zone"], wh["dim_zone"], w)
+
+
+# long enough for the test data's zones to reach the default floor
+YEAR_DAYS = 365
+
+
+@register("zone_hotspots_year")
+def _zone_hotspots_year(spark, sf):
+    """B11 at the default floor of 100 trips, over a year."""
+    from fareline.operators.insights import zone_hotspots
+
+    wh, w = _bi(spark, sf, YEAR_DAYS)
+    return zone_hotspots(wh["mart_anomaly_summary_daily"], wh["mart_revenue_daily_zone"], wh["dim_zone"], w)
+
+
+@register("corridor_months")
+def _corridor_months(spark, sf):
+    """trips and revenue of the corridor mart in the months that the zone window touches."""
+    from pyspark.sql import functions as F
+
+    from fareline.functions.expressions import months_touched
+
+    wh, w = _bi(spark, sf, ZONE_DAYS)
+    od = wh["mart_od_matrix_monthly"].where(F.array_contains(months_touched(w.current_start, w.today), F.col("year_month")))
+    return od.groupBy("year_month").agg(F.sum("trips").alias("trips"), F.sum("revenue").alias("revenue"), F.count(F.lit(1)).alias("corridors"))

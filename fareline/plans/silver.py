@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from fareline.config import BRONZE_COLUMNS, SPLIT_FARE_MISS
 from fareline.operators.normalize import check_contract, drop_optional, silver_normalize
 from fareline.operators.quality import coverage, split, split_counts, with_split
+from fareline.plans.store import read_table, write_table
 
 SPLIT_COLUMN = "silver_split"
 
@@ -25,7 +26,7 @@ def silver_from_bronze(bronze: DataFrame, check: bool = True) -> DataFrame:
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return read_table(spark, path)
 
 
 def splits(silver: DataFrame) -> dict[str, DataFrame]:
@@ -37,27 +38,22 @@ def splits(silver: DataFrame) -> dict[str, DataFrame]:
     return out
 
 
-SILVER_PARTITIONS = (SPLIT_COLUMN, "source_year", "source_month")
+SILVER_PARTITIONS = (SPLIT_COLUMN, "source_year", "source_month", "source_file")
 
 
 def write_silver(silver: DataFrame, path: str, compression: str = "zstd") -> None:
-    """One job that replaces the whole table: rows land in ``silver_split=<name>/source_year=/source_month=`` folders.
+    """One job that replaces the whole table: a partition per split, source month and file.
 
-    fare_miss is a filter of clean, not a copy. The month level lets later
-    jobs prune to the months they rebuild. No shuffle before the write: a task
-    holds rows of one source month, so it writes at most four files.
+    fare_miss is a filter of clean, not a copy. The lower levels let later
+    jobs prune to the months they rebuild and replace single files. No shuffle
+    before the write: a task holds rows of the files it read, so it writes at most
+    four files for each. Readers see the old table until the new one is complete.
     """
-    (
-        silver.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .option("compression", compression)
-        .partitionBy(*SILVER_PARTITIONS)
-        .parquet(path)
-    )
+    write_table(silver, path, SILVER_PARTITIONS, compression=compression)
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return read_table(spark, path)
 
 
 def read_split(silver: DataFrame, name: str) -> DataFrame:
@@ -65,6 +61,15 @@ def read_split(silver: DataFrame, name: str) -> DataFrame:
     return split(silver, name, SPLIT_COLUMN).drop(SPLIT_COLUMN)
 
 
+def register_split_views(spark: SparkSession, silver: DataFrame, prefix: str = "silver") -> list[str]:
+    """Temp views ``<prefix>_<split>`` for the five split names, as SQL users know them; returns the names."""
+    names = []
+    for name, rows in splits(silver).items():
+        rows.createOrReplaceTempView(f"{prefix}_{name}")
+        names.append(f"{prefix}_{name}")
+    return names
+
+
 def silver_report(silver: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(split counts, coverage row)."""
     return split_counts(silver, SPLIT_COLUMN), coverage(silver, SPLIT_COLUMN)

@@ -5,8 +5,8 @@ once per session and folder by the shipped writers and read back, as a user of
 the library would run it:
 
 * raw:     the adapter's trips as Parquet, one partition per source file;
-* bronze:  ``write_bronze`` (partitioned by year and month);
-* silver:  ``write_silver`` (partitioned by split, year and month);
+* bronze:  ``write_bronze`` (partitioned by year, month and file);
+* silver:  ``write_silver`` (partitioned by split, year, month and file);
 * gold, marts: ``write_warehouse`` (facts by month), read by ``read_warehouse``,
   which opens a table when it is first asked for.
 
@@ -24,10 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from fareline.config import DEFAULT_QA, SPLIT_ADMIN, SPLIT_ANOMALIES, SPLIT_CLEAN, SPLIT_FARE_MISS, QaRules
 from fareline.operators import star
 from fareline.plans.bronze import bronze_from_raw, run_bronze, write_bronze
+from fareline.plans.incremental import Seeds, refresh
 from fareline.plans.silver import read_bronze, read_silver, read_split, run_silver, silver_from_bronze, write_silver
 from fareline.plans.warehouse import LazyTables, Warehouse, build_warehouse, read_warehouse, write_warehouse
 from fareline.session import session_key, shared_dir
 from fareline.sources import fixture
+from fareline.sources.raw import list_raw_files, parse_year_month
 
 _PATHS: dict[tuple, str] = {}
 _FRAMES: dict[tuple, DataFrame] = {}
@@ -46,6 +48,11 @@ def _folder(spark: SparkSession, key: tuple) -> str:
     return _PATHS[key]
 
 
+def folder(spark: SparkSession, sf_dir: str) -> str:
+    """This session's own folder for an input folder."""
+    return _folder(spark, _key(spark, sf_dir))
+
+
 def _read(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """A written layer with the types and the column order it was written with."""
     return spark.read.schema(like.schema).parquet(path).select(*like.columns)
@@ -77,9 +84,9 @@ def silver(spark: SparkSession, sf_dir: str, rules: QaRules = DEFAULT_QA, materi
         base = _folder(spark, key)
         b = bronze(spark, sf_dir, rules)
         write_bronze(b, f"{base}/bronze")
-        s = silver_from_bronze(_read(spark, f"{base}/bronze", b))
+        s = silver_from_bronze(read_bronze(spark, f"{base}/bronze"))
         write_silver(s, f"{base}/silver")
-        _FRAMES[key] = _read(spark, f"{base}/silver", s)
+        _FRAMES[key] = read_silver(spark, f"{base}/silver").select(*s.columns)
     return _FRAMES[key]
 
 
@@ -144,3 +151,32 @@ def file_build(spark: SparkSession, sf_dir: str, rules: QaRules = DEFAULT_QA) ->
         run_silver(read_bronze(spark, f"{base}/bronze"), f"{base}/silver")
         _BUILDS[key] = FileBuild(f"{base}/files", report, read_bronze(spark, f"{base}/bronze"), read_silver(spark, f"{base}/silver"))
     return _BUILDS[key]
+
+
+@dataclass(frozen=True)
+class IncrementalBuild:
+    """A store brought up to date file by file, and the raw file that landed twice."""
+
+    root: str
+    replaced: str
+
+
+_STORES: dict[tuple, IncrementalBuild] = {}
+# the first landing of the replaced file holds only these of its rows
+SHORT_FILE = "passenger_count <= 3"
+
+
+def incremental_build(spark: SparkSession, sf_dir: str, rules: QaRules = DEFAULT_QA) -> IncrementalBuild:
+    """All raw files landed in one store, one of them short at first and replaced by the whole file after; once per session and folder."""
+    key = _key(spark, sf_dir, rules, "store")
+    if key not in _STORES:
+        base = _folder(spark, key)
+        files = list_raw_files(spark, file_build(spark, sf_dir, rules).raw)
+        # the last file with Spark's own types, as its short version is written by Spark
+        whole = [f for f in files if parse_year_month(f)[1] % fixture.FAMILIES == 2][-1]
+        short = fixture.land_one(spark, spark.read.parquet(whole).where(SHORT_FILE), f"{base}/short", whole.rsplit("/", 1)[-1])
+        seeds = Seeds(fixture.vendors(spark), fixture.payment_types(spark), fixture.zones(spark, sf_dir), airport=fixture.FIXTURE_AIRPORTS)
+        refresh(spark, f"{base}/store", [short, *(f for f in files if f != whole)], seeds, rules)
+        refresh(spark, f"{base}/store", [whole], seeds, rules)
+        _STORES[key] = IncrementalBuild(f"{base}/store", whole.rsplit("/", 1)[-1])
+    return _STORES[key]

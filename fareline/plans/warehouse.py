@@ -2,7 +2,7 @@
 
 ``build_warehouse`` returns every table as a lazy DataFrame; ``write_warehouse``
 materialises them layer by layer (each written table cuts the lineage of the
-next layer).
+next layer) and publishes all of them at once (``store``).
 
 Physical layout of the facts: partitioned by ``date_month`` (yyyy-MM of
 ``date_day``, an added column) and sorted by ``date_day`` inside each file.
@@ -18,13 +18,12 @@ are not. Date-window readers add the matching ``date_month`` predicate
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fareline.config import (
     DEFAULT_AIRPORT,
@@ -41,8 +40,9 @@ from fareline.config import (
 )
 from fareline.operators import marts as M
 from fareline.operators import star as S
-from fareline.plans.silver import SPLIT_COLUMN
 from fareline.operators.quality import split
+from fareline.plans.silver import SPLIT_COLUMN
+from fareline.plans.store import Store, unit_values
 
 # table -> layer (schema) it belongs to
 TABLE_LAYERS = {
@@ -64,10 +64,6 @@ PARTITION_COLUMN = "date_month"
 PARTITIONED = ("fact_trips", "fact_revenue_adjustments")
 
 
-# beside the tables: their schemas
-SCHEMAS = "schemas"
-
-
 class LazyTables(Mapping):
     """Tables by name; a value that is a function is called when the table is first asked for."""
 
@@ -173,18 +169,12 @@ def month_filter(df: DataFrame, start, end, day_col: str = "date_day") -> DataFr
     return out
 
 
-def _write(df: DataFrame, path: str, partitioned: bool, compression: str, rebalance: bool = False):
-    """Overwrite as Parquet; facts get the month layout described above. Returns the written schema."""
-    if partitioned:
-        df = df.withColumn(PARTITION_COLUMN, F.date_format("date_day", "yyyy-MM"))
-        if rebalance:
-            df = df.hint("rebalance", PARTITION_COLUMN)
-        df = df.sortWithinPartitions(PARTITION_COLUMN, "date_day")
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", compression)
-    if partitioned:
-        w = w.partitionBy(PARTITION_COLUMN)
-    w.parquet(path)
-    return df.schema
+def _month_layout(df: DataFrame, rebalance: bool = False) -> DataFrame:
+    """A fact with its month, sorted for the layout described above."""
+    df = df.withColumn(PARTITION_COLUMN, F.date_format("date_day", "yyyy-MM"))
+    if rebalance:
+        df = df.hint("rebalance", PARTITION_COLUMN)
+    return df.sortWithinPartitions(PARTITION_COLUMN, "date_day")
 
 
 def write_warehouse(
@@ -201,52 +191,51 @@ def write_warehouse(
     include_staging: bool = False,
     rebalance: bool = False,
 ) -> Warehouse:
-    """Write facts, then dims and marts read back from the written facts.
+    """Write facts, then dims and marts read back from the written facts; publish all tables at once.
 
     Staging stays a view (as in the reference) unless ``include_staging``.
     Returns a Warehouse whose tables read the written files.
     """
-    base = out_dir.rstrip("/")
-
-    def path(name: str) -> str:
-        return f"{base}/{TABLE_LAYERS[name]}/{name}"
-
-    def put(name: str, df: DataFrame) -> DataFrame:
-        schema = _write(df, path(name), name in PARTITIONED, compression, rebalance)
-        # explicit schema: an empty table (no data files) must still read back
-        return spark.read.schema(schema).parquet(path(name))
-
-    out: dict[str, DataFrame] = {}
-    if include_staging:
-        for n in ("stg_trips", "stg_admin", "stg_anomalies", "stg_fare_miss"):
-            out[n] = put(n, wh[n])
-    fact = out["fact_trips"] = put("fact_trips", wh["fact_trips"])
-    adj = out["fact_revenue_adjustments"] = put("fact_revenue_adjustments", wh["fact_revenue_adjustments"])
-    out["dim_date"] = put("dim_date", S.dim_date(fact, adj))
-    out["dim_payment"] = put("dim_payment", S.dim_payment(payment_types))
-    # the written fact has every staged trip and its ids: no second pass over silver
-    out["dim_vendor"] = put("dim_vendor", S.dim_vendor(fact, vendors))
-    out["dim_zone"] = put("dim_zone", S.dim_zone(fact, zones))
-    for name, df in build_marts(fact, adj, out["dim_zone"], airport, anomaly, payment).items():
-        out[name] = put(name, df)
-    schemas = [(n, df.schema.json()) for n, df in out.items()]
-    spark.createDataFrame(schemas, "table string, schema string").coalesce(1).write.mode("overwrite").json(f"{base}/{SCHEMAS}")
-    return Warehouse(out)
-
-
-def read_warehouse(spark: SparkSession, path: str) -> Warehouse:
-    """Tables of a written warehouse, each opened when it is first asked for.
-
-    Schemas come from the list that was written with the tables, so an empty
-    table reads back as one; a folder without that list raises.
+    store = Store(spark, out_dir)
+    with store.begin() as commit:
+
+        def put(name: str, df: DataFrame) -> DataFrame:
+            if name in PARTITIONED:
+                commit.write(name, _month_layout(df, rebalance), (PARTITION_COLUMN,), compression=compression)
+            else:
+                commit.write(name, df, compression=compression)
+            return commit.read(name)
+
+        if include_staging:
+            for n in ("stg_trips", "stg_admin", "stg_anomalies", "stg_fare_miss"):
+                put(n, wh[n])
+        fact = put("fact_trips", wh["fact_trips"])
+        adj = put("fact_revenue_adjustments", wh["fact_revenue_adjustments"])
+        put("dim_date", S.dim_date(fact, adj))
+        put("dim_payment", S.dim_payment(payment_types))
+        # the written fact has every staged trip and its ids: no second pass over silver
+        put("dim_vendor", S.dim_vendor(fact, vendors))
+        zone = put("dim_zone", S.dim_zone(fact, zones))
+        for name, df in build_marts(fact, adj, zone, airport, anomaly, payment).items():
+            put(name, df)
+    return read_warehouse(spark, out_dir)
+
+
+def read_warehouse(spark: SparkSession, path: str, version: int | None = None) -> Warehouse:
+    """Tables of a published warehouse, all of one version, each opened when it is first asked for.
+
+    Schemas come from the manifest, so an empty table reads back as one; a folder
+    without a published warehouse raises.
     """
-    base = path.rstrip("/")
-    rows = spark.read.schema("table string, schema string").json(f"{base}/{SCHEMAS}").collect()  # one row per table
+    store = Store(spark, path)
+    states = {n: s for n, s in store.tables(version).items() if n in TABLE_LAYERS}
+    if not states:
+        raise AnalysisException(f"no published warehouse in {path}")
 
-    def reader(name: str, schema: str):
-        return lambda: spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(f"{base}/{TABLE_LAYERS[name]}/{name}")
+    def reader(name: str):
+        return lambda: store.read_state(name, states[name])
 
-    return Warehouse(LazyTables({r["table"]: reader(r["table"], r["schema"]) for r in rows}))
+    return Warehouse(LazyTables({n: reader(n) for n in states}))
 
 
 def register_views(spark: SparkSession, wh: Warehouse, layers: Layers = Layers()) -> list[str]:
@@ -261,23 +250,34 @@ def register_views(spark: SparkSession, wh: Warehouse, layers: Layers = Layers()
 
 
 def register_tables(spark: SparkSession, out_dir: str, layers: Layers = Layers(), tables=None) -> list[str]:
-    """Catalog tables (``<layer>.<table>``) over a warehouse written by ``write_warehouse``.
+    """Catalog tables (``<layer>.<table>``) over the published version of a warehouse.
 
-    External tables on the written locations (no data is copied); partitions of
-    the month-partitioned facts are recovered so partition pruning works through
-    the catalog as well. Returns the qualified names.
+    External tables on the written locations (no data is copied); every partition of
+    the month-partitioned facts is added with its own folder, so partition pruning works
+    through the catalog as well. Run it again after a refresh. Returns the qualified names.
     """
-    base = out_dir.rstrip("/")
+    store = Store(spark, out_dir)
+    states = store.tables()
     names = tables or [n for n, layer in TABLE_LAYERS.items() if layer in ("gold", "marts")]
     done = []
     for name in names:
-        layer = TABLE_LAYERS[name]
-        db = getattr(layers, layer)
+        db, state = getattr(layers, TABLE_LAYERS[name]), states[name]
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
         qualified = f"{db}.{name}"
         spark.sql(f"DROP TABLE IF EXISTS {qualified}")
-        spark.catalog.createTable(qualified, path=f"{base}/{layer}/{name}", source="parquet")
-        if name in PARTITIONED:
-            spark.catalog.recoverPartitions(qualified)
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in state.struct().fields)
+        by = f"PARTITIONED BY ({', '.join(state.partition_by)})" if state.partition_by else ""
+        home = f"{store.root}/{name}" if by else store.folder(name, state, "")
+        spark.sql(f"CREATE TABLE {qualified} ({columns}) USING parquet {by} LOCATION '{home}'")
+        if by and state.units:
+            parts = []
+            for unit in state.units:
+                spec = ", ".join(f"`{k}` = {'null' if v is None else _quoted(v)}" for k, v in unit_values(unit).items())
+                parts.append(f"PARTITION ({spec}) LOCATION {_quoted(store.folder(name, state, unit))}")
+            spark.sql(f"ALTER TABLE {qualified} ADD " + " ".join(parts))
         done.append(qualified)
     return done
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

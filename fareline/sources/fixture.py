@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareline.config import FILE_YEAR_MONTH_PATTERN, AirportRule
+from fareline.sources.raw import arrow_uri
 from fareline.sources.seeds import payment_types_seed, vendors_seed
 
 # Adapter from lineitem/orders to raw trips. ``{lineitem}`` / ``{orders}``
@@ -155,18 +156,28 @@ def raw_trips_as_files(spark: SparkSession, sf_dir: str, trips: DataFrame | None
     )
 
 
-def _nanos(name: str):
-    return F.unix_micros(F.col(name).cast("timestamp")) * 1000
+FAMILIES = 5
+# texts that stand for a missing value in the text family: their casts lose them
+NO_TIME, NO_FEE, NO_CODE = "unknown", "n/a", 99999
 
 
 def as_family(named: DataFrame, trips: DataFrame, family: int) -> DataFrame:
-    """Trips of one schema family: 0 text times and numbers, 1 nanosecond integers and another
-    spelling of the fee, 2 native types without the later columns."""
+    """Trips of one schema family.
+
+    0 text times and numbers, missing values as texts; 1 nanosecond times and another
+    spelling of the fee; 2 native types without the later columns; 3 times as plain
+    integers (yyyyMMddHHmmss); 4 time texts with words around them.
+    """
     if family == 0:
-        return named
-    times = {"tpep_pickup_datetime": _nanos("pickup_at"), "tpep_dropoff_datetime": _nanos("dropoff_at")}
-    if family == 2:
-        times = {"tpep_pickup_datetime": F.col("pickup_at"), "tpep_dropoff_datetime": F.col("dropoff_at")}
+        missing = {"tpep_pickup_datetime": F.lit(NO_TIME), "payment_type": F.lit(NO_CODE).cast("long")}
+        texts = {"Airport_fee": F.coalesce(F.col("Airport_fee").cast("string"), F.lit(NO_FEE))}
+        return named.withColumns({c: F.coalesce(c, v) for c, v in missing.items()} | texts)
+    pickup, dropoff = F.col("pickup_at"), F.col("dropoff_at")
+    if family == 3:
+        pickup, dropoff = (F.date_format(c, "yyyyMMddHHmmss").cast("long") for c in (pickup, dropoff))
+    if family == 4:
+        pickup, dropoff = (F.concat(F.lit("at "), c.cast("string"), F.lit(" (local)")) for c in (pickup, dropoff))
+    times = {"tpep_pickup_datetime": pickup, "tpep_dropoff_datetime": dropoff}
     fee = {"airport_fee": F.col("airport_fee")} | ({"cbd_congestion_fee": F.col("cbd_congestion_fee")} if family == 1 else {})
     renamed = {
         "VendorID": "vendor_id", "passenger_count": "passenger_count", "trip_distance": "trip_distance_mi", "RatecodeID": "rate_code_id",
@@ -178,27 +189,74 @@ def as_family(named: DataFrame, trips: DataFrame, family: int) -> DataFrame:
     )
 
 
+def _nanosecond_file(out_dir: str):
+    """Writes one raw file's rows with nanosecond times, which Spark's own writer hasn't."""
+
+    def write(table):
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs as pafs
+
+        name = table.column("source_file")[0].as_py()
+        for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime"):
+            table = table.set_column(table.schema.get_field_index(c), c, table.column(c).cast(pa.timestamp("ns")))
+        filesystem, folder = pafs.FileSystem.from_uri(arrow_uri(out_dir))
+        with filesystem.open_output_stream(f"{folder}/{name}") as out:
+            pq.write_table(table.drop_columns(["source_file"]), out, version="2.6")
+        return pa.table({"file": [name]})
+
+    return write
+
+
 def land_files(spark: SparkSession, sf_dir: str, out_dir: str, trips: DataFrame) -> None:
-    """The trips as monthly files ``out_dir/<source_file>``, months alternating between three schema families.
+    """The trips as monthly files ``out_dir/<source_file>``, months alternating between the schema families.
 
     A file is one month, so its rows meet in one task; the files then get their names by renaming.
     """
     jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     Path = jvm.org.apache.hadoop.fs.Path
     named = raw_trips_as_files(spark, sf_dir, trips)
-    for family in range(3):
-        mine = F.pmod(F.regexp_extract("source_file", FILE_YEAR_MONTH_PATTERN, 2).cast("int"), F.lit(3)) == family
-        staged = f"{out_dir}-family{family}"
+    fs = Path(out_dir).getFileSystem(conf)
+    fs.mkdirs(Path(out_dir))
+    for family in range(FAMILIES):
+        mine = F.pmod(F.regexp_extract("source_file", FILE_YEAR_MONTH_PATTERN, 2).cast("int"), F.lit(FAMILIES)) == family
         rows = as_family(named.where(mine), trips.where(mine), family)
+        if family == 1:
+            rows.groupBy("source_file").applyInArrow(_nanosecond_file(out_dir), "file string").count()
+            continue
+        staged = f"{out_dir}-family{family}"
         rows.repartition("source_file").write.partitionBy("source_file").parquet(staged)
-        fs = Path(staged).getFileSystem(conf)
-        fs.mkdirs(Path(out_dir))
         for folder in fs.globStatus(Path(f"{staged}/source_file=*")):
             name = folder.getPath().getName().split("=", 1)[1]
             for part in fs.globStatus(Path(f"{folder.getPath().toString()}/part-*")):
                 fs.rename(part.getPath(), Path(f"{out_dir}/{name}"))
 
 
+def land_one(spark: SparkSession, rows: DataFrame, out_dir: str, name: str) -> str:
+    """Rows of one raw file as ``out_dir/<name>``; returns the path."""
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    staged = f"{out_dir}-staged"
+    rows.repartition(1).write.parquet(staged)
+    fs = Path(out_dir).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(Path(out_dir))
+    for part in fs.globStatus(Path(f"{staged}/part-*")):
+        fs.rename(part.getPath(), Path(f"{out_dir}/{name}"))
+    return f"{out_dir}/{name}"
+
+
+def seed_csvs(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, str]:
+    """The seeds as CSV folders with the headers that the readers expect."""
+    z = zones(spark, sf_dir)
+    frames = {
+        "taxi_zones": z.select(F.col("location_id").alias("LocationID"), F.col("borough").alias("Borough"), F.col("zone").alias("Zone"), "service_zone"),
+        "vendors": vendors(spark),
+        "payment_types": payment_types(spark),
+    }
+    for name, df in frames.items():
+        df.write.mode("overwrite").option("header", True).csv(f"{out_dir}/{name}")
+    return {name: f"{out_dir}/{name}" for name in frames}
+
+
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(
         ZONES_SQL,

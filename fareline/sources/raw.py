@@ -16,9 +16,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from fareline.config import FILE_YEAR_MONTH_PATTERN
+from fareline.operators.normalize import PLAIN_INTEGER, TIME_UNIT
 
 
 # error conditions of a folder that is missing or holds nothing
@@ -49,7 +51,7 @@ def parse_year_month(name: str) -> tuple[int, int]:
     return int(m.group(1)), int(m.group(2))
 
 
-def _arrow_uri(path: str) -> str:
+def arrow_uri(path: str) -> str:
     """Spark file URI -> a URI Arrow's filesystem layer understands."""
     if path.startswith("file:") and not path.startswith("file://"):
         return "file://" + path[len("file:"):]
@@ -58,14 +60,29 @@ def _arrow_uri(path: str) -> str:
     return path
 
 
+# schemes that Arrow opens by itself; others are read through Hadoop's file systems
+ARROW_SCHEMES = ("", "file", "hdfs", "s3", "s3a", "s3n", "gs", "gcs", "abfs", "abfss")
+FOOTER_THREADS = 32
+
+
 def footer_schemas(spark: SparkSession, files: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """(path, schema) of Parquet footers, read by Spark tasks (Arrow inside each task).
+    """(path, schema) of Parquet footers.
 
-    The file list is spread over ``partitions`` tasks; each task opens only the
-    footers of its files. Storage that can't be read fails the job.
+    Where Arrow knows the storage, Spark tasks read them: the file list is spread over
+    ``partitions`` tasks, and each task opens only the footers of its files. Footers on
+    any other storage that Spark itself can read (``viewfs`` and the like) come through
+    Hadoop's file systems, ``FOOTER_THREADS`` at a time. Storage that can't be read
+    fails the job.
     """
     import pandas as pd
 
+    if any((p.split(":", 1)[0] if ":" in p else "") not in ARROW_SCHEMES for p in files):
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(FOOTER_THREADS) as pool:
+            rows = list(zip(files, pool.map(lambda p: _hadoop_footer(spark, p), files)))
+        return spark.createDataFrame(rows, "path string, schema string")
+
     n = partitions or max(1, min(len(files) // 200 + 1, spark.sparkContext.defaultParallelism * 4))
     paths = spark.createDataFrame([(f,) for f in files], "path string").repartition(n)
 
@@ -76,7 +93,7 @@ def footer_schemas(spark: SparkSession, files: Sequence[str], partitions: int |
         for pdf in batches:
             out = []
             for p in pdf["path"]:
-                filesystem, inner = pafs.FileSystem.from_uri(_arrow_uri(p))
+                filesystem, inner = pafs.FileSystem.from_uri(arrow_uri(p))
                 schema = pq.read_schema(inner, filesystem=filesystem)
                 out.append(schema.to_string(show_field_metadata=False, show_schema_metadata=False))
             yield pd.DataFrame({"path": pdf["path"], "schema": out})
@@ -84,6 +101,37 @@ def footer_schemas(spark: SparkSession, files: Sequence[str], partitions: int |
     return paths.mapInPandas(read, "path string, schema string")
 
 
+def _hadoop_footer(spark: SparkSession, path: str) -> str:
+    """A file's Parquet schema as text, read with Spark's own Parquet library."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    source = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(path), conf)
+    reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(source)
+    try:
+        return reader.getFooter().getFileMetaData().getSchema().toString()
+    finally:
+        reader.close()
+
+
+_ARROW_TIME = re.compile(r"^(.+): timestamp\[(s|ms|us|ns)[,\]]", re.M)
+_PARQUET_TIME = re.compile(r"^\s*(?:optional|required) \w+ (\S+) \(TIMESTAMP\((MILLIS|MICROS|NANOS),", re.M)
+_UNITS = {"MILLIS": "ms", "MICROS": "us", "NANOS": "ns"}
+
+
+def time_units(schema: str) -> dict[str, str]:
+    """Unit of every time column of a footer's schema text."""
+    return dict(_ARROW_TIME.findall(schema)) | {name: _UNITS[u] for name, u in _PARQUET_TIME.findall(schema)}
+
+
+def mark_time_units(df: DataFrame, schema: str) -> DataFrame:
+    """``df`` whose integer columns say what the file's footer says of them: a time's unit, or plain integers.
+
+    Spark reads nanosecond times as integers, so only the footer tells them from counts.
+    """
+    units = time_units(schema)
+    marks = {f.name: {TIME_UNIT: units.get(f.name, PLAIN_INTEGER)} for f in df.schema.fields if isinstance(f.dataType, T.IntegralType)}
+    return df.select(*[F.col(f"`{c}`").alias(c, metadata=marks[c]) if c in marks else F.col(f"`{c}`") for c in df.columns])
+
+
 def schema_families(spark: SparkSession, files: Sequence[str]) -> "OrderedDict[str, list[str]]":
     """Files grouped by footer schema, families in the order of their first file.
 
@@ -126,4 +174,9 @@ def read_raw_families(
         parse_year_month(f)
     if uniform:
         return [with_lineage(spark.read.parquet(*files))]
-    return [with_lineage(spark.read.parquet(*paths)) for paths in schema_families(spark, files).values()]
+    return read_families(spark, files)
+
+
+def read_families(spark: SparkSession, files: Sequence[str]) -> list[DataFrame]:
+    """One DataFrame with lineage per schema family of the files."""
+    return [mark_time_units(with_lineage(spark.read.parquet(*paths)), schema) for schema, paths in schema_families(spark, files).items()]

@@ -177,24 +177,24 @@ mart_congestion_impact_daily as (
     avg(fare_amount) filter (where congestion_surcharge > 0) as avg_fare_with_congestion,
     avg(fare_amount) filter (where not ifnull(congestion_surcharge > 0, false)) as avg_fare_without_congestion
   from fact_trips group by all),
+airport_ids as (
+  select location_id, case when zone ilike 'nation_3' then 'N3' when zone ilike 'nation_8' then 'N8' end as airport
+  from dim_zone where service_zone = 'Airports'),
+airport_rides as (
+  select f.*, z.airport, 'PU' as direction from fact_trips f join airport_ids z on f.pu_location_id = z.location_id
+  union all
+  select f.*, z.airport, 'DO' as direction from fact_trips f join airport_ids z on f.do_location_id = z.location_id),
 mart_airport_daily as (
-  select f.date_day, lbl.airport, e.side.direction as direction, count(*) as trips,
-    sum(f.total_amount) as total_revenue, sum(f.fare_amount) as fare_revenue, sum(f.tip_amount) as tip_revenue,
-    sum(f.airport_fee) as airport_fee_total, avg(f.trip_distance_mi) as avg_miles
-  from fact_trips f,
-    unnest([{{'direction': 'PU', 'loc': f.pu_location_id}}, {{'direction': 'DO', 'loc': f.do_location_id}}]) as e(side),
-    (select location_id,
-       case when zone ilike 'nation_3' then 'N3' when zone ilike 'nation_8' then 'N8' end as airport
-     from dim_zone where service_zone = 'Airports') lbl
-  where lbl.location_id = e.side.loc and lbl.airport is not null
-  group by all),
+  select date_day, airport, direction, count(*) as trips, sum(total_amount) as total_revenue, sum(fare_amount) as fare_revenue,
+    sum(tip_amount) as tip_revenue, sum(airport_fee) as airport_fee_total, avg(trip_distance_mi) as avg_miles
+  from airport_rides where airport is not null group by date_day, airport, direction),
 mart_anomaly_summary_daily as (
   select *, distance_outliers + duration_outliers + speed_outliers + negative_total as anomalies
   from (
     select date_day, location_id,
       cast(sum(cast(trip_distance_mi > 150 or trip_distance_mi < 0 as int)) as bigint) as distance_outliers,
       cast(sum(cast(dm < 1 or dm > 360 as int)) as bigint) as duration_outliers,
-      cast(sum(cast(60.0e0 * trip_distance_mi / nullif(if(dm > 0, dm, null), 0) > 80 as int)) as bigint) as speed_outliers,
+      cast(sum(cast(case when dm > 0 then 60.0e0 * trip_distance_mi / dm end > 80 as int)) as bigint) as speed_outliers,
       cast(sum(cast(total_amount < 0 as int)) as bigint) as negative_total
     from (select date_day, pu_location_id as location_id, trip_distance_mi, total_amount, {_DUR} as dm
           from fact_trips) b
@@ -267,7 +267,7 @@ def base_queries() -> dict[str, str]:
             "count_if(n_copies = 1)::bigint as rows_written, count_if(n_copies > 1)::bigint as duplicates_removed from fx_dd"),
         "raw_schema_families": q(
             "select min(source_file) as first_file, count(distinct source_file)::bigint as files "
-            "from (select source_file, cast(regexp_extract(source_file, '(\\d{4})-(\\d{2})', 2) as int) % 3 as family from fx_raw) f group by family"),
+            "from (select source_file, cast(regexp_extract(source_file, '(\\d{4})-(\\d{2})', 2) as int) % 5 as family from fx_raw) f group by family"),
         "bronze_from_files": q("select * from bronze"),
         "silver_from_files": q(
             "select * exclude (silver_split), silver_split as split from silver "
@@ -294,14 +294,62 @@ def base_queries() -> dict[str, str]:
         "fact_trips": q("select * from fact_trips"),
         "fact_revenue_adjustments": q("select * from fact_revenue_adjustments"),
         "dim_date": q("select * from dim_date"),
+        "dim_payment": q("select * from dim_payment"),
         "dim_vendor": q("select * from dim_vendor"),
         "dim_zone": q("select * from dim_zone"),
     }
     for name, doubles in MART_DOUBLES.items():
-        out[name] = q(f"select * from {name}", doubles)
+        out[name] = out[f"incremental_{name}"] = q(f"select * from {name}", doubles)
+    for name in ("fact_revenue_adjustments", "dim_date", "dim_vendor", "dim_zone"):
+        out[f"incremental_{name}"] = out[name]
     return out
 
 
+# the files whose missing values are texts, and the file that lands short at first
+_MONTH = "cast(regexp_extract(source_file, '(\\d{4})-(\\d{2})', 2) as int)"
+_LOST = (("airport_fee", "n/a"), ("payment_type", "99999"), ("pickup_at", "unknown"))
+_SHORT = f"(select max(source_file) from fx_raw where {_MONTH} % 5 = 2)"
+
+
+def file_queries() -> dict[str, str]:
+    """Queries on files, versions and the catalog."""
+    lost = " union all ".join(
+        f"select source_file, '{c}' as column_name, count(*)::bigint as lost, '{text}' as example "
+        f"from fx_raw where {_MONTH} % 5 = 0 and {c} is null group by source_file" for c, text in _LOST)
+    kept = f"select source_file, {_KEY}, count(*) as n from {{}} group by source_file, {_KEY}"
+    views = " union all ".join(
+        f"select 'silver_{v}' as view_name, count(*)::bigint as rows, sum(total_amount) as total_amount_sum, "
+        f"count(distinct source_file)::bigint as files from {v if v != 'rejected' else rejected}"
+        for rejected in ["(select * from silver where silver_split = 'rejected') r"]
+        for v in ("rejected", "trips_admin", "trips_anomalies", "trips_clean", "trips_fare_miss"))
+    total = "coalesce(fare_amount, 0) + coalesce(extra, 0) + coalesce(mta_tax, 0)"
+    rest = ("coalesce(tolls_amount, 0) + coalesce(improvement_surcharge, 0) + coalesce(congestion_surcharge, 0) "
+            "+ coalesce(airport_fee, 0) + coalesce(cbd_congestion_fee, 0)")
+    early = f"({total} + coalesce(tip_amount, 0) + {rest})"
+    near = "{0} between total_amount - 0.02 and total_amount + 0.02"
+    counts = " union all ".join(
+        f"select '{layer}' as table_schema, '{name}' as table_name, 'EXTERNAL' as kind, count(*)::bigint as row_count from {name}"
+        for name, layer, *_ in _PROFILE)
+    return {
+        "cast_losses": q(lost),
+        "snapshot_rows": q(
+            "select source_file, count_if(n = 1)::bigint as rows, any_value(coalesce(b.rows_before, 0))::bigint as rows_before "
+            f"from ({kept.format('fx_raw')}) g left join (select source_file, count_if(n = 1) as rows_before from "
+            f"({kept.format(f'(select * from fx_raw where source_file <> {_SHORT} or passenger_count <= 3) s')}) h group by source_file) b "
+            "using (source_file) group by source_file"),
+        "split_view_totals": q(views, ("total_amount_sum",)),
+        "seeds_from_csv": q(
+            "select 'taxi_zones' as seed, location_id as id, zone as name, borough, service_zone from seed_zones "
+            "union all select 'vendors', vendor_id::int, vendor_name, null, null from seed_vendors "
+            "union all select 'payment_types', payment_type::int, payment_desc, null, null from seed_payment_types"),
+        "near_totals": q(
+            f"select source_file, count_if({near.format('manualTotal')})::bigint as near_rows, "
+            f"count_if({near.format(early)})::bigint as near_rows_early_tip, sum({early}) as components_sum "
+            "from bronze group by source_file", ("components_sum",)),
+        "catalog_row_counts": q(counts),
+    }
+
+
 def _lit(v) -> str:
     return f"'{v}'" if isinstance(v, str) else str(v)
 
@@ -470,6 +518,7 @@ def table_relationships_sql() -> str:
 
 def all_queries() -> dict[str, str]:
     out = base_queries()
+    out.update(file_queries())
     out["check_results"] = check_results_sql()
     out["strict_check_results"] = strict_check_results_sql()
     out["table_columns"] = table_columns_sql()
@@ -492,6 +541,7 @@ def _win(n: int) -> str:
 BI_CHAIN = f"""
 win30 as ({_win(30)}),
 win90 as ({_win(90)}),
+win365 as ({_win(365)}),
 kpi_rows as (
   select k.date_day, case when k.date_day between w.current_start and w.today then 'current'
                           when k.date_day between w.previous_start and w.previous_end then 'previous' end as period,
@@ -581,6 +631,34 @@ top_zones90 as (select * from zone_tot90 order by revenue desc, location_id limi
 """
 
 
+_WINDOWS_OF_DAYS = """
+select *,
+  case when trips_previous <> 0 then (trips_current - trips_previous) / trips_previous else 0.0 end as trips_delta,
+  case when revenue_previous <> 0 then (revenue_current - revenue_previous) / revenue_previous else 0.0 end as revenue_delta,
+  case when avg_ticket_previous <> 0 then (avg_ticket_current - avg_ticket_previous) / avg_ticket_previous else 0.0 end as avg_ticket_delta,
+  case when days_previous > 0 then tip_rate_current - tip_rate_previous else 0.0 end as tip_rate_delta
+from (
+  select *, case when trips_current <> 0 then revenue_current / trips_current else 0.0 end as avg_ticket_current,
+            case when trips_previous <> 0 then revenue_previous / trips_previous else 0.0 end as avg_ticket_previous
+  from (
+    select n::int as window_days, t.today, t.today - (n - 1)::int as current_start, t.today - (2 * n - 1)::int as previous_start,
+      t.today - n::int as previous_end,
+      count(case when k.date_day > t.today - n::int then 1 end) as days_current,
+      count(case when k.date_day <= t.today - n::int then 1 end) as days_previous,
+      coalesce(sum(case when k.date_day > t.today - n::int then k.trips end), 0)::bigint as trips_current,
+      coalesce(sum(case when k.date_day <= t.today - n::int then k.trips end), 0)::bigint as trips_previous,
+      coalesce(sum(case when k.date_day > t.today - n::int then k.gross_revenue end), 0.0)::double as revenue_current,
+      coalesce(sum(case when k.date_day <= t.today - n::int then k.gross_revenue end), 0.0)::double as revenue_previous,
+      coalesce(avg(case when k.date_day > t.today - n::int then k.tip_rate end), 0.0) as tip_rate_current,
+      coalesce(avg(case when k.date_day <= t.today - n::int then k.tip_rate end), 0.0) as tip_rate_previous
+    from (select cast(unnest(generate_series(min(date_day)::timestamp, max(date_day)::timestamp, interval 1 day)) as date) as today from mart_kpi_daily) t,
+      (values (7), (30), (90)) w(n),
+      mart_kpi_daily k
+    where k.date_day between t.today - (2 * n - 1)::int and t.today
+    group by 1, 2, 3, 4, 5) a) b
+"""
+
+
 def bq(final_select: str, doubles=()) -> str:
     return f"with {CHAIN.strip()},\n{BI_CHAIN.strip()}\n{rounded(final_select, doubles)}"
 
@@ -590,6 +668,23 @@ def bi_queries() -> dict[str, str]:
         "window_kpis": bq("select * from kpis30", (
             "revenue_current", "revenue_previous", "avg_ticket_current", "avg_ticket_previous", "tip_rate_current",
             "tip_rate_previous", "trips_delta", "revenue_delta", "avg_ticket_delta", "tip_rate_delta")),
+        "window_kpis_of_days": bq(_WINDOWS_OF_DAYS, (
+            "revenue_current", "revenue_previous", "avg_ticket_current", "avg_ticket_previous", "tip_rate_current",
+            "tip_rate_previous", "trips_delta", "revenue_delta", "avg_ticket_delta", "tip_rate_delta")),
+        "zone_hotspots_year": bq(
+            "select a.location_id, z.borough, z.zone, concat_ws(' — ', z.borough, z.zone) as label, a.anomalies, a.trips, "
+            "a.anomalies / nullif(a.trips, 0) as anomaly_rate "
+            "from (select m.location_id, coalesce(sum(m.anomalies), 0)::bigint as anomalies, sum(r.trips)::bigint as trips "
+            "from mart_revenue_daily_zone r join win365 w on r.date_day between w.current_start and w.today "
+            "left join mart_anomaly_summary_daily m on m.date_day = r.date_day and m.location_id = r.location_id group by 1) a "
+            "join dim_zone z using (location_id) where a.trips >= 100 "
+            "order by anomaly_rate desc nulls last, a.location_id limit 8",
+            ("anomaly_rate",)),
+        "corridor_months": bq(
+            "select year_month, sum(trips)::bigint as trips, sum(revenue) as revenue, count(*)::bigint as corridors "
+            "from mart_od_matrix_monthly where year_month in (select strftime(unnest(generate_series("
+            "date_trunc('month', current_start), date_trunc('month', today), interval 1 month)), '%Y-%m') from win90) group by 1",
+            ("revenue",)),
         "kpi_daily_series": bq(
             "select date_day, period, trips, revenue as gross_revenue, max(trips) over () as trips_axis_max, "
             "max(revenue) over () as revenue_axis_max from kpi_rows", ("gross_revenue", "revenue_axis_max")),

@@ -44,14 +44,14 @@ def test_whole_answers_and_wrong_folders(spark):
     from pyspark.errors import AnalysisException
 
     from fareline.plans import tpch_trips
-    from fareline.plans.warehouse import write_warehouse
+    from fareline.plans.warehouse import read_warehouse, write_warehouse
     from fareline.sources import fixture
     from helpers import SF001
 
     d = tempfile.mkdtemp(prefix="fareline-cli2-")
     wh = tpch_trips.warehouse(spark, SF001, materialize="silver")
     write_warehouse(spark, wh, d, fixture.vendors(spark), fixture.payment_types(spark), fixture.zones(spark, SF001), airport=fixture.FIXTURE_AIRPORTS)
-    n = spark.read.parquet(f"{d}/marts/mart_kpi_daily").count()
+    n = read_warehouse(spark, d)["mart_kpi_daily"].count()
     assert n > 1000
     got = run(["ask", "--warehouse", d, "--question", "kpi_daily_series", "--days", "2000"], spark)["rows"]
     assert len(got) > 1000

@@ -15,6 +15,7 @@ from fareline.operators.dedup import add_alt_dup_key
 from fareline.operators.quality import classify_rows, missing_critical
 from fareline.plans.bronze import bronze_from_raw, write_bronze
 from fareline.plans.silver import read_silver, read_split, silver_from_bronze, silver_report, splits, write_silver
+from fareline.plans.store import Store, read_table
 from fareline.plans.warehouse import register_views
 from fareline.plans import tpch_trips
 
@@ -28,8 +29,8 @@ def test_bronze_and_silver_writers_round_trip(spark):
     d = tempfile.mkdtemp(prefix="fareline-w-")
     counters = write_bronze(bronze, os.path.join(d, "bronze"))
     assert counters == {"rows_written": 7}
-    assert sorted(os.listdir(os.path.join(d, "bronze", "source_year=2024"))) == ["source_month=1"]
-    back = spark.read.parquet(os.path.join(d, "bronze"))
+    assert list(Store(spark, os.path.join(d, "bronze")).tables()["rows"].units) == ["source_year=2024/source_month=1/source_file=trips_2024-01.parquet"]
+    back = read_table(spark, os.path.join(d, "bronze"))
     assert set(back.columns) == set(BRONZE_COLUMNS)
     silver = silver_from_bronze(back.select(*BRONZE_COLUMNS))
     write_silver(silver, os.path.join(d, "silver"))
@@ -87,7 +88,7 @@ def test_run_bronze_and_silver_report_in_one_job(spark):
     _write(os.path.join(raw, "yellow_tripdata_2024-02.parquet"), _raw_cols(3, dt.datetime(2024, 2, 3)))
     rep = run_bronze(spark, raw, os.path.join(d, "bronze"))
     assert rep == {"files": 2, "rows_in": 7, "rows_written": 5, "duplicates_removed": 2}
-    srep = run_silver(spark.read.parquet(os.path.join(d, "bronze")), os.path.join(d, "silver"))
+    srep = run_silver(read_table(spark, os.path.join(d, "bronze")), os.path.join(d, "silver"))
     assert srep["total_rows"] == 5 and srep["trips_clean"] == 5 and srep["coverage_ok"] is True
 
 
@@ -117,8 +118,9 @@ def test_write_warehouse_with_rebalance_option(spark):
     wh = tpch_trips.warehouse(spark, SF001, materialize="silver")
     built = write_warehouse(spark, wh, d, fixture.vendors(spark), fixture.payment_types(spark),
                             fixture.zones(spark, SF001), airport=fixture.FIXTURE_AIRPORTS, rebalance=True)
-    months = [p for p in os.listdir(os.path.join(d, "gold", "fact_trips")) if p.startswith("date_month=")]
+    store = Store(spark, d)
+    fact = store.tables()["fact_trips"]
+    months = [store.folder("fact_trips", fact, u) for u in fact.units if u.startswith("date_month=")]
     assert months and built["fact_trips"].count() == wh["fact_trips"].count()
-    files = sum(len([f for f in os.listdir(os.path.join(d, "gold", "fact_trips", m)) if f.endswith(".parquet")])
-                for m in months)
+    files = sum(len([f for f in os.listdir(m) if f.endswith(".parquet")]) for m in months)
     assert files == len(months)  # rebalanced: one file per month at this size

@@ -117,6 +117,7 @@ def test_rebuilds_replace_what_was_there(spark):
 
     from fareline.plans.bronze import run_bronze
     from fareline.plans.silver import run_silver
+    from fareline.plans.store import read_table
     from fareline.plans.warehouse import build_warehouse, write_warehouse
     from fareline.sources import seeds
 
@@ -128,11 +129,11 @@ def test_rebuilds_replace_what_was_there(spark):
 
     def build():
         rep = run_bronze(spark, raw, b)
-        srep = run_silver(spark.read.parquet(b), s)
+        srep = run_silver(read_table(spark, b), s)
         vendors, payments = seeds.vendors_seed(spark), seeds.payment_types_seed(spark)
-        wh = write_warehouse(spark, build_warehouse(spark.read.parquet(s), vendors, payments, zones), w, vendors, payments, zones)
+        wh = write_warehouse(spark, build_warehouse(read_table(spark, s), vendors, payments, zones), w, vendors, payments, zones)
         kpi = sum(r["trips"] for r in wh["mart_kpi_daily"].collect())
-        counts = (rep["rows_written"], spark.read.parquet(b).count(), spark.read.parquet(s).count(), wh["fact_trips"].count(), kpi)
+        counts = (rep["rows_written"], read_table(spark, b).count(), read_table(spark, s).count(), wh["fact_trips"].count(), kpi)
         assert srep["coverage_ok"] and srep["total_rows"] == rep["rows_written"]
         return counts
 
