@@ -1,22 +1,25 @@
-"""Language-model scores from a log-frequency Bloom filter that is broadcast to the workers.
+"""Language-model scores from a log-frequency Bloom filter.
 
 1. Every document is tokenised once. A written table keeps runs of documents as
    indexes into the run's distinct token hashes, with their training counts.
-2. Distinct hashes of all runs meet by hash range: exact counts over the corpus go
-   back to each run, which gives the base (unigram) score.
-3. N-grams of at least a given share of all training tokens enter the filter: at most
-   1/share of them can exist, so the filter has a proven size bound at any corpus size.
-   A pair can only qualify if both words do, so only such pairs are counted.
-4. An n-gram of quantised log-count q is stored as q entries (n-gram, 1) ... (n-gram, q).
-   A count is read by probing 1, 2, ... until the first miss. Scores interpolate pair
-   estimates with word estimates; tokens outside the filter share the remaining mass.
+2. Distinct words, and distinct pairs of neighbouring words, of all runs meet by hash
+   range. A range's task adds up the exact training counts and builds its shard of the
+   filter from all of them, whatever their count: an n-gram of quantised log-count q is
+   stored as q entries (n-gram, 1) ... (n-gram, q). The filter grows with the corpus.
+3. A count is read by probing 1, 2, ... until the first miss. As long as all shards
+   together take at most ``filter_bytes``, they are broadcast and the workers that score
+   probe them. A larger filter stays where it is: the runs' n-grams, which met their
+   shard's task by hash range anyway, are probed there and the levels go back to the
+   runs. The shards are the same bits either way, and so are the scores.
+4. Scores interpolate pair estimates with word estimates; unseen words share the mass of
+   the words seen once. The exact word totals also give the base (unigram) score.
 
 Probes can only overestimate, by a level with probability 2**-HASHES or so.
 
 Defined results: a null or empty text is the end token alone; a null id hashes as the
-empty text and keeps its row; repeated rows are separate documents; without training
-documents the counts are 0; an empty table gives an empty result; other columns are
-ignored.
+empty text and keeps its row; repeated rows are separate documents; a very long text is
+one document of its run; without training documents the counts are 0; an empty table
+gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,16 +36,18 @@ from pyspark.sql import functions as F
 from fareline.llm.common import SPACE_SPLIT, document_words, materialize, mix64
 
 RUN_BYTES = 4 << 20
-# distinct hashes of all runs that meet in one task
+# distinct n-grams of all runs that meet in one task
 BUCKET_ENTRIES = 1 << 20
-WORD_SHARE, PAIR_SHARE = 2.0**-22, 2.0**-16
+# bytes of the whole filter that are broadcast; above, it is probed by shard
+FILTER_BYTES = 32 << 20
 LEVEL_BASE = 1.3
 HASHES, BITS_PER_ENTRY = 6, 10
 PAIR_WEIGHT = 0.4
 END = mix64(np.array([0xE0F], np.uint64))[0]
 
 _A, _B, _LEVEL = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
-RUN_SCHEMA = "run long, ids array<long>, held array<boolean>, first binary, tokens binary, keys binary, counts binary, n_keys long, n_train long"
+_LOW = np.uint64(0xFFFFFFFF)
+RUN_SCHEMA = "run long, ids array<long>, held array<boolean>, first binary, tokens binary, keys binary, counts binary, n_keys long, n_train long, n_tokens long"
 
 
 def _runs(run_bytes: int):
@@ -63,8 +68,9 @@ def _runs(run_bytes: int):
                 pa.array([np.bincount(tokens[train], minlength=len(keys)).astype(np.uint32).tobytes()], pa.binary()),
                 pa.array([len(keys)]),
                 pa.array([int(train.sum())]),
+                pa.array([len(tokens)]),
             ],
-            names=["run", "ids", "held", "first", "tokens", "keys", "counts", "n_keys", "n_train"],
+            names=["run", "ids", "held", "first", "tokens", "keys", "counts", "n_keys", "n_train", "n_tokens"],
         )
 
     def run(batches):
@@ -89,79 +95,94 @@ def _range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
     return (((keys >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32)).astype(np.int64)
 
 
-def _by_range(keys, counts, ranges, run):
-    """Rows (range, run, keys, counts) of sorted keys."""
+PART_SCHEMA = "range long, run long, keys binary, counts binary, width int"
+
+
+def _by_range(keys: np.ndarray, counts: np.ndarray, ranges: int, run: int, short: bool) -> pa.RecordBatch:
+    """Rows (range, run, keys, counts) of sorted keys; ``short``: the keys' low 32 bits, which tell the keys of a range apart."""
     r = _range_of(keys, ranges)
     start = np.flatnonzero(np.diff(r, prepend=-1))
     stop = np.append(start[1:], len(r))
+    sent = (keys & _LOW).astype(np.uint32) if short else keys
+    counts = counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
     return pa.record_batch(
         [
             pa.array(r[start]),
             pa.array(np.full(len(start), run)),
-            pa.array([keys[a:z].tobytes() for a, z in zip(start, stop)], pa.binary()),
+            pa.array([sent[a:z].tobytes() for a, z in zip(start, stop)], pa.binary()),
             pa.array([counts[a:z].tobytes() for a, z in zip(start, stop)], pa.binary()),
+            pa.array(np.full(len(start), counts.itemsize, np.int32)),
         ],
-        names=["range", "run", "keys", "counts"],
+        names=["range", "run", "keys", "counts", "width"],
     )
 
 
-def _split_runs(ranges: int):
+def _column(table, name: str, kind=None) -> list:
+    """A binary column's values as arrays (or buffers), without a copy."""
+    out = [x.as_buffer() for chunk in [table.column(name)] for x in chunk]
+    return [np.frombuffer(x, kind) for x in out] if kind else out
+
+
+def _split_words(ranges: int):
     def run(batches):
         for b in batches:
-            for r, k, c in zip(*(x.to_pylist() for x in b.columns)):
-                yield _by_range(np.frombuffer(k, np.uint64), np.frombuffer(c, np.uint32), ranges, r)
+            for r, k, c in zip(b.column("run").to_pylist(), _column(b, "keys", np.uint64), _column(b, "counts", np.uint32)):
+                yield _by_range(k, c, ranges, r, False)
 
     return run
 
 
-TOTAL_SCHEMA = "run long, range long, totals binary, keys binary, types long, once long"
+def pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return mix64(a * _A + mix64(b * _B))
 
 
-def _totals(least: int, respond: bool):
-    """Sums a range's counts: per run the totals in its order, and the entries of ``least`` or more."""
+def _pairs(first, tokens) -> np.ndarray:
+    """Places of tokens that follow another one in the same document."""
+    inside = np.ones(len(tokens), bool)
+    inside[first[:-1]] = False
+    return np.flatnonzero(inside)
 
-    def run(table: pa.Table) -> pa.Table:
-        runs = table.column("run").to_pylist()
-        parts = [np.frombuffer(k, np.uint64) for k in table.column("keys").to_pylist()]
-        counts = np.concatenate([np.frombuffer(c, np.uint32) for c in table.column("counts").to_pylist()])
-        keys, at = np.unique(np.concatenate(parts), return_inverse=True)
-        total = np.bincount(at, weights=counts, minlength=len(keys)).astype(np.int64)
-        kept = total >= least
-        rng = table.column("range")[0].as_py()
-        rows = [(-1, rng, total[kept].tobytes(), keys[kept].tobytes(), int((total > 0).sum()), int((total == 1).sum()))]
-        if respond:
-            ends = np.cumsum([len(p) for p in parts])
-            rows += [(r, rng, total[at[z - len(p) : z]].tobytes(), None, 0, 0) for r, p, z in zip(runs, parts, ends)]
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
-        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["run", "range", "totals", "keys", "types", "once"])
 
-    return run
+def _run_pairs(first, tokens, keys):
+    """(distinct pairs as token codes, their key hashes, the order of the hashes, each place's pair)."""
+    at = _pairs(first, tokens)
+    code, back = np.unique((tokens[at - 1].astype(np.int64) << 32) | tokens[at], return_inverse=True)
+    h = pair_keys(keys[code >> 32], keys[code & 0xFFFFFFFF])
+    return at, code, h, np.argsort(h, kind="stable"), back
 
 
-def _base(n_train: int, types: int):
-    """Base scores of a run from its tokens and the totals of its distinct hashes."""
-    norm = math.log10(n_train + 0.5 * (types + 1))
+def _split_pairs(ranges: int):
+    """Every pair of a run, with its occurrences in training documents (0 for pairs of held-out ones alone)."""
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        order = np.argsort(right.column("range").to_numpy())
-        raw = right.column("totals").to_pylist()
-        total = np.concatenate([np.frombuffer(raw[i], np.int64) for i in order])
-        out = []
-        for run_id, first, tokens in zip(*(left.column(c).to_pylist() for c in ("run", "first", "tokens"))):
-            first, tokens = np.frombuffer(first, np.int64), np.frombuffer(tokens, np.uint32)
-            n = np.diff(first)
-            score = np.add.reduceat(np.log10(total + 0.5)[tokens], first[:-1]) - n * norm
-            known = np.add.reduceat((total > 0).astype(np.int64)[tokens], first[:-1])
-            out.append(pa.table({"run": np.full(len(n), run_id), "doc": np.arange(len(n)), "n_known": known, "base_score": score}))
-        return pa.concat_tables(out)
+    def run(batches):
+        for b in batches:
+            held = b.column("held").to_pylist()
+            for i, (r, first, tokens, keys) in enumerate(zip(b.column("run").to_pylist(), _column(b, "first", np.int64), _column(b, "tokens", np.uint32), _column(b, "keys", np.uint64))):
+                at, code, h, order, back = _run_pairs(first, tokens, keys)
+                if len(code):
+                    train = ~np.repeat(np.array(held[i], bool), np.diff(first))
+                    n = np.bincount(back[train[at]], minlength=len(code))
+                    yield _by_range(h[order], n[order], ranges, r, True)
 
     return run
 
 
+def levels(counts: np.ndarray) -> np.ndarray:
+    """Quantised log-counts, 1 for a count of 1."""
+    return 1 + np.floor(np.log(counts) / math.log(LEVEL_BASE) + 1e-9).astype(np.int64)
+
+
+def count_of(level: np.ndarray) -> np.ndarray:
+    """Counts that levels stand for: the middle of the integers a level holds, on the log scale; 0 for level 0."""
+    low = np.ceil(LEVEL_BASE ** (level - 1.0) - 1e-9)
+    high = np.maximum(low, np.ceil(LEVEL_BASE ** (level + 0.0) - 1e-9) - 1)
+    return np.where(level > 0, np.sqrt(low * high), 0.0)
+
+
 def _places(keys: np.ndarray, level: int, bits: int) -> list[np.ndarray]:
     h = mix64(keys + np.uint64((level * int(_LEVEL)) % (1 << 64)))
     step = mix64(h) | np.uint64(1)
-    return [(h + np.uint64(i) * step) & np.uint64(bits - 1) for i in range(HASHES)]
+    return [((((h + np.uint64(i) * step) >> np.uint64(32)) * np.uint64(bits)) >> np.uint64(32)).astype(np.int64) for i in range(HASHES)]
 
 
 @dataclass
@@ -173,172 +194,181 @@ class LogBloom:
     top: int
 
     @classmethod
-    def build(cls, entries: list[tuple[np.ndarray, np.ndarray]]) -> LogBloom:
-        """``entries``: (keys, levels); a key of level q is stored q times."""
-        n = int(sum(q.sum() for _, q in entries))
-        bits = 1 << max(10, math.ceil(math.log2(max(1, n * BITS_PER_ENTRY))))
-        flat, top = np.zeros(bits, bool), 0
-        for keys, q in entries:
-            for j in range(1, int(q.max(initial=0)) + 1):
-                for at in _places(keys[q >= j], j, bits):
-                    flat[at.astype(np.int64)] = True
-                top = max(top, j)
+    def build(cls, keys: np.ndarray, q: np.ndarray, bits_per_entry: int = BITS_PER_ENTRY) -> LogBloom:
+        """A key of level q is stored q times."""
+        bits = max(64, int(q.sum()) * bits_per_entry)
+        flat, top = np.zeros(bits, bool), int(q.max(initial=0))
+        for j in range(1, top + 1):
+            for at in _places(keys[q >= j], j, bits):
+                flat[at] = True
         return cls(bits, np.packbits(flat, bitorder="little"), top)
 
     def level(self, keys: np.ndarray) -> np.ndarray:
-        q = np.zeros(len(keys), np.int64)
+        q = np.zeros(len(keys), np.uint8)
         alive = np.arange(len(keys))
         for j in range(1, self.top + 1):
-            hit = np.ones(len(alive), bool)
             for at in _places(keys[alive], j, self.bits):
-                byte = self.packed[(at >> np.uint64(3)).astype(np.int64)]
-                hit &= ((byte >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
-            alive = alive[hit]
+                hit = (self.packed[at >> 3] >> (at & 7).astype(np.uint8)) & 1
+                # later places of a missed key don't matter; all are of one length here
+                alive = np.where(hit, alive, -1)
+            alive = alive[alive >= 0]
             if not len(alive):
                 break
             q[alive] = j
         return q
 
 
-@dataclass
-class Model:
-    """What the workers need to score: the filter and a few totals."""
+TOTAL_SCHEMA = "run long, range long, totals binary, levels binary, shard binary, bits long, top int, types long, once long, norm double"
 
-    bloom: LogBloom
-    n_train: int
-    word_least: int
-    pair_least: int
-    word_mass: float
-    word_norm: float
-    rest: float
 
-    def count(self, level: np.ndarray, least: int) -> np.ndarray:
-        """Counts that levels stand for (the middle of a level, on the log scale); 0 for level 0."""
-        return np.where(level > 0, least * LEVEL_BASE ** (level - 0.5), 0.0)
+def _totals(short: bool, bits_per_entry: int, respond: bool):
+    """A range: its shard of the filter (run -1), and per run totals (of words) and levels, in the run's order."""
 
-    def words(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(probability, count estimate) of words."""
-        c = self.count(self.bloom.level(keys), self.word_least)
-        return np.where(c > 0, self.word_mass * c / self.word_norm, self.rest), c
-
-
-def pair_keys(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return mix64(a * _A + mix64(b * _B))
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        rng = table.column("range")[0].as_py()
+        widths = table.column("width").to_pylist()
+        parts = [np.frombuffer(x.as_buffer(), np.uint32 if short else np.uint64) for x in table.column("keys")]
+        counts = np.concatenate([np.frombuffer(x.as_buffer(), f"u{w}") for x, w in zip(table.column("counts"), widths)], dtype=np.int64)
+        keys, at = np.unique(np.concatenate(parts), return_inverse=True)
+        total = np.zeros(len(keys), np.int64)
+        np.add.at(total, at, counts)
+        seen = total > 0
+        full = keys.astype(np.uint64) | np.uint64(rng << 32) if short else keys
+        q = levels(total[seen])
+        bloom = LogBloom.build(full[seen], q, bits_per_entry)
+        read = bloom.level(full)
+        rows = [(-1, rng, None, None, bloom.packed.tobytes(), bloom.bits, bloom.top, int(seen.sum()), int((total == 1).sum()), float(count_of(q).sum()))]
+        if respond or not short:
+            end = 0
+            for r, p in zip(table.column("run").to_pylist(), parts):
+                mine, end = at[end : end + len(p)], end + len(p)
+                rows.append((r, rng, None if short else total[mine].tobytes(), read[mine].tobytes() if respond else None, None, None, None, None, None, None))
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64())
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["run", "range", "totals", "levels", "shard", "bits", "top", "types", "once", "norm"])
 
+    return run
 
-def levels(counts: np.ndarray, least: int) -> np.ndarray:
-    """Quantised log-counts, 1 at ``least``."""
-    return 1 + np.floor(np.log(counts / least) / math.log(LEVEL_BASE) + 1e-9).astype(np.int64)
 
+@dataclass
+class Model:
+    """What scoring needs: a few totals, and the shards where they are broadcast."""
 
-def _pairs(first, tokens, held, frequent, train_only: bool):
-    """Places of tokens that follow a frequent token in the same document and are frequent."""
-    inside = np.ones(len(tokens), bool)
-    inside[first[:-1]] = False
-    f = frequent[tokens]
-    inside[1:] &= f[1:] & f[:-1]
-    if train_only:
-        inside &= ~np.repeat(held, np.diff(first))
-    return np.flatnonzero(inside)
+    n_train: int
+    types: int
+    word_mass: float
+    word_norm: float
+    rest: float
+    words: list[LogBloom] | None = None
+    pairs: list[LogBloom] | None = None
 
+    def probe(self, shards: list[LogBloom], keys: np.ndarray, short: bool) -> np.ndarray:
+        """Levels of sorted keys, each read from its range's shard."""
+        rng = _range_of(keys, len(shards))
+        full = (keys & _LOW) | (rng.astype(np.uint64) << np.uint64(32)) if short else keys
+        start = np.searchsorted(rng, np.arange(len(shards) + 1))
+        return np.concatenate([np.zeros(0, np.uint8), *(s.level(full[a:z]) for s, a, z in zip(shards, start[:-1], start[1:]) if z > a)])
 
-def _read(b):
-    for run_id, held, first, tokens, keys in zip(*(b.column(c).to_pylist() for c in ("run", "held", "first", "tokens", "keys"))):
-        yield run_id, np.array(held, bool), np.frombuffer(first, np.int64), np.frombuffer(tokens, np.uint32), np.frombuffer(keys, np.uint64)
 
+def _in_range_order(table: pa.Table, kind: str, column: str, dtype) -> np.ndarray:
+    """A run's answers, joined in the order of their ranges."""
+    rows = [(r, x) for k, r, x in zip(table.column("kind").to_pylist(), table.column("range").to_pylist(), table.column(column)) if k == kind and x.is_valid]
+    return np.concatenate([np.zeros(0, dtype), *(np.frombuffer(x.as_buffer(), dtype) for _, x in sorted(rows, key=lambda y: y[0]))])
 
-def _count_pairs(model_b, ranges: int):
-    def run(batches):
-        model = model_b.value
-        for b in batches:
-            for run_id, held, first, tokens, keys in _read(b):
-                _, c = model.words(keys)
-                at = _pairs(first, tokens, held, c * LEVEL_BASE >= model.pair_least, True)
-                pair, n = np.unique((tokens[at - 1].astype(np.int64) << 32) | tokens[at], return_counts=True)
-                if len(pair):
-                    h = pair_keys(keys[pair >> 32], keys[pair & 0xFFFFFFFF])
-                    order = np.argsort(h)
-                    yield _by_range(h[order], n[order].astype(np.uint32), ranges, run_id)
 
-    return run
+SCORE_SCHEMA = "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
 
 def _scores(model_b):
-    def run(batches):
-        model = model_b.value
-        for b in batches:
-            ids = b.column("ids").to_pylist()
-            for k, (run_id, held, first, tokens, keys) in enumerate(_read(b)):
-                p, c = model.words(keys)
-                prob = p[tokens]
-                at = _pairs(first, tokens, held, c * LEVEL_BASE >= model.pair_least, False)
-                pair, back = np.unique((tokens[at - 1].astype(np.int64) << 32) | tokens[at], return_inverse=True)
-                if len(pair):
-                    a, z = pair >> 32, pair & 0xFFFFFFFF
-                    joint = model.count(model.bloom.level(pair_keys(keys[a], keys[z])), model.pair_least)
-                    mixed = PAIR_WEIGHT * np.minimum(1.0, joint / c[a]) + (1 - PAIR_WEIGHT) * p[z]
-                    prob[at] = mixed[back]
-                n = np.diff(first)
-                yield pa.record_batch(
-                    [
-                        pa.array(np.full(len(n), run_id)), pa.array(np.arange(len(n))), pa.array(ids[k], pa.int64()), pa.array(held), pa.array(n),
-                        pa.array(np.add.reduceat(np.log10(prob), first[:-1])),
-                    ],
-                    names=["run", "doc", "id", "held_out", "n_tokens", "score"],
-                )
+    """Base and model scores of a run's documents."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        model, out = model_b.value, []
+        base_norm = math.log10(model.n_train + 0.5 * (model.types + 1))
+        left = left.combine_chunks()
+        for i in range(left.num_rows):
+            first, tokens, keys = (np.frombuffer(left.column(c)[i].as_buffer(), t) for c, t in (("first", np.int64), ("tokens", np.uint32), ("keys", np.uint64)))
+            n = np.diff(first)
+            total = _in_range_order(right, "w", "totals", np.int64)
+            base = np.add.reduceat(np.log10(total + 0.5)[tokens], first[:-1]) - n * base_norm
+            known = np.add.reduceat((total > 0).astype(np.int64)[tokens], first[:-1])
+            level = model.probe(model.words, keys, False) if model.words else _in_range_order(right, "w", "levels", np.uint8)
+            c = count_of(level.astype(np.int64))
+            p = np.where(c > 0, model.word_mass * c / model.word_norm, model.rest)
+            prob = p[tokens]
+            at, code, h, order, back = _run_pairs(first, tokens, keys)
+            if len(code):
+                sorted_levels = model.probe(model.pairs, h[order], True) if model.words else _in_range_order(right, "p", "levels", np.uint8)
+                joint = np.empty(len(code))
+                joint[order] = count_of(sorted_levels.astype(np.int64))
+                a, z = code >> 32, code & 0xFFFFFFFF
+                # a first word that was never seen leaves the word estimate alone
+                follow = np.where(c[a] > 0, np.minimum(1.0, joint / np.where(c[a] > 0, c[a], 1.0)), 0.0)
+                mixed = np.where(c[a] > 0, PAIR_WEIGHT * follow + (1 - PAIR_WEIGHT) * p[z], p[z])
+                prob[at] = mixed[back]
+            held = left.column("held")[i].as_py()
+            ids = left.column("ids")[i].as_py()
+            out.append(pa.table({
+                "id": pa.array(ids, pa.int64()), "held_out": pa.array(held, pa.bool_()), "n_tokens": n, "n_known": known,
+                "base_score": base, "score": np.add.reduceat(np.log10(prob), first[:-1]),
+            }))
+        return pa.concat_tables(out) if out else pa.table({"id": pa.array([], pa.int64()), "held_out": pa.array([], pa.bool_()), "n_tokens": pa.array([], pa.int64()), "n_known": pa.array([], pa.int64()), "base_score": pa.array([], pa.float64()), "score": pa.array([], pa.float64())})
 
     return run
 
 
-def _gather(kept: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The entries above the least count; at most 1/share of them exist."""
-    rows = kept.where("run = -1").select("keys", "totals").collect()
-    keys = [np.frombuffer(r[0], np.uint64) for r in rows]
-    totals = [np.frombuffer(r[1], np.int64) for r in rows]
-    return np.concatenate([np.zeros(0, np.uint64), *keys]), np.concatenate([np.zeros(0, np.int64), *totals])
+def _shards(totals: DataFrame, ranges: int) -> list[LogBloom]:
+    """All shards of a filter that is within the broadcast bound; ranges without n-grams are empty."""
+    rows = {r.range: r for r in totals.where("run = -1").select("range", "shard", "bits", "top").collect()}
+    none = LogBloom(64, np.zeros(8, np.uint8), 0)
+    return [LogBloom(rows[k].bits, np.frombuffer(rows[k].shard, np.uint8), rows[k].top) if k in rows else none for k in range(ranges)]
 
 
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_col=None, run_bytes: int = RUN_BYTES) -> DataFrame:
-    """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) per row of ``docs``.
+def lm_scores(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    held_col=None,
+    run_bytes: int = RUN_BYTES,
+    filter_bytes: int = FILTER_BYTES,
+    bits_per_entry: int = BITS_PER_ENTRY,
+    bucket_entries: int = BUCKET_ENTRIES,
+) -> DataFrame:
+    """(id, held_out, n_tokens, n_known, train_tokens, base_score, score, filter_bytes) per row of ``docs``.
 
     ``held_col``: a boolean column that keeps documents from training (null: trains).
     """
     spark = docs.sparkSession
-    sc = spark.sparkContext
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.coalesce(held_col if held_col is not None else F.lit(False), F.lit(False)).alias("held"),
         F.col(text_col).alias("text"),
     )
     runs = materialize(rows.mapInArrow(_runs(run_bytes), RUN_SCHEMA), "runs")
-    entries, n_train = runs.agg(F.coalesce(F.sum("n_keys"), F.lit(0)), F.coalesce(F.sum("n_train"), F.lit(0))).first()
-    ranges = max(1, -(-entries // BUCKET_ENTRIES))
-    split = "range long, run long, keys binary, counts binary"
-    least = max(1, math.ceil(WORD_SHARE * n_train))
-    words = runs.select("run", "keys", "counts").mapInArrow(_split_runs(ranges), split)
-    totals = materialize(words.groupBy("range").applyInArrow(_totals(least, True), TOTAL_SCHEMA), "totals")
-    types, once = totals.where("run = -1").agg(F.coalesce(F.sum("types"), F.lit(0)), F.coalesce(F.sum("once"), F.lit(0))).first()
-
-    keys, counts = _gather(totals)
-    q = levels(counts, least)
-    pair_least = max(2, math.ceil(PAIR_SHARE * n_train))
-    rest_tokens = n_train - int(counts.sum()) + once
-    word_mass = float(counts.sum()) / (n_train + once) if n_train else 0.0
-    model = Model(LogBloom.build([(keys, q)]), n_train, least, pair_least, word_mass, 1.0, 1.0)
-    model.word_norm = float(model.count(q, least).sum()) or 1.0
-    model.rest = max(rest_tokens, 1) / (n_train + max(once, 1)) / (types - len(keys) + once + 1)
-    pairs = runs.mapInArrow(_count_pairs(sc.broadcast(model), 2 * ranges), split)
-    pair_keys_, pair_counts = _gather(materialize(pairs.groupBy("range").applyInArrow(_totals(pair_least, False), TOTAL_SCHEMA), "pairs"))
-    model.bloom = LogBloom.build([(keys, q), (pair_keys_, levels(pair_counts, pair_least))])
-
-    base = (
-        runs.select("run", "first", "tokens").groupBy("run")
-        .cogroup(totals.where("run >= 0").select("run", "range", "totals").groupBy("run"))
-        .applyInArrow(_base(n_train, types), "run long, doc long, n_known long, base_score double")
-    )
-    scores = runs.mapInArrow(_scores(sc.broadcast(model)), "run long, doc long, id long, held_out boolean, n_tokens long, score double")
-    return scores.join(base, ["run", "doc"]).select(
-        F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), "base_score", "score"
+    entries, n_train, n_tokens = runs.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_keys", "n_train", "n_tokens")]).first()
+    word_ranges, pair_ranges = (max(1, -(-n // bucket_entries)) for n in (entries, n_tokens))
+    words = runs.select("run", "keys", "counts").mapInArrow(_split_words(word_ranges), PART_SCHEMA)
+    pairs = runs.select("run", "held", "first", "tokens", "keys").mapInArrow(_split_pairs(pair_ranges), PART_SCHEMA)
+    words = materialize(words.groupBy("range").applyInArrow(_totals(False, bits_per_entry, True), TOTAL_SCHEMA), "words")
+    pairs = materialize(pairs.groupBy("range").applyInArrow(_totals(True, bits_per_entry, True), TOTAL_SCHEMA), "pairs")
+
+    def shards(df):
+        return df.where("run = -1").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("types", "once", "norm", "bits")]).first()
+
+    types, once, norm, word_bits = shards(words)
+    size = (word_bits + shards(pairs)[3]) // 8
+    unseen = max(once, 1)
+    model = Model(n_train, types, n_train / (n_train + once) if n_train else 0.0, float(norm) or 1.0, unseen / (n_train + unseen) / (once + 1))
+    answers = words.where("run >= 0").select("run", "range", F.lit("w").alias("kind"), "totals", "levels")
+    if size <= filter_bytes:
+        model.words, model.pairs = _shards(words, word_ranges), _shards(pairs, pair_ranges)
+        answers = answers.withColumn("levels", F.lit(None).cast("binary"))
+    else:
+        answers = answers.union(pairs.where("run >= 0").select("run", "range", F.lit("p"), "totals", "levels"))
+    left = runs.select("run", "ids", "held", "first", "tokens", "keys").groupBy("run")
+    scores = left.cogroup(answers.groupBy("run")).applyInArrow(_scores(spark.sparkContext.broadcast(model)), SCORE_SCHEMA)
+    return scores.select(
+        F.col("id").alias(id_col), "held_out", "n_tokens", "n_known", F.lit(n_train).cast("long").alias("train_tokens"), "base_score", "score", F.lit(size).cast("long").alias("filter_bytes")
     )
 
 
