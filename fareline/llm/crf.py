@@ -18,7 +18,7 @@ LABELS = ("O", "email", "ip", "card", "phone")
 K = len(LABELS)
 
 # shape attributes and their numbers of values; a shape code has them in mixed radix
-ATTRIBUTES = {"digits": 6, "letters": 2, "at": 2, "dots": 4, "hyphens": 3, "plus": 2, "parens": 2, "other": 2}
+ATTRIBUTES = {"digits": 6, "letters": 2, "at": 2, "dots": 4, "hyphens": 4, "plus": 2, "parens": 2, "other": 2}
 RADIX = tuple(ATTRIBUTES.values())
 SHAPES = int(np.prod(RADIX))
 CLASSES = 4
@@ -54,7 +54,7 @@ def shapes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         rest = size - digits - letters - sum(marks.values()) - parens - plus
         code[odd] = _code(
             np.searchsorted([1, 4, 5, 10, 16], digits, side="right"),
-            letters=letters > 0, at=marks["at"] > 0, dots=np.minimum(marks["dots"], 3), hyphens=np.minimum(marks["hyphens"], 2), plus=plus, parens=parens > 0, other=rest > 0,
+            letters=letters > 0, at=marks["at"] > 0, dots=np.minimum(marks["dots"], 3), hyphens=np.minimum(marks["hyphens"], 3), plus=plus, parens=parens > 0, other=rest > 0,
         )
     return code
 

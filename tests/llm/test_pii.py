@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from fareline.llm.crf import K, Crf, train
-from fareline.llm.pii import KINDS, base_matches, example_windows, find_pii, label_windows, luhn, op6_pii, redact, train_from
+from fareline.llm.pii import KINDS, LAYOUTS, base_matches, evaluate, find_pii, label_windows, labelled_table, luhn, op6_pii, redact, spans_of, table_windows, train_from
 
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -46,7 +46,8 @@ def test_base_patterns_on_layouts():
 
 
 def model():
-    return train([w for t in ["a 4111111111111111 b", "m x@y.example.com z", "t +1 (456) 555-2186 nt", "r 70.123.182.155 o", "no data here at all"] for w in label_windows(t)] + example_windows())
+    windows = [w for t in ["a 4111111111111111 b", "m x@y.example.com z", "t +1 (456) 555-2186 nt", "r 70.123.182.155 o", "no data here at all"] for w in label_windows(t)]
+    return train(windows + table_windows(labelled_table()))
 
 
 MODEL = model()
@@ -83,7 +84,44 @@ def test_given_table(spark):
 
 def test_empty_table(spark, docs_of):
     assert find_pii(docs_of([])).collect() == []
-    assert (train_from(docs_of([])).decode(np.array([0, 5]), np.array([0])) == 0).all()
+    assert find_pii(docs_of([]), model=train([])).collect() == []
+    assert (train([]).decode(np.array([0, 5]), np.array([0])) == 0).all()
+
+
+def test_held_out_rows_of_the_labelled_table():
+    """Whole spans, base and added, on rows made with another seed."""
+    held = labelled_table(600, seed=77)
+    got = evaluate(MODEL, held)
+    assert all(p >= 0.9 and r >= 0.9 for p, r in got.values()), got
+    # what the base patterns can't find is found by the field alone
+    beyond = [(t, [x]) for t, xs in held for x in xs if "{2}:{0}:{1}".format(*x) not in brute(t)]
+    kinds = {k: [(x in spans_of(t, MODEL)) for t, (x,) in beyond if x[2] == k] for k in LAYOUTS}
+    assert all(len(v) > 10 and sum(v) >= 0.85 * len(v) for v in kinds.values()), {k: (sum(v), len(v)) for k, v in kinds.items()}
+
+
+def test_planted_documents_and_clean_ones(spark, docs_of):
+    card = "4000 1234 5678 9017"
+    assert luhn(card.replace(" ", ""))
+    planted = [f"note {card.replace(' ', m)} was charged" for m in "._"] + ["reach me under 555-204-8812 or (555) 318-2290", "tel 555.771.0093 now", "host 10-20-30-40 is down"]
+    clean = ["on 2024-05-11 we sold 1,250 of 3.5 kg at 10:30", "chapter 12, pages 100-120 and table 4.2", "order 123456789 of 2023/24", "version 1.2.3 on 4 cores", "plain prose without any numbers at all"]
+    got = {r.doc_id: r for r in find_pii(docs_of(planted + clean), model=train_from(docs_of(planted + clean))).collect()}
+    assert [got[i].n_added for i in range(len(planted))] == [1, 1, 2, 1, 1]
+    assert all(got[i + len(planted)].n_added == 0 and got[i + len(planted)].spans == "" for i in range(len(clean)))
+
+
+def test_a_hot_text_fills_no_sample(spark, docs_of):
+    hot = docs_of(["call +1 555 204 8812 today"] * 300 + [f"mail a{i}@b.cc or 1.2.3.{i}" for i in range(40)])
+    m = train_from(hot, sample_docs=1000, sample_windows=200)
+    assert spans_of("write to q7@r.ss please", m) == [(9, 16, "email")]
+
+
+def test_given_tables_clean_documents_get_nothing(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = op6_pii(spark, sf).collect()
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    added = [(r.doc_id, r.spans) for r in rows if r.n_added]
+    # whatever is added there holds up as its kind
+    assert len(added) <= 0.02 * len(rows), [(i, [docs[i][int(x.split(":")[1]) : int(x.split(":")[2])] for x in sp.split(",")]) for i, sp in added][:10]
 
 
 @pytest.mark.parametrize("seed", range(5))
