@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from fareline.llm.common import SPACE_SPLIT, document_words, materialize
 from fareline.llm.linking import exact_components, tile_links
-from fareline.llm.shingles import set_arrays, set_id, shingle_sets
+from fareline.llm.shingles import set_id, shingle_sets
 
 SKETCH_CELLS = 1 << 18
 SKETCH_TASKS = 32
@@ -66,14 +66,15 @@ def _sets(size: int, t: int):
                 found = list(shingle_sets(w, size))
                 n = [len(s) for s in found]
                 sid = [set_id(s) if len(s) else None for s in found]
+                bands = [band(len(s), t) if len(s) else None for s in found]
                 bits = [parity_bitmap(s, band_bits(band(len(s), t) + 1, t)) if len(s) else None for s in found]
                 sketch += np.bincount((np.concatenate(found) & np.uint64(SKETCH_CELLS - 1)).astype(np.int64), minlength=SKETCH_CELLS)
                 yield pa.record_batch(
-                    [b.column(0)[first:last], pa.array(n, pa.int64()), pa.array(sid, pa.int64()), b.column(2)[first:last], pa.array(bits, pa.binary()), pa.nulls(len(n), pa.binary())],
-                    names=["id", "n", "sid", "key", "bits", "sketch"],
+                    [b.column(0)[first:last], pa.array(n, pa.int64()), pa.array(sid, pa.int64()), b.column(2)[first:last], pa.array(bands, pa.int32()), pa.array(bits, pa.binary()), pa.nulls(len(n), pa.binary())],
+                    names=["id", "n", "sid", "key", "band", "bits", "sketch"],
                 )
         if sketch.any():
-            yield pa.record_batch([*[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.binary()), pa.array([sketch.astype(np.uint64).tobytes()], pa.binary())], names=["id", "n", "sid", "key", "bits", "sketch"])
+            yield pa.record_batch([*[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.int32()), pa.nulls(1, pa.binary()), pa.array([sketch.astype(np.uint64).tobytes()], pa.binary())], names=["id", "n", "sid", "key", "band", "bits", "sketch"])
 
     return run
 
@@ -94,7 +95,7 @@ def _prefixes(sketch_b, size: int, t: int):
         seen = set()  # of the task's sets: copies give the same rows
         for b in batches:
             for _, _, w in document_words(b.column(0), SPACE_SPLIT):
-                tokens, sids, ns, bands = [], [], [], []
+                tokens, sids = [], []
                 for s in shingle_sets(w, size):
                     n = len(s)
                     if n == 0 or (sid := set_id(s)) in seen:
@@ -104,14 +105,9 @@ def _prefixes(sketch_b, size: int, t: int):
                     common = sketch[(s & np.uint64(SKETCH_CELLS - 1)).astype(np.int64)]
                     tokens.append(s[np.lexsort((s, common))[:k]])
                     sids.append(sid)
-                    ns.append(n)
-                    bands.append(band(n, t))
                 if sids:
                     counts = [len(x) for x in tokens]
-                    yield pa.record_batch(
-                        [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(np.array(sids), counts)), *(pa.array(np.repeat(np.array(x, np.int32), counts)) for x in (ns, bands))],
-                        names=["token", "sid", "n", "band"],
-                    )
+                    yield pa.record_batch([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(np.array(sids), counts))], names=["token", "sid"])
 
     return run
 
@@ -184,21 +180,22 @@ def jaccard_components(
     """(id, n_shingles, component_id) per row of ``docs``; ``threshold`` in per cent."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).withColumn("key", F.coalesce("id", F.xxhash64("text")))
-    rows = materialize(texts.mapInArrow(_sets(size, threshold), "id long, n long, sid long, key long, bits binary, sketch binary"), "sets")
+    rows = materialize(texts.mapInArrow(_sets(size, threshold), "id long, n long, sid long, key long, band int, bits binary, sketch binary"), "sets")
     # the tasks' sketches are added up by a fixed number of tasks
     sums = rows.where("sketch is not null").select("sketch").repartition(SKETCH_TASKS).mapInArrow(_sum_sketch, "sketch binary")
     sketch = np.zeros(SKETCH_CELLS, np.int64)
     for r in sums.toLocalIterator():
         sketch += np.frombuffer(r.sketch, np.uint64).astype(np.int64)
-    sets = rows.where("sketch is null").select("id", "n", "sid", "key", "bits")
-    reps = materialize(sets.where("n > 0").groupBy("sid").agg(F.min("id").alias("rep"), F.min("key").alias("key"), F.min("n").alias("n")), "reps")
+    sets = rows.where("sketch is null").select("id", "n", "sid", "key", "band", "bits")
+    reps = materialize(sets.where("n > 0").groupBy("sid").agg(F.min("id").alias("rep"), F.min("key").alias("key"), F.min("n").alias("n"), F.min("band").alias("band")), "reps")
 
-    prefixes = texts.select("text").mapInArrow(_prefixes(spark.sparkContext.broadcast(sketch), size, threshold), "token long, sid long, n int, band int")
+    prefixes = texts.select("text").mapInArrow(_prefixes(spark.sparkContext.broadcast(sketch), size, threshold), "token long, sid long")
     prefixes = materialize(prefixes, "prefixes")
     # written before the join, so that a hot token's side of it can be split
     shared = materialize(prefixes.groupBy("token").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low < high").select("token"), "shared")
     # copies of a set in several tasks gave the same rows; dealt by set, as a token may be hot
-    postings = materialize(prefixes.join(shared, "token").repartition("sid").distinct(), "postings")
+    postings = prefixes.join(shared, "token").repartition("sid").distinct()
+    postings = materialize(postings.join(reps.select("sid", "n", "band"), "sid"), "postings")
     visit = F.explode(F.array(F.struct("band", F.lit(True).alias("home")), F.struct((F.col("band") + 1).alias("band"), F.lit(False).alias("home"))))
     visits = postings.select("token", "sid", "n", visit.alias("v")).select(F.xxhash64("token", "v.band").alias("tile"), "sid", "n", "v.*")
     tiles = (
@@ -214,7 +211,7 @@ def jaccard_components(
     members = materialize(members.join(maps, "sid").withColumn("lead", F.col("home")), "members")
 
     candidates = tile_links(members, ["n", "band", "home", "bits"], _near(threshold), tile_rows)
-    linked = exact_components(candidates, reps.select("sid", "key", "n"), texts.select("text", "key"), set_arrays(size), threshold, block_sets, block_bytes)
+    linked = exact_components(candidates, reps.select("sid", "key", "n"), texts.select("text", "key"), size, threshold, block_sets, block_bytes)
     names = reps.join(linked.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     names = names.join(names.groupBy("component").agg(F.min("rep").alias("component_id")), "component").select("sid", "component_id")
     return sets.select("id", "n", "sid").join(names, "sid", "left").select(

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from fareline.llm.common import materialize
 from fareline.llm.components import connected_components
+from fareline.llm.shingles import set_arrays, sets_of_texts
 
 SMALL_TILE = 12
 PIVOTS = 4
@@ -260,17 +261,20 @@ def pair_links(a: np.ndarray, b: np.ndarray, t: int) -> bool:
     return 100 * common >= t * (len(a) + len(b) - common)
 
 
-def _clusters(t: int):
-    """(node, component) of the sets of whole components, one after the other."""
+def _clusters(t: int, size: int):
+    """(node, component) of the sets of whole components, one after the other, from their texts."""
 
     def run(batches):
         for table in whole_groups(batches, ["component"]):
-            group, sid, raw = group_ids(table, ["component"]), table.column("sid").to_numpy(), table.column("shingles").to_pylist()
+            group, wanted = group_ids(table, ["component"]), table.column("sid").to_numpy()
             starts = np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(group))
+            found = list(sets_of_texts(table.column("text").combine_chunks(), wanted, size))
             nodes, labels = [], []
             for lo, hi in zip(starts[:-1], starts[1:]):
-                mine, at = np.unique(sid[lo:hi], return_index=True)
-                arrays = [np.frombuffer(raw[lo + k], np.uint64) for k in at]
+                # a key may stand for several texts, and a set for several rows: each set once
+                one = {int(wanted[k]): found[k] for k in range(lo, hi) if found[k] is not None}
+                mine = np.array(sorted(one), np.int64)
+                arrays = [one[k] for k in mine.tolist()]
                 label = mine.copy()
                 if len(mine) == 2:
                     if pair_links(*arrays, t):
@@ -332,12 +336,11 @@ def _large_components(members: DataFrame, t: int, block_sets: int, pivots: int)
     return named.drop("label").join(joined, "sid", "left").select(F.col("sid").alias("node"), F.coalesce("label", "sid").alias("component"))
 
 
-def exact_components(candidates: DataFrame, sets: DataFrame, texts: DataFrame, arrays: Callable, t: int, block_sets: int, block_bytes: int, pivots: int = PIVOTS) -> DataFrame:
+def exact_components(candidates: DataFrame, sets: DataFrame, texts: DataFrame, size: int, t: int, block_sets: int, block_bytes: int, pivots: int = PIVOTS) -> DataFrame:
     """(node, component) of the exact links within the components of the candidate pairs.
 
     ``sets``: (sid, key, n), one row per set; ``texts``: (text, key), where a set's text
-    can be had; ``arrays`` maps batches of (text, sid, component, parts) to (sid,
-    component, parts, shingles).
+    can be had; ``size``: words of a shingle. Texts travel, as they are smaller than arrays.
     """
     placed = materialize(connected_components(candidates).withColumnRenamed("node", "sid").join(sets, "sid"), "coarse")
     parts = F.greatest(F.ceil(F.count(F.lit(1)) / block_sets), F.ceil(8 * F.sum("n") / block_bytes)).cast("long")
@@ -345,12 +348,12 @@ def exact_components(candidates: DataFrame, sets: DataFrame, texts: DataFrame, a
     some = not large.isEmpty()
     placed = placed.join(large, "component", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long"))) if some else placed.withColumn("parts", F.lit(1).cast("long"))
     chosen = texts.join(placed.select("key", "sid", "component", "parts").hint("shuffle_hash"), "key").select("text", "sid", "component", "parts")
-    met = chosen.mapInArrow(arrays, "sid long, component long, parts long, shingles binary")
-    met = materialize(met, "arrays") if some else met
-    small = met.where("parts = 1").repartition("component").sortWithinPartitions("component").select("component", "sid", "shingles")
-    out = small.mapInArrow(_clusters(t), "node long, component long")
+    chosen = materialize(chosen, "chosen") if some else chosen
+    small = chosen.where("parts = 1").repartition("component").sortWithinPartitions("component").select("component", "sid", "text")
+    out = small.mapInArrow(_clusters(t, size), "node long, component long")
     if some:
+        met = chosen.where("parts > 1").mapInArrow(set_arrays(size), "sid long, component long, parts long, shingles binary")
         # a set may come from two texts with its key; one row of each goes on
-        members = materialize(met.where("parts > 1").groupBy("component", "parts", "sid").agg(F.min("shingles").alias("shingles")), "members")
+        members = materialize(met.groupBy("component", "parts", "sid").agg(F.min("shingles").alias("shingles")), "members")
         out = out.union(_large_components(members, t, block_sets, pivots))
     return out

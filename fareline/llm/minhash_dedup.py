@@ -34,12 +34,12 @@ from pyspark.sql import functions as F
 
 from fareline.llm.common import SPACE_SPLIT, document_words, materialize, mix64
 from fareline.llm.linking import exact_components, tile_links
-from fareline.llm.shingles import set_arrays, set_id, shingle_sets
+from fareline.llm.shingles import set_id, shingle_sets
 
 MISS = 1e-9
 BAND_PERMUTATIONS = 3
 SKETCH = 128
-TILE_ROWS, BLOCK_SETS, BLOCK_BYTES = 2048, 2048, 64 << 20
+TILE_ROWS, BLOCK_SETS, BLOCK_BYTES = 512, 2048, 64 << 20
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _LAST = np.uint64(0xD6E8FEB86659FD93)
@@ -167,7 +167,7 @@ def near_duplicates(
     members = buckets.join(materialize(tiles.select("tile", "n_rows"), "tiles"), "tile")
     members = materialize(members.join(signed.select("sid", "n", "sketch"), "sid").withColumn("lead", F.lit(True)), "members")
     candidates = tile_links(members, ["n", "sketch"], _near(threshold), tile_rows)
-    linked = exact_components(candidates, sets.select("sid", "key", "n"), texts.select("text", "key"), set_arrays(size), threshold, block_sets, block_bytes)
+    linked = exact_components(candidates, sets.select("sid", "key", "n"), texts.select("text", "key"), size, threshold, block_sets, block_bytes)
     names = sets.join(linked.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     lowest = names.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = rows.select("id", "n", "sid").join(names.join(lowest, "component").select("sid", "component_id"), "sid", "left")

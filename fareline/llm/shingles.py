@@ -36,6 +36,13 @@ def set_id(s: np.ndarray) -> int:
     return int(mix64(np.array([mix64(s ^ _PLACE[2]).sum(dtype=np.uint64) + np.uint64(len(s))]))[0].astype(np.int64))
 
 
+def sets_of_texts(texts: pa.Array, wanted, size: int):
+    """Each text's set where it has the wanted digest, else None."""
+    for first, _, w in document_words(texts, SPACE_SPLIT):
+        for d, s in enumerate(shingle_sets(w, size)):
+            yield s if len(s) and set_id(s) == wanted[first + d] else None
+
+
 def set_arrays(size: int):
     """Set arrays of the wanted ids (text, sid, component, parts); rows of a task with one id give one array."""
 
