@@ -19,7 +19,7 @@ from fareline.session import shared_dir
 
 CHUNK_BYTES = 2 << 20
 # a text is scanned and hashed by so many bytes at a time
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 _FACTORS = np.zeros(0, np.uint64)
 
 

@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,10 @@ CELLS = 1 << 14
 EFFECTIVE_TRIGRAMS = 40
 HOST_WEIGHT, DOMAIN_WEIGHT = 5.0, 20.0
 MOST_LANGUAGES = 512
+# cells are added up in so many blocks, and in so many partial sums of each
+BLOCKS, SUM_SALTS = 16, 32
+# Second-level labels under which country registries register names.
+REGISTRY_LABELS = ("ac", "co", "com", "edu", "gob", "gov", "net", "nom", "or", "org")
 
 _FOLD = np.where(byte_table([*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]), LOWER, np.uint8(0x20))
 
@@ -60,29 +65,45 @@ def _count(batches):
             for lang in set(names):
                 mine = (names == lang)[doc]
                 totals[lang] = totals.get(lang, 0) + np.bincount(cell[mine], minlength=CELLS)
+    salt = TaskContext.get().partitionId() % SUM_SALTS
     for lang, n in totals.items():
-        at = np.flatnonzero(n)
-        yield pa.record_batch([pa.array([lang]), pa.array([at.astype(np.uint16).tobytes()], pa.binary()), pa.array([n[at].tobytes()], pa.binary())], names=["lang", "cells", "counts"])
+        for block, part in enumerate(n.reshape(BLOCKS, -1)):
+            if part.any():
+                yield _block(lang, block, salt, part)
 
 
-def _add(table: pa.Table) -> pa.Table:
-    total = np.zeros(CELLS, np.int64)
-    for c, n in zip(table.column("cells").to_pylist(), table.column("counts").to_pylist()):
-        total[np.frombuffer(c, np.uint16)] += np.frombuffer(n, np.int64)
-    return pa.table({"lang": table.column("lang").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+def _block(lang: str, block: int, salt: int, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch([pa.array([lang]), pa.array([block], pa.int32()), pa.array([salt], pa.int32()), pa.array([counts.tobytes()], pa.binary())], names=["lang", "block", "salt", "counts"])
+
+
+def _add(batches):
+    """Adds up a partition's rows by language and block of cells, one sum in memory for each."""
+    total: dict[tuple, np.ndarray] = {}
+    for b in batches:
+        for lang, block, salt, raw in zip(*(b.column(c).to_pylist() for c in ("lang", "block", "salt")), b.column("counts")):
+            n = np.frombuffer(raw.as_buffer(), np.int64)
+            key = (lang, block, salt)
+            total[key] = total[key] + n if key in total else n.copy()
+    for (lang, block, salt), n in total.items():
+        yield _block(lang, block, salt, n)
 
 
 def trigram_model(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> tuple[list[str], np.ndarray]:
     """(languages by name, log-probabilities [language, cell]) over all labelled documents."""
     rows = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    # one sum per language, in two steps: tasks of a language meet in a few groups first
-    parts = rows.mapInArrow(_count, "lang string, cells binary, counts binary")
-    found = parts.groupBy("lang").applyInArrow(_add, "lang string, counts binary").collect()
-    if len(found) > MOST_LANGUAGES:
-        raise ValueError(f"{len(found)} languages; this model holds {MOST_LANGUAGES}")
-    found = sorted(found, key=lambda r: r.lang)
-    n = np.array([np.frombuffer(r.counts, np.int64) for r in found], float).reshape(-1, CELLS) + 0.5
-    return [r.lang for r in found], np.log(n / n.sum(axis=1, keepdims=True))
+    n_langs = rows.select("lang").distinct().count()
+    if n_langs > MOST_LANGUAGES:
+        raise ValueError(f"{n_langs} languages; this model holds {MOST_LANGUAGES}")
+    # sums by language and block of cells, in two steps: no task adds up all tasks' rows of a block
+    schema = "lang string, block int, salt int, counts binary"
+    parts = rows.mapInArrow(_count, schema).repartition("lang", "block", "salt").mapInArrow(_add, schema)
+    found = parts.withColumn("salt", F.lit(0)).repartition("lang", "block").mapInArrow(_add, schema).collect()
+    names = sorted(r.lang for r in rows.select("lang").distinct().collect())  # MOST_LANGUAGES at most
+    n = np.full((len(names), BLOCKS, CELLS // BLOCKS), 0.5)
+    for r in found:
+        n[names.index(r.lang), r.block] += np.frombuffer(r.counts, np.int64)
+    n = n.reshape(len(names), CELLS)
+    return names, np.log(n / n.sum(axis=1, keepdims=True))
 
 
 def _likelihoods(model_b):
@@ -95,7 +116,8 @@ def _likelihoods(model_b):
             for first, last in chunks(offs):
                 cell, doc = trigram_cells(buf[offs[first] : offs[last]], offs[first : last + 1] - offs[first])
                 n = np.bincount(doc, minlength=last - first)
-                ll = np.stack([np.bincount(doc, weights=p[cell], minlength=last - first) for p in logp], axis=1) if len(logp) else np.zeros((last - first, 0))
+                # without any trigram the counts come as integers
+                ll = np.stack([np.bincount(doc, weights=p[cell], minlength=last - first).astype(float) for p in logp], axis=1) if len(logp) else np.zeros((last - first, 0))
                 ll *= (np.minimum(n, EFFECTIVE_TRIGRAMS) / np.maximum(n, 1))[:, None]
                 ll -= ll.max(axis=1, keepdims=True, initial=-np.inf) if len(logp) else 0
                 r = np.exp(ll)
@@ -117,7 +139,7 @@ def address_parts(url: Column) -> dict[str, Column]:
     host = F.nullif(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1)), F.lit(""))
     return {
         "host": host,
-        "domain": F.substring_index(host, ".", -2),
+        "domain": F.when(host.rlike(rf"\.({'|'.join(REGISTRY_LABELS)})\.[a-z]{{2}}$"), F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2)),
         "suffix": F.substring_index(host, ".", -1),
         "step": F.nullif(F.lower(F.regexp_extract(url, r"^[^:]+://[^/?#]+/([A-Za-z]{2})(?:[/?#]|$)", 1)), F.lit("")),
     }

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from fareline.llm.common import SPACE_SPLIT, document_words, materialize, mix64
 
-RUN_BYTES = 4 << 20
+RUN_BYTES = 2 << 20
 # distinct n-grams of all runs that meet in one task
 BUCKET_ENTRIES = 1 << 20
 # bytes of the whole filter that are broadcast; above, it is probed by shard

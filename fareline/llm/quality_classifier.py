@@ -347,7 +347,9 @@ def draw_sample(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, po
     free = free.where(F.pmod(F.xxhash64("id", F.lit(12)), F.lit(span)) < rate(n_free, pool))
     none = F.lit(None).cast("int")
     wanted = materialize(chosen.unionByName(free.select("id", none.alias("bad"), none.alias("toxic"))), "sample")
-    found = rows.join(F.broadcast(wanted), "id").select("text", "id", "lang", "source", "n_chars", "bad", "toxic")  # bounded by the rates above
+    found = rows.join(F.broadcast(wanted), "id")  # bounded by the rates above
+    # an id that many rows repeat is one row of the sample, its smallest
+    found = found.groupBy("id").agg(F.min(F.struct("text", "lang", "source", "n_chars", "bad", "toxic")).alias("row")).select("row.text", "id", "row.lang", "row.source", "row.n_chars", "row.bad", "row.toxic")
     return found.mapInArrow(_features, SAMPLE_SCHEMA).collect()
 
 

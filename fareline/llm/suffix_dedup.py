@@ -12,11 +12,11 @@ Every byte of a 50-byte string that also starts in a document with a smaller id
    strings. Their symbols are byte pairs, so each segment gives two strings, one per
    parity. Round by round one symbol is put before every string's current suffix: the
    suffix order of the next round is the stable distribution of the Burrows-Wheeler
-   transform by symbol, a sequential pass that writes one file per symbol and reads
-   them back in order. In the last 25 rounds the common-prefix classes are updated in
-   the same pass: two neighbours agree in t symbols if they have one symbol and all
-   between their former places agreed in t - 1.
-   A range has a bounded number of segments, so these files are arrays in memory.
+   transform by symbol (a stable sort of the round's symbols). In the last 25 rounds the
+   common-prefix classes are updated in the same pass: two neighbours agree in t symbols
+   if they have one symbol and all between their former places agreed in t - 1.
+   A range has a bounded number of segments, so the order and the classes are arrays in
+   memory rather than files that are read and written sequentially.
    Segments are folded first: equal ones are one string, and a string whose anchor no
    other string has needs no comparison.
 4. Neighbours that agree in 25 symbols are equal windows; the smallest id of each class
@@ -27,7 +27,8 @@ of their own, dealt by their own hash, so no key holds more than its distinct wi
 
 Defined results: a null text counts as empty; texts under 50 bytes lose nothing; a null
 id counts as larger than every other; rows with one id don't remove each other; an
-empty table gives an empty result; other columns are ignored.
+empty table gives an empty result; a very long text is a run of its own; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -52,6 +53,7 @@ RUN_BYTES = 2 << 20
 STEP = 1 << 17
 ANCHORS_PER_RANGE, SEGMENTS_PER_RANGE = 2_000_000, 16_000
 HOT_DOCS = 50_000
+MOST_BUCKETS = 8192
 NO_ID = np.iinfo(np.int64).max
 
 RUN_SCHEMA = "run long, ids binary, offsets binary, text binary"
@@ -440,7 +442,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """(id, n_bytes, n_removed, n_spans, kept_sha256) per row of ``docs``."""
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # a bucketed table has a bound on its buckets, and every task writes into as many files
+    buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), MOST_BUCKETS)
     name = f"llm_runs_{uuid.uuid4().hex}"
     (
         rows.mapInArrow(_runs(run_bytes), RUN_SCHEMA)

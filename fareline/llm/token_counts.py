@@ -5,12 +5,13 @@ version digest) pair is joined to stored counts. Only distinct missing contents
 are encoded, once each, and their counts are appended to the cache table.
 
 Normalising collapses runs of ASCII white space to one space, which the tokenizer
-itself would drop, so equal digests have equal counts. Inside a task, white-space
+itself would drop (checked), so equal digests have equal counts. Inside a task, white-space
 separated pieces are memoised: the tokenizer never merges across white space, so
 a text's count is the sum over its pieces.
 
 Defined results: a null text counts as empty (0 bytes, 0 tokens); null and repeated
-ids keep one result row per input row; an empty table gives an empty result; other
+ids keep one result row per input row; a very long text is encoded piece by piece; an
+empty table gives an empty result; other
 columns of the input are ignored, whatever their names.
 """
 
@@ -117,6 +118,24 @@ def _encode(path: str):
     return run
 
 
+def drops_white_space(path: str) -> bool:
+    """Whether a tokenizer file gives a text the tokens of its white-space separated pieces, one after the other."""
+    from tokenizers import Tokenizer
+
+    try:
+        tok = Tokenizer.from_file(path)
+    except Exception:  # another library's file; the loader has no exception type of its own
+        return False
+    tok.no_truncation()
+    tok.no_padding()
+
+    def ids(text: str) -> list[int]:
+        return tok.encode(text, add_special_tokens=False).ids
+
+    samples = ["a b", " Word  word", "x\ny", "it's\t\t3.14 km", "end. \n", "d\x0be\x0cf\rg"]
+    return all(ids(s) == [i for p in s.split() for i in ids(p)] for s in samples)
+
+
 def content_digest(text) -> F.Column:
     """Digest of the normalised content of a text column."""
     return F.unhex(F.sha2(F.regexp_replace(F.coalesce(text, F.lit("")), "[ \\t\\n\\x0B\\f\\r]+", " "), 256))
@@ -132,7 +151,13 @@ def read_cache(spark: SparkSession, path: str, version) -> DataFrame:
 
 
 def token_counts(docs: DataFrame, tokenizer_path: str, cache_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, n_tokens) per row of ``docs``; misses are encoded and appended to ``cache_path``."""
+    """(id, n_bytes, n_tokens) per row of ``docs``; misses are encoded and appended to ``cache_path``.
+
+    Content is normalised and cut at white space, so a tokenizer that keeps white space
+    (a byte-level or a sentencepiece one) raises.
+    """
+    if not drops_white_space(tokenizer_path):
+        raise ValueError(f"{tokenizer_path}: this tokenizer keeps white space, or isn't a tokenizers file; counts by pieces would be wrong")
     spark = docs.sparkSession
     version = F.lit(tokenizer_digest(tokenizer_path))
     texts = docs.select(

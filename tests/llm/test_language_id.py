@@ -96,3 +96,17 @@ def test_given_table(spark):
     assert sum(r.language == r.declared for r in got) > 0.97 * len(got)
     names, logp = trigram_model(spark.read.parquet(f"{sf}/documents.parquet"))
     assert names == ["de", "en", "es", "fr"] and logp.shape == (4, CELLS)
+
+
+def test_ties_go_to_the_first_language_by_name(spark):
+    docs = spark.createDataFrame([("same words here", "xb"), ("same words here", "xa"), ("same words here", "xc")], "text string, lang string")
+    pages = spark.createDataFrame([(1, "http://a.example.org/", "<p>same words here</p>"), (2, None, None)], "page_id long, url string, html string")
+    assert {r.language for r in identify(pages, docs).collect()} == {"xa"}
+
+
+def test_country_registries_are_no_domain(spark):
+    from fareline.llm.language_id import address_parts
+
+    urls = ["http://www.shop.co.uk/x", "http://a.b.example.com/", "http://co.uk/", "http://www.uni.ac.at", "http://x.com.de.example.org"]
+    df = spark.createDataFrame([(u,) for u in urls], "u string").select(address_parts(F.col("u"))["domain"].alias("d"))
+    assert [r.d for r in df.collect()] == ["shop.co.uk", "example.com", "co.uk", "uni.ac.at", "example.org"]

@@ -99,3 +99,10 @@ def test_words_of_one_label_alone_are_chosen_at_any_sample_size():
     docs = [np.append(np.array([1] if label and rng.random() < 0.33 else [], np.uint32), (np.flatnonzero(rng.random(1500) < q) + 10).astype(np.uint32)) for label, q in zip(y, p)]
     chosen = choose_words(docs, y)
     assert len(chosen) == WORDS_PER_TARGET and 1 in chosen
+
+
+def test_an_id_that_many_rows_repeat_is_one_row_of_the_sample(spark):
+    docs, labels, _ = corpus(spark, 60, 3)
+    hot = docs.unionByName(docs.where("doc_id = 5").crossJoin(spark.range(500)).drop("id")).unionByName(docs.where("doc_id = 5").withColumn("text", F.lit("another text of this id")))
+    rows = draw_sample(hot, labels)
+    assert len(rows) == 60

@@ -4,7 +4,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from fareline.llm.common import new_folder
-from fareline.llm.token_counts import TOKENIZER, _counter, read_cache, token_counts, tokenizer_digest
+from fareline.llm.token_counts import TOKEN_LIMIT, TOKENIZER, _counter, drops_white_space, op7_token_counts, read_cache, token_counts, tokenizer_digest
 from pyspark.sql import functions as F
 
 PATH = public_tokenizers.path(TOKENIZER)
@@ -53,3 +53,30 @@ def test_cache_is_hit_and_appended_to(spark, docs_of):
 
 def test_empty_table(spark, docs_of):
     assert token_counts(docs_of([]), PATH, new_folder(spark, "t")).collect() == []
+
+
+def test_given_table(spark):
+    """The registered query against the library, text by text."""
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    got = {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in op7_token_counts(spark, sf).collect()}
+    want = {i: (len((t or "").encode()), expected(t), expected(t) > TOKEN_LIMIT) for i, t in texts.items()}
+    assert got == want and any(x[2] for x in want.values()) and not all(x[2] for x in want.values())
+
+
+def test_tokenizers_that_keep_white_space_are_refused(spark, docs_of, tmp_path):
+    import json
+
+    import pytest
+
+    assert drops_white_space(PATH)
+    spec = json.loads(TOK.to_str())
+    spec["pre_tokenizer"], spec["normalizer"] = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}, None
+    kept = tmp_path / "kept.json"
+    kept.write_text(json.dumps(spec))
+    other = tmp_path / "other.model"
+    other.write_bytes(b"no tokenizers file")
+    for path in (kept, other):
+        assert not drops_white_space(str(path))
+        with pytest.raises(ValueError, match="white space"):
+            token_counts(docs_of(["a b"]), str(path), new_folder(spark, "t"))
