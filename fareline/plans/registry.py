@@ -334,10 +334,12 @@ def _profiled(spark, sf):
 
 @register("table_profile")
 def _table_profile(spark, sf):
-    """Kind, row count, date range, columns and relationship count per table."""
+    """Kind, row count, date range, columns and relationship count per table, from file footers."""
     from fareline.operators.catalog import profile_tables
 
-    return profile_tables(*_profiled(spark, sf)).drop("columns")
+    wh = tpch_trips.warehouse_metadata(spark, sf)
+    _, layers = _profiled(spark, sf)
+    return profile_tables({n: _model(wh[n]) for n in layers}, layers).drop("columns")
 
 
 @register("table_columns")

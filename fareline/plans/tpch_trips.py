@@ -131,6 +131,12 @@ def warehouse(spark: SparkSession, sf_dir: str, rules: QaRules = DEFAULT_QA, mat
     return _WAREHOUSES[key]
 
 
+def warehouse_metadata(spark: SparkSession, sf_dir: str, rules: QaRules = DEFAULT_QA) -> Warehouse:
+    """The written warehouse for counts and date ranges from file footers."""
+    warehouse(spark, sf_dir, rules, "all")
+    return read_warehouse(spark, f"{_folder(spark, _key(spark, sf_dir, rules))}/warehouse", metadata=True)
+
+
 @dataclass(frozen=True)
 class FileBuild:
     """Layers built from raw files: the folder, the build's report, and both tables read back."""

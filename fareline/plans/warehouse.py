@@ -221,9 +221,11 @@ def write_warehouse(
     return read_warehouse(spark, out_dir)
 
 
-def read_warehouse(spark: SparkSession, path: str, version: int | None = None) -> Warehouse:
+def read_warehouse(spark: SparkSession, path: str, version: int | None = None, metadata: bool = False) -> Warehouse:
     """Tables of a published warehouse, all of one version, each opened when it is first asked for.
 
+    ``metadata``: tables for counts and date ranges alone, which come from the files' footers.
+
     Schemas come from the manifest, so an empty table reads back as one; a folder
     without a published warehouse raises.
     """
@@ -233,7 +235,7 @@ def read_warehouse(spark: SparkSession, path: str, version: int | None = None) -
         raise AnalysisException(f"no published warehouse in {path}")
 
     def reader(name: str):
-        return lambda: store.read_state(name, states[name])
+        return lambda: store.metadata_state(name, states[name]) if metadata else store.read_state(name, states[name])
 
     return Warehouse(LazyTables({n: reader(n) for n in states}))
 

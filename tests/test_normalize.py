@@ -181,3 +181,74 @@ def test_integer_times_are_nanoseconds(spark):
 
     df = spark.createDataFrame([(1_704_245_400_123_456_789,), (None,), (-1_000,)], "t long")
     assert [r[0] for r in df.select(to_timestamp_ntz(df, "t")).collect()] == [dt.datetime(2024, 1, 3, 1, 30, 0, 123456), None, dt.datetime(1969, 12, 31, 23, 59, 59, 999999)]
+
+
+def test_time_units_come_from_the_footer(spark):
+    """Nanoseconds are told from plain integers by the file's own type; a plain integer is read as its text."""
+    from fareline.sources.raw import time_units
+
+    d = tempfile.mkdtemp(prefix="fareline-units-")
+    want = dt.datetime(2024, 2, 3, 14, 5, 6)
+    for month, unit in enumerate(("ns", "us", "ms"), start=1):
+        cols = _raw_cols(1, want)
+        for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime"):
+            cols[c] = cols[c].cast(pa.timestamp(unit))
+        pq.write_table(pa.table(cols), os.path.join(d, f"y_2024-0{month}.parquet"), version="2.6")
+    cols = _raw_cols(2, want)
+    # a written-out time, and seconds of the epoch, which no layout reads
+    cols["tpep_pickup_datetime"] = pa.array([20240203140506, 1706968800], pa.int64())
+    pq.write_table(pa.table(cols), os.path.join(d, "y_2024-04.parquet"))
+    rows = build_bronze(spark, d).collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r["source_month"], []).append(r["pickup_at"])
+    assert got[1] == got[2] == got[3] == [want] and sorted(got[4], key=str) == [want, None]
+    assert time_units("a: timestamp[ns]\nb: int64\nc: timestamp[us, tz=UTC]") == {"a": "ns", "c": "us"}
+    assert time_units("message m {\n  optional int64 a (TIMESTAMP(NANOS,false));\n  required int64 c (TIMESTAMP(MILLIS,true));\n  optional int64 b;\n}") == {"a": "ns", "c": "ms"}
+
+
+def test_times_with_words_around_them(spark):
+    want = dt.datetime(2024, 2, 3, 14, 5, 6)
+    texts = {
+        "picked up 2024-02-03 14:05:06 (local)": want, "2024-02-03T14:05:06.250 EST?": want.replace(microsecond=250000), "at 2/3/2024 2:05:06 PM sharp": want,
+        "x20240203140506": want, "120240203140506": None, "on 2024/02/03 14:05:06!": want, "13/45/2024 1:00:00 am": None, "soon": None, "2024-02-30 14:05:06 no day": None,
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "tpep_pickup_datetime string")
+    assert [r["pickup_at"] for r in canonicalize(df).collect()] == list(texts.values())
+
+
+def test_lost_values_are_counted_and_kept(spark):
+    from fareline.plans.bronze import run_bronze
+    from fareline.plans.store import Store
+
+    d = tempfile.mkdtemp(prefix="fareline-lost-")
+    raw, out = os.path.join(d, "raw"), os.path.join(d, "bronze")
+    os.makedirs(raw)
+    cols = _raw_cols(4, dt.datetime(2024, 1, 3))
+    cols["fare_amount"] = pa.array(["10.0", "ten", "ten", None])
+    cols["payment_type"] = pa.array([1, 99999, 1, None], pa.int64())
+    _write(os.path.join(raw, "a_2024-01.parquet"), cols)
+    _write(os.path.join(raw, "b_2024-02.parquet"), _raw_cols(3, dt.datetime(2024, 2, 3)))
+    report = run_bronze(spark, raw, out)
+    assert report["rows_written"] == 7 and report["cast_losses"] == {"fare_amount": 2, "payment_type": 1}
+    kept = {(r.source_file, r.column_name, r.raw_value): r.rows for r in Store(spark, out).read("rescued").collect()}
+    assert kept == {("a_2024-01.parquet", "fare_amount", "ten"): 2, ("a_2024-01.parquet", "payment_type", "99999"): 1}
+    # a build without losses leaves none of an earlier one behind
+    os.remove(os.path.join(raw, "a_2024-01.parquet"))
+    assert "cast_losses" not in run_bronze(spark, raw, out) and Store(spark, out).read("rescued").collect() == []
+
+
+def test_footers_on_storage_that_only_hadoop_opens(spark):
+    """A mount that Arrow doesn't know: footers, families and rows come through Spark's own file systems."""
+    from fareline.sources.raw import schema_families
+
+    d = tempfile.mkdtemp(prefix="fareline-view-")
+    cols = _raw_cols(2, dt.datetime(2024, 1, 3))
+    cols["tpep_pickup_datetime"] = cols["tpep_pickup_datetime"].cast(pa.timestamp("ns"))
+    pq.write_table(pa.table(cols), os.path.join(d, "a_2024-01.parquet"), version="2.6")
+    _write(os.path.join(d, "b_2024-02.parquet"), _raw_cols(3, dt.datetime(2024, 2, 3), fee_name="Airport_fee"))
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.raw.link./in", f"file://{d}")
+    files = list_raw_files(spark, "viewfs://raw/in")
+    assert [len(v) for v in schema_families(spark, files).values()] == [1, 1]
+    rows = build_bronze(spark, "viewfs://raw/in").collect()
+    assert len(rows) == 5 and min(r["pickup_at"] for r in rows) == dt.datetime(2024, 1, 3)

@@ -90,3 +90,11 @@ def test_built_dimensions_are_broadcast_from_the_first_plan(spark):
     marts = build_marts(wh["fact_trips"], wh["fact_revenue_adjustments"], wh["dim_zone"], fixture.FIXTURE_AIRPORTS)
     initial = marts["mart_airport_daily"]._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in initial and "SortMergeJoin" not in initial
+
+
+def test_profile_reads_no_data_page(spark):
+    """Row counts and date ranges come from Parquet footers."""
+    plan = plan_of(registry.QUERIES["table_profile"](spark, SF001))
+    scans = [x for x in plan.splitlines() if "BatchScan" in x]
+    assert scans and all("PushedAggregation: [COUNT(*)" in x for x in scans) and "FileScan" not in plan
+    assert sum("MIN(date_day), MAX(date_day)" in x for x in scans) == 10
