@@ -35,6 +35,15 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sized(df: DataFrame, rows: int, per_task: int = 200_000) -> DataFrame:
+    """``df`` of about ``rows`` rows in tasks of at most ``per_task`` of them (but no fewer tasks than cores).
+
+    Merges neighbouring partitions without a shuffle, so what was dealt together stays
+    together; small intermediate tables then don't cost one task and file per shuffle partition.
+    """
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // per_task)))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser over an array of 64-bit values."""
     x = x.astype(np.uint64, copy=True)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareline.llm.common import materialize
+from fareline.llm.common import materialize, sized
 
 # edges that a task contracts at once; a forest above half of it is handed on
 HELD_EDGES = 1 << 20
@@ -74,11 +74,12 @@ STARS = "a long, b long, kind string"
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); self-loops and repeats don't matter."""
+    n = edges.count()
     # first each task by itself, so that copies and hot stars go no further
     e = edges.select("a", "b").where("a <> b").mapInArrow(_contract(False), STARS).select("a", "b")
     while True:
         # a node's edges all come to its task; the larger end is the node
-        now = materialize(e.repartition("a").mapInArrow(_contract(True), STARS), "stars")
+        now = materialize(sized(e.repartition("a"), n).mapInArrow(_contract(True), STARS), "stars")
         parents, rest = now.where("kind = 'p'").select("a", "b"), now.where("kind = 'x'").select("a", "b")
         tops = parents.select(F.col("a").alias("b"), F.col("b").alias("top"))
         if rest.isEmpty() and parents.join(tops, "b", "left_semi").isEmpty():

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareline.llm.common import SPACE_SPLIT, document_words, materialize
+from fareline.llm.common import SPACE_SPLIT, document_words, materialize, sized
 from fareline.llm.linking import exact_components, tile_links
 from fareline.llm.shingles import set_id, shingle_sets
 
@@ -187,15 +187,17 @@ def jaccard_components(
     for r in sums.toLocalIterator():
         sketch += np.frombuffer(r.sketch, np.uint64).astype(np.int64)
     sets = rows.where("sketch is null").select("id", "n", "sid", "key", "band", "bits")
-    reps = materialize(sets.where("n > 0").groupBy("sid").agg(F.min("id").alias("rep"), F.min("key").alias("key"), F.min("n").alias("n"), F.min("band").alias("band")), "reps")
+    n_docs = sets.count()
+    reps = materialize(sized(sets.where("n > 0").groupBy("sid").agg(F.min("id").alias("rep"), F.min("key").alias("key"), F.min("n").alias("n"), F.min("band").alias("band")), n_docs), "reps")
 
     prefixes = texts.select("text").mapInArrow(_prefixes(spark.sparkContext.broadcast(sketch), size, threshold), "token long, sid long")
     prefixes = materialize(prefixes, "prefixes")
     # written before the join, so that a hot token's side of it can be split
-    shared = materialize(prefixes.groupBy("token").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low < high").select("token"), "shared")
+    n_prefix = prefixes.count()
+    shared = materialize(sized(prefixes.groupBy("token").agg(F.min("sid").alias("low"), F.max("sid").alias("high")).where("low < high").select("token"), n_prefix), "shared")
     # copies of a set in several tasks gave the same rows; dealt by set, as a token may be hot
     postings = prefixes.join(shared, "token").repartition("sid").distinct()
-    postings = materialize(postings.join(reps.select("sid", "n", "band"), "sid"), "postings")
+    postings = materialize(sized(postings.join(reps.select("sid", "n", "band"), "sid"), n_prefix), "postings")
     visit = F.explode(F.array(F.struct("band", F.lit(True).alias("home")), F.struct((F.col("band") + 1).alias("band"), F.lit(False).alias("home"))))
     visits = postings.select("token", "sid", "n", visit.alias("v")).select(F.xxhash64("token", "v.band").alias("tile"), "sid", "n", "v.*")
     tiles = (
@@ -205,10 +207,12 @@ def jaccard_components(
         .groupBy("band", "n_rows", "x", "s")
         .agg(F.min("tile").alias("tile"))
     )
-    members = materialize(visits.join(materialize(tiles.select("tile", "n_rows"), "tiles"), "tile"), "tiles")
+    n_visits = 2 * postings.count()
+    tiles = materialize(sized(tiles.select("tile", "n_rows"), n_visits), "tiles")
+    members = materialize(sized(visits.join(tiles, "tile"), n_visits), "visits")
     wanted = members.select("sid").distinct().join(reps.select("sid", "key"), "sid")
     maps = sets.select("sid", "key", "bits").join(wanted, ["sid", "key"]).groupBy("sid").agg(F.first("bits").alias("bits"))
-    members = materialize(members.join(maps, "sid").withColumn("lead", F.col("home")), "members")
+    members = materialize(sized(members.join(maps, "sid").withColumn("lead", F.col("home")), n_visits), "members")
 
     candidates = tile_links(members, ["n", "band", "home", "bits"], _near(threshold), tile_rows)
     linked = exact_components(candidates, reps.select("sid", "key", "n"), texts.select("text", "key"), size, threshold, block_sets, block_bytes)

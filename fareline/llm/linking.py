@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareline.llm.common import materialize
+from fareline.llm.common import materialize, sized
 from fareline.llm.components import connected_components
 from fareline.llm.shingles import set_arrays, sets_of_texts
 
@@ -189,34 +189,35 @@ def tile_links(members: DataFrame, payload: list[str], prepare: Callable[[pa.Tab
     ``lead`` marks rows that may be pivots. ``prepare`` gives the near-test of a table.
     """
     columns = ["tile", "block", "blocks", "sid", *payload]
+    n, largest = members.agg(F.count(F.lit(1)), F.coalesce(F.max("n_rows"), F.lit(0))).first()
     rows = members.withColumn("blocks", F.ceil(F.col("n_rows") / block_rows).cast("int")).withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
     cut = rows.where("blocks > 1")
-    some = cut.limit(1).count() > 0
     first = rows.select(*columns, F.lit(False).alias("pivot"))
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    if some:
+    if largest > block_rows:
         mark = F.pmod(F.xxhash64("sid", F.lit(7)), F.lit(64) * F.col("blocks")) == 0
         chosen = cut.where("lead").groupBy("tile").agg(F.array_union(F.array(F.min("sid")), F.slice(F.array_sort(F.collect_set(F.when(mark, F.col("sid")))), 1, pivots)).alias("p"))
-        chosen = materialize(chosen.select("tile", F.explode("p").alias("sid")), "pivots")
+        chosen = materialize(sized(chosen.select("tile", F.explode("p").alias("sid")), n), "pivots")
         shared = cut.join(chosen, ["tile", "sid"]).withColumn("block", every)
         first = first.unionByName(shared.select(*columns, F.lit(True).alias("pivot")))
-    dealt = first.repartition(*TILE_KEYS).sortWithinPartitions(*TILE_KEYS)
+    dealt = sized(first.repartition(*TILE_KEYS), n).sortWithinPartitions(*TILE_KEYS)
     found = materialize(dealt.mapInArrow(_first_pass(prepare), TILE_OUT), "tile-links")
     edges = found.where("b is not null").select("a", "b")
-    if not some:
+    if largest <= block_rows:
         return edges
     left = found.where("b is null").select("tile", F.col("a").alias("sid")).distinct()
-    left = materialize(left, "left")
-    chunks = left.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("chunks"))
-    chunks = materialize(chunks, "chunks")
-    if chunks.isEmpty():
+    chunks = left.groupBy("tile").agg(F.count(F.lit(1)).alias("n_left"))
+    chunks = materialize(sized(chunks, n).select("tile", "n_left", F.ceil(F.col("n_left") / block_rows).cast("int").alias("chunks")), "chunks")
+    n_left = chunks.agg(F.sum("n_left")).first()[0]
+    if not n_left:
         return edges
-    cut = cut.join(chunks, "tile")
+    cut = cut.join(chunks.select("tile", "chunks"), "tile")
     columns += ["chunk"]
     outside = cut.join(left, ["tile", "sid"]).withColumn("block", every).withColumn("chunk", F.pmod(F.xxhash64("sid", F.lit(1)), F.col("chunks")).cast("int"))
     inside = cut.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     second = outside.select(*columns, F.lit(True).alias("active")).unionByName(inside.select(*columns, F.lit(False).alias("active")))
-    dealt = second.repartition(*TILE_KEYS, "chunk").sortWithinPartitions(*TILE_KEYS, "chunk")
+    blocks = -(-largest // block_rows)
+    dealt = sized(second.repartition(*TILE_KEYS, "chunk"), n + n_left * blocks).sortWithinPartitions(*TILE_KEYS, "chunk")
     more = materialize(dealt.mapInArrow(_second_pass(prepare), TILE_OUT), "tile-links").select("a", "b")
     return edges.union(more)
 
@@ -290,48 +291,67 @@ def _clusters(t: int, size: int):
     return run
 
 
+BLOCK_KEYS = ["component", "part", "chunk"]
+
+
 def _block_links(t: int):
-    """Exact links within one task's group: (sid, shingles, label, active) rows."""
+    """Exact links within groups of (sid, shingles, label, active) rows, of a partition sorted by group."""
 
-    def run(table: pa.Table) -> pa.Table:
+    def solve(table: pa.Table) -> list[np.ndarray]:
         sid, on = table.column("sid").to_numpy(), table.column("active").to_numpy(zero_copy_only=False)
         order = np.lexsort((~on, sid))
         at = order[np.append(True, sid[order][1:] != sid[order][:-1])]
         arrays = [np.frombuffer(x, np.uint64) for x in table.column("shingles").take(pa.array(at)).to_pylist()]
-        links = exact_links(arrays, table.column("label").to_numpy()[at], on[at], t)
-        i, j = np.array(links, np.int64).reshape(-1, 2).T
-        return pa.table({"a": sid[at][i], "b": sid[at][j]})
+        i, j = np.array(exact_links(arrays, table.column("label").to_numpy()[at], on[at], t), np.int64).reshape(-1, 2).T
+        return [sid[at][i], sid[at][j]]
+
+    def run(batches):
+        for table in whole_groups(batches, BLOCK_KEYS):
+            group = group_ids(table, BLOCK_KEYS)
+            starts = np.append(np.flatnonzero(np.append(True, group[1:] != group[:-1])), len(group))
+            for lo, hi in zip(starts[:-1], starts[1:]):
+                a, b = solve(table.slice(lo, hi - lo))
+                if len(a):
+                    yield pa.record_batch([pa.array(a), pa.array(b)], names=["a", "b"])
 
     return run
 
 
+# rows with whole sets or texts in one task
+SETS_PER_TASK = 20_000
+
+
 def _large_components(members: DataFrame, t: int, block_sets: int, pivots: int) -> DataFrame:
     """(node, component) of the written members (component, parts, sid, shingles) of components above a block."""
     zero = F.lit(0).cast("long")
     every = F.explode(F.sequence(zero, F.col("parts") - 1))
     home = members.withColumn("part", F.pmod(F.xxhash64("sid"), "parts"))
+    n, most = members.agg(F.count(F.lit(1)), F.max("parts")).first()
     mark = F.pmod(F.xxhash64("sid", F.lit(7)), F.lit(64) * F.col("parts")) == 0
     chosen = members.groupBy("component").agg(F.array_union(F.array(F.min("sid")), F.slice(F.array_sort(F.collect_set(F.when(mark, F.col("sid")))), 1, pivots)).alias("p"))
-    chosen = materialize(chosen.select("component", F.explode("p").alias("sid")), "pivots")
-    columns = ["component", "part", "chunk", "sid", "shingles", "label", "active"]
-    solve = _block_links(t)
+    chosen = materialize(sized(chosen.select("component", F.explode("p").alias("sid")), n), "pivots")
+    columns = [*BLOCK_KEYS, "sid", "shingles", "label", "active"]
 
-    def links(rows):
-        return materialize(rows.select(*columns).groupBy("component", "part", "chunk").applyInArrow(solve, "a long, b long"), "links")
+    def links(rows, n_rows):
+        dealt = sized(rows.select(*columns).repartition(*BLOCK_KEYS), n_rows, SETS_PER_TASK).sortWithinPartitions(*BLOCK_KEYS)
+        return materialize(dealt.mapInArrow(_block_links(t), "a long, b long"), "links")
 
     shared = members.join(chosen, ["component", "sid"]).withColumn("part", every)
-    first = links(home.unionByName(shared, allowMissingColumns=True).withColumns({"chunk": zero, "label": F.col("sid"), "active": F.lit(True)}))
+    first = links(home.unionByName(shared, allowMissingColumns=True).withColumns({"chunk": zero, "label": F.col("sid"), "active": F.lit(True)}), n)
     # sets outside their component's largest cluster, against all blocks
     labels = connected_components(first).select(F.col("node").alias("sid"), F.col("component").alias("label"))
-    named = materialize(home.join(labels, "sid", "left").withColumn("label", F.coalesce("label", "sid")), "named")
+    named = materialize(sized(home.join(labels, "sid", "left").withColumn("label", F.coalesce("label", "sid")), n, SETS_PER_TASK), "named")
     main = named.groupBy("component", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("component").agg(F.max_by("label", F.struct("c", "label")).alias("main"))
-    outside = named.join(materialize(main, "main"), "component").where("label <> main")
-    chunks = materialize(outside.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / block_sets).cast("long").alias("chunks")), "chunks")
-    if chunks.isEmpty():
+    outside = named.join(materialize(sized(main, n), "main"), "component").where("label <> main")
+    chunks = outside.groupBy("component").agg(F.count(F.lit(1)).alias("n_out"))
+    chunks = materialize(sized(chunks, n).select("component", "n_out", F.ceil(F.col("n_out") / block_sets).cast("long").alias("chunks")), "chunks")
+    n_out = chunks.agg(F.sum("n_out")).first()[0]
+    if not n_out:
         return named.select(F.col("sid").alias("node"), F.col("label").alias("component"))
+    chunks = chunks.select("component", "chunks")
     outside = outside.join(chunks, "component").withColumns({"chunk": F.pmod(F.xxhash64("sid", F.lit(1)), "chunks"), "active": F.lit(True)}).withColumn("part", every)
     inside = named.join(chunks, "component").withColumns({"chunk": F.explode(F.sequence(zero, F.col("chunks") - 1)), "active": F.lit(False)})
-    more = links(outside.select(*columns).unionByName(inside.select(*columns)))
+    more = links(outside.select(*columns).unionByName(inside.select(*columns)), n + n_out * most)
     joined = connected_components(first.union(more)).select(F.col("node").alias("sid"), F.col("component").alias("label"))
     return named.drop("label").join(joined, "sid", "left").select(F.col("sid").alias("node"), F.coalesce("label", "sid").alias("component"))
 
@@ -342,18 +362,19 @@ def exact_components(candidates: DataFrame, sets: DataFrame, texts: DataFrame, s
     ``sets``: (sid, key, n), one row per set; ``texts``: (text, key), where a set's text
     can be had; ``size``: words of a shingle. Texts travel, as they are smaller than arrays.
     """
-    placed = materialize(connected_components(candidates).withColumnRenamed("node", "sid").join(sets, "sid"), "coarse")
+    n = candidates.count()  # edges of a forest per task: about as many as nodes
+    placed = materialize(sized(connected_components(candidates).withColumnRenamed("node", "sid").join(sets, "sid"), n), "coarse")
     parts = F.greatest(F.ceil(F.count(F.lit(1)) / block_sets), F.ceil(8 * F.sum("n") / block_bytes)).cast("long")
-    large = materialize(placed.groupBy("component").agg(parts.alias("parts")).where("parts > 1"), "large")
+    large = materialize(sized(placed.groupBy("component").agg(parts.alias("parts")).where("parts > 1"), n), "large")
     some = not large.isEmpty()
     placed = placed.join(large, "component", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long"))) if some else placed.withColumn("parts", F.lit(1).cast("long"))
     chosen = texts.join(placed.select("key", "sid", "component", "parts").hint("shuffle_hash"), "key").select("text", "sid", "component", "parts")
-    chosen = materialize(chosen, "chosen") if some else chosen
-    small = chosen.where("parts = 1").repartition("component").sortWithinPartitions("component").select("component", "sid", "text")
+    chosen = materialize(sized(chosen, n, SETS_PER_TASK), "chosen") if some else chosen
+    small = sized(chosen.where("parts = 1").repartition("component"), n, SETS_PER_TASK).sortWithinPartitions("component").select("component", "sid", "text")
     out = small.mapInArrow(_clusters(t, size), "node long, component long")
     if some:
         met = chosen.where("parts > 1").mapInArrow(set_arrays(size), "sid long, component long, parts long, shingles binary")
         # a set may come from two texts with its key; one row of each goes on
-        members = materialize(met.groupBy("component", "parts", "sid").agg(F.min("shingles").alias("shingles")), "members")
-        out = out.union(_large_components(members, t, block_sets, pivots))
+        members = sized(met.groupBy("component", "parts", "sid").agg(F.min("shingles").alias("shingles")), n, SETS_PER_TASK)
+        out = out.union(_large_components(materialize(members, "members"), t, block_sets, pivots))
     return out

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareline.llm.common import SPACE_SPLIT, document_words, materialize, mix64
+from fareline.llm.common import SPACE_SPLIT, document_words, materialize, mix64, sized
 from fareline.llm.linking import exact_components, tile_links
 from fareline.llm.shingles import set_id, shingle_sets
 
@@ -40,6 +40,7 @@ MISS = 1e-9
 BAND_PERMUTATIONS = 3
 SKETCH = 128
 TILE_ROWS, BLOCK_SETS, BLOCK_BYTES = 512, 2048, 64 << 20
+SIGNED_PER_TASK = 50_000
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _LAST = np.uint64(0xD6E8FEB86659FD93)
@@ -153,8 +154,9 @@ def near_duplicates(
     bands = max(band_count(threshold), -(-SKETCH // (2 * BAND_PERMUTATIONS)))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).withColumn("key", F.coalesce("id", F.xxhash64("text")))
     rows = materialize(texts.mapInArrow(_signatures(size, bands), ROW_SCHEMA), "signatures")
-    sets = materialize(rows.where("n > 0").groupBy("sid").agg(F.min("id").alias("rep"), F.min("key").alias("key"), F.min("n").alias("n")), "sets")
-    signed = materialize(rows.where("bands is not null").groupBy("sid").agg(F.min("n").alias("n"), F.min("bands").alias("bands"), F.min("sketch").alias("sketch")), "signed")
+    n_docs = rows.count()
+    sets = materialize(sized(rows.where("n > 0").groupBy("sid").agg(F.min("id").alias("rep"), F.min("key").alias("key"), F.min("n").alias("n")), n_docs), "sets")
+    signed = materialize(sized(rows.where("bands is not null").groupBy("sid").agg(F.min("n").alias("n"), F.min("bands").alias("bands"), F.min("sketch").alias("sketch")), n_docs, SIGNED_PER_TASK), "signed")
 
     buckets = signed.select("sid", F.explode("bands").alias("tile"))
     tiles = (
@@ -164,8 +166,9 @@ def near_duplicates(
         .groupBy("n_rows", "x", "s")
         .agg(F.min("tile").alias("tile"))
     )
-    members = buckets.join(materialize(tiles.select("tile", "n_rows"), "tiles"), "tile")
-    members = materialize(members.join(signed.select("sid", "n", "sketch"), "sid").withColumn("lead", F.lit(True)), "members")
+    tiles = materialize(sized(tiles.select("tile", "n_rows"), n_docs), "tiles")
+    members = buckets.join(tiles, "tile").join(signed.select("sid", "n", "sketch"), "sid").withColumn("lead", F.lit(True))
+    members = materialize(sized(members, bands * n_docs), "members")
     candidates = tile_links(members, ["n", "sketch"], _near(threshold), tile_rows)
     linked = exact_components(candidates, sets.select("sid", "key", "n"), texts.select("text", "key"), size, threshold, block_sets, block_bytes)
     names = sets.join(linked.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
