@@ -215,7 +215,7 @@ def jaccard_components(
     members = materialize(sized(members.join(maps, "sid").withColumn("lead", F.col("home")), n_visits), "members")
 
     candidates = tile_links(members, ["n", "band", "home", "bits"], _near(threshold), tile_rows)
-    linked = exact_components(candidates, reps.select("sid", "key", "n"), texts.select("text", "key"), size, threshold, block_sets, block_bytes)
+    linked = exact_components(candidates, reps.select("sid", "key", "n"), texts.select("text", "key"), size, threshold, block_sets, block_bytes, n_docs)
     names = reps.join(linked.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     names = names.join(names.groupBy("component").agg(F.min("rep").alias("component_id")), "component").select("sid", "component_id")
     return sets.select("id", "n", "sid").join(names, "sid", "left").select(

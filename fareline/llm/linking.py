@@ -356,11 +356,12 @@ def _large_components(members: DataFrame, t: int, block_sets: int, pivots: int)
     return named.drop("label").join(joined, "sid", "left").select(F.col("sid").alias("node"), F.coalesce("label", "sid").alias("component"))
 
 
-def exact_components(candidates: DataFrame, sets: DataFrame, texts: DataFrame, size: int, t: int, block_sets: int, block_bytes: int, pivots: int = PIVOTS) -> DataFrame:
+def exact_components(candidates: DataFrame, sets: DataFrame, texts: DataFrame, size: int, t: int, block_sets: int, block_bytes: int, n_texts: int, pivots: int = PIVOTS) -> DataFrame:
     """(node, component) of the exact links within the components of the candidate pairs.
 
     ``sets``: (sid, key, n), one row per set; ``texts``: (text, key), where a set's text
-    can be had; ``size``: words of a shingle. Texts travel, as they are smaller than arrays.
+    can be had, ``n_texts`` of them; ``size``: words of a shingle. Texts travel, as they are
+    smaller than arrays.
     """
     n = candidates.count()  # edges of a forest per task: about as many as nodes
     placed = materialize(sized(connected_components(candidates).withColumnRenamed("node", "sid").join(sets, "sid"), n), "coarse")
@@ -369,7 +370,7 @@ def exact_components(candidates: DataFrame, sets: DataFrame, texts: DataFrame, s
     some = not large.isEmpty()
     placed = placed.join(large, "component", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long"))) if some else placed.withColumn("parts", F.lit(1).cast("long"))
     chosen = texts.join(placed.select("key", "sid", "component", "parts").hint("shuffle_hash"), "key").select("text", "sid", "component", "parts")
-    chosen = materialize(sized(chosen, n, SETS_PER_TASK), "chosen") if some else chosen
+    chosen = materialize(sized(chosen, n_texts, SETS_PER_TASK), "chosen") if some else chosen
     small = sized(chosen.where("parts = 1").repartition("component"), n, SETS_PER_TASK).sortWithinPartitions("component").select("component", "sid", "text")
     out = small.mapInArrow(_clusters(t, size), "node long, component long")
     if some:

@@ -166,11 +166,11 @@ def near_duplicates(
         .groupBy("n_rows", "x", "s")
         .agg(F.min("tile").alias("tile"))
     )
-    tiles = materialize(sized(tiles.select("tile", "n_rows"), n_docs), "tiles")
+    tiles = materialize(sized(tiles.select("tile", "n_rows"), bands * n_docs), "tiles")
     members = buckets.join(tiles, "tile").join(signed.select("sid", "n", "sketch"), "sid").withColumn("lead", F.lit(True))
     members = materialize(sized(members, bands * n_docs), "members")
     candidates = tile_links(members, ["n", "sketch"], _near(threshold), tile_rows)
-    linked = exact_components(candidates, sets.select("sid", "key", "n"), texts.select("text", "key"), size, threshold, block_sets, block_bytes)
+    linked = exact_components(candidates, sets.select("sid", "key", "n"), texts.select("text", "key"), size, threshold, block_sets, block_bytes, n_docs)
     names = sets.join(linked.select(F.col("node").alias("sid"), "component"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     lowest = names.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = rows.select("id", "n", "sid").join(names.join(lowest, "component").select("sid", "component_id"), "sid", "left")
