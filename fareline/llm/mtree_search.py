@@ -38,10 +38,11 @@ from pyspark.sql import functions as F
 
 from fareline.llm.common import materialize
 
-PAGE = 32
+# a page costs about as much as the products of a hundred vectors
+PAGE = 256
 FANOUT = 8
 # components in a tree; pivots of the directory at most; vectors that the pivots are clustered from
-TREE_VALUES = 1 << 16
+TREE_VALUES = 1 << 18
 MAX_PIVOTS, SAMPLE = 4096, 20_000
 QUERY_BLOCK = 2048
 # pivots that a query's trees of each wave belong to; the last wave takes all others
@@ -76,19 +77,15 @@ class MTree:
             at = rows[order]
             self.pages.append((True, self.rows[at], self.ids[at], self.vectors[at].astype(np.float64), distance[order]))
             return len(self.pages) - 1
-        # routing vectors: each next one is farthest from those before
+        # a few rounds of moving centres make parts of like size; farthest-first starts peel off single outliers
         points = self.points[rows]
-        pick, apart = [int(distance.argmin())], np.full(len(rows), np.inf)
-        near = np.zeros(len(rows), np.int64)
-        for k in range(FANOUT):
-            d = ((points - points[pick[k]]) ** 2).sum(axis=1)
-            near[d < apart] = k
-            apart = np.minimum(apart, d)
-            if k + 1 == FANOUT or apart.max() == 0:
-                break
-            pick.append(int(apart.argmax()))
+        centres = points[np.random.default_rng(len(rows)).choice(len(rows), FANOUT, replace=False)]
+        for _ in range(4):
+            near = ((centres**2).sum(axis=1) - 2 * points @ centres.T).argmin(axis=1)
+            for k in np.unique(near):
+                centres[k] = points[near == k].mean(axis=0)
         children, routing, radius, to_parent = [], [], [], []
-        for k in range(len(pick)):
+        for k in range(FANOUT):
             mine = rows[near == k]
             if not len(mine):
                 continue
