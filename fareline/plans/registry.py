@@ -296,7 +296,8 @@ def _catalog_row_counts(spark, sf):
 
     root = tpch_trips.incremental_build(spark, sf).root
     wanted = set(register_tables(spark, root))
-    listed = [(db, t, kind) for db, t, kind in list_catalog_tables(spark, ["gold", "marts"]) if f"{db}.{t}" in wanted]
+    # the catalog lists the session's temporary views, which may have the same names, in every database
+    listed = [(db, t, kind) for db, t, kind in list_catalog_tables(spark, ["gold", "marts"]) if f"{db}.{t}" in wanted and kind != "TEMPORARY"]
     one = "select '{0}' as table_schema, '{1}' as table_name, '{2}' as kind, count(*) as row_count from {0}.{1}"
     return spark.sql(" union all ".join(one.format(*r) for r in listed))
 
