@@ -252,3 +252,21 @@ def test_footers_on_storage_that_only_hadoop_opens(spark):
     assert [len(v) for v in schema_families(spark, files).values()] == [1, 1]
     rows = build_bronze(spark, "viewfs://raw/in").collect()
     assert len(rows) == 5 and min(r["pickup_at"] for r in rows) == dt.datetime(2024, 1, 3)
+
+
+def test_nanosecond_files_in_a_session_without_the_librarys_settings(spark):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from fareline.plans.bronze import build_bronze
+
+    d = tempfile.mkdtemp(prefix="fareline-nanos-plain-")
+    cols = _raw_cols(3, dt.datetime(2024, 1, 3))
+    for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime"):
+        cols[c] = cols[c].cast(pa.timestamp("ns"))
+    pq.write_table(pa.table(cols), os.path.join(d, "y_2024-01.parquet"), version="2.6")
+    for uniform in (False, True):
+        plain = spark.newSession()
+        plain.conf.set("spark.sql.legacy.parquet.nanosAsLong", "false")
+        rows = build_bronze(plain, d, uniform=uniform).collect()
+        assert len(rows) == 3 and min(r["pickup_at"] for r in rows) == dt.datetime(2024, 1, 3)

@@ -124,3 +124,27 @@ def test_write_warehouse_with_rebalance_option(spark):
     assert months and built["fact_trips"].count() == wh["fact_trips"].count()
     files = sum(len([f for f in os.listdir(m) if f.endswith(".parquet")]) for m in months)
     assert files == len(months)  # rebalanced: one file per month at this size
+
+
+def test_file_builds_can_run_again_after_a_failure(spark, monkeypatch):
+    import pytest
+
+    rules = tpch_trips.QaRules(near_eps=0.03)  # layers of its own
+    whole_bronze, whole_refresh = tpch_trips.run_bronze, tpch_trips.refresh
+    calls = []
+
+    def once(fn):
+        def run(*args, **kw):
+            calls.append(fn.__name__)
+            if calls.count(fn.__name__) == 1:
+                raise RuntimeError("stopped")
+            return fn(*args, **kw)
+
+        return run
+
+    monkeypatch.setattr(tpch_trips, "run_bronze", once(whole_bronze))
+    monkeypatch.setattr(tpch_trips, "refresh", once(whole_refresh))
+    for build in (tpch_trips.file_build, tpch_trips.incremental_build):
+        with pytest.raises(RuntimeError, match="stopped"):
+            build(spark, SF001, rules)
+        assert build(spark, SF001, rules)
