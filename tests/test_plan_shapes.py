@@ -98,3 +98,21 @@ def test_profile_reads_no_data_page(spark):
     scans = [x for x in plan.splitlines() if "BatchScan" in x]
     assert scans and all("PushedAggregation: [COUNT(*)" in x for x in scans) and "FileScan" not in plan
     assert sum("MIN(date_day), MAX(date_day)" in x for x in scans) == 10
+
+
+def test_a_session_of_others_runs_no_method_too_long_to_compile(spark):
+    """Bronze and silver hold sessions made elsewhere to methods that the JVM compiles."""
+    from fareline.plans.bronze import bronze_from_raw
+    from fareline.plans.silver import silver_from_bronze
+
+    key = "spark.sql.codegen.hugeMethodLimit"
+    plain = spark.newSession()
+    plain.conf.set(key, "65535")
+    bronze = bronze_from_raw(fixture.raw_trips(plain, SF001), canonical=True, dedup="aggregate")
+    assert plain.conf.get(key) == "8000"
+    plain.conf.set(key, "65535")
+    silver_from_bronze(bronze)
+    assert plain.conf.get(key) == "8000"
+    plain.conf.set(key, "4000")  # a lower limit is left alone
+    silver_from_bronze(bronze)
+    assert plain.conf.get(key) == "4000"
