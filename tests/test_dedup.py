@@ -72,3 +72,20 @@ def test_key_set_keep_first(spark):
     assert len(first) == 3
     kept = [r for r in first if r["pickup_at"] == T0 and r["vendor_id"] == 1][0]
     assert kept["tip_amount"] == 1.0 and kept["qa_is_duplicate_in_file"] is True
+
+
+def test_report_shuffles_hashes_and_checks_repeated_ones_on_the_columns(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from fareline.operators import dedup
+
+    rows = [trip(), trip(), trip(fare_amount=0.0), trip(fare_amount=-0.0), trip(vendor_id=None), trip(vendor_id=None),
+            trip(pickup_at=T0 + dt.timedelta(seconds=1)), trip(source_file="trips_2024-02.parquet"), trip(source_file=None)]
+    want = {("trips_2024-01.parquet", 7, 6, 1), ("trips_2024-02.parquet", 1, 0, 1), (None, 1, 0, 1)}
+    written = []
+    shared = dedup.write_shared
+    monkeypatch.setattr(dedup, "write_shared", lambda df, name: written.append(df.columns) or shared(df, name))
+    assert {tuple(r) for r in dedup_report(frame(spark, rows)).collect()} == want
+    assert written == [["_key_hash"]]  # nothing but hashes of all rows
+    monkeypatch.setattr(dedup, "_key_hash", lambda df, cols: F.lit(1).cast("long"))  # every row collides
+    assert {tuple(r) for r in dedup_report(frame(spark, rows)).collect()} == want
