@@ -148,3 +148,20 @@ def test_file_builds_can_run_again_after_a_failure(spark, monkeypatch):
         with pytest.raises(RuntimeError, match="stopped"):
             build(spark, SF001, rules)
         assert build(spark, SF001, rules)
+
+
+def test_file_queries_in_a_session_without_the_librarys_settings(spark, monkeypatch):
+    """One query after the other in a plain session: the nanosecond family is read, and none trips over another's files."""
+    from fareline.plans.registry import QUERIES
+
+    monkeypatch.setattr(tpch_trips, "_BUILDS", {})
+    plain = spark.newSession()
+    plain.conf.set("spark.sql.legacy.parquet.nanosAsLong", "false")
+    report = QUERIES["raw_file_report"](plain, SF001).first()
+    families = QUERIES["raw_schema_families"](plain, SF001).collect()
+    assert len(families) == 5 and sum(r["files"] for r in families) == report["files"]
+    bronze = QUERIES["bronze_from_files"](plain, SF001)
+    assert bronze.count() == report["rows_written"] == report["rows_in"] - report["duplicates_removed"]
+    # the last query opens the raw files again: nanosecond times lose nothing
+    lost = {r["source_file"] for r in QUERIES["cast_losses"](plain, SF001).select("source_file").collect()}
+    assert lost and not any(int(name[-10:-8]) % 5 == 1 for name in lost)
