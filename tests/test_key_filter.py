@@ -73,3 +73,12 @@ def test_filter_holds_every_key_and_few_others(spark, monkeypatch):
         assert 10 <= held.count() <= 13
         assert sum(r["_copies"] for r in duplicate_keys(held).collect()) == 10
     assert key_filter(dups.limit(0), cols)[0].count() == 1  # no key, no row held
+
+
+def test_the_filter_is_not_worked_out_from_raw_texts(spark):
+    """Casts of the key columns run once for a row, not once more below them for the filter."""
+    text = frame(plain(spark), ROWS).withColumn("fare_amount", F.col("fare_amount").cast("string"))
+    out = B.bronze_from_raw(text.select("*", F.col("trip_distance_mi").alias("trip_distance")).drop("trip_distance_mi"))
+    optimized = out._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in optimized.splitlines() if "Filter" in line and "scalar-subquery" in line]
+    assert len(filters) == 2 and not any("try_cast" in line.lower() or "cast(fare_amount" in line for line in filters)
